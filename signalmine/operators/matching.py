@@ -13,6 +13,7 @@ result stays exact at any size.
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Iterator
 
 import pandas as pd
@@ -23,12 +24,12 @@ from pyspark.sql import functions as F
 MAX_KEYS_PER_PASS = 1_000_000
 
 _WORD = set("abcdefghijklmnopqrstuvwxyz0123456789_")
-_AUTOMATA: dict[int, object] = {}
+_AUTOMATA: dict[str, object] = {}
 
 
-def _automaton(bc_id: int, keys: list[tuple[str, str]]):
-    """Per-executor cache: one automaton per broadcast."""
-    auto = _AUTOMATA.get(bc_id)
+def _automaton(token: str, keys: list[tuple[str, str]]):
+    """Per-executor (per Python worker) cache: one automaton per key set."""
+    auto = _AUTOMATA.get(token)
     if auto is None:
         import ahocorasick
 
@@ -40,13 +41,13 @@ def _automaton(bc_id: int, keys: list[tuple[str, str]]):
             auto.add_word(key, (key, frozenset(groups)))
         auto.make_automaton()
         _AUTOMATA.clear()
-        _AUTOMATA[bc_id] = auto
+        _AUTOMATA[token] = auto
     return auto
 
 
-def _matcher(bc, mode: str, grouped: bool, max_len: int):
+def _matcher(bc, token: str, mode: str, grouped: bool, max_len: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        auto = _automaton(bc.id, bc.value)
+        auto = _automaton(token, bc.value)
         for pdf in batches:
             groups_out, keys_out, tids_out = [], [], []
             texts = pdf["text"].tolist()
@@ -73,7 +74,10 @@ def _matcher(bc, mode: str, grouped: bool, max_len: int):
                         groups_out.append(tg)
                         keys_out.append(key)
                         tids_out.append(tid)
-            yield pd.DataFrame({"tid": tids_out, "grp": groups_out, "key": keys_out})
+            if keys_out:
+                yield pd.DataFrame({"tid": pd.Series(tids_out, dtype=object),
+                                    "grp": pd.Series(groups_out, dtype=object),
+                                    "key": pd.Series(keys_out, dtype=object)})
     return run
 
 
@@ -109,6 +113,6 @@ def keys_found_in(texts: DataFrame, text_col: str, keys: DataFrame, key_col: str
         part = key_df if chunks == 1 else key_df.filter(F.abs(F.xxhash64("key")) % chunks == c)
         rows = [(r["grp"], r["key"]) for r in part.toLocalIterator()]
         bc = spark.sparkContext.broadcast(rows)
-        found = text_df.mapInPandas(_matcher(bc, mode, grouped, max_len), schema)
+        found = text_df.mapInPandas(_matcher(bc, uuid.uuid4().hex, mode, grouped, max_len), schema)
         out = found if out is None else out.unionByName(found)
     return out.distinct()

@@ -88,21 +88,23 @@ def head_lines(lines: DataFrame, n: int, file_col: str = "file_name", line_col:
 
 
 def running_budget(phases: DataFrame, max_budget: float | None = None, value: str = "cost_usd",
-                   limit_col: str = "max_budget_usd") -> DataFrame:
+                   limit_col: str = "max_budget_usd", order: tuple[str, ...] = ("phase",)) -> DataFrame:
     """A phase runs only when the cost *before* it is within the budget.
 
     The first phase after an overrun still sees the overrun in its prefix sum,
     so "stop after the first overrun" is exactly ``spent_before <= budget``.
     Window partitions are single runs, so the sort is per run, never global.
     """
-    w = Window.partitionBy("run_id").orderBy("phase").rowsBetween(Window.unboundedPreceding, -1)
+    w = Window.partitionBy("run_id").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     spent = F.coalesce(F.sum(value).over(w), F.lit(0))
     budget = F.lit(max_budget) if max_budget is not None else F.col(limit_col)
     return phases.withColumn("spent_before", spent).withColumn("runs", F.col("spent_before") <= budget)
 
 
-def running_time_limit(phases: DataFrame, max_hours: float = 8, value: str = "duration_s") -> DataFrame:
-    w = Window.partitionBy("run_id").orderBy("phase").rowsBetween(Window.unboundedPreceding, -1)
+def running_time_limit(phases: DataFrame, max_hours: float = 8, value: str = "duration_s",
+                       order: tuple[str, ...] = ("phase",)) -> DataFrame:
+    """Same rule for elapsed seconds against ``max_hours``."""
+    w = Window.partitionBy("run_id").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     elapsed = F.coalesce(F.sum(value).over(w), F.lit(0))
     return (phases.withColumn("elapsed_before_s", elapsed)
             .withColumn("runs", F.col("elapsed_before_s") <= F.lit(max_hours * 3600)))

@@ -29,11 +29,11 @@ def _close(df: DataFrame, cond, as_of: AsOf, touch_updated: bool = False) -> Dat
 def archive_noise(items: DataFrame, as_of: AsOf, single_days: int = 14, double_days: int = 30) -> DataFrame:
     """Close open noise: rule 1 = seen once and older than 14 d; then rule 2 =
     seen at most twice and older than 30 d. ``archived_rule`` says which rule
-    closed the row (NULL = unchanged)."""
+    closed the row (0 = unchanged)."""
     rule1 = is_open() & (F.col("occurrence_count") == 1) & older_than("created_at", as_of, days=single_days)
     rule2 = is_open() & (F.col("occurrence_count") <= 2) & older_than("created_at", as_of, days=double_days)
-    ruled = items.withColumn("archived_rule", F.when(rule1, F.lit(1)).when(rule2, F.lit(2)))
-    return _close(ruled, F.col("archived_rule").isNotNull(), as_of)
+    ruled = items.withColumn("archived_rule", F.when(rule1, F.lit(1)).when(rule2, F.lit(2)).otherwise(F.lit(0)))
+    return _close(ruled, F.col("archived_rule") > 0, as_of)
 
 
 def mark_applied(items: DataFrame, ids: DataFrame, as_of: AsOf) -> DataFrame:
@@ -58,21 +58,22 @@ def purge_applied(items: DataFrame, as_of: AsOf, days: int = 30) -> DataFrame:
 
 def resolve_misses_24h(misses: DataFrame, as_of: AsOf, hours: int = 24, by: str = "learning-loop") -> DataFrame:
     """Resolve every unresolved miss of the last day (also single ones)."""
-    cond = (F.col("resolved") == F.lit(False)) & recent("created_at", as_of, hours=hours)
-    return (misses.withColumn("changed", cond)
-            .withColumn("resolved", F.when(cond, F.lit(True)).otherwise(F.col("resolved")))
-            .withColumn("resolved_by", F.when(cond, F.lit(by)).otherwise(F.col("resolved_by"))
-                        if "resolved_by" in misses.columns else F.when(cond, F.lit(by))))
+    marked = misses.withColumn("changed", (F.col("resolved") == F.lit(False))
+                               & recent("created_at", as_of, hours=hours))
+    cond = F.col("changed")
+    old_by = F.col("resolved_by") if "resolved_by" in misses.columns else F.lit(None).cast("string")
+    return (marked.withColumn("resolved_by", F.when(cond, F.lit(by)).otherwise(old_by))
+            .withColumn("resolved", F.when(cond, F.lit(True)).otherwise(F.col("resolved"))))
 
 
 def resolve_misses_by_cluster(misses: DataFrame, cluster_ids: DataFrame, reason: str) -> DataFrame:
     """Resolve unresolved misses whose id is in ``cluster_ids`` (from ``misses_by_prefix``)."""
     marked = mark_by_ids(misses, cluster_ids, flag="_hit")
-    cond = F.col("_hit") & (F.col("resolved") == F.lit(False))
+    marked = marked.withColumn("changed", F.col("_hit") & (F.col("resolved") == F.lit(False)))
+    cond = F.col("changed")
     by = F.col("resolved_by") if "resolved_by" in misses.columns else F.lit(None).cast("string")
-    return (marked.withColumn("changed", cond)
-            .withColumn("resolved", F.when(cond, F.lit(True)).otherwise(F.col("resolved")))
-            .withColumn("resolved_by", F.when(cond, F.lit(reason)).otherwise(by)).drop("_hit"))
+    return (marked.withColumn("resolved_by", F.when(cond, F.lit(reason)).otherwise(by))
+            .withColumn("resolved", F.when(cond, F.lit(True)).otherwise(F.col("resolved"))).drop("_hit"))
 
 
 def append_pattern_notes(patterns: DataFrame, pattern_findings: DataFrame, as_of: AsOf,
@@ -147,14 +148,15 @@ def mark_regressions(tasks: DataFrame, pairs: DataFrame, as_of: AsOf) -> DataFra
     claim = (pairs.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") == 1)
              .select(F.col("old_id").alias("id"), F.col("new_id").alias("_by")))
     j = tasks.join(claim, "id", "left")
-    cond = F.col("_by").isNotNull() & F.col("outcome").isNull()
+    j = j.withColumn("changed", F.col("_by").isNotNull() & F.col("outcome").isNull())
+    cond = F.col("changed")
     parts = REGRESSION_REASON.split("{id}")
     reason = F.concat(F.lit(parts[0]), F.col("_by").cast("string"), F.lit(parts[1]))
     base = j
     for c, t in (("outcome_reason", "string"), ("outcome_evaluated_at", "timestamp_ntz")):
         if c not in base.columns:
             base = base.withColumn(c, F.lit(None).cast(t))
-    return (base.withColumn("changed", cond)
+    return (base
             .withColumn("outcome", F.when(cond, F.lit("partial")).otherwise(F.col("outcome")))
             .withColumn("outcome_reason", F.when(cond, reason).otherwise(F.col("outcome_reason")))
             .withColumn("outcome_evaluated_at", F.when(cond, ts_ntz(as_of)).otherwise(F.col("outcome_evaluated_at")))

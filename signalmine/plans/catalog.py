@@ -266,25 +266,30 @@ def q_head_lines(fx: Fixtures) -> DataFrame:
     return rk.head_lines(fx.session_lines, 3).select("session_id", "file_name", "line_no", "line")
 
 
+_PHASE_ORDER = ("phase", "cost_usd", "duration_s", "gate_ok")
+
+
 @query("running_budget", """
-SELECT run_id, phase, round(CAST(coalesce(sum(cost_usd) OVER (PARTITION BY run_id ORDER BY phase
+SELECT run_id, phase, round(CAST(coalesce(sum(cost_usd) OVER (PARTITION BY run_id ORDER BY phase, cost_usd, duration_s, gate_ok
   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS DOUBLE), 2) AS spent_before,
- coalesce(sum(cost_usd) OVER (PARTITION BY run_id ORDER BY phase ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+ coalesce(sum(cost_usd) OVER (PARTITION BY run_id ORDER BY phase, cost_usd, duration_s, gate_ok ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
   <= max_budget_usd AS runs
 FROM phase_runs""", ("phase_runs",))
 def q_running_budget(fx: Fixtures) -> DataFrame:
-    return rk.running_budget(fx.phase_runs).select("run_id", "phase", _dbl("spent_before", 2), "runs")
+    # phase numbers repeat within a run in the fixture: order by every column so
+    # equal rows are interchangeable and the result multiset is deterministic
+    return rk.running_budget(fx.phase_runs, order=_PHASE_ORDER).select("run_id", "phase", _dbl("spent_before", 2), "runs")
 
 
 @query("running_time_limit", """
-SELECT run_id, phase, CAST(coalesce(sum(duration_s) OVER (PARTITION BY run_id ORDER BY phase
+SELECT run_id, phase, CAST(coalesce(sum(duration_s) OVER (PARTITION BY run_id ORDER BY phase, cost_usd, duration_s, gate_ok
   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS elapsed_before_s,
- coalesce(sum(duration_s) OVER (PARTITION BY run_id ORDER BY phase ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+ coalesce(sum(duration_s) OVER (PARTITION BY run_id ORDER BY phase, cost_usd, duration_s, gate_ok ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
   <= 90 AS runs
 FROM phase_runs""", ("phase_runs",))
 def q_running_time_limit(fx: Fixtures) -> DataFrame:
     # fixture limit: 90 s (0.025 h), so that long runs stop early
-    return rk.running_time_limit(fx.phase_runs, 0.025).select("run_id", "phase", _big("elapsed_before_s"), "runs")
+    return rk.running_time_limit(fx.phase_runs, 0.025, order=_PHASE_ORDER).select("run_id", "phase", _big("elapsed_before_s"), "runs")
 
 
 @query("resume_point", """
@@ -471,7 +476,7 @@ def q_undocumented_terms(fx: Fixtures) -> DataFrame:
 
 @query("archive_noise", f"""
 SELECT id, (applied OR rule IS NOT NULL) AS applied, CASE WHEN rule IS NOT NULL THEN {EV} ELSE applied_at END AS applied_at,
- rule AS archived_rule FROM (
+ CAST(coalesce(rule, 0) AS INTEGER) AS archived_rule FROM (
  SELECT *, CASE WHEN applied = false AND occurrence_count = 1 AND created_at < {EV} - INTERVAL 14 DAY THEN 1
                 WHEN applied = false AND occurrence_count <= 2 AND created_at < {EV} - INTERVAL 30 DAY THEN 2 END AS rule
  FROM learning_items) t""", ("learning_items",))
