@@ -282,3 +282,14 @@ def digest(rows: DataFrame, fmt: str, cols: list[str], sort_cols: list[str], sep
     items = F.array_sort(F.collect_list(F.struct(*[F.col(c) for c in sort_cols], line.alias("_l"))))
     return rows.agg(F.array_join(F.transform(items, lambda x: x["_l"]), sep).alias("digest"),
                     F.count(F.lit(1)).alias("rows"))
+
+
+def apply_classifications(items: DataFrame, classified: DataFrame, as_of) -> tuple[DataFrame, DataFrame]:
+    """'skip' closes the item (when still open); other actions become the
+    action list. Returns (new items, counts per action)."""
+    from signalmine.operators.updates import mark_applied
+
+    skips = classified.filter(F.col("action") == "skip").select("id")
+    new_items = mark_applied(items, skips, as_of)
+    counts = classified.groupBy("action").agg(F.count(F.lit(1)).alias("items"))
+    return new_items, counts

@@ -66,14 +66,17 @@ def stream_error_patterns(errors: DataFrame, watermark: str = "1 day") -> DataFr
 
 def upsert_pattern_counts(table_path: str):
     """``foreachBatch`` function: merge a batch of per-day counts into the
-    pattern table at ``table_path`` (anti join + union + re-aggregation; a
-    full rewrite of the small dimension table per batch, exactly once with
-    the batch id as version)."""
+    pattern table at ``table_path``: rows of the batch replace the same
+    (key, day) rows of the latest version (anti join + union), written as a
+    new version ``v=<batch id>``; a replayed batch rewrites the same version,
+    so the result is exactly once."""
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         out = f"{table_path}/v={batch_id:012d}"
         try:
-            prev = spark.read.parquet(table_path)
+            versions = spark.read.parquet(table_path)
+            latest = versions.agg(F.max("v")).first()[0]
+            prev = versions.filter(F.col("v") == latest).drop("v")
         except Exception:  # noqa: BLE001 - first batch: no table yet
             prev = None
         rows = batch.select("pattern_key", "day", "occurrence_count", "first_seen", "last_seen")
