@@ -10,6 +10,8 @@ file's lines never cross a shuffle unless an operator groups them.
 
 from __future__ import annotations
 
+import fnmatch
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,11 +24,13 @@ from signalmine.operators.ranking import top_per_group
 
 def read_texts(spark: SparkSession, root: str, glob: str = "*.md", recursive: bool = True) -> DataFrame:
     """(path, modified_at, content) for every matching file under ``root``."""
-    df = (spark.read.option("wholetext", True).option("recursiveFileLookup", recursive)
-          .option("pathGlobFilter", glob).text(root))
-    return df.select(F.col("_metadata.file_path").alias("path"),
-                     F.col("_metadata.file_modification_time").cast("timestamp_ntz").alias("modified_at"),
-                     F.col("value").alias("content"))
+    # ``text()`` has its own wholetext=False default, so pass it as a keyword
+    df = spark.read.text(root, wholetext=True, recursiveFileLookup=recursive, pathGlobFilter=glob)
+    out = df.select(F.col("_metadata.file_path").alias("path"),
+                    F.col("_metadata.file_modification_time").cast("timestamp_ntz").alias("modified_at"),
+                    F.col("value").alias("content"))
+    # the glob again on the file name: the reader applies it only to the listing it prunes
+    return out.filter(basename(F.col("path")).rlike(fnmatch.translate(glob)))
 
 
 def to_lines(docs: DataFrame, content_col: str = "content") -> DataFrame:
