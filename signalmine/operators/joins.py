@@ -136,16 +136,14 @@ def task_keywords(tasks: DataFrame, n: int = 5, prefix_len: int = 200) -> DataFr
     return tasks.withColumn("keywords", F.slice(F.array_sort(F.array_distinct(words)), 1, n))
 
 
-def regression_candidates(tasks: DataFrame, as_of: AsOf, new_days: float = 1, lookback_days: float = 30,
-                          k: int = 3, max_new: int | None = 20) -> DataFrame:
-    """For each new fix, the ``k`` newest older fixes of the same repo that share a keyword.
+def regression_pairs(tasks: DataFrame, as_of: AsOf, new_days: float = 1, lookback_days: float = 30,
+                     max_new: int | None = 20) -> DataFrame:
+    """Every (new fix, older fix) of the same repo sharing a keyword, with
+    both completion times; no per-task limit yet.
 
     The new side (a short time window) is exploded to one row per keyword and
-    equi-joined on repo; the range and keyword tests are residual filters. Per
-    new task the top-k is a row_number filter (WindowGroupLimit before the
-    shuffle), so a repo holding most tasks sends at most k rows per partition.
-    Tasks without keywords are skipped.
-    """
+    equi-joined on repo; the range and keyword tests are residual filters.
+    Tasks without keywords are skipped."""
     risky = (F.col("category").isin(RISKY_CATEGORIES) & (F.col("status") == "completed")
              & F.col("target_repo").isNotNull())
     new = tasks.filter(risky & recent("completed_at", as_of, days=new_days))
@@ -158,11 +156,21 @@ def regression_candidates(tasks: DataFrame, as_of: AsOf, new_days: float = 1, lo
                        & F.col("outcome").isNull()).select(
         F.col("id").alias("old_id"), F.col("target_repo").alias("repo"),
         F.col("completed_at").alias("old_completed_at"), F.lower("prompt").alias("old_prompt"))
-    pairs = (new.join(old, "repo")
-             .filter((F.col("old_id") != F.col("new_id"))
-                     & (F.col("old_completed_at") < F.col("new_completed_at"))
-                     & F.col("old_prompt").contains(F.col("kw")))
-             .select("new_id", "old_id", "repo", "old_completed_at").distinct())
+    return (new.join(old, "repo")
+            .filter((F.col("old_id") != F.col("new_id"))
+                    & (F.col("old_completed_at") < F.col("new_completed_at"))
+                    & F.col("old_prompt").contains(F.col("kw")))
+            .select("new_id", "old_id", "repo", "new_completed_at", "old_completed_at").distinct())
+
+
+def regression_candidates(tasks: DataFrame, as_of: AsOf, new_days: float = 1, lookback_days: float = 30,
+                          k: int = 3, max_new: int | None = 20) -> DataFrame:
+    """For each new fix, the ``k`` newest older fixes of the same repo that share a keyword.
+
+    Per new task the top-k is a row_number filter (WindowGroupLimit before the
+    shuffle), so a repo holding most tasks sends at most k rows per partition.
+    """
+    pairs = regression_pairs(tasks, as_of, new_days, lookback_days, max_new).drop("new_completed_at")
     w = Window.partitionBy("new_id").orderBy(F.col("old_completed_at").desc(), F.col("old_id").desc())
     return pairs.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 

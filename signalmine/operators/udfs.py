@@ -13,39 +13,33 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pyspark.sql import Window
+
 from signalmine.functions.constants import CLASSIFY_ACTIONS, TOPIC_RULES
-from signalmine.operators.filters import RISKY_CATEGORIES, topic_flags
-from signalmine.operators.joins import task_keywords
-from signalmine.functions.timefn import AsOf, recent
-from signalmine.operators.ranking import top_k
+from signalmine.functions.timefn import AsOf
+from signalmine.operators.filters import topic_flags
+from signalmine.operators.joins import regression_pairs
 
 CLAIM_SCHEMA = "repo string, new_id long, old_id long, claim_rank int"
 
 
 def _greedy_claims(k: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        # new tasks newest first; each takes its k newest unclaimed older matches
-        news = (pdf[pdf["is_new"]].sort_values(["completed_at", "id"], ascending=[False, False]))
-        olds = pdf[pdf["is_old"]].sort_values(["completed_at", "id"], ascending=[False, False])
+        # new tasks newest first; each takes its k newest still unclaimed candidates
+        pdf = pdf.sort_values(["new_completed_at", "new_id", "old_completed_at", "old_id"],
+                              ascending=[False, False, False, False])
         claimed: set[int] = set()
         out = []
-        for new in news.itertuples(index=False):
-            kws = list(new.keywords) if new.keywords is not None else []
-            if not kws:
-                continue
+        for (new_id,), grp in pdf.groupby(["new_id"], sort=False):
             n = 0
-            for old in olds.itertuples(index=False):
-                if old.completed_at >= new.completed_at:
-                    continue
-                if old.id == new.id or old.id in claimed:
+            for old_id in grp["old_id"]:
+                if old_id in claimed:
                     continue
-                prompt = (old.prompt or "").lower()
-                if any(kw in prompt for kw in kws):
-                    n += 1
-                    claimed.add(old.id)
-                    out.append((new.target_repo, new.id, old.id, n))
-                    if n >= k:
-                        break
+                n += 1
+                claimed.add(old_id)
+                out.append((grp["repo"].iloc[0], new_id, old_id, n))
+                if n >= k:
+                    break
         return pd.DataFrame(out, columns=["repo", "new_id", "old_id", "claim_rank"])
     return run
 
@@ -55,26 +49,20 @@ def claim_regressions(tasks: DataFrame, as_of: AsOf, new_days: float = 1, lookba
     """Sequential form of ``regression_candidates``: new tasks newest first, an
     older task already marked by an earlier new task is not reused.
 
-    Repositories are independent, so the greedy loop runs per repo with
-    ``groupBy('target_repo').applyInPandas``; only the tasks of the lookback
-    window enter a group. A repository holding a third of all tasks is one
-    group: the loop is linear in its window, but it is one task, so the
-    window (not the table) bounds it.
+    The matching itself is the distributed ``regression_pairs`` join. The
+    greedy pass only needs, per new task, its ``k x (number of new tasks in
+    the run)`` newest candidates (at most that many can be taken before it),
+    so each candidate list is cut by a WindowGroupLimit first. Repositories are
+    independent, so the loop is a ``groupBy(repo).applyInPandas`` whose group
+    holds at most ``k x n_new^2`` pairs: bounded by the new-task window, not by
+    the table or by how many tasks a hot repository has.
     """
-    risky = (F.col("category").isin(RISKY_CATEGORIES) & (F.col("status") == "completed")
-             & F.col("target_repo").isNotNull())
-    new = tasks.filter(risky & recent("completed_at", as_of, days=new_days))
-    if max_new is not None:
-        new = top_k(new, max_new, F.col("completed_at").desc(), F.col("id").desc())
-    new = task_keywords(new).select("id", F.lit(True).alias("is_new"), "keywords")
-    window = tasks.filter(risky & (recent("completed_at", as_of, days=lookback_days)
-                                   | recent("completed_at", as_of, days=new_days)))
-    rows = (window.join(new, "id", "left")
-            .select("id", "target_repo", "prompt", "completed_at",
-                    F.coalesce("is_new", F.lit(False)).alias("is_new"),
-                    (recent("completed_at", as_of, days=lookback_days) & F.col("outcome").isNull()).alias("is_old"),
-                    "keywords"))
-    return rows.groupBy("target_repo").applyInPandas(_greedy_claims(k), CLAIM_SCHEMA)
+    pairs = regression_pairs(tasks, as_of, new_days, lookback_days, max_new)
+    # a literal bound (k x all new tasks) lets Spark cut each list before the shuffle
+    n_new = pairs.select("new_id").distinct().count()
+    w = Window.partitionBy("new_id").orderBy(F.col("old_completed_at").desc(), F.col("old_id").desc())
+    ranked = pairs.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= max(1, n_new) * k).drop("_r")
+    return ranked.groupBy("repo").applyInPandas(_greedy_claims(k), CLAIM_SCHEMA)
 
 
 # ---- classification -------------------------------------------------------------------

@@ -15,14 +15,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from signalmine.functions.constants import STOP_WORDS, TOPIC_RULES
+from signalmine.functions.constants import NOT_TABLES, STOP_WORDS, TABLE_REF, TOPIC_RULES
 from signalmine.operators import aggregates as agg
+from signalmine.operators import drift
+from signalmine.operators import udfs
 from signalmine.operators import filters as flt
 from signalmine.operators import joins as jn
 from signalmine.operators import ranking as rk
 from signalmine.operators import similarity as sim
 from signalmine.operators import text as tx
 from signalmine.operators import updates as up
+from signalmine.plans import jobs
 from signalmine.plans.oracle_views import with_views
 from signalmine.sources import files as src
 from signalmine.sources.fixtures import AS_OF_EVENTS, AS_OF_TASKS, Fixtures
@@ -746,3 +749,109 @@ def q_resolve_found_misses(fx: Fixtures) -> DataFrame:
     docs = fx.kb_docs
     out = sim.resolve_found_misses(docs.filter(F.col("is_recent")), docs, 0.6)
     return out.select("query_id", _dbl("best_score", 6), "found")
+
+
+# ============================ §2.13 pluggable / grouped-map ============================
+
+_ACTION_CASE = ("CASE " + " ".join(
+    "WHEN " + " OR ".join(f"contains(lower(lesson), '{w}')" for w in pattern.strip("()").split("|"))
+    + f" THEN '{udfs.DEFAULT_ACTION_BY_TOPIC[name]}'" for name, pattern, _ in TOPIC_RULES) + " ELSE 'skip' END")
+
+_TOP50 = """top50 AS (SELECT id, lesson FROM learning_items WHERE applied = false
+  ORDER BY occurrence_count DESC, created_at DESC, id LIMIT 50)"""
+
+
+@query("classify_items", f"""
+WITH {_TOP50}
+SELECT id, {_ACTION_CASE} AS action, left(lesson, 200) AS description FROM top50""", ("learning_items",))
+def q_classify_items(fx: Fixtures) -> DataFrame:
+    top = rk.top_k(flt.open_items(fx.learning_items), 50, F.col("occurrence_count").desc(),
+                   F.col("created_at").desc(), F.col("id"))
+    return udfs.classify_items(top)
+
+
+@query("apply_classifications", f"""
+WITH {_TOP50}, c AS (SELECT id, {_ACTION_CASE} AS action FROM top50)
+SELECT action, count(*) AS items FROM c GROUP BY action""", ("learning_items",))
+def q_apply_classifications(fx: Fixtures) -> DataFrame:
+    top = rk.top_k(flt.open_items(fx.learning_items), 50, F.col("occurrence_count").desc(),
+                   F.col("created_at").desc(), F.col("id"))
+    _, counts = tx.apply_classifications(fx.learning_items, udfs.classify_items(top), AS_OF_EVENTS)
+    return counts
+
+
+@query("claim_regressions")
+def q_claim_regressions(fx: Fixtures) -> DataFrame:
+    """Sequential (greedy) claims; order-dependent, so no SQL oracle."""
+    return udfs.claim_regressions(fx.tasks, AS_OF_TASKS, new_days=30, lookback_days=365, max_new=None)
+
+
+# ============================ §2.10 more text operators ============================
+
+
+@query("combine_sessions", """
+WITH h AS (SELECT file_name, line_no, line, row_number() OVER (PARTITION BY file_name ORDER BY line_no) AS r
+           FROM session_lines),
+f AS (SELECT file_name, string_agg(line, chr(10) ORDER BY line_no) AS content FROM h WHERE r <= 50 GROUP BY file_name),
+c AS (SELECT * FROM f ORDER BY file_name LIMIT 8)
+SELECT string_agg(chr(10) || chr(10) || '--- SESSION: ' || file_name || ' ---' || chr(10) || content, '' ORDER BY file_name)
+  AS combined, count(*) AS files FROM c""", ("session_lines",))
+def q_combine_sessions(fx: Fixtures) -> DataFrame:
+    return tx.combine_sessions(fx.session_lines)
+
+
+_TABLE_REF_SQL = TABLE_REF.replace("'", "''")
+_NOT_TABLES = ", ".join(f"'{w}'" for w in NOT_TABLES)
+
+
+@query("table_refs", f"""
+WITH n AS (SELECT unnest(regexp_extract_all(html, '{_TABLE_REF_SQL}', 1)) AS name FROM pages)
+SELECT DISTINCT 'pages' AS app, name FROM n WHERE contains(name, '_') AND name NOT IN ({_NOT_TABLES})""")
+def q_table_refs(fx: Fixtures) -> DataFrame:
+    pages = fx.table("pages").select(F.lit("pages").alias("app"), F.col("url").alias("rel_path"),
+                                     F.col("html").alias("content"))
+    return drift.table_refs(pages, only_code_parts=False)
+
+
+@query("daily_miss_clusters", """
+SELECT date_trunc('day', created_at) AS window_start, left(query, 200) AS query_prefix, count(*) AS miss_count
+FROM rag_misses WHERE resolved = false GROUP BY 1, 2 HAVING count(*) >= 2""", ("rag_misses",))
+def q_daily_miss_clusters(fx: Fixtures) -> DataFrame:
+    """Batch form of ``streaming.stream_miss_clusters`` (tumbling daily windows)."""
+    m = fx.rag_misses.filter(F.col("resolved") == F.lit(False))
+    g = m.groupBy(F.window("created_at", "1 day").alias("w"), F.left("query", F.lit(200)).alias("query_prefix")) \
+        .agg(F.count(F.lit(1)).alias("miss_count")).filter(F.col("miss_count") >= 2)
+    return g.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"), "query_prefix", "miss_count")
+
+
+@query("error_digest", """
+WITH t AS (SELECT pattern_key, category, occurrence_count FROM error_patterns
+           WHERE resolved = false AND occurrence_count >= 2 ORDER BY occurrence_count DESC, pattern_key LIMIT 10)
+SELECT string_agg('- ' || pattern_key || ' (' || category || '): ' || CAST(occurrence_count AS VARCHAR) || 'x',
+                  chr(10) ORDER BY -occurrence_count, pattern_key) AS digest, count(*) AS rows FROM t""",
+       ("error_patterns",))
+def q_error_digest(fx: Fixtures) -> DataFrame:
+    top = rk.top_errors(fx.error_patterns, 10, 2).withColumn("neg", -F.col("occurrence_count"))
+    return tx.digest(top, "- %s (%s): %sx", ["pattern_key", "category", "occurrence_count"], ["neg", "pattern_key"])
+
+
+@query("apply_links")
+def q_apply_links(fx: Fixtures) -> DataFrame:
+    """'See also' sections on the documents that get new links (rows check)."""
+    pairs = sim.propose_links(fx.kb_docs, fx.kb_links, 5, 10)
+    texts = fx.documents.select("doc_id", "text")
+    out = sim.apply_links(texts, pairs, AS_OF_EVENTS[:10])
+    return out.filter("changed").select("doc_id", F.length("text").alias("chars"))
+
+
+@query("phase_ledger")
+def q_phase_ledger(fx: Fixtures) -> DataFrame:
+    """Per run: phases within budget and time, summarised (rows check)."""
+    return jobs.phase_ledger_job(fx.phase_runs, max_hours=0.025).select(
+        "run_id", _dbl("total_cost_usd", 2), "total_duration_s", "phases_ok", "phases_failed", "status")
+
+
+@query("consolidate_report")
+def q_consolidate_report(fx: Fixtures) -> DataFrame:
+    """The flagship report rows (composition of oracle-checked operators)."""
+    return jobs.consolidate_report(fx.learning_items, AS_OF_EVENTS)
