@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from signalmine.functions.constants import MISS_ITEM_PREFIX, STOP_WORDS, TOPIC_RULES
 from signalmine.functions.text import left
 from signalmine.functions.timefn import AsOf, recent
-from signalmine.operators.filters import is_open, open_items, recent_misses, topic_flags
+from signalmine.operators.filters import is_open, open_items, recent_misses, topic_flags, with_lowered
 
 
 def miss_clusters(misses: DataFrame, width: int | None = 120, min_count: int = 2, k: int | None = 10) -> DataFrame:
@@ -77,13 +77,13 @@ def topic_counts(items: DataFrame, rules=TOPIC_RULES, with_other: bool = False)
 
     ``with_other`` adds the count of open items without any topic (extension).
     """
-    flags = topic_flags("lesson", rules)
+    flags = topic_flags("lesson", rules, lowered=True)
     aggs = [F.count_if(flag).alias(name) for name, flag in flags.items()]
     if with_other:
         none = ~F.greatest(*[flag for flag in flags.values()]) if len(flags) > 1 else ~list(flags.values())[0]
         aggs.append(F.count_if(none).alias("other"))
     aggs.append(F.count(F.lit(1)).alias("open_total"))
-    return open_items(items).agg(*aggs)
+    return with_lowered(open_items(items).select("lesson")).agg(*aggs)
 
 
 def skill_scorecard(metrics: DataFrame, k: int = 15) -> DataFrame:

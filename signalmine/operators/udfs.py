@@ -17,7 +17,7 @@ from pyspark.sql import Window
 
 from signalmine.functions.constants import CLASSIFY_ACTIONS, TOPIC_RULES
 from signalmine.functions.timefn import AsOf
-from signalmine.operators.filters import topic_flags
+from signalmine.operators.filters import topic_flags, with_lowered
 from signalmine.operators.joins import regression_pairs
 
 CLAIM_SCHEMA = "repo string, new_id long, old_id long, claim_rank int"
@@ -75,11 +75,11 @@ DEFAULT_ACTION_BY_TOPIC = {
 
 def rule_classifier(items: DataFrame) -> DataFrame:
     """(id, action, description): first matching topic's action, else 'skip'."""
-    flags = topic_flags("lesson", TOPIC_RULES)
+    flags = topic_flags("lesson", TOPIC_RULES, lowered=True)
     action = F.lit("skip")
     for name in reversed(list(flags)):
         action = F.when(flags[name], F.lit(DEFAULT_ACTION_BY_TOPIC[name])).otherwise(action)
-    return items.select("id", action.alias("action"), F.left(F.col("lesson"), F.lit(200)).alias("description"))
+    return with_lowered(items).select("id", action.alias("action"), F.left(F.col("lesson"), F.lit(200)).alias("description"))
 
 
 def pandas_classifier(fn):
