@@ -844,14 +844,43 @@ def q_apply_links(fx: Fixtures) -> DataFrame:
     return out.filter("changed").select("doc_id", F.length("text").alias("chars"))
 
 
-@query("phase_ledger")
+@query("phase_ledger", """
+WITH b AS (SELECT *, coalesce(sum(cost_usd) OVER (PARTITION BY run_id ORDER BY phase, cost_usd, duration_s, gate_ok
+            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) <= max_budget_usd AS runs FROM phase_runs),
+t AS (SELECT *, coalesce(sum(duration_s) OVER (PARTITION BY run_id ORDER BY phase, cost_usd, duration_s, gate_ok
+            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) <= 90 AS runs2 FROM b WHERE runs)
+SELECT run_id, round(CAST(sum(cost_usd) AS DOUBLE), 2) AS total_cost_usd, CAST(sum(duration_s) AS BIGINT) AS total_duration_s,
+ count(*) FILTER (WHERE gate_ok) AS phases_ok, count(*) FILTER (WHERE NOT gate_ok) AS phases_failed,
+ CASE WHEN count(*) FILTER (WHERE NOT gate_ok) = 0 THEN 'SUCCESS' ELSE 'WITH ERRORS' END AS status
+FROM t WHERE runs2 GROUP BY run_id""", ("phase_runs",))
 def q_phase_ledger(fx: Fixtures) -> DataFrame:
-    """Per run: phases within budget and time, summarised (rows check)."""
-    return jobs.phase_ledger_job(fx.phase_runs, max_hours=0.025).select(
+    """Per run: phases within budget, then within the time limit, summarised."""
+    return jobs.phase_ledger_job(fx.phase_runs, max_hours=0.025, order=_PHASE_ORDER).select(
         "run_id", _dbl("total_cost_usd", 2), "total_duration_s", "phases_ok", "phases_failed", "status")
 
 
-@query("consolidate_report")
+_DUPES = """dupes AS (SELECT DISTINCT l1.id FROM learning_items l1 JOIN learning_items l2
+  ON l1.id > l2.id AND l1.source = l2.source AND left(l1.lesson, 80) = left(l2.lesson, 80)
+  WHERE l1.applied = false AND l2.applied = false)"""
+
+_TOPIC_STRUCTS = ", ".join(
+    "{'k': '" + n + "', 'v': " + " OR ".join(f"contains(lower(lesson), '{w}')" for w in p.strip("()").split("|")) + "}"
+    for n, p, _ in TOPIC_RULES)
+
+
+@query("consolidate_report", f"""
+WITH {_DUPES},
+remaining AS (SELECT li.* FROM learning_items li WHERE li.applied = false AND li.id NOT IN (SELECT id FROM dupes)),
+words AS (SELECT unnest(string_to_array(regexp_replace(lower(lesson), '[^a-z0-9 ]', ' ', 'g'), ' ')) AS word
+          FROM learning_items WHERE applied = false),
+wc AS (SELECT word, count(*) AS n FROM words WHERE length(word) > 5 AND word NOT IN ({_STOP})
+       GROUP BY word HAVING count(*) >= 5 ORDER BY n DESC, word LIMIT 20),
+topics AS (SELECT unnest([{_TOPIC_STRUCTS}]) AS t FROM remaining)
+SELECT 'summary' AS section, 'open_before' AS name, count(*) AS value FROM learning_items WHERE applied = false
+UNION ALL SELECT 'summary', 'duplicates', count(*) FROM dupes
+UNION ALL SELECT 'summary', 'remaining', count(*) FROM remaining
+UNION ALL SELECT 'topic', t.k, CAST(sum(CAST(t.v AS INTEGER)) AS BIGINT) FROM topics GROUP BY t.k
+UNION ALL SELECT 'word', word, n FROM wc""", ("learning_items",))
 def q_consolidate_report(fx: Fixtures) -> DataFrame:
-    """The flagship report rows (composition of oracle-checked operators)."""
+    """The flagship report rows (summary counters, topics after de-duplication, word clusters before)."""
     return jobs.consolidate_report(fx.learning_items, AS_OF_EVENTS)

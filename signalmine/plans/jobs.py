@@ -152,8 +152,8 @@ def skill_review_job(decisions: DataFrame, patterns: DataFrame, metrics: DataFra
     }
 
 
-def phase_ledger_job(phases: DataFrame, max_hours: float = 8) -> DataFrame:
+def phase_ledger_job(phases: DataFrame, max_hours: float = 8, order: tuple[str, ...] = ("phase",)) -> DataFrame:
     """Phases that run under the budget and the time limit, summarised per run."""
-    ran = rk.running_budget(phases).filter("runs").drop("runs")
-    ran = rk.running_time_limit(ran, max_hours).filter("runs")
+    ran = rk.running_budget(phases, order=order).filter("runs").drop("runs")
+    ran = rk.running_time_limit(ran, max_hours, order=order).filter("runs")
     return agg.phase_summary(ran)
