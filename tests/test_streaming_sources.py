@@ -131,3 +131,21 @@ def test_staging_json(spark, sf_small):
     doc = sinks.staging_document("2024-01-31", pc, at, 3, {"rag_misses": agg.miss_last_seen(fx.rag_misses)})
     parsed = json.loads(doc.first().json)
     assert parsed["max_auto_per_day"] == 3 and isinstance(parsed["rag_misses"], list)
+
+
+def test_stream_error_patterns_upsert_equals_batch(spark, sf_small):
+    d = _scratch()
+    ev = spark.read.parquet(f"{sf_small}/events.parquet").filter("event_type = 'error'")
+    errors = ev.select(F.concat(F.lit("err-"), F.col("user_id").cast("string")).alias("pattern_key"),
+                       F.col("ts").alias("ts"))
+    (errors.withColumn("day", F.to_date("ts")).repartition("day").write.partitionBy("day").parquet(f"{d}/in"))
+    stream = (spark.readStream.schema(errors.schema).option("maxFilesPerTrigger", 3)
+              .option("recursiveFileLookup", True).parquet(f"{d}/in"))
+    table = f"{d}/patterns"
+    sj.run_available(sj.stream_error_patterns(stream), "err_t", mode="update",
+                     checkpoint=f"{d}/ckpt", foreach_batch=sj.upsert_pattern_counts(table))
+    versions = spark.read.parquet(table)
+    latest = versions.filter(F.col("v") == versions.agg(F.max("v")).first()[0])
+    got = rows(latest, "pattern_key", "occurrence_count")
+    want = rows(errors.groupBy("pattern_key", F.to_date("ts")).agg(F.count(F.lit(1)).alias("n")), "pattern_key", "n")
+    assert got == want
