@@ -38,36 +38,42 @@ def _normalise(m: np.ndarray) -> np.ndarray:
     return m / norms
 
 
+QUERY_BLOCK = 1024  # queries scored at once: a block x batch matrix of doubles (~80 MB at 10k rows)
+
+
+def _block_topk(sims: np.ndarray, ids: np.ndarray, kk: int) -> tuple[np.ndarray, np.ndarray]:
+    """Per row of ``sims`` the ``kk`` best columns by (score desc, id asc).
+
+    Vectorised: the kk-th best score per row is a partition, every column at
+    or above it (ties included, so the global tie-break stays exact) is a
+    candidate, and one lexsort orders the candidates of all rows."""
+    kth = -np.partition(-sims, kk - 1, axis=1)[:, kk - 1]
+    rows, cols = np.nonzero((sims >= kth[:, None]) & np.isfinite(sims))
+    order = np.lexsort((ids[cols], -sims[rows, cols], rows))
+    rows, cols = rows[order], cols[order]
+    # position of each candidate within its row; keep the first kk
+    starts = np.searchsorted(rows, rows, side="left")
+    keep = (np.arange(rows.shape[0]) - starts) < kk
+    return rows[keep], cols[keep]
+
+
 def _local_topk(bc, k: int, exclude_self: bool):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         q_ids, q_mat = bc.value
         for pdf in batches:
             if pdf.empty:
                 continue
-            ids = pdf["doc_id"].to_numpy()
+            ids = pdf["doc_id"].to_numpy().astype(np.int64)
             mat = _normalise(np.vstack([np.asarray(v, dtype=np.float64) for v in pdf["embedding"]]))
-            sims = np.round(q_mat @ mat.T, SCORE_DIGITS)  # queries x batch
-            if exclude_self:
-                sims = np.where(q_ids[:, None] == ids[None, :], -np.inf, sims)
-            kk = min(k, sims.shape[1])
-            # order by score desc, then doc id asc: lexsort on (id, -score)
-            srcs, dsts, scores = [], [], []
-            for qi in range(sims.shape[0]):
-                row = sims[qi]
-                cand = np.argpartition(-row, kk - 1)[:kk] if kk < row.shape[0] else np.arange(row.shape[0])
-                # include every id tied with the k-th score so the global tie-break is exact
-                kth = row[cand].min()
-                cand = np.nonzero(row >= kth)[0]
-                cand = cand[np.isfinite(row[cand])]
-                order = np.lexsort((ids[cand], -row[cand]))[:kk]
-                sel = cand[order]
-                srcs.append(np.full(sel.shape[0], q_ids[qi]))
-                dsts.append(ids[sel])
-                scores.append(row[sel])
-            if srcs:
-                yield pd.DataFrame({"src": np.concatenate(srcs).astype(np.int64),
-                                    "dst": np.concatenate(dsts).astype(np.int64),
-                                    "score": np.concatenate(scores).astype(np.float64)})
+            kk = min(k, mat.shape[0])
+            for start in range(0, q_ids.shape[0], QUERY_BLOCK):
+                qb_ids = q_ids[start:start + QUERY_BLOCK]
+                sims = np.round(q_mat[start:start + QUERY_BLOCK] @ mat.T, SCORE_DIGITS)
+                if exclude_self:
+                    sims[qb_ids[:, None] == ids[None, :]] = -np.inf
+                r, c = _block_topk(sims, ids, kk)
+                if r.shape[0]:
+                    yield pd.DataFrame({"src": qb_ids[r], "dst": ids[c], "score": sims[r, c].astype(np.float64)})
     return run
 
 

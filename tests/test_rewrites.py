@@ -110,3 +110,20 @@ def test_mark_regressions_first_claim_wins(spark):
     r = {x.id: x for x in out.collect()}
     assert r[1].outcome == "partial" and "new bugfix 11 " in r[1].outcome_reason
     assert r[2].outcome == "good" and r[2].outcome_reason is None
+
+
+def test_nearest_documents_blocks_and_passes(spark, monkeypatch):
+    monkeypatch.setattr(sim, "QUERY_BLOCK", 2)
+    rng = np.random.default_rng(11)
+    vecs = rng.normal(size=(40, 6)).astype(np.float32)
+    docs = spark.createDataFrame([(i, vecs[i].tolist()) for i in range(40)], "doc_id long, embedding array<float>")
+    queries = docs.filter(F.col("doc_id") % 4 == 0)
+    got = rows(sim.nearest_documents(docs.repartition(3), queries, 3, max_queries_per_pass=3), "src", "dst", "rank")
+    v = vecs.astype(np.float64)
+    v = v / np.linalg.norm(v, axis=1, keepdims=True)
+    want = []
+    for s in range(0, 40, 4):
+        sc = np.round(v @ v[s], 9)
+        order = sorted((d for d in range(40) if d != s), key=lambda d: (-sc[d], d))[:3]
+        want += [(s, d, r + 1) for r, d in enumerate(order)]
+    assert got == sorted(want)
