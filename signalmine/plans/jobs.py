@@ -133,6 +133,94 @@ def gap_filler_job(misses: DataFrame, max_stubs: int = MAX_STUBS) -> tuple[DataF
     return clusters, up.resolve_misses_by_cluster(misses, hits, "rag-filler-stub")
 
 
+@dataclass
+class GapStubResult:
+    stubs: DataFrame
+    misses: DataFrame
+
+
+def gap_stubs_job(misses: DataFrame, replies: DataFrame, existing_paths: DataFrame | None = None,
+                  found_prefixes: DataFrame | None = None, max_stubs: int = MAX_STUBS) -> GapStubResult:
+    """The gap filler end to end: clusters already answered by a document
+    (``found_prefixes``: query_prefix rows, e.g. from ``resolve_found_misses``)
+    are resolved as found; for the rest, the replies (query_prefix, reply)
+    become stub documents (FOLDER/FILE/CONTENT, never overwriting) and their
+    misses are resolved as stubbed."""
+    clusters = agg.miss_clusters(misses, 200, 2, max_stubs)
+    out = misses
+    if found_prefixes is not None:
+        found = clusters.join(found_prefixes.select("query_prefix"), "query_prefix", "left_semi")
+        out = up.resolve_misses_by_cluster(out, jn.misses_by_prefix(out, found), "rag-filler-found").drop("changed")
+        clusters = clusters.join(found_prefixes.select("query_prefix"), "query_prefix", "left_anti")
+    parsed = tx.parse_stub_reply(replies.join(clusters.select("query_prefix"), "query_prefix", "left_semi"))
+    stubs = parsed.select("query_prefix", F.concat_ws("/", "folder", "file").alias("path"), "content")
+    if existing_paths is not None:
+        stubs = jn.new_documents(stubs, existing_paths)
+    stubbed = clusters.join(stubs.select("query_prefix"), "query_prefix", "left_semi")
+    out = up.resolve_misses_by_cluster(out, jn.misses_by_prefix(out, stubbed), "rag-filler-stub")
+    return GapStubResult(stubs=stubs, misses=out)
+
+
+def weekly_review_job(lines: DataFrame, as_of: AsOf, reply_lines: DataFrame | None = None, days: int = 7,
+                      file_col: str = "file_name") -> tuple[DataFrame, DataFrame | None]:
+    """Sessions whose name starts with a date within ``days`` -> one digest
+    (8 files x 50 lines); the reply's numbered / bullet / '##' lines kept."""
+    from datetime import timedelta
+
+    from signalmine.functions.timefn import to_datetime
+
+    cutoff = (to_datetime(as_of) - timedelta(days=days)).strftime("%Y-%m-%d")
+    day = F.substring(F.col(file_col), 1, 10)
+    recent_lines = lines.filter(day.rlike(r"^\d{4}-\d{2}-\d{2}$") & (day >= cutoff))
+    digest = tx.combine_sessions(recent_lines, file_col)
+    kept = tx.bullet_lines(reply_lines) if reply_lines is not None else None
+    return digest, kept
+
+
+def memo_job(items: DataFrame, misses: DataFrame, session_lines: DataFrame,
+             file_col: str = "file_name") -> dict[str, DataFrame]:
+    """The nightly memo's sections: top open items, miss clusters, session
+    summaries (newest files with a summary) and the open counters."""
+    summaries = tx.session_summary(session_lines, file_col)
+    return {
+        "top_items": rk.top_open_items(items, 15, 150),
+        "miss_clusters": agg.miss_clusters(misses, 120, 2, 10),
+        "sessions": rk.newest_sessions(summaries, 10, file_col),
+        "counts": agg.open_counts(items, misses),
+    }
+
+
+@dataclass
+class ApplyResult:
+    items: DataFrame
+    archived: DataFrame
+    classified: DataFrame
+    action_counts: DataFrame
+
+
+def apply_job(items: DataFrame, as_of: AsOf, classifier=None, k: int = 50) -> ApplyResult:
+    """Archive noise, classify the top ``k`` open items, close the 'skip' ones."""
+    from signalmine.operators import udfs
+
+    archived = up.archive_noise(items, as_of)
+    by_rule = archived.groupBy("archived_rule").agg(F.count(F.lit(1)).alias("items")).filter("archived_rule > 0")
+    base = archived.drop("archived_rule")
+    top = rk.top_k(flt.open_items(base), k, F.col("occurrence_count").desc(), F.col("created_at").desc(), F.col("id"))
+    classified = udfs.classify_items(top) if classifier is None else udfs.classify_items(top, classifier)
+    new_items, counts = tx.apply_classifications(base, classified, as_of)
+    return ApplyResult(new_items, by_rule, classified, counts)
+
+
+def crystallize_job(learning_lines: DataFrame, skill_col: str = "skill") -> tuple[DataFrame, DataFrame]:
+    """Crystallisation candidates and one alert row (count + text) when any exist."""
+    cands = tx.crystallization_candidates(learning_lines, skill_col)
+    alert = cands.agg(F.count(F.lit(1)).alias("candidates"),
+                      F.array_join(F.array_sort(F.collect_list(F.format_string(
+                          "- %s: %s (Score %d, Runs %d)", F.col(skill_col), "title", "score", "runs"))), "\n")
+                      .alias("text")).filter("candidates > 0")
+    return cands, alert
+
+
 def regression_job(tasks: DataFrame, as_of: AsOf, new_days: float = 1, lookback_days: float = 30) -> DataFrame:
     """New fixes -> candidate older fixes -> tasks with outcome 'partial'."""
     pairs = jn.regression_candidates(tasks, as_of, new_days, lookback_days)

@@ -76,3 +76,34 @@ def test_small_operators(spark):
     assert rows(udfs.classify_items(items), "id", "action") == [(1, "guard"), (2, "skip")]
     custom = udfs.pandas_classifier(lambda s: s.str.contains("docker").map({True: "config", False: "memory"}))
     assert rows(udfs.classify_items(items, custom), "id", "action") == [(1, "config"), (2, "memory")]
+
+
+def test_remaining_jobs(spark, sf_small):
+    fx = Fixtures(spark, sf_small)
+    misses = fx.rag_misses.withColumn("resolved_by", F.lit(None).cast("string"))
+    clusters = jobs.gap_filler_job(misses)[0].collect()
+    assert clusters
+    first, second = clusters[0].query_prefix, clusters[1].query_prefix
+    replies = spark.createDataFrame([(first, "FOLDER: guides\nFILE: a.md\nCONTENT:\nbody"), (second, "no fields")],
+                                    "query_prefix string, reply string")
+    res = jobs.gap_stubs_job(misses, replies)
+    assert rows(res.stubs, "path") == [("guides/a.md",)]
+    stubbed = res.misses.filter("resolved_by = 'rag-filler-stub'").select("query").distinct().collect()
+    assert all(r.query.startswith(first) for r in stubbed) and stubbed
+    found = spark.createDataFrame([(second,)], "query_prefix string")
+    res2 = jobs.gap_stubs_job(misses, replies, found_prefixes=found)
+    assert res2.misses.filter("resolved_by = 'rag-filler-found'").count() > 0
+    memo = jobs.memo_job(fx.learning_items, fx.rag_misses, fx.session_lines)
+    assert memo["counts"].count() == 2 and memo["top_items"].count() <= 15
+    applied = jobs.apply_job(fx.learning_items, AS_OF_EVENTS)
+    assert applied.classified.count() <= 50
+    assert {r.action for r in applied.action_counts.collect()} <= {"guard", "memory", "vault", "config", "skip"}
+    lines = spark.createDataFrame([("2024-01-30-a.md", 1, "# A"), ("2023-01-01-b.md", 1, "# B")],
+                                  "file_name string, line_no int, line string")
+    digest, kept = jobs.weekly_review_job(lines, AS_OF_EVENTS, spark.createDataFrame(
+        [(1, "1. do x"), (2, "prose"), (3, "- y")], "line_no long, line string"))
+    assert digest.first().files == 1 and kept.count() == 2
+    ll = spark.createDataFrame([("s", 1, "## 2026-07-01: T"), ("s", 2, "Score: 4"), ("s", 3, "Runs: 3")],
+                               "skill string, line_no int, line string")
+    cands, alert = jobs.crystallize_job(ll)
+    assert alert.first().text == "- s: T (Score 4, Runs 3)"
