@@ -58,8 +58,9 @@ def claim_regressions(tasks: DataFrame, as_of: AsOf, new_days: float = 1, lookba
     the table or by how many tasks a hot repository has.
     """
     pairs = regression_pairs(tasks, as_of, new_days, lookback_days, max_new)
-    # a literal bound (k x all new tasks) lets Spark cut each list before the shuffle
-    n_new = pairs.select("new_id").distinct().count()
+    # a literal bound (k x all new tasks) lets Spark cut each list before the shuffle;
+    # max_new already bounds the new tasks, otherwise they are counted (one small job)
+    n_new = max_new if max_new is not None else pairs.select("new_id").distinct().count()
     w = Window.partitionBy("new_id").orderBy(F.col("old_completed_at").desc(), F.col("old_id").desc())
     ranked = pairs.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= max(1, n_new) * k).drop("_r")
     return ranked.groupBy("repo").applyInPandas(_greedy_claims(k), CLAIM_SCHEMA)
