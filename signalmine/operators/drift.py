@@ -18,15 +18,23 @@ CODE_PARTS = ["src", "lib", "app"]
 
 
 def relative_paths(code: DataFrame, repos: DataFrame) -> DataFrame:
-    """Attach the app and the path relative to its repository root."""
-    j = code.join(repos.select("app", "repo"), F.col("path").startswith(F.concat(F.col("repo"), F.lit("/"))))
+    """Attach the app and the path relative to its repository root.
+
+    Every ancestor directory of a path is a candidate root (one row per
+    level), so matching a file to its repository is an equi-join on the
+    directory, not a ``startswith`` condition evaluated for every pair."""
+    parts = F.split(F.col("path"), "/")
+    ancestors = F.transform(F.sequence(F.lit(1), F.size(parts) - 1),
+                            lambda i: F.array_join(F.slice(parts, 1, i), "/"))
+    cand = code.select("path", "content", F.explode(ancestors).alias("repo"))
+    j = cand.join(repos.select("app", F.regexp_replace("repo", "/+$", "").alias("repo")), "repo")
     return j.select("app", F.expr("substring(path, length(repo) + 2)").alias("rel_path"), "content")
 
 
 def table_refs(code: DataFrame, path_col: str = "rel_path", only_code_parts: bool = True) -> DataFrame:
     """Distinct (app, table) named after FROM/INTO/UPDATE/JOIN/DELETE FROM
     (upper-case keywords only), holding '_' and not in the exclusion list."""
-    src = code
+    src = code.filter(~F.col(path_col).rlike(r"(^|/)\.[^/]+/"))  # no hidden directories
     if only_code_parts:
         src = src.filter(F.split(F.col(path_col), "/").getItem(0).isin(CODE_PARTS))
     names = src.select("app", F.explode(F.regexp_extract_all("content", F.lit(TABLE_REF), 1)).alias("name"))

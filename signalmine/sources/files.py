@@ -91,14 +91,18 @@ def scan_skill_learnings(spark: SparkSession, root: str) -> DataFrame:
     return docs.withColumn("skill", parent_name(F.col("path")))
 
 
-def scan_code(spark: SparkSession, roots: list[str] | str) -> DataFrame:
-    """(path, content) of code files by extension, skipping vendor, build and
-    hidden directories; content decoded as UTF-8 with bad bytes dropped."""
+def scan_code(spark: SparkSession, roots: list[str] | str, skip_hidden: bool = True) -> DataFrame:
+    """(path, content) of code files by extension, skipping vendor and build
+    directories, and hidden ones unless ``skip_hidden`` is False; content
+    decoded as UTF-8. Spark's file listing itself never returns names that
+    start with '.' or '_', so such folders are invisible either way."""
     paths = [roots] if isinstance(roots, str) else list(roots)
     df = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths)
           .select(F.regexp_replace("path", "^file:", "").alias("path"), "content"))
     seg_skip = "|".join(_escape(d) for d in SKIP_DIRS)
-    bad_dir = F.col("path").rlike(f"/({seg_skip})/") | F.col("path").rlike(r"/\.[^/]+/")
+    bad_dir = F.col("path").rlike(f"/({seg_skip})/")
+    if skip_hidden:
+        bad_dir = bad_dir | F.col("path").rlike(r"/\.[^/]+/")
     ext_ok = F.lower(F.regexp_extract("path", r"(\.[A-Za-z0-9]+)$", 1)).isin(CODE_EXTENSIONS)
     return (df.filter(ext_ok & ~bad_dir)
             .select("path", F.decode(F.col("content"), "UTF-8").alias("content")))

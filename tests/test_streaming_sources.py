@@ -80,6 +80,8 @@ def _code_tree():
         "repo/src/lib/db.sql": "select * from lower_case; UPDATE \"notification_preferences\" SET a=1",
         "repo/node_modules/x.ts": "FROM vendor_table",
         "repo/docs/readme.md": "FROM doc_table",
+        "repo/src/.hidden/x.ts": "FROM hidden_table",
+        "repo/src/app/api/.beta/route.ts": "x",
         "docs/MODEL.md": "# Model\nThe members area and user_profiles table.",
     }
     for p, body in files.items():
@@ -97,10 +99,12 @@ def test_drift_on_code_tree(spark):
         json.dump({"vault_dir": d, "apps": {"my-app": {"repo": f"{d}/repo", "doc": f"{d}/docs/MODEL.md"},
                                             "admin-panel": {"repo": f"{d}/repo", "doc": f"{d}/docs/ADMIN.md"}}}, fh)
     apps = fsrc.load_app_config(spark, cfg)
-    code = fsrc.scan_code(spark, f"{d}/repo")
+    assert fsrc.scan_code(spark, f"{d}/repo").filter(F.col("path").contains("/.")).count() == 0
+    code = fsrc.scan_code(spark, f"{d}/repo", skip_hidden=False)
     assert code.filter(F.col("path").contains("node_modules")).count() == 0
     from signalmine.operators.drift import relative_paths
     rel = relative_paths(code, apps.filter("app = 'my-app'"))
+    # Spark's file listing skips names starting with '.' or '_', so hidden route folders are never seen
     assert rows(route_groups(rel), "route_group") == [("members",), ("webhooks",)]
     assert rows(table_refs(rel), "name") == [("audit_log",), ("notification_preferences",), ("user_profiles",)]
     docs = fsrc.read_texts(spark, f"{d}/docs").select(F.regexp_replace("path", "^file:", "").alias("path"), "content")
