@@ -164,13 +164,15 @@ def regression_pairs(tasks: DataFrame, as_of: AsOf, new_days: float = 1, lookbac
 
 
 def regression_candidates(tasks: DataFrame, as_of: AsOf, new_days: float = 1, lookback_days: float = 30,
-                          k: int = 3, max_new: int | None = 20) -> DataFrame:
+                          k: int = 3, max_new: int | None = 20, keep_new_time: bool = False) -> DataFrame:
     """For each new fix, the ``k`` newest older fixes of the same repo that share a keyword.
 
     Per new task the top-k is a row_number filter (WindowGroupLimit before the
     shuffle), so a repo holding most tasks sends at most k rows per partition.
     """
-    pairs = regression_pairs(tasks, as_of, new_days, lookback_days, max_new).drop("new_completed_at")
+    pairs = regression_pairs(tasks, as_of, new_days, lookback_days, max_new)
+    if not keep_new_time:
+        pairs = pairs.drop("new_completed_at")
     w = Window.partitionBy("new_id").orderBy(F.col("old_completed_at").desc(), F.col("old_id").desc())
     return pairs.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 

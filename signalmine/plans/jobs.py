@@ -223,9 +223,8 @@ def crystallize_job(learning_lines: DataFrame, skill_col: str = "skill") -> tupl
 
 def regression_job(tasks: DataFrame, as_of: AsOf, new_days: float = 1, lookback_days: float = 30) -> DataFrame:
     """New fixes -> candidate older fixes -> tasks with outcome 'partial'."""
-    pairs = jn.regression_candidates(tasks, as_of, new_days, lookback_days)
-    new = tasks.select(F.col("id").alias("new_id"), F.col("completed_at").alias("new_completed_at"))
-    return up.mark_regressions(tasks, pairs.join(new, "new_id"), as_of)
+    pairs = jn.regression_candidates(tasks, as_of, new_days, lookback_days, keep_new_time=True)
+    return up.mark_regressions(tasks, pairs, as_of)
 
 
 def skill_review_job(decisions: DataFrame, patterns: DataFrame, metrics: DataFrame, misses: DataFrame,
