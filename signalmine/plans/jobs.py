@@ -22,6 +22,7 @@ from signalmine.operators import ranking as rk
 from signalmine.operators import similarity as sim
 from signalmine.operators import text as tx
 from signalmine.operators import updates as up
+from signalmine.session import materialize
 
 
 def _metric_rows(section: str, df: DataFrame, name_col: str, value_col: str) -> DataFrame:
@@ -60,10 +61,15 @@ class ConsolidateResult:
     latest_session_lessons: DataFrame
 
 
-def consolidate_job(items: DataFrame, as_of: AsOf) -> ConsolidateResult:
+def consolidate_job(items: DataFrame, as_of: AsOf, checkpoint: bool = True) -> ConsolidateResult:
     """word clusters (before dedup), close duplicates, topic counts, top
-    lessons, report, purge of items closed more than 30 days ago."""
+    lessons, report, purge of items closed more than 30 days ago.
+
+    The de-duplicated table feeds three outputs, so it is checkpointed once
+    (shared checkpoint folder) instead of being re-derived three times."""
     closed = up.close_duplicates(items, as_of)
+    if checkpoint:
+        closed = materialize(closed)
     purged = up.purge_applied(closed.drop("changed"), as_of)
     return ConsolidateResult(
         items=purged,

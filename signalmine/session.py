@@ -62,3 +62,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A location under the shared checkpoint folder for intermediate tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}"
+
+
+def materialize(df):
+    """Cut the lineage of ``df``: a reliable checkpoint under the shared
+    ``spark.checkpoint.dir`` (never ``localCheckpoint``, whose blocks die with
+    their executor). Use where a job reads one intermediate table several
+    times or a long chain would be recomputed after a lost executor."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
