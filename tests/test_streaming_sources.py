@@ -186,3 +186,42 @@ def test_stream_late_rows_are_dropped(spark):
         q.stop()
     assert rows(spark.table("late_t"), "query_prefix", "miss_count") == [("how to x", 3)]
     assert dropped >= 1  # counted after the map-side partial aggregate (one row per key)
+
+
+def test_modified_since_and_skill_learnings(spark):
+    d = _scratch()
+    for name, body, mtime in [("deploy/learnings.md", "## 2026-07-01: A\nScore: 5\nRuns: 3\n", 1_780_000_000),
+                              ("auth/learnings.md", "## 2026-07-02: B\n", 1_700_000_000),
+                              ("auth/other.md", "x", 1_780_000_000)]:
+        full = os.path.join(d, name)
+        os.makedirs(os.path.dirname(full), exist_ok=True)
+        with open(full, "w") as fh:
+            fh.write(body)
+        os.utime(full, (mtime, mtime))
+    skills = fsrc.scan_skill_learnings(spark, d)
+    assert rows(skills, "skill") == [("auth",), ("deploy",)]
+    # mtime 1_780_000_000 is 2026-05-28 20:26 UTC: within two days of the as_of, the other file is not
+    fresh = fsrc.scan_files_modified_since(spark, d, "2026-05-29 00:00:00", days=2)
+    assert rows(fresh, "file_name") == [("learnings.md",), ("other.md",)]
+    from signalmine.plans import jobs
+    lines = fsrc.to_lines(skills)
+    cands, alert = jobs.crystallize_job(lines)
+    assert rows(cands, "skill", "title") == [("deploy", "A")]
+
+
+def test_stream_session_items_writer(spark):
+    d = _scratch()
+    os.makedirs(f"{d}/sessions")
+    with open(f"{d}/sessions/2026-07-15-a.md", "w") as fh:
+        fh.write("# S\n- Fix: restart the worker after deploy\n")
+    items_path = f"{d}/items"
+    stream = sj.session_file_stream(spark, f"{d}/sessions")
+    sj.run_available(stream, "sess_t", checkpoint=f"{d}/ckpt", foreach_batch=sj.session_items_writer(items_path))
+    got = [r.lesson for r in spark.read.parquet(items_path).collect()]
+    assert got == ["Session 2026-07-15-a.md: Fix: restart the worker after deploy"]
+    # a second file arrives; the first is not itemised again
+    with open(f"{d}/sessions/2026-07-16-b.md", "w") as fh:
+        fh.write("# T\n- Lesson: pin the base image\n")
+    sj.run_available(sj.session_file_stream(spark, f"{d}/sessions"), "sess_t2", checkpoint=f"{d}/ckpt",
+                     foreach_batch=sj.session_items_writer(items_path))
+    assert len(spark.read.parquet(items_path).collect()) == 2
