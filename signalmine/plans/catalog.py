@@ -780,9 +780,31 @@ def q_apply_classifications(fx: Fixtures) -> DataFrame:
     return counts
 
 
-@query("claim_regressions")
+@query("claim_regressions", f"""
+WITH RECURSIVE new AS (SELECT id AS new_id, target_repo AS repo, completed_at AS new_completed_at,
+  list_slice(list_sort(list_distinct(regexp_extract_all(lower(left(prompt, 200)), '\\b[a-z]{{4,}}\\b'))), 1, 5) AS kws
+  FROM tasks WHERE category IN ('bug','ops','security') AND status = 'completed' AND target_repo IS NOT NULL
+   AND completed_at > {TK} - INTERVAL 30 DAY),
+nk AS (SELECT new_id, repo, new_completed_at, unnest(kws) AS kw FROM new),
+old AS (SELECT id AS old_id, target_repo AS repo, completed_at AS old_completed_at, lower(prompt) AS old_prompt FROM tasks
+  WHERE category IN ('bug','ops','security') AND status = 'completed' AND target_repo IS NOT NULL
+   AND completed_at > {TK} - INTERVAL 365 DAY AND outcome IS NULL),
+pairs AS (SELECT DISTINCT nk.new_id, old.old_id, old.repo, nk.new_completed_at, old.old_completed_at FROM nk JOIN old ON nk.repo = old.repo
+  WHERE old.old_id <> nk.new_id AND old.old_completed_at < nk.new_completed_at AND contains(old.old_prompt, nk.kw)),
+seqd AS (SELECT repo, new_id, row_number() OVER (PARTITION BY repo ORDER BY new_completed_at DESC, new_id DESC) AS seq
+  FROM (SELECT DISTINCT repo, new_id, new_completed_at FROM pairs) n),
+cands AS (SELECT p.repo, s.seq, p.new_id, list(p.old_id ORDER BY p.old_completed_at DESC, p.old_id DESC) AS olds
+  FROM pairs p JOIN seqd s ON s.repo = p.repo AND s.new_id = p.new_id GROUP BY p.repo, s.seq, p.new_id),
+walk(repo, seq, claimed, taken, new_id) AS (
+  SELECT repo, CAST(0 AS BIGINT), CAST([] AS BIGINT[]), CAST([] AS BIGINT[]), CAST(NULL AS BIGINT) FROM (SELECT DISTINCT repo FROM cands) r
+  UNION ALL
+  SELECT w.repo, c.seq, list_concat(w.claimed, t.taken), t.taken, c.new_id
+  FROM walk w JOIN cands c ON c.repo = w.repo AND c.seq = w.seq + 1,
+  LATERAL (SELECT list_slice(list_filter(c.olds, lambda x: NOT list_contains(w.claimed, x)), 1, 3) AS taken) t)
+SELECT repo, new_id, unnest(taken) AS old_id, CAST(generate_subscripts(taken, 1) AS INTEGER) AS claim_rank FROM walk WHERE seq > 0""", ("tasks",))
 def q_claim_regressions(fx: Fixtures) -> DataFrame:
-    """Sequential (greedy) claims; order-dependent, so no SQL oracle."""
+    """Sequential (greedy) claims; the oracle walks the new tasks of each repo
+    in order with a recursive CTE carrying the claimed ids."""
     return udfs.claim_regressions(fx.tasks, AS_OF_TASKS, new_days=30, lookback_days=365, max_new=None)
 
 

@@ -92,6 +92,8 @@ def with_views(sql: str, *names: str) -> str:
     if not ordered:
         return body
     ctes = ",\n".join(f"{n} AS ({VIEWS[n].strip()})" for n in ordered)
+    if body[:15].upper() == "WITH RECURSIVE ":
+        return f"WITH RECURSIVE {ctes},\n{body[15:]}"
     if body[:5].upper() == "WITH ":
         # merge the query's own CTEs after the views
         return f"WITH {ctes},\n{body[5:]}"
