@@ -34,9 +34,10 @@ def relative_paths(code: DataFrame, repos: DataFrame) -> DataFrame:
 def table_refs(code: DataFrame, path_col: str = "rel_path", only_code_parts: bool = True) -> DataFrame:
     """Distinct (app, table) named after FROM/INTO/UPDATE/JOIN/DELETE FROM
     (upper-case keywords only), holding '_' and not in the exclusion list."""
-    src = code.filter(~F.col(path_col).rlike(r"(^|/)\.[^/]+/"))  # no hidden directories
-    if only_code_parts:
-        src = src.filter(F.split(F.col(path_col), "/").getItem(0).isin(CODE_PARTS))
+    src = code
+    if only_code_parts:  # a code tree: only src/lib/app, never hidden directories
+        src = src.filter(F.split(F.col(path_col), "/").getItem(0).isin(CODE_PARTS)
+                         & ~F.col(path_col).rlike(r"(^|/)\.[^/]+/"))
     names = src.select("app", F.explode(F.regexp_extract_all("content", F.lit(TABLE_REF), 1)).alias("name"))
     return (names.filter(F.col("name").contains("_") & ~F.col("name").isin(NOT_TABLES))
             .distinct())
