@@ -225,3 +225,17 @@ def test_stream_session_items_writer(spark):
     sj.run_available(sj.session_file_stream(spark, f"{d}/sessions"), "sess_t2", checkpoint=f"{d}/ckpt",
                      foreach_batch=sj.session_items_writer(items_path))
     assert len(spark.read.parquet(items_path).collect()) == 2
+
+
+def test_append_items_and_write_report(spark):
+    d = _scratch()
+    items = spark.createDataFrame([("error", "Recurring problem: k - x", "2024-01-31")],
+                                  "source string, lesson string, created_date string")
+    sinks.append_items(items, f"{d}/items", partition_by="created_date")
+    sinks.append_items(items, f"{d}/items", partition_by="created_date")
+    assert spark.read.parquet(f"{d}/items").count() == 2
+    report = spark.createDataFrame([("summary", "open", 3), ("topic", "auth", 1)], "section string, name string, value long")
+    sinks.write_report(report, f"{d}/report")
+    assert rows(spark.read.json(f"{d}/report"), "section", "name", "value") == [("summary", "open", 3), ("topic", "auth", 1)]
+    sinks.write_staging_json(spark.createDataFrame([('{"a": 1}',)], "json string"), f"{d}/staging")
+    assert json.loads(spark.read.text(f"{d}/staging").first().value) == {"a": 1}
