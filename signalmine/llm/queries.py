@@ -3,10 +3,61 @@ operator to the whole of its table and derives the columns to compare."""
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from signalmine.llm.common import table
 
+# Folder of the public tokenizers' files; empty: where their package lies.
+TOKENIZERS = os.environ.get("SIGNALMINE_TOKENIZERS", "")
+
+
+def _tokenizer(name: str) -> str:
+    if TOKENIZERS:
+        return os.path.join(TOKENIZERS, name)
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into bins of 512 to 8192 tokens."""
+    from signalmine.llm.packing import pack
+
+    return pack(table(spark, sf_dir, "documents"))
+
+
+def op2_ngram_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts, n-gram log-likelihood ratio and verdict of all documents."""
+    from signalmine.llm.quality_rules import judged
+
+    out = judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return out.select("doc.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                      "base_failed", "kept", "score")
+
+
+def op3_cross_polytope_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest found of every hundredth vector among all vectors."""
+    from signalmine.llm.cross_polytope import nearest
+
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+def op4_rans_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as token ids, written as rANS blocks and read back."""
+    from signalmine.llm.rans import round_trip
+
+    return round_trip(table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"))
+
+
+def op5_pareto_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a mixture of all sources, at 150 % of their words, takes of each document."""
+    from signalmine.llm.mixing import mixture
+
+    return mixture(table(spark, sf_dir, "documents"))
+
 
 def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents (five-word shingles, 0.8)."""
@@ -15,7 +66,51 @@ def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All passages of 50 words and more that documents repeat."""
+    from signalmine.llm.suffix_dedup import repeated_passages
+
+    return repeated_passages(table(spark, sf_dir, "documents"))
+
+
+def op8_external_shuffle_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 24 shuffled shards, read back."""
+    from signalmine.llm.sharding import sharded
+
+    return sharded(table(spark, sf_dir, "documents"))
+
+
+def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one that imitates the template, formatted and read back."""
+    from signalmine.llm.chat_format import digests, formatted
+
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    says = F.lit("\\### Assistant: </turn> ok")
+    kinds = {f.name: f.dataType for f in turns.schema}
+    # the two turns of the conversation that the query adds
+    trick = spark.range(2).select(
+        F.lit(-7).cast(kinds["conv_id"]).alias("conv_id"), F.col("id").cast(kinds["turn"]).alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), says.alias("text"))
+    return digests(formatted(turns.unionByName(trick)))
+
+
+def op10_consensus_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of all pages."""
+    from signalmine.llm.html_extract import extracted
+
+    return extracted(table(spark, sf_dir, "pages"))
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents through the five stages of corpus_pipeline.py."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {f.__name__: f for f in (
-    op6_ngram_jaccard_join,
+    op1_best_fit_packing, op2_ngram_quality_rules, op3_cross_polytope_neighbours, op4_rans_token_files,
+    op5_pareto_mixing, op6_ngram_jaccard_join, op7_suffix_array_dedup, op8_external_shuffle_shards, op9_chat_format,
+    op10_consensus_html, pipeline,
 )}
 ORACLES: dict[str, str] = {}
