@@ -6,7 +6,7 @@ role. Conversations come out as one formatted string with the segments that make
 it up (text, loss). All on DataFrame functions.
 
 In texts (and in roles that the template doesn't know) every backslash, ``#``
-and ``<`` gets a backslash before it; each control string begins with ``###``
+and ``<`` (in roles ``)`` too) gets a backslash before it; each control string begins with ``###``
 or ends a turn with a line ``</turn>``, so none can appear in an escaped text,
 and dropping those backslashes restores it.
 """
@@ -48,6 +48,10 @@ def escape(text: Column) -> Column:
     return F.regexp_replace(text, r"([\\#<])", r"\\$1")
 
 
+def escape_role(role: Column) -> Column:
+    return F.regexp_replace(role, r"([\\#<)])", r"\\$1")
+
+
 def unescape(text: Column) -> Column:
     return F.regexp_replace(text, r"(?s)\\(.)", "$1")
 
@@ -78,7 +82,7 @@ def formatted(turns: DataFrame, t: Template = TEMPLATE) -> DataFrame:
 
     def segments(x: Column) -> Column:
         r = x["role"]
-        before = F.coalesce(known[r], F.concat(left, escape(r), right))
+        before = F.coalesce(known[r], F.concat(left, escape_role(r), right))
         part = lambda text, loss: F.struct(text.alias("text"), loss.alias("loss"))
         return F.array(part(before, F.lit(False)), part(escape(x["text"]), r.isin(*t.loss)),
                        part(F.lit(t.after), F.lit(False)))
@@ -104,7 +108,7 @@ def read_back(chats: DataFrame, t: Template = TEMPLATE) -> DataFrame:
             rest = F.substr(x, F.lit(len(before) + 1))
             role = F.when(is_it, name) if role is None else role.when(is_it, name)
             text = F.when(is_it, rest) if text is None else text.when(is_it, rest)
-        other = r"(?s)^\Q" + left + r"\E((?:\\.|[^\\#<])*?)\Q" + right + r"\E(.*)$"
+        other = r"(?s)^\Q" + left + r"\E((?:\\.|[^\\#<)])*)\Q" + right + r"\E(.*)$"
         role = role.otherwise(unescape(F.regexp_extract(x, other, 1)))
         text = text.otherwise(F.regexp_extract(x, other, 2))
         return F.struct(role.alias("role"), unescape(text).alias("text"))

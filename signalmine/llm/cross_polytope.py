@@ -201,8 +201,9 @@ def nearest(vectors: DataFrame, is_query: Column | str, k: int = 10, tables: int
     counts = stored(part(index, "vb").join(part(asked, "qb"), "key"), "buckets")
     spread = lambda n: F.pmod(F.xxhash64("first", "reps"), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    index = index.join(counts, "key").withColumn("v", spread("vb")).withColumn("q", every("qb"))
-    asked = asked.join(counts, "key").withColumn("q", spread("qb")).withColumn("v", every("vb"))
+    blobs = ["n", "first", "dim", "reps", "vectors"]
+    index = index.join(counts, "key").select(F.col("key").alias("key"), *blobs, spread("vb").alias("v"), every("qb").alias("q"))
+    asked = asked.join(counts, "key").select(F.col("key").alias("key"), *blobs, spread("qb").alias("q"), every("vb").alias("v"))
     found = (index.groupBy("key", "v", "q").cogroup(asked.groupBy("key", "v", "q"))
              .applyInPandas(_ranked(k + 1), "query long, reps binary, dists binary"))
 

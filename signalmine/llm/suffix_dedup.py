@@ -168,7 +168,7 @@ def passages(docs: DataFrame, min_words: int = MIN_WORDS, anchor: int = ANCHOR)
     one_id = (docs.where("text is not null").select("doc_id", F.xxhash64("text").alias("doc"))
               .join(wanted, "doc").groupBy("doc").agg(F.min("doc_id").alias("doc_id")))
     wanted = one_id.join(wanted, "doc").select("doc", "at", F.col("doc_id").alias("wanted_id"))
-    held = (docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("wanted_id")))
+    held = (docs.select("doc_id", "text").join(wanted, F.col("doc_id").eqNullSafe(F.col("wanted_id")))
             .where(F.xxhash64("text") == F.col("doc")).select("doc", "at", "text"))
 
     def extended(batches):
