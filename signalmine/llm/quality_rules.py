@@ -22,8 +22,8 @@ from signalmine.llm.common import SPACES, let, words
 
 BUCKETS = 8192
 TRUSTED_DOCS = 20_000   # labelled rows that the trusted side is counted on, picked by hash
-PRIOR = 2000.0
-THRESHOLD = -0.15
+PRIOR = 200_000.0       # keeps scores near 0 while few trusted n-grams are known
+THRESHOLD = -0.045
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -65,7 +65,7 @@ def _bucket(h: Column) -> Column:
     return h.bitwiseAND(F.lit(BUCKETS - 1).cast("long")).cast("int")
 
 
-def ratios(docs: DataFrame, labels: DataFrame) -> list[float] | None:
+def ratios(docs: DataFrame, labels: DataFrame, prior: float = PRIOR) -> list[float] | None:
     """log(p_trusted / p_raw) of each bucket; None without trusted words."""
     trusted = (labels.groupBy("doc_id").agg(F.min("quality").alias("q"), F.max("toxic").alias("t"))
                .where("doc_id is not null and q = 1 and t = 0")
@@ -90,7 +90,7 @@ def ratios(docs: DataFrame, labels: DataFrame) -> list[float] | None:
     out = []
     for g, r in zip(good, raw, strict=True):
         p_raw = (r + 1) / (n_raw + BUCKETS)
-        out.append(math.log((g + PRIOR * p_raw) / (n_good + PRIOR) / p_raw))
+        out.append(math.log((g + prior * p_raw) / (n_good + prior) / p_raw))
     return out
 
 
@@ -106,14 +106,14 @@ def _score(h: Column, table: list[float] | None) -> Column:
     return F.when(n > 0, total / (2 * n - 1)).otherwise(0.0)
 
 
-def judged(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def judged(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, prior: float = PRIOR) -> DataFrame:
     """(doc, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, score,
     base_failed, kept) of every row; ``doc`` is the row itself as a struct.
 
     A null or empty text has no words and fails the base rules. Without trusted
     rows, or words in them, every score is 0. Repeated rows are judged each.
     """
-    table = ratios(docs, labels)
+    table = ratios(docs, labels, prior)
     text = F.coalesce("text", F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda x: F.length(F.translate(x, SPACES, "")) > 0)
     split = docs.select(F.struct(*docs.columns).alias("doc"), text.alias("text"), words(F.col("text")).alias("w"))
@@ -132,6 +132,6 @@ def judged(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) ->
     return out.withColumn("base_failed", failed).withColumn("kept", ~failed & (F.col("score") >= threshold))
 
 
-def kept_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def kept_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, prior: float = PRIOR) -> DataFrame:
     """The rows of ``docs`` that pass, unchanged."""
-    return judged(docs, labels, threshold).where("kept").select("doc.*")
+    return judged(docs, labels, threshold, prior).where("kept").select("doc.*")

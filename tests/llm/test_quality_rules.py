@@ -46,7 +46,7 @@ def test_base_counts(spark):
     rows = made()
     df = spark.createDataFrame([(*r, "clash", "clash") for r in rows], SCHEMA)
     labels = spark.createDataFrame([(i, 1, 0) for i in range(120) if i % 4], LABELS)
-    got = Q.judged(df, labels).select("doc.doc_id", "doc.text", "n_words", "word_chars", "n_symbols", "n_dup_lines",
+    got = Q.judged(df, labels, -0.15, 2000.0).select("doc.doc_id", "doc.text", "n_words", "word_chars", "n_symbols", "n_dup_lines",
                                       "n_repeat_words", "base_failed", "kept", "score").collect()
     assert len(got) == len(rows)
     for r in got:
