@@ -29,15 +29,28 @@ MISS_ITEM_PREFIX = "Knowledge base has no good coverage for: "
 ERROR_ITEM_PREFIX = "Recurring problem: "
 SESSION_ITEM_PREFIX = "Session "
 REGRESSION_REASON = "Possible regression: new bugfix {id} for same repo/symptom"
-PROPOSAL_TEXT = ('Dreaming proposal: Pattern "{key}" occurs {n}x (previously: {old}x). {desc}. '
+PROPOSAL_TEXT = ('Dreaming proposal: Pattern "%s" occurs %sx (previously: %sx). %s. '
                  "Recommendation: Create guard or skill for prevention.")
 
+# --- fixed values: generated documents (Java format strings)
+PLAYBOOK_TEXT = ("---\ntitle: Playbook - %s\ntype: playbook\ncreated: %s\nsource: dreaming-run-%s\n---\n\n"
+                 "# Playbook: %s\n\n## Symptom\n%s\n\n## Diagnosis\n%s\n\n## Fix\n%s\n\n## History\n"
+                 "- %s: Created by Dreaming Run #%s\n")
+STUB_TEXT = ("---\ntitle: %s\ntype: stub\ncreated: %s\nsource: dreaming-rag-miss\nstatus: todo\n---\n\n# %s\n\n"
+             "> This document was automatically created because knowledge base searches\n"
+             "> for this topic returned no results. Please fill with content.\n\n"
+             "## Context\nCreated by Dreaming Run #%s on %s.\n")
+GAP_STUB_TEXT = ('---\ntitle: %s\ndate: %s\nstatus: stub\ncreated_by: %s\ntrigger_query: "%s"\n---\n\n# %s\n\n'
+                 '> **STUB** - Automatically created because the search query "%s" returned no results.\n'
+                 "> Please fill with actual content.\n\n%s\n\n---\n*Created: %s by %s*\n"
+                 '*Trigger: RAG miss "%s"*\n')
+
 # --- fixed values: finding types and classification actions
 FINDING_TYPES = ["PLAYBOOK", "APPLY", "PATTERN", "VAULTGAP"]
 CLASSIFY_ACTIONS = ["guard", "memory", "vault", "config", "skip"]
 
 # --- fixed values: drift check
-TABLE_REF = r"""(?:FROM|INTO|UPDATE|JOIN|DELETE\s+FROM)\s+["'`]?([a-z][a-z0-9_]+)["'`]?"""
+TABLE_REF = r"""(?:FROM|INTO|UPDATE|JOIN|DELETE\s+FROM)\s+["`']?([a-z][a-z0-9_]+)["`']?"""
 NOT_TABLES = [
     "created_at", "updated_at", "deleted_at", "started_at", "ended_at", "expires_at",
     "published_at", "sent_at", "read_at", "last_login", "last_seen", "is_active", "is_admin",
@@ -51,7 +64,6 @@ SKIP_DIRS = ["node_modules", ".next", ".git", "dist", "build", "coverage", ".tur
 CODE_EXTENSIONS = [".ts", ".tsx", ".js", ".jsx", ".mjs", ".sql"]
 
 # --- fixed values: limits
-MAX_STUBS = 5
 MAX_LINKS = 10
 MAX_AUTO_FIXES_PER_DAY = 3
 RUN_BUDGET_USD = 10.00

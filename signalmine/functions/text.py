@@ -10,13 +10,13 @@ def _c(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def left(col: Column | str, n: int) -> Column:
-    """First ``n`` characters (not bytes)."""
-    return F.left(_c(col), F.lit(n))
+def left(col: Column | str, n: int | None) -> Column:
+    """First ``n`` characters (not bytes); the whole text when None."""
+    return _c(col) if n is None else F.left(_c(col), F.lit(n))
 
 
-def slugify(col: Column | str, n: int = 40) -> Column:
-    """lower, spaces to '-', keep ``[a-z0-9-]``, first ``n`` characters."""
+def slugify(col: Column | str, n: int | None = None) -> Column:
+    """lower, spaces to '-', keep ``[a-z0-9-]``, first ``n`` characters if given."""
     s = F.regexp_replace(F.lower(_c(col)), " ", "-")
     return left(F.regexp_replace(s, "[^a-z0-9-]", ""), n)
 

@@ -62,22 +62,57 @@ def drift_report(apps: DataFrame, code: DataFrame, docs: DataFrame) -> tuple[Dat
 
     ``apps`` (app, repo, doc); ``code`` (app, rel_path, content); ``docs``
     (path, content) of the documents that exist. Returns (missing rows
-    (app, kind, term), totals per app plus grand total, apps without document).
+    (app, kind, term), totals of each app that has a document, apps without
+    document). ``drift_totals`` adds the term lists and the grand total.
     """
     present = apps.join(docs.select(F.col("path").alias("doc"), "content"), "doc")
     no_doc = apps.join(docs.select(F.col("path").alias("doc")), "doc", "left_anti").select("app", "doc")
     routes = route_groups(code).select("app", F.col("route_group").alias("term"), F.lit("route").alias("kind"))
     tables = table_refs(code).select("app", F.col("name").alias("term"), F.lit("table").alias("kind"))
     terms = routes.unionByName(tables).join(present.select("app"), "app", "left_semi")
-    doc_text = present.select("app", F.col("content").alias("text"))
-    missing_routes = undocumented_terms(routes.join(present.select("app"), "app", "left_semi"), doc_text) \
-        .withColumn("kind", F.lit("route"))
-    missing_tables = undocumented_terms(tables.join(present.select("app"), "app", "left_semi"), doc_text) \
-        .withColumn("kind", F.lit("table"))
-    missing = missing_routes.unionByName(missing_tables)
-    totals = missing.groupBy("app").agg(
+    open_ = undocumented_terms(terms, present.select("app", F.col("content").alias("text")))
+    missing = terms.join(open_, ["app", "term"], "left_semi").select("app", "kind", "term")
+    counts = missing.groupBy("app").agg(
         F.count_if(F.col("kind") == "route").alias("missing_routes"),
         F.count_if(F.col("kind") == "table").alias("missing_tables"),
         F.count(F.lit(1)).alias("missing_total"))
-    del terms
+    totals = present.select("app").distinct().join(counts, "app", "left").na.fill(0)
     return missing, totals, no_doc
+
+
+def drift_totals(apps: DataFrame, missing: DataFrame, no_doc: DataFrame) -> DataFrame:
+    """One row per app with a document (app, doc, routes, tables: sorted lists
+    of what is missing; missing_total), and the grand total as app null."""
+    pick = lambda kind: F.array_sort(F.collect_list(F.when(F.col("kind") == kind, F.col("term"))))
+    lists = missing.groupBy("app").agg(pick("route").alias("routes"), pick("table").alias("tables"),
+                                       F.count(F.lit(1)).alias("missing_total"))
+    empty = F.array().cast("array<string>")
+    per = (apps.join(no_doc.select("app"), "app", "left_anti").select("app", "doc").join(lists, "app", "left")
+           .select("app", "doc", F.coalesce("routes", empty).alias("routes"), F.coalesce("tables", empty).alias("tables"),
+                   F.coalesce("missing_total", F.lit(0)).alias("missing_total")))
+    total = missing.agg(F.lit(None).cast("string").alias("app"), F.lit(None).cast("string").alias("doc"),
+                        empty.alias("routes"), empty.alias("tables"), F.count(F.lit(1)).alias("missing_total"))
+    return per.unionByName(total)
+
+
+def drift_markdown(totals: DataFrame, no_doc: DataFrame) -> DataFrame:
+    """The report as lines (section, line_no, line): a section per app with gaps,
+    one for the total (first) and one for apps without document (last)."""
+    def section(order: str, name, lines) -> list:
+        return [F.lit(order).alias("part"), name.alias("section"), F.posexplode(lines).alias("line_no", "line")]
+
+    bullets = lambda title, items, form: F.when(
+        F.size(items) > 0, F.concat(F.array(F.concat(F.lit(f"Missing {title} ("), F.size(items).cast("string"), F.lit("):")),
+                                            F.lit("")), F.transform(items, form), F.array(F.lit("")))
+    ).otherwise(F.array().cast("array<string>"))
+    tick = lambda left, x, right: F.concat(F.lit(left), x, F.lit(right))
+    grand = totals.where("app is null").select(*section("0", F.lit(""), F.array(
+        F.lit("# Drift Between Code and Documentation"), F.lit(""),
+        tick("**Missing entries total: ", F.col("missing_total").cast("string"), "**"), F.lit(""))))
+    per = totals.where("app is not null and missing_total > 0").select(*section("1", F.col("app"), F.concat(
+        F.array(tick("## ", F.col("app"), ""), F.lit(""), tick("Document: `", F.col("doc"), "`"), F.lit("")),
+        bullets("API areas", F.col("routes"), lambda r: tick("- `/api/", r, "/`")),
+        bullets("tables", F.col("tables"), lambda t: tick("- `", t, "`")))))
+    absent = no_doc.select(*section("2", F.col("app"), F.array(
+        F.concat(F.lit("- "), F.col("app"), F.lit(": `"), F.col("doc"), F.lit("` missing")))))
+    return grand.unionByName(per).unionByName(absent)

@@ -52,7 +52,7 @@ def recent_misses(misses: DataFrame, as_of: AsOf, days: float = 0, hours: float
     return misses.filter(cond)
 
 
-def recent_decisions(decisions: DataFrame, as_of: AsOf, days: int = 7, k: int | None = 10) -> DataFrame:
+def recent_decisions(decisions: DataFrame, as_of: AsOf, days: int = 7, k: int | None = None) -> DataFrame:
     """Decisions of the last ``days``, newest first (tie-break id)."""
     out = decisions.filter(recent("created_at", as_of, days=days)).select(
         "id", "skill_name", "decision_type", "judge_decision", "was_applied", "created_at")
@@ -64,7 +64,7 @@ def recent_decisions(decisions: DataFrame, as_of: AsOf, days: int = 7, k: int |
 RISKY_CATEGORIES = ["bug", "ops", "security"]
 
 
-def recent_completed_tasks(tasks: DataFrame, as_of: AsOf, days: int = 1, k: int | None = 20) -> DataFrame:
+def recent_completed_tasks(tasks: DataFrame, as_of: AsOf, days: int = 1, k: int | None = None) -> DataFrame:
     """Completed bug/ops/security tasks with a repo, finished in the last ``days``."""
     out = tasks.filter(F.col("category").isin(RISKY_CATEGORIES)
                        & (F.col("status") == "completed")

@@ -17,33 +17,41 @@ from signalmine.functions.text import keep_chars, left
 from signalmine.functions.timefn import AsOf, recent
 from signalmine.operators.filters import RISKY_CATEGORIES, is_open, recurring_errors
 from signalmine.operators.matching import keys_found_in
-from signalmine.operators.ranking import latest_proposal, top_k
+from signalmine.operators.ranking import latest_proposal, top_k, top_per_group
 
 
 # ---- duplicates -------------------------------------------------------------------
 
-def dup_key_columns(prefix_len: int = 80):
-    return [F.col("source"), left("lesson", prefix_len).alias("lesson_prefix")]
+def dup_keys(items: DataFrame, prefix_len: int | None = None) -> DataFrame:
+    """Open items as (id, source, lesson_key): the key is a 256-bit digest of the
+    lesson (of its first ``prefix_len`` characters if given), so that no text is
+    shuffled to be compared."""
+    return items.filter(is_open()).select(
+        "id", "source", F.sha2(F.coalesce(left("lesson", prefix_len), F.lit("")), 256).alias("lesson_key"),
+        F.col("lesson").isNull().alias("no_lesson")).filter(~F.col("no_lesson")).drop("no_lesson")
 
 
-def duplicate_items(items: DataFrame, prefix_len: int = 80) -> DataFrame:
-    """Ids of open items that are not the lowest id of their (source, prefix) group.
+def duplicate_items(items: DataFrame, prefix_len: int | None = None, salts: int = 16) -> DataFrame:
+    """Ids of open items that are not the lowest id of their (source, lesson) group.
 
     Set form of the reference's ``l1.id > l2.id`` self-join: a partial
     ``min(id)`` per group (one row per key and partition leaves the map side,
-    however hot the key) joined back on the group key. No pair of items is
-    ever formed.
+    however hot the key) joined back on the group key. That join is salted: an
+    item carries a salt from its id, each group's one row is there for every
+    salt, so a group of any size is spread over ``salts`` tasks.
     """
-    keyed = items.filter(is_open()).select("id", *dup_key_columns(prefix_len))
-    firsts = keyed.groupBy("source", "lesson_prefix").agg(F.min("id").alias("first_id"))
-    return (keyed.join(firsts, ["source", "lesson_prefix"])
+    keyed = dup_keys(items, prefix_len)
+    firsts = keyed.groupBy("source", "lesson_key").agg(F.min("id").alias("first_id"), F.count(F.lit(1)).alias("n"))
+    firsts = firsts.filter(F.col("n") > 1).select(
+        "source", "lesson_key", "first_id", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
+    salted = keyed.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int"))
+    return (salted.join(firsts, ["source", "lesson_key", "salt"])
             .filter(F.col("id") > F.col("first_id")).select("id"))
 
 
-def first_per_group(items: DataFrame, prefix_len: int = 80) -> DataFrame:
+def first_per_group(items: DataFrame, prefix_len: int | None = None) -> DataFrame:
     """Lowest id of every duplicate group with its group size."""
-    keyed = items.filter(is_open()).select("id", *dup_key_columns(prefix_len))
-    return (keyed.groupBy("source", "lesson_prefix")
+    return (dup_keys(items, prefix_len).groupBy("source", "lesson_key")
             .agg(F.min("id").alias("first_id"), F.count(F.lit(1)).alias("group_size"))
             .filter(F.col("group_size") > 1))
 
@@ -60,8 +68,8 @@ def mark_by_ids(df: DataFrame, ids: DataFrame, flag: str = "selected", key: str
 def errors_without_item(patterns: DataFrame, items: DataFrame, min_count: int = 5) -> DataFrame:
     """Recurring unresolved patterns whose key occurs in no 'error' item's lesson.
 
-    Exact ``NOT EXISTS (lesson LIKE '%' || key || '%')`` via one Aho-Corasick
-    pass over the error lessons with the (size-checked) keys.
+    Exact ``NOT EXISTS (lesson LIKE '%' || key || '%')`` by the anchor join of
+    ``matching.keys_found_in``.
     """
     cand = recurring_errors(patterns, min_count)
     lessons = items.filter(F.col("source") == "error")
@@ -89,11 +97,9 @@ def sessions_without_item(sessions: DataFrame, items: DataFrame, file_col: str =
 
 
 def misses_by_prefix(misses: DataFrame, clusters: DataFrame, prefix_col: str = "query_prefix") -> DataFrame:
-    """Every (miss id, cluster prefix) with ``query LIKE prefix || '%'``.
-
-    One prefix pass over the distinct queries finds every cluster prefix each
-    starts with (a query may start with several); an equi-join on the query
-    then attaches the miss rows."""
+    """Every (miss id, cluster prefix) with ``query LIKE prefix || '%'``: an
+    equi-join of the distinct queries' beginnings (of the lengths that prefixes
+    have), then of the misses on their query."""
     queries = misses.select("query").distinct()
     found = keys_found_in(queries, "query", clusters, prefix_col, mode="prefix", text_id_col="query")
     pairs = found.select(F.col("tid").alias("query"), F.col("key").alias(prefix_col))
@@ -102,20 +108,24 @@ def misses_by_prefix(misses: DataFrame, clusters: DataFrame, prefix_col: str = "
 
 # ---- proposals (latest-row look-up) ------------------------------------------------------
 
-def proposal_candidates(patterns: DataFrame, proposals: DataFrame, min_count: int = 5, k: int = 15) -> DataFrame:
+def proposal_candidates(patterns: DataFrame, proposals: DataFrame, min_count: int = 5, k: int | None = None,
+                        key_len: int | None = None, desc_len: int | None = None) -> DataFrame:
     """Frequent unresolved patterns that deserve a (new) proposal.
 
     Left join to the newest proposal of ``dreaming:<key>``; skip pending and
     auto-merged targets; a rejected one only when the count more than doubled.
+    Of patterns with the same target the most frequent one stands (then the
+    smallest key): the others would meet its pending proposal.
     """
     top = top_k(recurring_errors(patterns, min_count), k,
                 F.col("occurrence_count").desc(), F.col("pattern_key"))
     cand = top.select(
         "pattern_key",
-        left(keep_chars("pattern_key", "a-zA-Z0-9_-"), 60).alias("key_clean"),
-        left(keep_chars(left("description", 120), "a-zA-Z0-9 _.,;:!?()\\-"), 200).alias("desc_clean"),
+        left(keep_chars("pattern_key", "a-zA-Z0-9_-"), key_len).alias("key_clean"),
+        keep_chars(left("description", desc_len), "a-zA-Z0-9 _.,;:!?()\\-").alias("desc_clean"),
         F.col("occurrence_count").cast("int").alias("occurrence_count"),
     ).withColumn("target_skill", F.concat(F.lit("dreaming:"), F.col("key_clean")))
+    cand = top_per_group(cand, ["target_skill"], [F.col("occurrence_count").desc(), F.col("pattern_key")], 1, "_r").drop("_r")
     latest = latest_proposal(proposals).select(
         "target_skill", F.col("status").alias("old_status"), F.col("recurrence_count").alias("old_count"))
     j = cand.join(latest, "target_skill", "left")
@@ -130,41 +140,46 @@ def proposal_candidates(patterns: DataFrame, proposals: DataFrame, min_count: in
 
 # ---- regressions (range-limited equi join) -------------------------------------------------
 
-def task_keywords(tasks: DataFrame, n: int = 5, prefix_len: int = 200) -> DataFrame:
-    """Up to ``n`` alphabetically first distinct words of >= 4 letters."""
+def task_keywords(tasks: DataFrame, n: int | None = None, prefix_len: int | None = None) -> DataFrame:
+    """Distinct words of >= 4 letters in alphabetical order (the first ``n`` of
+    the first ``prefix_len`` characters, if given)."""
     words = F.regexp_extract_all(F.lower(left("prompt", prefix_len)), F.lit(r"\b[a-z]{4,}\b"), 0)
-    return tasks.withColumn("keywords", F.slice(F.array_sort(F.array_distinct(words)), 1, n))
+    found = F.array_sort(F.array_distinct(words))
+    return tasks.withColumn("keywords", found if n is None else F.slice(found, 1, n))
 
 
 def regression_pairs(tasks: DataFrame, as_of: AsOf, new_days: float = 1, lookback_days: float = 30,
-                     max_new: int | None = 20) -> DataFrame:
+                     max_new: int | None = None, keywords: int | None = None) -> DataFrame:
     """Every (new fix, older fix) of the same repo sharing a keyword, with
     both completion times; no per-task limit yet.
 
-    The new side (a short time window) is exploded to one row per keyword and
-    equi-joined on repo; the range and keyword tests are residual filters.
-    Tasks without keywords are skipped."""
+    A keyword has at least four letters, so a prompt that contains it contains
+    its first four: the join key is (repo, these four letters) against the
+    distinct 4-grams of the older prompts, and ``contains`` and the range are
+    residual tests. Tasks without keywords are skipped."""
     risky = (F.col("category").isin(RISKY_CATEGORIES) & (F.col("status") == "completed")
              & F.col("target_repo").isNotNull())
     new = tasks.filter(risky & recent("completed_at", as_of, days=new_days))
-    if max_new is not None:
-        new = top_k(new, max_new, F.col("completed_at").desc(), F.col("id").desc())
-    new = task_keywords(new).select(
+    new = top_k(new, max_new, F.col("completed_at").desc(), F.col("id").desc())
+    new = task_keywords(new, keywords).select(
         F.col("id").alias("new_id"), F.col("target_repo").alias("repo"),
         F.col("completed_at").alias("new_completed_at"), F.explode("keywords").alias("kw"))
+    new = new.withColumn("gram", F.left("kw", F.lit(4)))
     old = tasks.filter(risky & recent("completed_at", as_of, days=lookback_days)
                        & F.col("outcome").isNull()).select(
         F.col("id").alias("old_id"), F.col("target_repo").alias("repo"),
         F.col("completed_at").alias("old_completed_at"), F.lower("prompt").alias("old_prompt"))
-    return (new.join(old, "repo")
+    grams = F.array_distinct(F.regexp_extract_all("old_prompt", F.lit("(?=([a-z]{4}))"), 1))
+    old = old.withColumn("gram", F.explode(grams))
+    return (new.join(old, ["repo", "gram"])
             .filter((F.col("old_id") != F.col("new_id"))
                     & (F.col("old_completed_at") < F.col("new_completed_at"))
-                    & F.col("old_prompt").contains(F.col("kw")))
+                    & F.contains("old_prompt", F.col("kw")))
             .select("new_id", "old_id", "repo", "new_completed_at", "old_completed_at").distinct())
 
 
 def regression_candidates(tasks: DataFrame, as_of: AsOf, new_days: float = 1, lookback_days: float = 30,
-                          k: int = 3, max_new: int | None = 20, keep_new_time: bool = False) -> DataFrame:
+                          k: int = 3, max_new: int | None = None, keep_new_time: bool = False) -> DataFrame:
     """For each new fix, the ``k`` newest older fixes of the same repo that share a keyword.
 
     Per new task the top-k is a row_number filter (WindowGroupLimit before the
@@ -179,12 +194,18 @@ def regression_candidates(tasks: DataFrame, as_of: AsOf, new_days: float = 1, lo
 
 # ---- documents and links -------------------------------------------------------------------
 
-def unlinked_neighbours(nn: DataFrame, links: DataFrame, docs: DataFrame) -> DataFrame:
+def unlinked_neighbours(nn: DataFrame, links: DataFrame, docs: DataFrame, texts: DataFrame | None = None) -> DataFrame:
     """Candidate pairs minus self pairs, minus pairs the source already links
-    to (or mentions), minus targets that do not exist."""
-    return (nn.filter(F.col("src") != F.col("dst"))
-            .join(links.select("src", "dst"), ["src", "dst"], "left_anti")
-            .join(docs.select(F.col("doc_id").alias("dst")), "dst", "left_semi"))
+    to, minus targets that do not exist; with ``texts`` (doc_id, text) also
+    minus targets that the source's text mentions as ``[[target]]``."""
+    out = (nn.filter(F.col("src") != F.col("dst"))
+           .join(links.select("src", "dst"), ["src", "dst"], "left_anti")
+           .join(docs.select(F.col("doc_id").alias("dst")), "dst", "left_semi"))
+    if texts is None:
+        return out
+    named = F.regexp_extract_all("text", F.lit(r"\[\[([^\]]+)\]\]"), 1)
+    mentions = texts.select(F.col("doc_id").alias("src"), F.explode(named).alias("_name"))
+    return out.join(mentions, (out["src"] == mentions["src"]) & (out["dst"].cast("string") == mentions["_name"]), "left_anti")
 
 
 def new_documents(df: DataFrame, existing: DataFrame, path_col: str = "path") -> DataFrame:
@@ -197,28 +218,15 @@ def missing_documents(apps: DataFrame, docs: DataFrame) -> DataFrame:
     return apps.join(docs.select(F.col("path").alias("doc")), "doc", "left_anti").select("app", "doc")
 
 
-def undocumented_terms(terms: DataFrame, docs: DataFrame, app_col: str = "app", text_col: str = "text",
-                       method: str = "scan") -> DataFrame:
+def undocumented_terms(terms: DataFrame, docs: DataFrame, app_col: str = "app", text_col: str = "text") -> DataFrame:
     """(app, term) where the term is not a standalone word in any document of the app.
 
-    ``scan`` (default): one word-bounded Aho-Corasick pass per lower-cased
-    document with the app's terms (2.7x faster than ``tokens`` at sf0.1; it
-    emits only the distinct matches). ``tokens``: terms made of ``[a-z0-9_]``
-    are standalone exactly when they equal a maximal ``[a-z0-9_]+`` run, so
-    they become an equi anti join against the exploded tokens (semi-joined to
-    the terms before the shuffle); other terms still use the scan.
+    Terms made of ``[a-z0-9_]`` are standalone exactly when they equal a maximal
+    run of these characters, an equi anti join against the documents' tokens;
+    other terms are found by the anchor join of ``matching.keys_found_in``.
     """
     t = terms.select(F.col(app_col).alias("app"), F.col("term")).distinct()
     lowered = docs.select(F.col(app_col).alias("app"), F.lower(F.col(text_col)).alias("text"))
-    if method == "scan":
-        found = keys_found_in(lowered, "text", t, "term", mode="word", group_col="app") \
-            .select(F.col("grp").alias("app"), F.col("key").alias("term"))
-        return t.join(found, ["app", "term"], "left_anti")
-    plain = t.filter(F.col("term").rlike("^[a-z0-9_]+$"))
-    special = t.filter(~F.col("term").rlike("^[a-z0-9_]+$"))
-    tokens = lowered.select("app", F.explode(F.split("text", "[^a-z0-9_]+")).alias("term"))
-    found_plain = tokens.filter(F.col("term") != "").join(plain, ["app", "term"], "left_semi").distinct()
-    found_special = keys_found_in(lowered, "text", special, "term", mode="word", group_col="app") \
+    found = keys_found_in(lowered, "text", t, "term", mode="word", group_col="app") \
         .select(F.col("grp").alias("app"), F.col("key").alias("term"))
-    found = found_plain.unionByName(found_special)
     return t.join(found, ["app", "term"], "left_anti")

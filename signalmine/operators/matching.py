@@ -1,90 +1,67 @@
-"""Exact substring / prefix / whole-word matching of many keys against texts.
+"""Exact substring, prefix and whole-word matching of many keys against texts,
+as equi-joins.
 
 Spark has no index for ``text LIKE '%' || key || '%'``; as a join condition it
-plans as a nested loop over all (text, key) pairs. Here the key side, whose
-size is checked first, is shipped to the executors once and every task runs one
-Aho-Corasick pass per text over its partition (``mapInPandas``), emitting only
-the (group, key) pairs that really occur. The text side is never shuffled
-before the match; only the distinct matches are. When the keys exceed the
-per-pass bound they are split into chunks and the passes are unioned, so the
-result stays exact at any size.
+plans as a nested loop. Here each key gets an anchor, a short piece of itself
+that a text must hold at a place that can be listed cheaply, the places of the
+texts are exploded to the same kind of pieces, and an equi-join on the piece
+brings the few candidates together, which are then tested in full:
+
+* ``contains``: keys with a word start inside (a letter or digit after another
+  character) are anchored at the first one by ``GRAM`` characters, so a text only
+  lists its word starts. Other keys are anchored by their first characters, and
+  texts list all their places, only if there is such a key.
+* ``prefix``: texts list their beginnings of the lengths that keys have.
+* ``word``: keys made of ``[a-z0-9_]`` are looked up among the texts' tokens;
+  other keys as ``contains``, with a test of what stands on either side.
+
+Nothing is collected, no job runs while the plan is built, and the plan is the
+same at every size.
 """
 
 from __future__ import annotations
 
-import math
-import uuid
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Keys shipped to executors in one pass (automaton of ~100-200 MB at 1M keys).
-MAX_KEYS_PER_PASS = 1_000_000
-
-_WORD = set("abcdefghijklmnopqrstuvwxyz0123456789_")
-_AUTOMATA: dict[str, object] = {}
-
-
-def _automaton(token: str, keys: list[tuple[str, str]]):
-    """Per-executor (per Python worker) cache: one automaton per key set."""
-    auto = _AUTOMATA.get(token)
-    if auto is None:
-        import ahocorasick
-
-        auto = ahocorasick.Automaton()
-        by_key: dict[str, set[str]] = {}
-        for group, key in keys:
-            by_key.setdefault(key, set()).add(group)
-        for key, groups in by_key.items():
-            auto.add_word(key, (key, frozenset(groups)))
-        auto.make_automaton()
-        _AUTOMATA.clear()
-        _AUTOMATA[token] = auto
-    return auto
-
-
-def _matcher(bc, token: str, mode: str, grouped: bool, max_len: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        auto = _automaton(token, bc.value)
-        for pdf in batches:
-            groups_out, keys_out, tids_out = [], [], []
-            texts = pdf["text"].tolist()
-            text_groups = pdf["grp"].tolist()
-            tids = pdf["tid"].tolist()
-            for text, tg, tid in zip(texts, text_groups, tids):
-                if text is None:
-                    continue
-                hay = text[:max_len] if mode == "prefix" else text
-                seen = set()
-                for end, (key, groups) in auto.iter(hay):
-                    start = end - len(key) + 1
-                    if mode == "prefix" and start != 0:
-                        continue
-                    if mode == "word":
-                        if start > 0 and hay[start - 1] in _WORD:
-                            continue
-                        if end + 1 < len(hay) and hay[end + 1] in _WORD:
-                            continue
-                    if grouped and tg not in groups:
-                        continue
-                    if key not in seen:
-                        seen.add(key)
-                        groups_out.append(tg)
-                        keys_out.append(key)
-                        tids_out.append(tid)
-            if keys_out:
-                yield pd.DataFrame({"tid": pd.Series(tids_out, dtype=object),
-                                    "grp": pd.Series(groups_out, dtype=object),
-                                    "key": pd.Series(keys_out, dtype=object)})
-    return run
+GRAM = 4
+_START = r"(?<=[^A-Za-z0-9])(?=([A-Za-z0-9][\s\S]{%d}))" % (GRAM - 1)
+_EVERY = r"(?=([\s\S]{%d}))"
+
+
+def _keys(keys: DataFrame, key_col: str, group: Column) -> DataFrame:
+    return (keys.select(group.alias("grp"), F.col(key_col).alias("key"))
+            .where(F.col("key").isNotNull() & (F.length("key") > 0)).distinct())
+
+
+def _only_if_any(texts: DataFrame, keys: DataFrame) -> DataFrame:
+    """``texts`` if there are keys, else no row: a semi join on a constant with
+    a table of at most one row."""
+    some = keys.agg(F.count(F.lit(1)).alias("n")).where("n > 0").select(F.lit(1).alias("_one"))
+    return texts.withColumn("_one", F.lit(1)).join(F.broadcast(some), "_one", "left_semi").drop("_one")
+
+
+def _pairs_by_gram(texts: DataFrame, keys: DataFrame, pattern: str, anchor: Column) -> DataFrame:
+    grams = texts.select("tid", "grp", "text", F.explode(F.array_distinct(
+        F.regexp_extract_all("text", F.lit(pattern), 1))).alias("gram"))
+    return grams.join(keys.select("grp", "key", anchor.alias("gram")), ["grp", "gram"]).select("tid", "grp", "key", "text")
+
+
+def _containing(texts: DataFrame, keys: DataFrame) -> DataFrame:
+    """(tid, grp, key, text) of each text that contains the key."""
+    inner = F.regexp_extract("key", _START, 1)
+    starts = _pairs_by_gram(texts, keys.where(inner != ""), _START, inner)
+    plain = keys.where(inner == "")
+    out = starts
+    # other keys by their first GRAM characters, shorter ones by their first
+    for n, some in ((GRAM, plain.where(F.length("key") >= GRAM)), (1, plain.where(F.length("key") < GRAM))):
+        out = out.unionByName(_pairs_by_gram(_only_if_any(texts, some), some, _EVERY % n, F.left("key", F.lit(n))))
+    return out.where(F.contains("text", F.col("key")))
 
 
 def keys_found_in(texts: DataFrame, text_col: str, keys: DataFrame, key_col: str,
                   mode: str = "contains", group_col: str | None = None,
-                  text_id_col: str | None = None,
-                  max_keys_per_pass: int = MAX_KEYS_PER_PASS) -> DataFrame:
+                  text_id_col: str | None = None) -> DataFrame:
     """Distinct ``(tid, grp, key)`` such that ``key`` occurs in a text of group ``grp``.
 
     ``mode``: ``contains`` (substring), ``prefix`` (text starts with key) or
@@ -93,26 +70,21 @@ def keys_found_in(texts: DataFrame, text_col: str, keys: DataFrame, key_col: str
     ``tid`` is the text's ``text_id_col`` value ('' without one). Empty and
     NULL keys never match.
     """
-    grouped = group_col is not None
-    kcols = [F.col(group_col).cast("string").alias("grp") if grouped else F.lit("").alias("grp"),
-             F.col(key_col).alias("key")]
-    key_df = keys.select(*kcols).filter(F.col("key").isNotNull() & (F.length("key") > 0)).distinct()
-    stats = key_df.agg(F.count(F.lit(1)).alias("n"), F.max(F.length("key")).alias("m")).first()
-    n, max_len = int(stats["n"] or 0), int(stats["m"] or 0)
-    tcols = [F.col(text_col).alias("text"),
-             F.col(group_col).cast("string").alias("grp") if grouped else F.lit("").alias("grp"),
-             F.col(text_id_col).cast("string").alias("tid") if text_id_col else F.lit("").alias("tid")]
-    text_df = texts.select(*tcols)
-    schema = "tid string, grp string, key string"
-    spark = texts.sparkSession
-    if n == 0:
-        return spark.createDataFrame([], schema)
-    chunks = max(1, math.ceil(n / max_keys_per_pass))
-    out = None
-    for c in range(chunks):
-        part = key_df if chunks == 1 else key_df.filter(F.abs(F.xxhash64("key")) % chunks == c)
-        rows = [(r["grp"], r["key"]) for r in part.toLocalIterator()]
-        bc = spark.sparkContext.broadcast(rows)
-        found = text_df.mapInPandas(_matcher(bc, uuid.uuid4().hex, mode, grouped, max_len), schema)
-        out = found if out is None else out.unionByName(found)
-    return out.distinct()
+    group = F.col(group_col).cast("string") if group_col is not None else F.lit("")
+    key_df = _keys(keys, key_col, group)
+    tid = F.col(text_id_col).cast("string") if text_id_col else F.lit("")
+    text_df = texts.select(tid.alias("tid"), group.alias("grp"), F.col(text_col).alias("text")).where("text is not null")
+    if mode == "prefix":
+        lengths = key_df.agg(F.collect_set(F.length("key")).alias("lens")).withColumn("_one", F.lit(1))
+        heads = text_df.withColumn("_one", F.lit(1)).join(F.broadcast(lengths), "_one").select(
+            "tid", "grp", "text", F.explode("lens").alias("n")).where(F.col("n") <= F.length("text"))
+        return (heads.select("tid", "grp", F.left("text", F.col("n")).alias("key"))
+                .join(key_df, ["grp", "key"], "left_semi").distinct())
+    if mode == "contains":
+        return _containing(text_df, key_df).select("tid", "grp", "key").distinct()
+    plain = F.col("key").rlike("^[a-z0-9_]+$")
+    tokens = text_df.select("tid", "grp", F.explode(F.array_distinct(F.split("text", "[^a-z0-9_]+"))).alias("key"))
+    found = tokens.join(key_df.where(plain), ["grp", "key"], "left_semi")
+    bounded = F.concat(F.lit(r"(?<![a-z0-9_])\Q"), F.col("key"), F.lit(r"\E(?![a-z0-9_])"))
+    special = _containing(text_df, key_df.where(~plain)).where(F.regexp_like("text", bounded))
+    return found.unionByName(special.select("tid", "grp", "key")).distinct()

@@ -18,14 +18,17 @@ from signalmine.functions.timefn import AsOf, recent
 from signalmine.operators.filters import is_open, open_items, recurring_errors
 
 
-def top_k(df: DataFrame, k: int, *order: Column) -> DataFrame:
-    return df.orderBy(*order).limit(k)
+def top_k(df: DataFrame, k: int | None, *order: Column) -> DataFrame:
+    """The first ``k`` rows; all rows (in no order) when None."""
+    return df if k is None else df.orderBy(*order).limit(k)
 
 
-def top_per_group(df: DataFrame, keys: list[str], order: list[Column], k: int,
+def top_per_group(df: DataFrame, keys: list[str], order: list[Column], k: int | None,
                   rank_col: str = "rank") -> DataFrame:
+    """Rows with their rank in the group, the first ``k`` or (None) all."""
     w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn(rank_col, F.row_number().over(w)).filter(F.col(rank_col) <= k)
+    ranked = df.withColumn(rank_col, F.row_number().over(w))
+    return ranked if k is None else ranked.filter(F.col(rank_col) <= k)
 
 
 # ---- §2.6 top-k reports ------------------------------------------------------
@@ -62,11 +65,12 @@ def latest_session_lessons(items: DataFrame, k: int = 10) -> DataFrame:
 
 def newest_sessions(files: DataFrame, k: int = 10, name_col: str = "file_name",
                     count_col: str = "summary_lines") -> DataFrame:
-    """Files with a summary, newest name first."""
+    """Files with a summary, newest name first. Pass counts per file
+    (``summary_counts``); texts are best built for the ``k`` files only."""
     return top_k(files.filter(F.col(count_col) > 0), k, F.col(name_col).desc())
 
 
-def global_link_cap(pairs: DataFrame, cap: int = 10) -> DataFrame:
+def global_link_cap(pairs: DataFrame, cap: int | None = 10) -> DataFrame:
     """At most ``cap`` new links per run, in source order then neighbour rank."""
     return top_k(pairs, cap, F.col("src"), F.col("rank"), F.col("dst"))
 

@@ -1,23 +1,25 @@
 """Similarity and linking.
 
 Exact cosine k-nearest-neighbours of a query set (the recent documents)
-against the whole corpus, without forming all pairs in Spark:
-
-1. the query side is size-checked and shipped to the executors in blocks of
-   at most ``MAX_QUERIES_PER_PASS`` L2-normalised vectors;
-2. every corpus partition multiplies its vectors with the block (numpy, one
-   matrix product per Arrow batch) and keeps only its local top-k per query;
-3. a per-query ``row_number`` over the ``k x partitions`` survivors gives the
-   global top-k.
-
-Work is O(queries x corpus) as exact kNN must be, but the shuffle carries only
-``k`` rows per (query, partition). Scores are rounded to 9 decimals before
-ordering so that exact copies tie and the tie-break (lower doc id) decides.
+against the whole corpus, without forming all pairs in Spark and without the
+driver:
+
+1. queries are dealt by hash into ``blocks`` blocks, each packed into one row of
+   L2-normalised vectors; corpus rows are packed per Arrow batch;
+2. every corpus batch is paired with every block (an equi-join on the block
+   number) and multiplied with it inside the task, which returns the batch's
+   top-k per query;
+3. a per-query merge of these gives the global top-k.
+
+Work is O(queries x corpus) as exact kNN must be, but the shuffle carries the
+corpus once per block and ``k`` rows per (query, batch). ``blocks`` bounds the
+memory: a task holds one block and one batch. Scores are rounded to 9 decimals
+before ordering so that exact copies tie and the tie-break (lower doc id)
+decides.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,7 +30,7 @@ from pyspark.sql import functions as F
 from signalmine.operators.joins import unlinked_neighbours
 from signalmine.operators.ranking import global_link_cap
 
-MAX_QUERIES_PER_PASS = 20_000
+QUERY_BLOCKS = 16
 SCORE_DIGITS = 9
 
 
@@ -57,67 +59,68 @@ def _block_topk(sims: np.ndarray, ids: np.ndarray, kk: int) -> tuple[np.ndarray,
     return rows[keep], cols[keep]
 
 
-def _local_topk(bc, k: int, exclude_self: bool):
+def _packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows (block, doc_id, embedding) packed per block and vector length."""
+    for pdf in batches:
+        if pdf.empty:
+            continue
+        pdf = pdf.assign(dim=pdf["embedding"].map(len))
+        for (block, dim), part in pdf.groupby(["block", "dim"]):
+            mat = _normalise(np.vstack([np.asarray(v, dtype=np.float64) for v in part["embedding"]]))
+            yield pd.DataFrame({"block": [block], "dim": [dim], "ids": [part["doc_id"].to_numpy(np.int64).tobytes()],
+                                "vectors": [mat.tobytes()]})
+
+
+_PACKED = "block int, dim int, ids binary, vectors binary"
+
+
+def _local_topk(k: int, exclude_self: bool):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        q_ids, q_mat = bc.value
         for pdf in batches:
-            if pdf.empty:
-                continue
-            ids = pdf["doc_id"].to_numpy().astype(np.int64)
-            mat = _normalise(np.vstack([np.asarray(v, dtype=np.float64) for v in pdf["embedding"]]))
-            kk = min(k, mat.shape[0])
-            for start in range(0, q_ids.shape[0], QUERY_BLOCK):
-                qb_ids = q_ids[start:start + QUERY_BLOCK]
-                sims = np.round(q_mat[start:start + QUERY_BLOCK] @ mat.T, SCORE_DIGITS)
-                if exclude_self:
-                    sims[qb_ids[:, None] == ids[None, :]] = -np.inf
-                r, c = _block_topk(sims, ids, kk)
-                if r.shape[0]:
-                    yield pd.DataFrame({"src": qb_ids[r], "dst": ids[c], "score": sims[r, c].astype(np.float64)})
+            for row in pdf.itertuples():
+                q_ids, ids = np.frombuffer(row.q_ids, np.int64), np.frombuffer(row.ids, np.int64)
+                q_mat = np.frombuffer(row.q_vectors, np.float64).reshape(len(q_ids), -1)
+                mat = np.frombuffer(row.vectors, np.float64).reshape(len(ids), -1)
+                kk = min(k, mat.shape[0])
+                for start in range(0, q_ids.shape[0], QUERY_BLOCK):
+                    qb_ids = q_ids[start:start + QUERY_BLOCK]
+                    sims = np.round(q_mat[start:start + QUERY_BLOCK] @ mat.T, SCORE_DIGITS)
+                    if exclude_self:
+                        sims[qb_ids[:, None] == ids[None, :]] = -np.inf
+                    r, c = _block_topk(sims, ids, kk)
+                    if r.shape[0]:
+                        yield pd.DataFrame({"src": qb_ids[r], "dst": ids[c], "score": sims[r, c].astype(np.float64)})
     return run
 
 
 def nearest_documents(docs: DataFrame, queries: DataFrame, k: int = 5, exclude_self: bool = True,
-                      max_queries_per_pass: int = MAX_QUERIES_PER_PASS) -> DataFrame:
+                      blocks: int = QUERY_BLOCKS) -> DataFrame:
     """For every query document the ``k`` most cosine-similar documents.
 
     ``docs`` and ``queries`` have (doc_id, embedding). Result (src, dst,
-    score, rank); ties broken by the lower dst id.
+    score, rank); ties broken by the lower dst id. Without ``exclude_self`` a
+    query's id is no document id, and a document with the same number counts.
     """
-    spark = docs.sparkSession
-    q = queries.select("doc_id", "embedding").filter(F.col("embedding").isNotNull())
-    n = q.count()  # size check of the shipped side
-    schema = "src long, dst long, score double"
-    if n == 0:
-        return spark.createDataFrame([], schema + ", rank int")
-    passes = max(1, math.ceil(n / max_queries_per_pass))
-    corpus = docs.select("doc_id", "embedding").filter(F.col("embedding").isNotNull())
-    out = None
-    for p in range(passes):
-        block = q if passes == 1 else q.filter(F.abs(F.xxhash64("doc_id")) % passes == p)
-        rows = [(r["doc_id"], r["embedding"]) for r in block.toLocalIterator()]
-        q_ids = np.array([r[0] for r in rows], dtype=np.int64)
-        q_mat = _normalise(np.array([r[1] for r in rows], dtype=np.float64))
-        bc = spark.sparkContext.broadcast((q_ids, q_mat))
-        part = corpus.mapInPandas(_local_topk(bc, k, exclude_self), schema)
-        out = part if out is None else out.unionByName(part)
+    fine = F.col("embedding").isNotNull() & (F.size("embedding") > 0)
+    deal = F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int")
+    q = queries.filter(fine).select(deal.alias("block"), "doc_id", "embedding").repartition(blocks, "block")
+    q = q.mapInPandas(_packed, _PACKED).select("block", "dim", F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"))
+    corpus = docs.filter(fine).select(F.lit(0).alias("block"), "doc_id", "embedding").mapInPandas(_packed, _PACKED)
+    corpus = corpus.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    near = (corpus.join(q, ["block", "dim"]).select("q_ids", "q_vectors", "ids", "vectors")
+            .mapInPandas(_local_topk(k, exclude_self), "src long, dst long, score double"))
     w = Window.partitionBy("src").orderBy(F.col("score").desc(), F.col("dst"))
-    return out.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    return near.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
-def propose_links(docs: DataFrame, links: DataFrame, k: int = 5, cap: int | None = 10,
-                  min_recent: int = 2) -> DataFrame:
-    """Neighbours of recent documents that are not linked yet, at most ``cap``
-    per run in (source, rank) order; nothing when fewer than ``min_recent``
-    recent documents exist."""
-    recent_docs = docs.filter(F.col("is_recent"))
-    if recent_docs.limit(min_recent).count() < min_recent:
-        return docs.sparkSession.createDataFrame([], "src long, dst long, score double, rank int")
-    nn = nearest_documents(docs, recent_docs, k)
-    cands = unlinked_neighbours(nn, links, docs)
-    if cap is None:
-        return cands
-    return global_link_cap(cands, cap)
+def propose_links(docs: DataFrame, links: DataFrame, k: int = 5, cap: int | None = None,
+                  texts: DataFrame | None = None) -> DataFrame:
+    """Neighbours of recent documents that are not linked yet (nor, with
+    ``texts``, mentioned by the document); with ``cap`` at most so many, in
+    (source, rank) order."""
+    nn = nearest_documents(docs, docs.filter(F.col("is_recent")), k)
+    cands = unlinked_neighbours(nn, links, docs, texts)
+    return cands if cap is None else global_link_cap(cands, cap)
 
 
 def apply_links(texts: DataFrame, pairs: DataFrame, day: str, id_col: str = "doc_id",
@@ -136,9 +139,17 @@ def apply_links(texts: DataFrame, pairs: DataFrame, day: str, id_col: str = "doc
     return j.withColumn(text_col, new_text).withColumn("changed", F.col("_add").isNotNull()).drop("_add")
 
 
-def resolve_found_misses(queries: DataFrame, docs: DataFrame, threshold: float = 0.6) -> DataFrame:
-    """Per query vector the best document score and whether it is a hit (> threshold)."""
-    best = nearest_documents(docs, queries, k=1, exclude_self=True)
-    return (queries.select(F.col("doc_id").alias("src")).join(best.select("src", "score"), "src", "left")
-            .select(F.col("src").alias("query_id"), F.col("score").alias("best_score"),
-                    (F.coalesce(F.col("score"), F.lit(-1.0)) > threshold).alias("found")))
+def resolve_found_misses(misses: DataFrame, vectors: DataFrame, docs: DataFrame, threshold: float = 0.6,
+                         by: str = "rag-filler-found") -> DataFrame:
+    """``misses`` with the unresolved ones resolved whose search now hits: the
+    best document's score for the miss's vector (``vectors``: id, embedding) is
+    above the threshold. Adds found_score (null without a vector) and changed."""
+    open_ = misses.filter(F.col("resolved") == F.lit(False)).select("id")
+    queries = vectors.join(open_, "id", "left_semi").select(F.col("id").alias("doc_id"), "embedding")
+    best = nearest_documents(docs, queries, k=1, exclude_self=False).select(
+        F.col("src").alias("_miss"), F.col("score").alias("found_score"))
+    j = misses.join(best, F.col("id") == F.col("_miss"), "left").drop("_miss")
+    j = j.withColumn("changed", (F.col("resolved") == F.lit(False)) & (F.coalesce("found_score", F.lit(-1.0)) > threshold))
+    old = F.col("resolved_by") if "resolved_by" in misses.columns else F.lit(None).cast("string")
+    return (j.withColumn("resolved_by", F.when(F.col("changed"), F.lit(by)).otherwise(old))
+            .withColumn("resolved", F.col("resolved") | F.col("changed")))

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from signalmine.functions.constants import (
-    CLASSIFY_ACTIONS, CRYSTALLIZE_MIN_RUNS, CRYSTALLIZE_MIN_SCORE, FALLBACK_HEADING, FINDING_TYPES,
+    CLASSIFY_ACTIONS, GAP_STUB_TEXT, PLAYBOOK_TEXT, STUB_TEXT, CRYSTALLIZE_MIN_RUNS, CRYSTALLIZE_MIN_SCORE, FALLBACK_HEADING, FINDING_TYPES,
     HEADLINE, LESSON_BULLET, SESSION_ITEM_PREFIX, SUMMARY_LINE,
 )
 from signalmine.functions.text import digits_only, left, slugify
@@ -29,15 +29,23 @@ def ordered_text(line_no: str, text: str, sep: str = "\n") -> Column:
 
 # ---- session logs ------------------------------------------------------------------
 
-def session_headline(lines: DataFrame, file_col: str = "file_name", max_len: int = 120) -> DataFrame:
-    """First line with RESULT/result/Result/'## ' per file, at most 120 characters."""
+def session_headline(lines: DataFrame, file_col: str = "file_name", max_len: int | None = None) -> DataFrame:
+    """First line with RESULT/result/Result/'## ' per file."""
     hits = lines.filter(F.col("line").rlike(HEADLINE))
     return hits.groupBy(file_col).agg(left(F.min_by("line", "line_no"), max_len).alias("headline"))
 
 
-def session_summary(lines: DataFrame, file_col: str = "file_name", n: int = 8) -> DataFrame:
-    """First ``n`` summary lines per file, joined, and how many there are."""
-    hits = top_per_group(lines.filter(F.col("line").rlike(SUMMARY_LINE)), [file_col], [F.col("line_no")], n)
+def summary_counts(lines: DataFrame, file_col: str = "file_name") -> DataFrame:
+    """Number of summary lines per file, without building their text."""
+    return (lines.filter(F.col("line").rlike(SUMMARY_LINE)).groupBy(file_col)
+            .agg(F.count(F.lit(1)).alias("summary_lines")))
+
+
+def session_summary(lines: DataFrame, file_col: str = "file_name", n: int | None = None) -> DataFrame:
+    """The summary lines of each file (the first ``n`` if given), joined, and how many there are."""
+    hits = lines.filter(F.col("line").rlike(SUMMARY_LINE))
+    if n is not None:
+        hits = top_per_group(hits, [file_col], [F.col("line_no")], n)
     return hits.groupBy(file_col).agg(ordered_text("line_no", "line").alias("summary"),
                                       F.count(F.lit(1)).alias("summary_lines"))
 
@@ -46,8 +54,8 @@ def strip_bullet(col: Column) -> Column:
     return F.regexp_replace(col, r"^\s*[-*]\s*", "")
 
 
-def session_lessons(lines: DataFrame, file_col: str = "file_name", n: int = 5) -> DataFrame:
-    """Bullet lines holding a lesson key word (case-insensitive), first ``n`` per file."""
+def session_lessons(lines: DataFrame, file_col: str = "file_name", n: int | None = None) -> DataFrame:
+    """Bullet lines holding a lesson key word (case-insensitive), ranked per file; the first ``n`` if given."""
     hits = lines.filter(F.col("line").rlike("(?i)" + LESSON_BULLET))
     return top_per_group(hits, [file_col], [F.col("line_no")], n, "lesson_rank")
 
@@ -59,10 +67,10 @@ def section_ids(lines: DataFrame, file_col: str, heading: Column) -> DataFrame:
             .withColumn("section", F.sum(F.col("_is_head").cast("int")).over(w)))
 
 
-def session_lessons_fallback(lines: DataFrame, file_col: str = "file_name", n: int = 3) -> DataFrame:
+def session_lessons_fallback(lines: DataFrame, file_col: str = "file_name", n: int | None = None) -> DataFrame:
     """Headings result/insight/... (case-insensitive) followed by body text
     before the next '##' heading; a body line has a letter, is not a quote
-    and not blank. First ``n`` such headings per file."""
+    and not blank. Ranked per file; the first ``n`` if given."""
     any_head = F.col("line").startswith("##")
     s = section_ids(lines, file_col, any_head)
     body = (~F.col("_is_head") & ~F.col("line").startswith(">") & F.col("line").rlike(r"\p{L}"))
@@ -77,13 +85,13 @@ def session_lessons_fallback(lines: DataFrame, file_col: str = "file_name", n: i
 
 def first_lessons(lines: DataFrame, file_col: str = "file_name") -> DataFrame:
     """Per file the first lesson: a bullet lesson, or else the fallback heading."""
-    bullets = session_lessons(lines, file_col).filter(F.col("lesson_rank") == 1) \
+    bullets = session_lessons(lines, file_col, 1) \
         .select(file_col, F.col("line").alias("raw"), F.lit(1).alias("prio"))
-    heads = session_lessons_fallback(lines, file_col).filter(F.col("lesson_rank") == 1) \
+    heads = session_lessons_fallback(lines, file_col, 1) \
         .select(file_col, F.col("line").alias("raw"), F.lit(2).alias("prio"))
     both = bullets.unionByName(heads)
     best = both.groupBy(file_col).agg(F.min_by("raw", "prio").alias("raw"))
-    return best.select(file_col, left(strip_bullet(F.col("raw")), 500).alias("lesson"))
+    return best.select(file_col, strip_bullet(F.col("raw")).alias("lesson"))
 
 
 def session_items(lines: DataFrame, items: DataFrame, file_col: str = "file_name") -> DataFrame:
@@ -98,17 +106,14 @@ def session_items(lines: DataFrame, items: DataFrame, file_col: str = "file_name
         F.lit(1).alias("occurrence_count"))
 
 
-def combine_sessions(lines: DataFrame, file_col: str = "file_name", max_files: int = 8,
-                     max_lines: int = 50, file_order: Column | None = None) -> DataFrame:
-    """Digest of up to ``max_files`` files x ``max_lines`` lines, one row."""
-    heads = top_per_group(lines, [file_col], [F.col("line_no")], max_lines)
+def combine_sessions(lines: DataFrame, file_col: str = "file_name", max_lines: int | None = None) -> DataFrame:
+    """(file, block): one '--- SESSION: <file> ---' block per file with its lines
+    (the first ``max_lines`` if given). The whole digest is these blocks in file
+    order; a reader that needs it as one text takes as many as fit."""
+    heads = lines if max_lines is None else top_per_group(lines, [file_col], [F.col("line_no")], max_lines)
     per_file = heads.groupBy(file_col).agg(ordered_text("line_no", "line").alias("content"))
-    order = file_order if file_order is not None else F.col(file_col)
-    chosen = per_file.orderBy(order).limit(max_files)
-    block = F.concat(F.lit("\n\n--- SESSION: "), F.col(file_col), F.lit(" ---\n"), F.col("content"))
-    return chosen.agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(F.col(file_col), block.alias("b")))),
-                                               lambda x: x["b"]), "").alias("combined"),
-                      F.count(F.lit(1)).alias("files"))
+    return per_file.select(file_col, F.concat(F.lit("\n\n--- SESSION: "), F.col(file_col), F.lit(" ---\n"),
+                                              F.col("content")).alias("block"))
 
 
 def bullet_lines(lines: DataFrame, text_col: str = "line") -> DataFrame:
@@ -148,7 +153,7 @@ def typed_findings(findings: DataFrame, kind: str) -> DataFrame:
 def playbooks_from_findings(findings: DataFrame, folder: str = "playbooks") -> DataFrame:
     """PLAYBOOK|symptom|diagnosis|fix -> (path, slug, symptom, diagnosis, fix);
     the first finding per slug wins."""
-    f = typed_findings(findings, "PLAYBOOK").withColumn("slug", slugify("key", 40))
+    f = typed_findings(findings, "PLAYBOOK").withColumn("slug", slugify("key"))
     first = top_per_group(f, ["slug"], [F.col("line_no")], 1, "_r").drop("_r")
     return first.select(F.concat(F.lit(folder + "/"), F.col("slug"), F.lit(".md")).alias("path"), "slug",
                         F.col("key").alias("symptom"), F.col("b").alias("diagnosis"), F.col("c").alias("fix"),
@@ -156,18 +161,33 @@ def playbooks_from_findings(findings: DataFrame, folder: str = "playbooks") -> D
 
 
 def playbook_content(pb: DataFrame, day: str, run_id: str | int) -> DataFrame:
+    """Playbooks as documents (path, content)."""
     body = F.format_string(
-        "---\ntitle: Playbook - %s\ntype: playbook\ncreated: %s\nsource: dreaming-run-%s\n---\n\n"
-        "# Playbook: %s\n\n## Symptom\n%s\n\n## Diagnosis\n%s\n\n## Fix\n%s\n\n## History\n- %s: Created by Dreaming Run #%s\n",
-        F.col("symptom"), F.lit(day), F.lit(str(run_id)), F.col("symptom"), F.col("symptom"),
+        PLAYBOOK_TEXT, F.col("symptom"), F.lit(day), F.lit(str(run_id)), F.col("symptom"), F.col("symptom"),
         F.col("diagnosis"), F.col("fix"), F.lit(day), F.lit(str(run_id)))
     return pb.select("path", body.alias("content"))
 
 
+def stub_content(stubs: DataFrame, day: str, run_id: str | int) -> DataFrame:
+    """Stubs of ``stubs_from_findings`` as documents (path, content)."""
+    body = F.format_string(STUB_TEXT, F.col("topic"), F.lit(day), F.col("topic"), F.lit(str(run_id)), F.lit(day))
+    return stubs.select("path", body.alias("content"))
+
+
+def gap_stub_content(stubs: DataFrame, day: str, query_col: str = "query_prefix",
+                     creator: str = "gap-filler") -> DataFrame:
+    """Parsed replies (folder, file, content, the query) as stub documents: front
+    matter, a note naming the query, the reply's content."""
+    title = F.regexp_replace(F.regexp_replace("file", r"\.md$", ""), "_", " ")
+    body = F.format_string(GAP_STUB_TEXT, title, F.lit(day), F.lit(creator), F.col(query_col), title, F.col(query_col),
+                           F.col("content"), F.lit(day), F.lit(creator), F.col(query_col))
+    return stubs.select(query_col, F.concat_ws("/", "folder", "file").alias("path"), body.alias("content"))
+
+
 def stubs_from_findings(findings: DataFrame) -> DataFrame:
     """VAULTGAP|topic|path -> (path, topic); default path from the topic; first per path."""
     f = typed_findings(findings, "VAULTGAP")
-    default = F.concat(F.lit("known-issues/STUB_"), left(F.regexp_replace("key", " ", "_"), 40), F.lit(".md"))
+    default = F.concat(F.lit("known-issues/STUB_"), F.regexp_replace("key", " ", "_"), F.lit(".md"))
     f = f.withColumn("path", F.coalesce(F.nullif(F.col("b"), F.lit("")), default))
     first = top_per_group(f, ["path"], [F.col("line_no")], 1, "_r").drop("_r")
     return first.select("path", F.col("key").alias("topic"), "line_no")
@@ -198,8 +218,8 @@ def parse_classifications(lines: DataFrame) -> DataFrame:
 def parse_stub_reply(replies: DataFrame, text_col: str = "reply") -> DataFrame:
     """FOLDER:, FILE: and CONTENT: fields of a reply; dropped without folder or file."""
     t = F.col(text_col)
-    out = replies.withColumn("folder", F.trim(F.regexp_extract(t, r"(?m)^FOLDER:\s*(.*)$", 1))) \
-        .withColumn("file", F.trim(F.regexp_extract(t, r"(?m)^FILE:\s*(.*)$", 1))) \
+    out = replies.withColumn("folder", F.trim(F.regexp_extract(t, r"(?m)^FOLDER:[ \t]*(.*)$", 1))) \
+        .withColumn("file", F.trim(F.regexp_extract(t, r"(?m)^FILE:[ \t]*(.*)$", 1))) \
         .withColumn("content", F.regexp_extract(t, r"(?s)CONTENT:\s*(.*)$", 1))
     return out.filter((F.col("folder") != "") & (F.col("file") != ""))
 
@@ -239,6 +259,7 @@ def task_front_matter(lines: DataFrame, file_col: str = "path", default_budget:
                        F.regexp_replace(F.regexp_replace("line", r"^[A-Za-z_]+: *", ""), '"', "").alias("v"))
     kv = kv.filter(F.col("k").isin(FRONT_MATTER_KEYS))
     firsts = kv.groupBy(file_col).pivot("k", FRONT_MATTER_KEYS).agg(F.min_by("v", "line_no"))
+    firsts = lines.select(file_col).distinct().join(firsts, file_col, "left")  # none of the keys: the defaults
     return (firsts.withColumn("max_budget_usd", F.coalesce(F.nullif("max_budget_usd", F.lit("")),
                                                            F.lit(str(default_budget))).cast("decimal(12,2)"))
             .withColumn("max_hours", F.coalesce(F.nullif("max_hours", F.lit("")),
@@ -260,11 +281,13 @@ def task_phases(lines: DataFrame, file_col: str = "path") -> DataFrame:
     return phases.select(file_col, F.row_number().over(w).alias("phase"), "prompt")
 
 
-def doc_query_text(lines: DataFrame, file_col: str = "file_name", head: int = 10, take: int = 3) -> DataFrame:
-    """Of the first ``head`` lines: drop '---' and blank ones, join the first ``take`` by a space."""
-    first = top_per_group(lines, [file_col], [F.col("line_no")], head, "_r")
+def doc_query_text(lines: DataFrame, file_col: str = "file_name", head: int | None = None,
+                   take: int | None = None) -> DataFrame:
+    """Lines joined by a space without '---' and blank ones (of the first ``head``
+    lines, the first ``take`` left, if given)."""
+    first = lines if head is None else top_per_group(lines, [file_col], [F.col("line_no")], head, "_r")
     kept = first.filter((F.col("line") != "---") & (F.trim(F.col("line")) != ""))
-    picked = top_per_group(kept, [file_col], [F.col("line_no")], take, "_r2")
+    picked = kept if take is None else top_per_group(kept, [file_col], [F.col("line_no")], take, "_r2")
     return picked.groupBy(file_col).agg(ordered_text("line_no", "line", " ").alias("query_text"))
 
 

@@ -20,7 +20,7 @@ from signalmine.functions.timefn import AsOf
 from signalmine.operators.filters import topic_flags, with_lowered
 from signalmine.operators.joins import regression_pairs
 
-CLAIM_SCHEMA = "repo string, new_id long, old_id long, claim_rank int"
+CLAIM_SCHEMA = "repo string, new_id long, old_id long, claim_rank int, new_completed_at timestamp_ntz"
 
 
 def _greedy_claims(k: int):
@@ -37,15 +37,15 @@ def _greedy_claims(k: int):
                     continue
                 n += 1
                 claimed.add(old_id)
-                out.append((grp["repo"].iloc[0], new_id, old_id, n))
+                out.append((grp["repo"].iloc[0], new_id, old_id, n, grp["new_completed_at"].iloc[0]))
                 if n >= k:
                     break
-        return pd.DataFrame(out, columns=["repo", "new_id", "old_id", "claim_rank"])
+        return pd.DataFrame(out, columns=["repo", "new_id", "old_id", "claim_rank", "new_completed_at"])
     return run
 
 
 def claim_regressions(tasks: DataFrame, as_of: AsOf, new_days: float = 1, lookback_days: float = 30,
-                      k: int = 3, max_new: int | None = 20) -> DataFrame:
+                      k: int = 3, max_new: int | None = None) -> DataFrame:
     """Sequential form of ``regression_candidates``: new tasks newest first, an
     older task already marked by an earlier new task is not reused.
 
@@ -54,15 +54,15 @@ def claim_regressions(tasks: DataFrame, as_of: AsOf, new_days: float = 1, lookba
     the run)`` newest candidates (at most that many can be taken before it),
     so each candidate list is cut by a WindowGroupLimit first. Repositories are
     independent, so the loop is a ``groupBy(repo).applyInPandas`` whose group
-    holds at most ``k x n_new^2`` pairs: bounded by the new-task window, not by
-    the table or by how many tasks a hot repository has.
+    holds at most ``k x n_new^2`` pairs of that repository's new tasks: bounded
+    by the new-task window, not by how many old tasks a hot repository has.
     """
     pairs = regression_pairs(tasks, as_of, new_days, lookback_days, max_new)
-    # a literal bound (k x all new tasks) lets Spark cut each list before the shuffle;
-    # max_new already bounds the new tasks, otherwise they are counted (one small job)
-    n_new = max_new if max_new is not None else pairs.select("new_id").distinct().count()
+    # a new task can lose at most k candidates to each other new task of its repository
+    new_tasks = pairs.groupBy("repo").agg(F.countDistinct("new_id").alias("_n"))
     w = Window.partitionBy("new_id").orderBy(F.col("old_completed_at").desc(), F.col("old_id").desc())
-    ranked = pairs.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= max(1, n_new) * k).drop("_r")
+    ranked = pairs.withColumn("_r", F.row_number().over(w)).join(new_tasks, "repo")
+    ranked = ranked.filter(F.col("_r") <= F.col("_n") * k).drop("_r", "_n")
     return ranked.groupBy("repo").applyInPandas(_greedy_claims(k), CLAIM_SCHEMA)
 
 
@@ -80,7 +80,7 @@ def rule_classifier(items: DataFrame) -> DataFrame:
     action = F.lit("skip")
     for name in reversed(list(flags)):
         action = F.when(flags[name], F.lit(DEFAULT_ACTION_BY_TOPIC[name])).otherwise(action)
-    return with_lowered(items).select("id", action.alias("action"), F.left(F.col("lesson"), F.lit(200)).alias("description"))
+    return with_lowered(items).select("id", action.alias("action"), F.col("lesson").alias("description"))
 
 
 def pandas_classifier(fn):
@@ -93,7 +93,7 @@ def pandas_classifier(fn):
 
     def classify(items: DataFrame) -> DataFrame:
         return items.select("id", udf(F.col("lesson")).alias("action"),
-                            F.left(F.col("lesson"), F.lit(200)).alias("description"))
+                            F.col("lesson").alias("description"))
     return classify
 
 

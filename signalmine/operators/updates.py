@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from signalmine.functions.constants import ERROR_ITEM_PREFIX, PROPOSAL_TEXT, REGRESSION_REASON
+from signalmine.functions.text import left
 from signalmine.functions.timefn import AsOf, older_than, recent, to_datetime, ts_ntz
 from signalmine.operators.filters import is_open
 from signalmine.operators.joins import duplicate_items, errors_without_item, mark_by_ids
@@ -77,7 +78,7 @@ def resolve_misses_by_cluster(misses: DataFrame, cluster_ids: DataFrame, reason:
 
 
 def append_pattern_notes(patterns: DataFrame, pattern_findings: DataFrame, as_of: AsOf,
-                         max_len: int = 500) -> DataFrame:
+                         max_len: int | None = None) -> DataFrame:
     """root_cause / mitigation <- old || '\\n[date] text' per PATTERN finding, in line order.
 
     Findings are grouped per key into one ordered note (``array_sort`` of
@@ -86,8 +87,8 @@ def append_pattern_notes(patterns: DataFrame, pattern_findings: DataFrame, as_of
     stamp = F.lit("\n[" + to_datetime(as_of).strftime("%Y-%m-%d") + "] ")
     f = pattern_findings.select(
         F.col("key").alias("pattern_key"), "line_no",
-        F.concat(stamp, F.left(F.coalesce(F.col("b"), F.lit("")), F.lit(max_len))).alias("cause_note"),
-        F.concat(stamp, F.left(F.coalesce(F.col("c"), F.lit("")), F.lit(max_len))).alias("fix_note"))
+        F.concat(stamp, left(F.coalesce(F.col("b"), F.lit("")), max_len)).alias("cause_note"),
+        F.concat(stamp, left(F.coalesce(F.col("c"), F.lit("")), max_len)).alias("fix_note"))
     notes = f.groupBy("pattern_key").agg(
         F.array_sort(F.collect_list(F.struct("line_no", "cause_note", "fix_note"))).alias("ns"))
     notes = notes.select(
@@ -110,13 +111,8 @@ def append_pattern_notes(patterns: DataFrame, pattern_findings: DataFrame, as_of
 
 def make_proposals(candidates: DataFrame, as_of: AsOf) -> DataFrame:
     """NEW_RULE proposal rows; confidence = least(count, 10), status pending."""
-    tmpl = PROPOSAL_TEXT
-    content = F.concat(
-        F.lit(tmpl.split("{key}")[0]), F.col("key_clean"),
-        F.lit(tmpl.split("{key}")[1].split("{n}")[0]), F.col("occurrence_count").cast("string"),
-        F.lit(tmpl.split("{n}")[1].split("{old}")[0]), F.col("old_count").cast("string"),
-        F.lit(tmpl.split("{old}")[1].split("{desc}")[0]), F.col("desc_clean"),
-        F.lit(tmpl.split("{desc}")[1]))
+    content = F.format_string(PROPOSAL_TEXT, "key_clean", F.col("occurrence_count").cast("string"),
+                              F.col("old_count").cast("string"), "desc_clean")
     return candidates.select(
         F.lit("NEW_RULE").alias("proposal_type"), "target_skill",
         content.alias("proposal_content"),
@@ -125,9 +121,8 @@ def make_proposals(candidates: DataFrame, as_of: AsOf) -> DataFrame:
         F.lit("pending").alias("status"), ts_ntz(as_of).alias("created_at"))
 
 
-def errors_to_items(patterns: DataFrame, items: DataFrame, min_count: int = 5, k: int = 10) -> DataFrame:
-    """'error' items for recurring patterns without one; at most ``k`` (the
-    reference's LIMIT has no order: ours is count desc, key)."""
+def errors_to_items(patterns: DataFrame, items: DataFrame, min_count: int = 5, k: int | None = None) -> DataFrame:
+    """'error' items for recurring patterns without one; the ``k`` most frequent if given."""
     cand = errors_without_item(patterns, items, min_count)
     rows = cand.select(
         F.lit("error").alias("source"),
@@ -163,22 +158,36 @@ def mark_regressions(tasks: DataFrame, pairs: DataFrame, as_of: AsOf) -> DataFra
             .drop("_by"))
 
 
-def record_run(ledger: DataFrame | None, summary: DataFrame, as_of: AsOf, duration_s: int | None = None,
-               status: str = "completed") -> DataFrame:
-    """Append one completed run row built from ``run_summary`` to the ledger."""
-    row = summary.select(
-        F.lit(to_datetime(as_of).date()).alias("run_date"), F.lit(status).alias("status"),
-        F.col("playbooks").cast("int").alias("playbooks_created"),
-        F.col("applied").cast("int").alias("learnings_applied"),
-        F.col("patterns").cast("int").alias("patterns_updated"),
-        F.col("gaps").cast("int").alias("rag_gaps_filled"),
-        F.lit(duration_s).cast("int").alias("duration_seconds"),
-        ts_ntz(as_of).alias("created_at"))
-    if ledger is None:
-        return row
+RUN_COUNTERS = ["sessions_analyzed", "learnings_applied", "patterns_updated", "playbooks_created",
+                "skill_proposals_created", "rag_gaps_filled"]
+
+
+def start_run(ledger: DataFrame, run_id: int, as_of: AsOf) -> DataFrame:
+    """The ledger with the opening row of a run (status 'running', no counters)."""
+    one = ledger.sparkSession.range(1)
+    row = one.select(F.lit(run_id).cast("bigint").alias("id"), F.lit(to_datetime(as_of).date()).alias("run_date"),
+                     F.lit("running").alias("status"), ts_ntz(as_of).alias("created_at"))
     return ledger.unionByName(row, allowMissingColumns=True)
 
 
+def record_run(ledger: DataFrame, summary: DataFrame, run_id: int, duration_s: int | None = None,
+               report_path: str | None = None, cost_usd: float = 0.0, status: str = "completed") -> DataFrame:
+    """The ledger with run ``run_id`` closed: the counters of ``summary`` (one
+    row; RUN_COUNTERS, missing ones 0), duration, report path and cost."""
+    have = [c for c in RUN_COUNTERS if c in summary.columns]
+    row = summary.select(F.lit(run_id).cast("bigint").alias("_id"), *[
+        (F.col(c) if c in have else F.lit(0)).cast("bigint").alias("_" + c) for c in RUN_COUNTERS])
+    j = ledger.join(row, F.col("id") == F.col("_id"), "left")
+    hit = F.col("_id").isNotNull()
+    new = {c: F.col("_" + c) for c in RUN_COUNTERS} | {
+        "vault_report_path": F.lit(report_path).cast("string"), "duration_seconds": F.lit(duration_s).cast("bigint"),
+        "cost_usd": F.lit(cost_usd).cast("decimal(12,2)"), "status": F.lit(status)}
+    for c, value in new.items():
+        old = F.col(c) if c in ledger.columns else F.lit(None)
+        j = j.withColumn(c, F.when(hit, value).otherwise(old))
+    return j.drop("_id", *["_" + c for c in RUN_COUNTERS])
+
+
 def purge_staging(files: DataFrame, as_of: AsOf, days: int = 14, ts_col: str = "modified_at") -> DataFrame:
     """Keep staging rows/files not older than ``days``."""
     return files.filter(~F.coalesce(older_than(ts_col, as_of, days=days), F.lit(False)))

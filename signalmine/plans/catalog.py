@@ -28,6 +28,7 @@ from signalmine.operators import updates as up
 from signalmine.plans import jobs
 from signalmine.plans.oracle_views import with_views
 from signalmine.sources import files as src
+from signalmine.sources import sinks
 from signalmine.sources.fixtures import AS_OF_EVENTS, AS_OF_TASKS, Fixtures
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -107,18 +108,17 @@ def q_recent_misses(fx: Fixtures) -> DataFrame:
 
 @query("recent_decisions", f"""
 SELECT id, skill_name, decision_type, judge_decision, was_applied, created_at FROM skill_decisions
-WHERE created_at > {EV} - INTERVAL 7 DAY ORDER BY created_at DESC, id DESC LIMIT 10""", ("skill_decisions",))
+WHERE created_at > {EV} - INTERVAL 7 DAY""", ("skill_decisions",))
 def q_recent_decisions(fx: Fixtures) -> DataFrame:
-    return flt.recent_decisions(fx.skill_decisions, AS_OF_EVENTS, 7, 10)
+    return flt.recent_decisions(fx.skill_decisions, AS_OF_EVENTS, 7)
 
 
 @query("recent_completed_tasks", f"""
 SELECT id, target_repo, prompt, category, completed_at FROM tasks
 WHERE category IN ('bug', 'ops', 'security') AND status = 'completed' AND target_repo IS NOT NULL
-  AND completed_at > {TK} - INTERVAL 30 DAY
-ORDER BY completed_at DESC, id DESC LIMIT 20""", ("tasks",))
+  AND completed_at > {TK} - INTERVAL 30 DAY""", ("tasks",))
 def q_recent_completed_tasks(fx: Fixtures) -> DataFrame:
-    return flt.recent_completed_tasks(fx.tasks, AS_OF_TASKS, days=30, k=20)
+    return flt.recent_completed_tasks(fx.tasks, AS_OF_TASKS, days=30)
 
 
 @query("topic_tags", "SELECT id, source, concat_ws(',', " + ", ".join(
@@ -153,16 +153,15 @@ def q_alert_priority(fx: Fixtures) -> DataFrame:
 
 
 @query("miss_clusters", """
-SELECT left(query, 120) AS query_prefix, count(*) AS miss_count, max(created_at) AS last_miss
-FROM rag_misses WHERE resolved = false GROUP BY left(query, 120) HAVING count(*) >= 2
-ORDER BY miss_count DESC, query_prefix LIMIT 10""", ("rag_misses",))
+SELECT query AS query_prefix, count(*) AS miss_count, max(created_at) AS last_miss
+FROM rag_misses WHERE resolved = false GROUP BY query HAVING count(*) >= 2""", ("rag_misses",))
 def q_miss_clusters(fx: Fixtures) -> DataFrame:
-    return agg.miss_clusters(fx.rag_misses, 120, 2, 10)
+    return agg.miss_clusters(fx.rag_misses)
 
 
 @query("miss_counts_7d", f"""
-SELECT left(query, 100) AS query, count(*) AS miss_count FROM rag_misses
-WHERE created_at > {EV} - INTERVAL 7 DAY GROUP BY left(query, 100) ORDER BY miss_count DESC, query LIMIT 15""",
+SELECT query, count(*) AS miss_count FROM rag_misses
+WHERE created_at > {EV} - INTERVAL 7 DAY GROUP BY query""",
        ("rag_misses",))
 def q_miss_counts_7d(fx: Fixtures) -> DataFrame:
     return agg.miss_counts_7d(fx.rag_misses, AS_OF_EVENTS)
@@ -170,16 +169,16 @@ def q_miss_counts_7d(fx: Fixtures) -> DataFrame:
 
 @query("miss_last_seen", """
 SELECT query, count(*) AS miss_count, max(created_at) AS last_miss FROM rag_misses WHERE resolved = false
-GROUP BY query HAVING count(*) >= 3 ORDER BY miss_count DESC, query LIMIT 10""", ("rag_misses",))
+GROUP BY query HAVING count(*) >= 3""", ("rag_misses",))
 def q_miss_last_seen(fx: Fixtures) -> DataFrame:
-    return agg.miss_last_seen(fx.rag_misses, 3, 10)
+    return agg.miss_last_seen(fx.rag_misses, 3)
 
 
 @query("misses_to_items", f"""
-SELECT 'rag_miss' AS source, 'Knowledge base has no good coverage for: ' || substring(query, 1, 200) AS lesson,
+SELECT 'rag_miss' AS source, 'Knowledge base has no good coverage for: ' || query AS lesson,
  'vault' AS applicable_to, CAST(count(*) AS BIGINT) AS occurrence_count
 FROM rag_misses WHERE resolved = false AND created_at > {EV} - INTERVAL 24 HOUR
-GROUP BY substring(query, 1, 200) HAVING count(*) >= 2""", ("rag_misses",))
+GROUP BY query HAVING count(*) >= 2""", ("rag_misses",))
 def q_misses_to_items(fx: Fixtures) -> DataFrame:
     return agg.misses_to_items(fx.rag_misses, AS_OF_EVENTS).select(
         "source", "lesson", "applicable_to", _big("occurrence_count"))
@@ -190,7 +189,7 @@ WITH words AS (SELECT unnest(string_to_array(regexp_replace(lower(lesson), '[^a-
                FROM learning_items WHERE applied = false)
 SELECT word, count(*) AS occurrences FROM words
 WHERE length(word) > 5 AND word NOT IN ({_STOP})
-GROUP BY word HAVING count(*) >= 5 ORDER BY occurrences DESC, word LIMIT 20""", ("learning_items",))
+GROUP BY word HAVING count(*) >= 5""", ("learning_items",))
 def q_word_clusters(fx: Fixtures) -> DataFrame:
     return agg.word_clusters(fx.learning_items)
 
@@ -206,7 +205,7 @@ def q_topic_counts(fx: Fixtures) -> DataFrame:
 SELECT skill_name, count(*) AS total_uses,
  round(CAST(avg(CASE WHEN success THEN 100 ELSE 0 END) AS DECIMAL(20,6)), 2)::DOUBLE AS success_rate,
  round(avg(duration_minutes * 60000), 0)::DOUBLE AS avg_duration_ms, max(created_at) AS last_used
-FROM skill_metrics WHERE invoked = true GROUP BY skill_name ORDER BY total_uses DESC, skill_name LIMIT 15""",
+FROM skill_metrics WHERE invoked = true GROUP BY skill_name""",
        ("skill_metrics",))
 def q_skill_scorecard(fx: Fixtures) -> DataFrame:
     return agg.skill_scorecard(fx.skill_metrics)
@@ -254,8 +253,8 @@ def q_latest_proposal(fx: Fixtures) -> DataFrame:
 
 
 @query("first_per_group", """
-SELECT source, left(lesson, 80) AS lesson_prefix, min(id) AS first_id, count(*) AS group_size
-FROM learning_items WHERE applied = false GROUP BY source, left(lesson, 80) HAVING count(*) > 1""",
+SELECT source, sha256(lesson) AS lesson_key, min(id) AS first_id, count(*) AS group_size
+FROM learning_items WHERE applied = false GROUP BY source, lesson HAVING count(*) > 1""",
        ("learning_items",))
 def q_first_per_group(fx: Fixtures) -> DataFrame:
     return jn.first_per_group(fx.learning_items)
@@ -366,10 +365,10 @@ def q_scan_recent_commits(fx: Fixtures) -> DataFrame:
 @query("newest_sessions", """
 WITH s AS (SELECT file_name, count(*) AS summary_lines FROM session_lines
            WHERE regexp_matches(line, '^#|Root Cause|Result|Fix:|Commit:') GROUP BY file_name)
-SELECT file_name, CAST(least(summary_lines, 8) AS BIGINT) AS summary_lines FROM s
+SELECT file_name, CAST(summary_lines AS BIGINT) AS summary_lines FROM s
 ORDER BY file_name DESC LIMIT 10""", ("session_lines",))
 def q_newest_sessions(fx: Fixtures) -> DataFrame:
-    s = tx.session_summary(fx.session_lines)
+    s = tx.summary_counts(fx.session_lines)
     return rk.newest_sessions(s, 10).select("file_name", _big("summary_lines"))
 
 
@@ -378,7 +377,7 @@ def q_newest_sessions(fx: Fixtures) -> DataFrame:
 
 @query("duplicate_items", """
 SELECT DISTINCT l1.id FROM learning_items l1 JOIN learning_items l2
-  ON l1.id > l2.id AND l1.source = l2.source AND left(l1.lesson, 80) = left(l2.lesson, 80)
+  ON l1.id > l2.id AND l1.source = l2.source AND l1.lesson = l2.lesson
 WHERE l1.applied = false AND l2.applied = false""", ("learning_items",))
 def q_duplicate_items(fx: Fixtures) -> DataFrame:
     return jn.duplicate_items(fx.learning_items)
@@ -403,23 +402,24 @@ def q_sessions_without_item(fx: Fixtures) -> DataFrame:
     return jn.sessions_without_item(files, fx.learning_items)
 
 
-_GAP_CLUSTERS = """c AS (SELECT left(query, 200) AS query_prefix, count(*) AS miss_count FROM rag_misses
-  WHERE resolved = false GROUP BY left(query, 200) HAVING count(*) >= 2 ORDER BY miss_count DESC, query_prefix LIMIT 5)"""
+_GAP_CLUSTERS = """c AS (SELECT query AS query_prefix, count(*) AS miss_count FROM rag_misses
+  WHERE resolved = false GROUP BY query HAVING count(*) >= 2)"""
 
 
 @query("misses_by_prefix", f"""
 WITH {_GAP_CLUSTERS}
 SELECT m.id, c.query_prefix FROM rag_misses m JOIN c ON starts_with(m.query, c.query_prefix)""", ("rag_misses",))
 def q_misses_by_prefix(fx: Fixtures) -> DataFrame:
-    clusters = agg.miss_clusters(fx.rag_misses, 200, 2, 5)
+    clusters = agg.miss_clusters(fx.rag_misses)
     return jn.misses_by_prefix(fx.rag_misses, clusters)
 
 
 _PROPOSAL_CANDS = """top AS (SELECT pattern_key, description, occurrence_count FROM error_patterns
-  WHERE resolved = false AND occurrence_count >= 5 ORDER BY occurrence_count DESC, pattern_key LIMIT 15),
-cand AS (SELECT pattern_key, left(regexp_replace(pattern_key, '[^a-zA-Z0-9_-]', '', 'g'), 60) AS key_clean,
-  left(regexp_replace(left(description, 120), '[^a-zA-Z0-9 _.,;:!?()-]', '', 'g'), 200) AS desc_clean,
-  CAST(occurrence_count AS INTEGER) AS occurrence_count FROM top),
+  WHERE resolved = false AND occurrence_count >= 5),
+cand AS (SELECT * FROM (SELECT pattern_key, regexp_replace(pattern_key, '[^a-zA-Z0-9_-]', '', 'g') AS key_clean,
+  regexp_replace(description, '[^a-zA-Z0-9 _.,;:!?()-]', '', 'g') AS desc_clean,
+  CAST(occurrence_count AS INTEGER) AS occurrence_count FROM top) x
+  QUALIFY row_number() OVER (PARTITION BY key_clean ORDER BY occurrence_count DESC, pattern_key) = 1),
 latest AS (SELECT target_skill, status AS old_status, recurrence_count AS old_count FROM (
   SELECT *, row_number() OVER (PARTITION BY target_skill ORDER BY created_at DESC, id DESC) AS rn FROM skill_proposals) t
   WHERE rn = 1),
@@ -441,7 +441,7 @@ def q_proposal_candidates(fx: Fixtures) -> DataFrame:
 
 @query("regression_candidates", f"""
 WITH new AS (SELECT id AS new_id, target_repo AS repo, completed_at AS new_completed_at,
-  list_slice(list_sort(list_distinct(regexp_extract_all(lower(left(prompt, 200)), '\\b[a-z]{{4,}}\\b'))), 1, 5) AS kws
+  list_sort(list_distinct(regexp_extract_all(lower(prompt), '\\b[a-z]{{4,}}\\b'))) AS kws
   FROM tasks WHERE category IN ('bug','ops','security') AND status = 'completed' AND target_repo IS NOT NULL
    AND completed_at > {TK} - INTERVAL 30 DAY),
 nk AS (SELECT new_id, repo, new_completed_at, unnest(kws) AS kw FROM new),
@@ -454,19 +454,18 @@ SELECT new_id, old_id, repo, old_completed_at, rank FROM (
   SELECT *, CAST(row_number() OVER (PARTITION BY new_id ORDER BY old_completed_at DESC, old_id DESC) AS INTEGER) AS rank
   FROM pairs) t WHERE rank <= 3""", ("tasks",))
 def q_regression_candidates(fx: Fixtures) -> DataFrame:
-    return jn.regression_candidates(fx.tasks, AS_OF_TASKS, new_days=30, lookback_days=365, k=3, max_new=None)
+    return jn.regression_candidates(fx.tasks, AS_OF_TASKS, new_days=30, lookback_days=365, k=3)
 
 
 @query("task_keywords", """
-SELECT id, array_to_string(list_slice(list_sort(list_distinct(
-  regexp_extract_all(lower(left(prompt, 200)), '\\b[a-z]{4,}\\b'))), 1, 5), ',') AS keywords FROM tasks""", ("tasks",))
+SELECT id, array_to_string(list_sort(list_distinct(
+  regexp_extract_all(lower(prompt), '\\b[a-z]{4,}\\b'))), ',') AS keywords FROM tasks""", ("tasks",))
 def q_task_keywords(fx: Fixtures) -> DataFrame:
     return jn.task_keywords(fx.tasks).select("id", F.array_join("keywords", ",").alias("keywords"))
 
 
 @query("undocumented_terms", """
-WITH toks AS (SELECT DISTINCT d.lang AS app, t.term FROM documents d, doc_terms t
-  WHERE d.lang = t.app AND list_contains(regexp_extract_all(lower(d.text), '[a-z0-9_]+'), t.term))
+WITH toks AS (SELECT DISTINCT d.lang AS app, unnest(regexp_extract_all(lower(d.text), '[a-z0-9_]+')) AS term FROM documents d)
 SELECT t.app, t.term FROM doc_terms t LEFT JOIN toks ON toks.app = t.app AND toks.term = t.term WHERE toks.term IS NULL""",
        ("doc_terms",))
 def q_undocumented_terms(fx: Fixtures) -> DataFrame:
@@ -497,7 +496,7 @@ def q_purge_applied(fx: Fixtures) -> DataFrame:
 
 @query("close_duplicates", f"""
 WITH d AS (SELECT DISTINCT l1.id FROM learning_items l1 JOIN learning_items l2
-  ON l1.id > l2.id AND l1.source = l2.source AND left(l1.lesson, 80) = left(l2.lesson, 80)
+  ON l1.id > l2.id AND l1.source = l2.source AND l1.lesson = l2.lesson
   WHERE l1.applied = false AND l2.applied = false)
 SELECT li.id, (li.applied OR d.id IS NOT NULL) AS applied,
  CASE WHEN d.id IS NOT NULL THEN {EV} ELSE li.applied_at END AS applied_at
@@ -519,7 +518,7 @@ SELECT m.id, (m.resolved OR (h.id IS NOT NULL AND m.resolved = false)) AS resolv
  CASE WHEN h.id IS NOT NULL AND m.resolved = false THEN 'rag-filler-stub' END AS resolved_by
 FROM rag_misses m LEFT JOIN hit h ON h.id = m.id""", ("rag_misses",))
 def q_resolve_misses_by_cluster(fx: Fixtures) -> DataFrame:
-    clusters = agg.miss_clusters(fx.rag_misses, 200, 2, 5)
+    clusters = agg.miss_clusters(fx.rag_misses)
     hits = jn.misses_by_prefix(fx.rag_misses, clusters)
     return up.resolve_misses_by_cluster(fx.rag_misses, hits, "rag-filler-stub").select("id", "resolved", "resolved_by")
 
@@ -540,8 +539,8 @@ def q_mark_applied(fx: Fixtures) -> DataFrame:
 WITH pf AS (SELECT line_no, regexp_replace(trim(split_part(line, '|', 2)), '\\s+', ' ', 'g') AS pattern_key,
   split_part(line, '|', 3) AS cause, array_to_string(list_slice(string_split(line, '|'), 4, 1000000), '|') AS fix
   FROM findings WHERE split_part(line, '|', 1) = 'PATTERN' AND split_part(line, '|', 2) <> ''),
-notes AS (SELECT pattern_key, string_agg(chr(10) || '[2024-01-31] ' || left(cause, 500), '' ORDER BY line_no) AS add_cause,
-  string_agg(chr(10) || '[2024-01-31] ' || left(fix, 500), '' ORDER BY line_no) AS add_fix FROM pf
+notes AS (SELECT pattern_key, string_agg(chr(10) || '[2024-01-31] ' || cause, '' ORDER BY line_no) AS add_cause,
+  string_agg(chr(10) || '[2024-01-31] ' || fix, '' ORDER BY line_no) AS add_fix FROM pf
   WHERE pattern_key <> '' GROUP BY pattern_key)
 SELECT p.pattern_key, CASE WHEN n.add_cause IS NOT NULL THEN '' || n.add_cause END AS root_cause,
  CASE WHEN n.add_cause IS NOT NULL THEN '' || n.add_fix END AS mitigation, n.add_cause IS NOT NULL AS changed
@@ -569,8 +568,8 @@ def q_make_proposals(fx: Fixtures) -> DataFrame:
 SELECT 'error' AS source, 'Recurring problem: ' || pattern_key || ' - ' || coalesce(description, '') AS lesson,
  related_skill AS applicable_to, CAST(occurrence_count AS BIGINT) AS occurrence_count FROM error_patterns p
 WHERE resolved = false AND occurrence_count >= 5 AND NOT EXISTS (
-  SELECT 1 FROM learning_items li WHERE li.source = 'error' AND contains(li.lesson, p.pattern_key))
-ORDER BY occurrence_count DESC, pattern_key LIMIT 10""", ("error_patterns", "learning_items"))
+  SELECT 1 FROM learning_items li WHERE li.source = 'error' AND contains(li.lesson, p.pattern_key))""",
+       ("error_patterns", "learning_items"))
 def q_errors_to_items(fx: Fixtures) -> DataFrame:
     return up.errors_to_items(fx.error_patterns, fx.learning_items).select(
         "source", "lesson", "applicable_to", _big("occurrence_count"))
@@ -598,7 +597,7 @@ def q_parse_findings(fx: Fixtures) -> DataFrame:
 WITH p AS (SELECT line_no, split_part(line, '|', 2) AS symptom, split_part(line, '|', 3) AS diagnosis,
   array_to_string(list_slice(string_split(line, '|'), 4, 1000000), '|') AS fix FROM findings
   WHERE split_part(line, '|', 1) = 'PLAYBOOK' AND split_part(line, '|', 2) <> ''),
-s AS (SELECT *, left(regexp_replace(replace(lower(symptom), ' ', '-'), '[^a-z0-9-]', '', 'g'), 40) AS slug FROM p)
+s AS (SELECT *, regexp_replace(replace(lower(symptom), ' ', '-'), '[^a-z0-9-]', '', 'g') AS slug FROM p)
 SELECT 'playbooks/' || slug || '.md' AS path, slug, symptom, diagnosis, fix, line_no FROM (
   SELECT *, row_number() OVER (PARTITION BY slug ORDER BY line_no) AS rn FROM s) t WHERE rn = 1""", ("findings",))
 def q_playbooks_from_findings(fx: Fixtures) -> DataFrame:
@@ -609,16 +608,19 @@ def q_playbooks_from_findings(fx: Fixtures) -> DataFrame:
 WITH g AS (SELECT line_no, split_part(line, '|', 2) AS topic,
   regexp_replace(array_to_string(list_slice(string_split(line, '|'), 3, 1000000), '|'), '^([^|]*)\\|$', '\\1') AS p
   FROM findings WHERE split_part(line, '|', 1) = 'VAULTGAP' AND split_part(line, '|', 2) <> ''),
-s AS (SELECT line_no, topic, coalesce(nullif(p, ''), 'known-issues/STUB_' || left(replace(topic, ' ', '_'), 40) || '.md') AS path
-  FROM g)
-SELECT path, topic, line_no FROM (SELECT *, row_number() OVER (PARTITION BY path ORDER BY line_no) AS rn FROM s) t
-WHERE rn = 1""", ("findings",))
+s AS (SELECT line_no, topic, coalesce(nullif(p, ''), 'known-issues/STUB_' || replace(topic, ' ', '_') || '.md') AS path FROM g)
+SELECT path, '---' || chr(10) || 'title: ' || topic || chr(10) || 'type: stub' || chr(10) || 'created: 2024-01-31' || chr(10)
+ || 'source: dreaming-rag-miss' || chr(10) || 'status: todo' || chr(10) || '---' || chr(10) || chr(10) || '# ' || topic || chr(10) || chr(10)
+ || '> This document was automatically created because knowledge base searches' || chr(10)
+ || '> for this topic returned no results. Please fill with content.' || chr(10) || chr(10) || '## Context' || chr(10)
+ || 'Created by Dreaming Run #7 on 2024-01-31.' || chr(10) AS content
+FROM (SELECT *, row_number() OVER (PARTITION BY path ORDER BY line_no) AS rn FROM s) t WHERE rn = 1""", ("findings",))
 def q_stubs_from_findings(fx: Fixtures) -> DataFrame:
-    return tx.stubs_from_findings(fx.findings)
+    return tx.stub_content(tx.stubs_from_findings(fx.findings), AS_OF_EVENTS[:10], 7)
 
 
 @query("session_headline", """
-SELECT file_name, left(arg_min(line, line_no), 120) AS headline FROM session_lines
+SELECT file_name, arg_min(line, line_no) AS headline FROM session_lines
 WHERE regexp_matches(line, 'RESULT|result|Result|## ') GROUP BY file_name""", ("session_lines",))
 def q_session_headline(fx: Fixtures) -> DataFrame:
     return tx.session_headline(fx.session_lines)
@@ -626,8 +628,7 @@ def q_session_headline(fx: Fixtures) -> DataFrame:
 
 @query("session_summary", """
 SELECT file_name, string_agg(line, chr(10) ORDER BY line_no) AS summary, count(*) AS summary_lines FROM (
-  SELECT *, row_number() OVER (PARTITION BY file_name ORDER BY line_no) AS rn FROM session_lines
-  WHERE regexp_matches(line, '^#|Root Cause|Result|Fix:|Commit:')) t WHERE rn <= 8 GROUP BY file_name""",
+  SELECT * FROM session_lines WHERE regexp_matches(line, '^#|Root Cause|Result|Fix:|Commit:')) t GROUP BY file_name""",
        ("session_lines",))
 def q_session_summary(fx: Fixtures) -> DataFrame:
     return tx.session_summary(fx.session_lines)
@@ -640,7 +641,7 @@ _LESSON_RE = ("^\\s*[-*]\\s.*(open|lesson|insight|decision|fix|workaround|proble
 @query("session_lessons", f"""
 SELECT file_name, line_no, line, CAST(lesson_rank AS INTEGER) AS lesson_rank FROM (
   SELECT *, row_number() OVER (PARTITION BY file_name ORDER BY line_no) AS lesson_rank FROM session_lines
-  WHERE regexp_matches(line, '(?i){_LESSON_RE}')) t WHERE lesson_rank <= 5""", ("session_lines",))
+  WHERE regexp_matches(line, '(?i){_LESSON_RE}')) t""", ("session_lines",))
 def q_session_lessons(fx: Fixtures) -> DataFrame:
     return tx.session_lessons(fx.session_lines).select("file_name", "line_no", "line", "lesson_rank")
 
@@ -658,7 +659,7 @@ fb AS (SELECT file_name, line_no, heading AS line, row_number() OVER (PARTITION
 
 @query("session_lessons_fallback", f"""
 WITH {_FALLBACK_SECTIONS}
-SELECT file_name, line_no, line, CAST(lesson_rank AS INTEGER) AS lesson_rank FROM fb WHERE lesson_rank <= 3""",
+SELECT file_name, line_no, line, CAST(lesson_rank AS INTEGER) AS lesson_rank FROM fb""",
        ("session_lines",))
 def q_session_lessons_fallback(fx: Fixtures) -> DataFrame:
     return tx.session_lessons_fallback(fx.session_lines).select("file_name", "line_no", "line", "lesson_rank")
@@ -673,7 +674,7 @@ best AS (SELECT coalesce(bl.file_name, hd.file_name) AS file_name, coalesce(bl.r
   FROM bl FULL JOIN hd ON bl.file_name = hd.file_name),
 todo AS (SELECT DISTINCT file_name FROM session_lines s WHERE NOT EXISTS (
   SELECT 1 FROM learning_items li WHERE li.source = 'session' AND contains(li.lesson, s.file_name)))
-SELECT 'session' AS source, 'Session ' || b.file_name || ': ' || left(regexp_replace(b.raw, '^\\s*[-*]\\s*', ''), 500) AS lesson,
+SELECT 'session' AS source, 'Session ' || b.file_name || ': ' || regexp_replace(b.raw, '^\\s*[-*]\\s*', '') AS lesson,
  CAST(NULL AS VARCHAR) AS applicable_to, 1 AS occurrence_count
 FROM best b JOIN todo t ON t.file_name = b.file_name""", ("session_lines", "learning_items"))
 def q_session_items(fx: Fixtures) -> DataFrame:
@@ -681,10 +682,8 @@ def q_session_items(fx: Fixtures) -> DataFrame:
 
 
 @query("doc_query_text", """
-WITH h AS (SELECT *, row_number() OVER (PARTITION BY file_name ORDER BY line_no) AS r FROM session_lines),
-k AS (SELECT *, row_number() OVER (PARTITION BY file_name ORDER BY line_no) AS r2 FROM h
-  WHERE r <= 10 AND line <> '---' AND trim(line) <> '')
-SELECT file_name, string_agg(line, ' ' ORDER BY line_no) AS query_text FROM k WHERE r2 <= 3 GROUP BY file_name""",
+SELECT file_name, string_agg(line, ' ' ORDER BY line_no) AS query_text FROM session_lines
+WHERE line <> '---' AND trim(line) <> '' GROUP BY file_name""",
        ("session_lines",))
 def q_doc_query_text(fx: Fixtures) -> DataFrame:
     return tx.doc_query_text(fx.session_lines)
@@ -699,9 +698,9 @@ def q_bullet_lines(fx: Fixtures) -> DataFrame:
 
 @query("wiki_links", """
 SELECT doc_id AS src, CAST(generate_subscripts(m, 1) - 1 AS INTEGER) AS pos, unnest(m) AS dst FROM (
-  SELECT doc_id, regexp_extract_all(text, '\\[\\[([^\\]]+)\\]\\]', 1) AS m FROM documents) t""")
+  SELECT doc_id, regexp_extract_all(text, '\\[\\[([^\\]]+)\\]\\]', 1) AS m FROM kb_texts) t""", ("kb_texts",))
 def q_wiki_links(fx: Fixtures) -> DataFrame:
-    return tx.wiki_links(fx.documents)
+    return tx.wiki_links(fx.kb_texts)
 
 
 # ============================ §2.11 similarity ============================
@@ -719,36 +718,54 @@ def q_nearest_documents(fx: Fixtures) -> DataFrame:
     return sim.nearest_documents(docs, docs.filter(F.col("is_recent")), 5).select("src", "dst", "rank")
 
 
-@query("unlinked_neighbours", f"""
-WITH {_KNN}
-SELECT nn.src, nn.dst, nn.rank FROM nn WHERE nn.src <> nn.dst
+_MENTIONED = "AND NOT EXISTS (SELECT 1 FROM kb_texts t WHERE t.doc_id = nn.src AND contains(t.text, '[[' || CAST(nn.dst AS VARCHAR) || ']]'))"
+_PAIRS = f"""pairs AS (SELECT nn.src, nn.dst, nn.rank FROM nn WHERE nn.src <> nn.dst
   AND NOT EXISTS (SELECT 1 FROM kb_links l WHERE l.src = nn.src AND l.dst = nn.dst)
-  AND EXISTS (SELECT 1 FROM kb_docs d WHERE d.doc_id = nn.dst)""", ("kb_docs", "kb_links"))
+  AND EXISTS (SELECT 1 FROM kb_docs d WHERE d.doc_id = nn.dst) {_MENTIONED})"""
+_KB = ("kb_docs", "kb_links", "kb_texts")
+
+
+@query("unlinked_neighbours", f"WITH {_KNN}, {_PAIRS} SELECT src, dst, rank FROM pairs", _KB)
 def q_unlinked_neighbours(fx: Fixtures) -> DataFrame:
     docs = fx.kb_docs
     nn = sim.nearest_documents(docs, docs.filter(F.col("is_recent")), 5)
-    return jn.unlinked_neighbours(nn, fx.kb_links, docs).select("src", "dst", "rank")
+    return jn.unlinked_neighbours(nn, fx.kb_links, docs, fx.kb_texts).select("src", "dst", "rank")
 
 
-@query("propose_links", f"""
-WITH {_KNN}
-SELECT nn.src, nn.dst, nn.rank FROM nn WHERE nn.src <> nn.dst
-  AND NOT EXISTS (SELECT 1 FROM kb_links l WHERE l.src = nn.src AND l.dst = nn.dst)
-  AND EXISTS (SELECT 1 FROM kb_docs d WHERE d.doc_id = nn.dst)
-ORDER BY nn.src, nn.rank, nn.dst LIMIT 10""", ("kb_docs", "kb_links"))
+@query("propose_links", f"WITH {_KNN}, {_PAIRS} SELECT src, dst, rank FROM pairs", _KB)
 def q_propose_links(fx: Fixtures) -> DataFrame:
-    return sim.propose_links(fx.kb_docs, fx.kb_links, 5, 10).select("src", "dst", "rank")
+    return sim.propose_links(fx.kb_docs, fx.kb_links, 5, texts=fx.kb_texts).select("src", "dst", "rank")
 
 
-@query("resolve_found_misses", """
-WITH best AS (SELECT q.doc_id AS query_id, max(round(list_cosine_similarity(CAST(q.embedding AS DOUBLE[]),
-   CAST(d.embedding AS DOUBLE[])), 9)) AS best_score
-  FROM kb_docs q JOIN kb_docs d ON q.is_recent AND d.doc_id <> q.doc_id GROUP BY q.doc_id)
-SELECT query_id, round(best_score, 6) AS best_score, best_score > 0.6 AS found FROM best""", ("kb_docs",))
+@query("global_link_cap", f"WITH {_KNN}, {_PAIRS} SELECT src, dst, rank FROM pairs ORDER BY src, rank, dst LIMIT 10", _KB)
+def q_global_link_cap(fx: Fixtures) -> DataFrame:
+    return sim.propose_links(fx.kb_docs, fx.kb_links, 5, 10, fx.kb_texts).select("src", "dst", "rank")
+
+
+_FOUND = """best AS (SELECT m.id, max(round(list_cosine_similarity(v.embedding, CAST(d.embedding AS DOUBLE[])), 9)) AS found_score
+  FROM rag_misses m JOIN miss_vectors v ON v.id = m.id, kb_docs d WHERE m.resolved = false GROUP BY m.id),
+after_found AS (SELECT m.*, m.resolved OR coalesce(b.found_score > 0.6, false) AS now_resolved,
+  CASE WHEN b.found_score > 0.6 THEN 'rag-filler-found' END AS resolved_by, b.found_score
+  FROM rag_misses m LEFT JOIN best b ON b.id = m.id)"""
+
+
+@query("resolve_found_misses", f"""
+WITH {_FOUND} SELECT id, now_resolved AS resolved, resolved_by, round(found_score, 6) AS found_score FROM after_found""",
+       ("rag_misses", "miss_vectors", "kb_docs"))
 def q_resolve_found_misses(fx: Fixtures) -> DataFrame:
-    docs = fx.kb_docs
-    out = sim.resolve_found_misses(docs.filter(F.col("is_recent")), docs, 0.6)
-    return out.select("query_id", _dbl("best_score", 6), "found")
+    out = sim.resolve_found_misses(fx.rag_misses, fx.miss_vectors, fx.kb_docs, 0.6)
+    return out.select("id", "resolved", "resolved_by", _dbl("found_score", 6))
+
+
+@query("gap_filler_job", f"""
+WITH {_FOUND}, c AS (SELECT query AS query_prefix FROM after_found WHERE NOT now_resolved GROUP BY query HAVING count(*) >= 2),
+hit AS (SELECT DISTINCT m.id FROM after_found m JOIN c ON starts_with(m.query, c.query_prefix))
+SELECT m.id, m.now_resolved OR h.id IS NOT NULL AS resolved,
+ CASE WHEN h.id IS NOT NULL AND NOT m.now_resolved THEN 'rag-filler-stub' ELSE m.resolved_by END AS resolved_by
+FROM after_found m LEFT JOIN hit h ON h.id = m.id""", ("rag_misses", "miss_vectors", "kb_docs"))
+def q_gap_filler_job(fx: Fixtures) -> DataFrame:
+    _, out = jobs.gap_filler_job(fx.rag_misses, fx.miss_vectors, fx.kb_docs)
+    return out.select("id", "resolved", "resolved_by")
 
 
 # ============================ §2.13 pluggable / grouped-map ============================
@@ -757,32 +774,38 @@ _ACTION_CASE = ("CASE " + " ".join(
     "WHEN " + " OR ".join(f"contains(lower(lesson), '{w}')" for w in pattern.strip("()").split("|"))
     + f" THEN '{udfs.DEFAULT_ACTION_BY_TOPIC[name]}'" for name, pattern, _ in TOPIC_RULES) + " ELSE 'skip' END")
 
-_TOP50 = """top50 AS (SELECT id, lesson FROM learning_items WHERE applied = false
-  ORDER BY occurrence_count DESC, created_at DESC, id LIMIT 50)"""
+_OPEN = "open_ AS (SELECT id, lesson FROM learning_items WHERE applied = false)"
 
 
 @query("classify_items", f"""
-WITH {_TOP50}
-SELECT id, {_ACTION_CASE} AS action, left(lesson, 200) AS description FROM top50""", ("learning_items",))
+WITH {_OPEN}
+SELECT id, {_ACTION_CASE} AS action, lesson AS description FROM open_""", ("learning_items",))
 def q_classify_items(fx: Fixtures) -> DataFrame:
-    top = rk.top_k(flt.open_items(fx.learning_items), 50, F.col("occurrence_count").desc(),
-                   F.col("created_at").desc(), F.col("id"))
-    return udfs.classify_items(top)
+    return udfs.classify_items(flt.open_items(fx.learning_items))
 
 
 @query("apply_classifications", f"""
-WITH {_TOP50}, c AS (SELECT id, {_ACTION_CASE} AS action FROM top50)
-SELECT action, count(*) AS items FROM c GROUP BY action""", ("learning_items",))
+WITH {_OPEN}, c AS (SELECT id, {_ACTION_CASE} AS action FROM open_)
+SELECT li.id, li.applied OR coalesce(c.action = 'skip', false) AS applied,
+ CASE WHEN c.action = 'skip' THEN {EV} ELSE li.applied_at END AS applied_at
+FROM learning_items li LEFT JOIN c ON c.id = li.id""", ("learning_items",))
 def q_apply_classifications(fx: Fixtures) -> DataFrame:
-    top = rk.top_k(flt.open_items(fx.learning_items), 50, F.col("occurrence_count").desc(),
-                   F.col("created_at").desc(), F.col("id"))
-    _, counts = tx.apply_classifications(fx.learning_items, udfs.classify_items(top), AS_OF_EVENTS)
-    return counts
+    """The new table: items classified 'skip' are closed."""
+    classified = udfs.classify_items(flt.open_items(fx.learning_items))
+    items, _ = tx.apply_classifications(fx.learning_items, classified, AS_OF_EVENTS)
+    return items.select("id", "applied", "applied_at")
 
 
-@query("claim_regressions", f"""
-WITH RECURSIVE new AS (SELECT id AS new_id, target_repo AS repo, completed_at AS new_completed_at,
-  list_slice(list_sort(list_distinct(regexp_extract_all(lower(left(prompt, 200)), '\\b[a-z]{{4,}}\\b'))), 1, 5) AS kws
+@query("action_counts", f"""
+WITH {_OPEN}, c AS (SELECT id, {_ACTION_CASE} AS action FROM open_)
+SELECT action, count(*) AS items FROM c GROUP BY action""", ("learning_items",))
+def q_action_counts(fx: Fixtures) -> DataFrame:
+    classified = udfs.classify_items(flt.open_items(fx.learning_items))
+    return tx.apply_classifications(fx.learning_items, classified, AS_OF_EVENTS)[1]
+
+
+_WALK = f"""new AS (SELECT id AS new_id, target_repo AS repo, completed_at AS new_completed_at,
+  list_sort(list_distinct(regexp_extract_all(lower(prompt), '\\b[a-z]{{4,}}\\b'))) AS kws
   FROM tasks WHERE category IN ('bug','ops','security') AND status = 'completed' AND target_repo IS NOT NULL
    AND completed_at > {TK} - INTERVAL 30 DAY),
 nk AS (SELECT new_id, repo, new_completed_at, unnest(kws) AS kw FROM new),
@@ -800,24 +823,24 @@ walk(repo, seq, claimed, taken, new_id) AS (
   UNION ALL
   SELECT w.repo, c.seq, list_concat(w.claimed, t.taken), t.taken, c.new_id
   FROM walk w JOIN cands c ON c.repo = w.repo AND c.seq = w.seq + 1,
-  LATERAL (SELECT list_slice(list_filter(c.olds, lambda x: NOT list_contains(w.claimed, x)), 1, 3) AS taken) t)
+  LATERAL (SELECT list_slice(list_filter(c.olds, lambda x: NOT list_contains(w.claimed, x)), 1, 3) AS taken) t)"""
+
+
+@query("claim_regressions", f"""
+WITH RECURSIVE {_WALK}
 SELECT repo, new_id, unnest(taken) AS old_id, CAST(generate_subscripts(taken, 1) AS INTEGER) AS claim_rank FROM walk WHERE seq > 0""", ("tasks",))
 def q_claim_regressions(fx: Fixtures) -> DataFrame:
     """Sequential (greedy) claims; the oracle walks the new tasks of each repo
     in order with a recursive CTE carrying the claimed ids."""
-    return udfs.claim_regressions(fx.tasks, AS_OF_TASKS, new_days=30, lookback_days=365, max_new=None)
+    return udfs.claim_regressions(fx.tasks, AS_OF_TASKS, new_days=30, lookback_days=365).drop("new_completed_at")
 
 
 # ============================ §2.10 more text operators ============================
 
 
 @query("combine_sessions", """
-WITH h AS (SELECT file_name, line_no, line, row_number() OVER (PARTITION BY file_name ORDER BY line_no) AS r
-           FROM session_lines),
-f AS (SELECT file_name, string_agg(line, chr(10) ORDER BY line_no) AS content FROM h WHERE r <= 50 GROUP BY file_name),
-c AS (SELECT * FROM f ORDER BY file_name LIMIT 8)
-SELECT string_agg(chr(10) || chr(10) || '--- SESSION: ' || file_name || ' ---' || chr(10) || content, '' ORDER BY file_name)
-  AS combined, count(*) AS files FROM c""", ("session_lines",))
+SELECT file_name, chr(10) || chr(10) || '--- SESSION: ' || file_name || ' ---' || chr(10) || string_agg(line, chr(10) ORDER BY line_no)
+  AS block FROM session_lines GROUP BY file_name""", ("session_lines",))
 def q_combine_sessions(fx: Fixtures) -> DataFrame:
     return tx.combine_sessions(fx.session_lines)
 
@@ -826,22 +849,66 @@ _TABLE_REF_SQL = TABLE_REF.replace("'", "''")
 _NOT_TABLES = ", ".join(f"'{w}'" for w in NOT_TABLES)
 
 
-@query("table_refs", f"""
-WITH n AS (SELECT unnest(regexp_extract_all(html, '{_TABLE_REF_SQL}', 1)) AS name FROM pages)
-SELECT DISTINCT 'pages' AS app, name FROM n WHERE contains(name, '_') AND name NOT IN ({_NOT_TABLES})""")
+_CODE_TABLES = f"""code_tables AS (SELECT DISTINCT app, name FROM (
+  SELECT app, unnest(regexp_extract_all(content, '{_TABLE_REF_SQL}', 1)) AS name FROM code_files
+  WHERE split_part(rel_path, '/', 1) IN ('src', 'lib', 'app')) n WHERE contains(name, '_') AND name NOT IN ({_NOT_TABLES}))"""
+_CODE_ROUTES = """code_routes AS (SELECT DISTINCT app, route_group FROM (
+  SELECT app, lower(regexp_extract(rel_path, '^(?:src/)?app/api/([^/]+)/(?:.*/)?route\\.(?:ts|js|tsx)$', 1)) AS route_group FROM code_files) r
+  WHERE route_group <> '' AND route_group NOT IN ('health', 'auth', 'cron', 'webhook', 'storage', 'upload', 'api'))"""
+_DRIFT = f"""{_CODE_TABLES}, {_CODE_ROUTES},
+terms AS (SELECT app, 'route' AS kind, route_group AS term FROM code_routes UNION ALL SELECT app, 'table', name FROM code_tables),
+missing AS (SELECT t.app, t.kind, t.term FROM terms t JOIN code_apps a ON a.app = t.app JOIN code_docs d ON d.path = a.doc
+  WHERE NOT regexp_matches(lower(d.content), '(^|[^a-z0-9_])' || t.term || '($|[^a-z0-9_])'))"""
+_CODE = ("code_apps", "code_files", "code_docs")
+
+
+@query("table_refs", f"WITH {_CODE_TABLES} SELECT app, name FROM code_tables", ("code_files",))
 def q_table_refs(fx: Fixtures) -> DataFrame:
-    pages = fx.table("pages").select(F.lit("pages").alias("app"), F.col("url").alias("rel_path"),
-                                     F.col("html").alias("content"))
-    return drift.table_refs(pages, only_code_parts=False)
+    return drift.table_refs(fx.code_files)
+
+
+@query("route_groups", f"WITH {_CODE_ROUTES} SELECT app, route_group FROM code_routes", ("code_files",))
+def q_route_groups(fx: Fixtures) -> DataFrame:
+    return drift.route_groups(fx.code_files)
+
+
+@query("drift_report", f"WITH {_DRIFT} SELECT app, kind, term FROM missing", _CODE)
+def q_drift_report(fx: Fixtures) -> DataFrame:
+    return drift.drift_report(fx.code_apps, fx.code_files, fx.code_docs)[0]
+
+
+@query("drift_totals", f"""
+WITH {_DRIFT}
+SELECT a.app, a.doc, coalesce(array_to_string(list_sort(list(m.term) FILTER (WHERE m.kind = 'route')), ','), '') AS routes,
+ coalesce(array_to_string(list_sort(list(m.term) FILTER (WHERE m.kind = 'table')), ','), '') AS tables, count(m.term) AS missing_total
+FROM code_apps a JOIN code_docs d ON d.path = a.doc LEFT JOIN missing m ON m.app = a.app GROUP BY a.app, a.doc
+UNION ALL SELECT NULL, NULL, '', '', count(*) FROM missing""", _CODE)
+def q_drift_totals(fx: Fixtures) -> DataFrame:
+    totals = jobs.drift_job(fx.code_apps, fx.code_files, fx.code_docs)["totals"]
+    return totals.select("app", "doc", F.array_join("routes", ",").alias("routes"), F.array_join("tables", ",").alias("tables"),
+                         _big("missing_total"))
+
+
+@query("missing_documents", """
+SELECT app, doc FROM code_apps WHERE doc NOT IN (SELECT path FROM code_docs)""", ("code_apps", "code_docs"))
+def q_missing_documents(fx: Fixtures) -> DataFrame:
+    return jn.missing_documents(fx.code_apps, fx.code_docs)
+
+
+@query("new_documents", """
+SELECT 'docs/' || app || '.md' AS path FROM code_apps WHERE 'docs/' || app || '.md' NOT IN (SELECT path FROM code_docs)""",
+       ("code_apps", "code_docs"))
+def q_new_documents(fx: Fixtures) -> DataFrame:
+    return jn.new_documents(fx.code_apps.select(F.col("doc").alias("path")), fx.code_docs)
 
 
 @query("daily_miss_clusters", """
-SELECT date_trunc('day', created_at) AS window_start, left(query, 200) AS query_prefix, count(*) AS miss_count
+SELECT date_trunc('day', created_at) AS window_start, query AS query_prefix, count(*) AS miss_count
 FROM rag_misses WHERE resolved = false GROUP BY 1, 2 HAVING count(*) >= 2""", ("rag_misses",))
 def q_daily_miss_clusters(fx: Fixtures) -> DataFrame:
     """Batch form of ``streaming.stream_miss_clusters`` (tumbling daily windows)."""
     m = fx.rag_misses.filter(F.col("resolved") == F.lit(False))
-    g = m.groupBy(F.window("created_at", "1 day").alias("w"), F.left("query", F.lit(200)).alias("query_prefix")) \
+    g = m.groupBy(F.window("created_at", "1 day").alias("w"), F.col("query").alias("query_prefix")) \
         .agg(F.count(F.lit(1)).alias("miss_count")).filter(F.col("miss_count") >= 2)
     return g.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"), "query_prefix", "miss_count")
 
@@ -858,41 +925,36 @@ def q_error_digest(fx: Fixtures) -> DataFrame:
 
 
 @query("apply_links", f"""
-WITH {_KNN},
-pairs AS (SELECT nn.src, nn.dst, nn.rank FROM nn WHERE nn.src <> nn.dst
-  AND NOT EXISTS (SELECT 1 FROM kb_links l WHERE l.src = nn.src AND l.dst = nn.dst)
-  AND EXISTS (SELECT 1 FROM kb_docs d WHERE d.doc_id = nn.dst)
-  ORDER BY nn.src, nn.rank, nn.dst LIMIT 10),
+WITH {_KNN}, {_PAIRS},
 adds AS (SELECT src, string_agg('- [[' || CAST(dst AS VARCHAR) || ']] - Related topic (auto-synapse 2024-01-31)', chr(10)
   ORDER BY rank, dst) AS a FROM pairs GROUP BY src)
-SELECT d.doc_id, CAST(length(d.text || CASE WHEN contains(d.text, '## See also') THEN chr(10)
-  ELSE chr(10) || chr(10) || '## See also' || chr(10) || chr(10) END || a.a) AS INTEGER) AS chars
-FROM documents d JOIN adds a ON a.src = d.doc_id""", ("kb_docs", "kb_links"))
+SELECT d.doc_id, d.text || CASE WHEN contains(d.text, '## See also') THEN chr(10)
+  ELSE chr(10) || chr(10) || '## See also' || chr(10) || chr(10) END || a.a AS text
+FROM kb_texts d JOIN adds a ON a.src = d.doc_id""", _KB)
 def q_apply_links(fx: Fixtures) -> DataFrame:
     """'See also' sections on the documents that get new links."""
-    pairs = sim.propose_links(fx.kb_docs, fx.kb_links, 5, 10)
-    texts = fx.documents.select("doc_id", "text")
-    out = sim.apply_links(texts, pairs, AS_OF_EVENTS[:10])
-    return out.filter("changed").select("doc_id", F.length("text").alias("chars"))
+    _, out, _ = jobs.link_job(fx.kb_docs, fx.kb_links, fx.kb_texts, AS_OF_EVENTS[:10])
+    return out.filter("changed").select("doc_id", "text")
 
 
 @query("phase_ledger", """
-WITH b AS (SELECT *, coalesce(sum(cost_usd) OVER (PARTITION BY run_id ORDER BY phase, cost_usd, duration_s, gate_ok
-            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) <= max_budget_usd AS runs FROM phase_runs),
-t AS (SELECT *, coalesce(sum(duration_s) OVER (PARTITION BY run_id ORDER BY phase, cost_usd, duration_s, gate_ok
-            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) <= 90 AS runs2 FROM b WHERE runs)
+WITH b AS (SELECT *, coalesce(sum(cost_usd) OVER w, 0) AS spent, coalesce(sum(duration_s) OVER w, 0) AS elapsed FROM phase_runs
+  WINDOW w AS (PARTITION BY run_id ORDER BY phase, cost_usd, duration_s, gate_ok ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+t AS (SELECT *, spent + cost_usd <= max_budget_usd AND elapsed + duration_s <= 90 AS gated FROM b
+  WHERE spent <= max_budget_usd AND elapsed <= 90)
 SELECT run_id, round(CAST(sum(cost_usd) AS DOUBLE), 2) AS total_cost_usd, CAST(sum(duration_s) AS BIGINT) AS total_duration_s,
- count(*) FILTER (WHERE gate_ok) AS phases_ok, count(*) FILTER (WHERE NOT gate_ok) AS phases_failed,
- CASE WHEN count(*) FILTER (WHERE NOT gate_ok) = 0 THEN 'SUCCESS' ELSE 'WITH ERRORS' END AS status
-FROM t WHERE runs2 GROUP BY run_id""", ("phase_runs",))
+ count(*) FILTER (WHERE gated AND gate_ok) AS phases_ok, count(*) FILTER (WHERE gated AND NOT gate_ok) AS phases_failed,
+ CASE WHEN count(*) FILTER (WHERE gated AND NOT gate_ok) = 0 THEN 'SUCCESS' ELSE 'WITH ERRORS' END AS status
+FROM t GROUP BY run_id""", ("phase_runs",))
 def q_phase_ledger(fx: Fixtures) -> DataFrame:
-    """Per run: phases within budget, then within the time limit, summarised."""
+    """Per run: phases within budget and time limit, summarised; the one that
+    oversteps a limit is not gated."""
     return jobs.phase_ledger_job(fx.phase_runs, max_hours=0.025, order=_PHASE_ORDER).select(
         "run_id", _dbl("total_cost_usd", 2), "total_duration_s", "phases_ok", "phases_failed", "status")
 
 
 _DUPES = """dupes AS (SELECT DISTINCT l1.id FROM learning_items l1 JOIN learning_items l2
-  ON l1.id > l2.id AND l1.source = l2.source AND left(l1.lesson, 80) = left(l2.lesson, 80)
+  ON l1.id > l2.id AND l1.source = l2.source AND l1.lesson = l2.lesson
   WHERE l1.applied = false AND l2.applied = false)"""
 
 _TOPIC_STRUCTS = ", ".join(
@@ -916,3 +978,166 @@ UNION ALL SELECT 'word', word, n FROM wc""", ("learning_items",))
 def q_consolidate_report(fx: Fixtures) -> DataFrame:
     """The flagship report rows (summary counters, topics after de-duplication, word clusters before)."""
     return jobs.consolidate_report(fx.learning_items, AS_OF_EVENTS)
+
+
+@query("mark_regressions", f"""
+WITH RECURSIVE {_WALK},
+claims AS (SELECT new_id, unnest(taken) AS old_id FROM walk WHERE seq > 0)
+SELECT t.id, CASE WHEN c.old_id IS NOT NULL THEN 'partial' END AS outcome,
+ 'Possible regression: new bugfix ' || CAST(c.new_id AS VARCHAR) || ' for same repo/symptom' AS outcome_reason
+FROM tasks t LEFT JOIN claims c ON c.old_id = t.id""", ("tasks",))
+def q_mark_regressions(fx: Fixtures) -> DataFrame:
+    """The task table after the regression job (30 days against 365)."""
+    return jobs.regression_job(fx.tasks, AS_OF_TASKS, 30, 365).select("id", "outcome", "outcome_reason")
+
+
+# ============================ replies, tasks, documents, ledger ============================
+
+
+@query("parse_classifications", """
+SELECT line_no, id, action, description FROM (SELECT line_no,
+  TRY_CAST(regexp_replace(split_part(line, '|', 1), '[^0-9]', '', 'g') AS BIGINT) AS id,
+  regexp_replace(lower(split_part(line, '|', 2)), '\\s', '', 'g') AS action,
+  regexp_replace(array_to_string(list_slice(string_split(line, '|'), 3, 1000000), '|'), '^([^|]*)\\|$', '\\1') AS description
+  FROM reply_lines) t WHERE id IS NOT NULL AND action IN ('guard', 'memory', 'vault', 'config', 'skip')""", ("reply_lines",))
+def q_parse_classifications(fx: Fixtures) -> DataFrame:
+    return tx.parse_classifications(fx.reply_lines)
+
+
+@query("parse_stub_reply", """
+SELECT query_prefix, folder, file, content FROM (SELECT query_prefix, trim(regexp_extract(reply, '(?m)^FOLDER:[ \\t]*(.*)$', 1)) AS folder,
+  trim(regexp_extract(reply, '(?m)^FILE:[ \\t]*(.*)$', 1)) AS file, regexp_extract(reply, '(?s)CONTENT:\\s*(.*)$', 1) AS content
+  FROM stub_replies) t WHERE folder <> '' AND file <> ''""", ("stub_replies",))
+def q_parse_stub_reply(fx: Fixtures) -> DataFrame:
+    return tx.parse_stub_reply(fx.stub_replies).select("query_prefix", "folder", "file", "content")
+
+
+@query("gap_stubs", """
+WITH c AS (SELECT query FROM rag_misses WHERE NOT resolved GROUP BY query HAVING count(*) >= 2),
+p AS (SELECT query_prefix AS q, replace(replace(query_prefix, ' ', '_'), '_', ' ') AS title FROM stub_replies JOIN c ON c.query = query_prefix
+  WHERE NOT contains(reply, 'FOLDER: ' || chr(10)))
+SELECT q AS query_prefix, 'guides/' || replace(q, ' ', '_') || '.md' AS path,
+ '---' || chr(10) || 'title: ' || title || chr(10) || 'date: 2024-01-31' || chr(10) || 'status: stub' || chr(10) || 'created_by: gap-filler'
+ || chr(10) || 'trigger_query: "' || q || '"' || chr(10) || '---' || chr(10) || chr(10) || '# ' || title || chr(10) || chr(10)
+ || '> **STUB** - Automatically created because the search query "' || q || '" returned no results.' || chr(10)
+ || '> Please fill with actual content.' || chr(10) || chr(10) || 'About ' || q || '.' || chr(10) || 'More.' || chr(10) || chr(10) || '---' || chr(10)
+ || '*Created: 2024-01-31 by gap-filler*' || chr(10) || '*Trigger: RAG miss "' || q || '"*' || chr(10) AS content FROM p""",
+       ("rag_misses", "stub_replies"))
+def q_gap_stubs(fx: Fixtures) -> DataFrame:
+    return jobs.gap_stubs_job(fx.rag_misses, fx.stub_replies, AS_OF_EVENTS).stubs
+
+
+@query("crystallization_candidates", """
+WITH b AS (SELECT skill, line_no // 10 AS part, max(CASE WHEN line_no % 10 = 0 THEN line END) AS heading,
+  max(CASE WHEN line_no % 10 = 1 THEN line END) AS facts, max(CASE WHEN line_no % 10 = 2 THEN line END) AS state
+  FROM skill_learning_lines GROUP BY 1, 2)
+SELECT skill, substring(heading, 16) AS title, CAST(regexp_extract(facts, 'Score: ([0-9]+)', 1) AS BIGINT) AS score,
+ CAST(regexp_extract(facts, 'Runs: ([0-9]+)', 1) AS BIGINT) AS runs FROM b WHERE state <> 'CRYSTALLIZED'
+ AND CAST(regexp_extract(facts, 'Score: ([0-9]+)', 1) AS INT) >= 4 AND CAST(regexp_extract(facts, 'Runs: ([0-9]+)', 1) AS INT) >= 3""",
+       ("skill_learning_lines",))
+def q_crystallization_candidates(fx: Fixtures) -> DataFrame:
+    return tx.crystallization_candidates(fx.skill_learning_lines).select("skill", "title", _big("score"), _big("runs"))
+
+
+@query("task_front_matter", """
+SELECT path, max(CASE WHEN starts_with(line, 'title: ') THEN replace(substring(line, 8), '"', '') END) AS title,
+ CAST(coalesce(nullif(max(CASE WHEN starts_with(line, 'max_budget_usd: ') THEN substring(line, 17) END), ''), '10') AS DOUBLE) AS max_budget_usd,
+ CAST(8 AS DOUBLE) AS max_hours, 'full' AS verification FROM task_lines GROUP BY path""", ("task_lines",))
+def q_task_front_matter(fx: Fixtures) -> DataFrame:
+    return tx.task_front_matter(fx.task_lines).select("path", "title", _dbl("max_budget_usd", 2), "max_hours", "verification")
+
+
+@query("task_phases", """
+WITH s AS (SELECT *, sum(CAST(starts_with(line, '## ') AS INT)) OVER (PARTITION BY path ORDER BY line_no) AS section FROM task_lines),
+g AS (SELECT path, section, string_agg(line, chr(10) ORDER BY line_no) AS prompt, min(line_no) AS start FROM s WHERE section > 0 GROUP BY path, section)
+SELECT path, CAST(row_number() OVER (PARTITION BY path ORDER BY start) AS INTEGER) AS phase, prompt FROM g WHERE starts_with(prompt, '## Phase ')""",
+       ("task_lines",))
+def q_task_phases(fx: Fixtures) -> DataFrame:
+    return tx.task_phases(fx.task_lines)
+
+
+@query("purge_staging", f"""
+SELECT DISTINCT file_name FROM session_lines WHERE modified_at >= {EV} - INTERVAL 14 DAY""", ("session_lines",))
+def q_purge_staging(fx: Fixtures) -> DataFrame:
+    files = fx.session_lines.select("file_name", "modified_at").distinct()
+    return up.purge_staging(files, AS_OF_EVENTS, 14).select("file_name")
+
+
+@query("collect_signals", f"""
+SELECT 'rag_miss' AS source, 'Knowledge base has no good coverage for: ' || query AS lesson, 'vault' AS applicable_to, count(*) AS occurrence_count
+FROM rag_misses WHERE resolved = false AND created_at > {{EV}} - INTERVAL 24 HOUR GROUP BY query HAVING count(*) >= 2
+UNION ALL SELECT * FROM ({{errors}}) e UNION ALL SELECT * FROM ({{sessions}}) s""".replace("{EV}", EV)
+       .replace("{errors}", ORACLES["errors_to_items"])
+       .replace("{sessions}", ORACLES["session_items"]), ("rag_misses",))
+def q_collect_signals(fx: Fixtures) -> DataFrame:
+    return jobs.collect_signals(fx.learning_items, fx.rag_misses, fx.error_patterns, fx.session_lines, AS_OF_EVENTS).select(
+        "source", "lesson", "applicable_to", _big("occurrence_count"))
+
+
+_MADE = """f AS (SELECT line_no, split_part(line, '|', 1) AS type, split_part(line, '|', 2) AS key,
+  regexp_replace(array_to_string(list_slice(string_split(line, '|'), 3, 1000000), '|'), '^([^|]*)\\|$', '\\1') AS p FROM findings),
+made AS (SELECT
+ (SELECT count(DISTINCT file_name) FROM session_lines) AS sessions_analyzed,
+ (SELECT count(*) FROM learning_items WHERE applied = false AND id IN (
+   SELECT TRY_CAST(regexp_replace(key, '[^0-9]', '', 'g') AS BIGINT) FROM f WHERE type = 'APPLY')) AS learnings_applied,
+ (SELECT count(*) FROM error_patterns WHERE pattern_key IN (SELECT key FROM f WHERE type = 'PATTERN')) AS patterns_updated,
+ (SELECT count(DISTINCT regexp_replace(replace(lower(key), ' ', '-'), '[^a-z0-9-]', '', 'g')) FROM f WHERE type = 'PLAYBOOK' AND key <> '') AS playbooks_created,
+ (SELECT count(*) FROM pc) AS skill_proposals_created,
+ (SELECT count(DISTINCT coalesce(nullif(p, ''), 'known-issues/STUB_' || replace(key, ' ', '_') || '.md')) FROM f
+   WHERE type = 'VAULTGAP' AND key <> '') AS rag_gaps_filled)"""
+_NIGHTLY = ("learning_items", "error_patterns", "skill_proposals", "findings", "session_lines")
+
+
+@query("created_summary", f"WITH {_PROPOSAL_CANDS}, {_MADE} SELECT * FROM made", _NIGHTLY)
+def q_created_summary(fx: Fixtures) -> DataFrame:
+    """What the nightly review made: documents, closed items, changed patterns, proposals."""
+    return jobs.nightly_review_job(fx.learning_items, fx.error_patterns, fx.skill_proposals, fx.findings, AS_OF_EVENTS,
+                                   session_lines=fx.session_lines).summary
+
+
+@query("record_run", f"""
+WITH {_PROPOSAL_CANDS}, {_MADE},
+old AS (SELECT event_id AS id, 'completed' AS status FROM events WHERE event_type = 'signup')
+SELECT id, status, 0 AS sessions_analyzed, 0 AS playbooks_created, 0 AS rag_gaps_filled, '' AS vault_report_path FROM old
+UNION ALL SELECT -1, 'completed', sessions_analyzed, playbooks_created, rag_gaps_filled, 'reports/2024-01-31.md' FROM made""", _NIGHTLY)
+def q_record_run(fx: Fixtures) -> DataFrame:
+    """The ledger (a row per signup event stands for the earlier runs) after a nightly run."""
+    ledger = fx.table("events").where("event_type = 'signup'").select(
+        F.col("event_id").alias("id"), F.to_date("ts").alias("run_date"), F.lit("completed").alias("status"))
+    out = jobs.nightly_review_job(fx.learning_items, fx.error_patterns, fx.skill_proposals, fx.findings, AS_OF_EVENTS,
+                                  run_id=-1, session_lines=fx.session_lines, ledger=ledger, duration_s=47,
+                                  report_path="reports/2024-01-31.md").ledger
+    none = lambda c: F.coalesce(c, F.lit(0)).cast("bigint").alias(c)
+    return out.select("id", "status", none("sessions_analyzed"), none("playbooks_created"), none("rag_gaps_filled"),
+                      F.coalesce("vault_report_path", F.lit("")).alias("vault_report_path"))
+
+
+@query("misses_json", """
+SELECT to_json(list(struct_pack("query" := query, miss_count := n, last_miss := l) ORDER BY query))::VARCHAR AS json FROM (
+  SELECT query, count(*) AS n, strftime(max(created_at), '%Y-%m-%d %H:%M:%S') AS l FROM rag_misses WHERE resolved = false GROUP BY query
+  HAVING count(*) >= 3 ORDER BY n DESC, query LIMIT 10) t""", ("rag_misses",))
+def q_misses_json(fx: Fixtures) -> DataFrame:
+    top = agg.miss_last_seen(fx.rag_misses, 3, 10)
+    rows = top.select("query", "miss_count", F.date_format("last_miss", "yyyy-MM-dd HH:mm:ss").alias("last_miss"))
+    return sinks.json_rows(rows, ["query"])
+
+
+@query("patterns_json", """
+SELECT to_json(list(struct_pack(pattern_name := pattern_key, skill_name := coalesce(related_skill, 'unknown'),
+  occurrence_count := occurrence_count, category := category, description := description) ORDER BY pattern_key))::VARCHAR AS json FROM (
+  SELECT * FROM error_patterns WHERE resolved = false AND (addressed = false OR addressed IS NULL) AND occurrence_count >= 3
+  ORDER BY occurrence_count DESC, pattern_key LIMIT 10) t""", ("error_patterns",))
+def q_patterns_json(fx: Fixtures) -> DataFrame:
+    top = rk.top_k(flt.actionable_patterns(fx.error_patterns, 3), 10, F.col("occurrence_count").desc(), F.col("pattern_key"))
+    rows = top.select(F.col("pattern_key").alias("pattern_name"), F.coalesce("related_skill", F.lit("unknown")).alias("skill_name"),
+                      "occurrence_count", "category", "description")
+    return sinks.json_rows(rows, ["pattern_name"])
+
+
+@query("decisions_json", f"""
+SELECT to_json(list(struct_pack(skill_name := skill_name, decision_type := decision_type, judge_decision := judge_decision,
+  was_applied := was_applied, id := id) ORDER BY id))::VARCHAR AS json FROM (
+  SELECT * FROM skill_decisions WHERE created_at > {EV} - INTERVAL 7 DAY ORDER BY created_at DESC, id DESC LIMIT 10) t""", ("skill_decisions",))
+def q_decisions_json(fx: Fixtures) -> DataFrame:
+    top = flt.recent_decisions(fx.skill_decisions, AS_OF_EVENTS, 7, 10)
+    return sinks.json_rows(top.select("skill_name", "decision_type", "judge_decision", "was_applied", "id"), ["id"])

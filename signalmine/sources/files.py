@@ -26,7 +26,9 @@ def read_texts(spark: SparkSession, root: str, glob: str = "*.md", recursive: bo
     """(path, modified_at, content) for every matching file under ``root``."""
     # ``text()`` has its own wholetext=False default, so pass it as a keyword
     df = spark.read.text(root, wholetext=True, recursiveFileLookup=recursive, pathGlobFilter=glob)
-    out = df.select(F.col("_metadata.file_path").alias("path"),
+    # the metadata path is a URL: decode it once, so that names are the files' own ('+' is no blank in a path)
+    path = F.url_decode(F.regexp_replace(F.col("_metadata.file_path"), r"\+", "%2B"))
+    out = df.select(path.alias("path"),
                     F.col("_metadata.file_modification_time").cast("timestamp_ntz").alias("modified_at"),
                     F.col("value").alias("content"))
     # the glob again on the file name: the reader applies it only to the listing it prunes
@@ -54,9 +56,9 @@ def _escape(s: str) -> str:
 
 
 def scan_sessions_by_name_date(spark: SparkSession, root: str, as_of: AsOf, days: int = 1,
-                               limit: int | None = 10, max_depth: int = 2) -> DataFrame:
+                               limit: int | None = None, max_depth: int = 2) -> DataFrame:
     """Session logs whose *name* holds a date of the last ``days`` days (today
-    included), at most ``max_depth`` levels deep; the first ``limit`` by path."""
+    included), at most ``max_depth`` levels deep; the first ``limit`` by path if given."""
     docs = read_texts(spark, root, "*.md")
     name = basename(F.col("path"))
     day = F.to_date(F.regexp_extract(name, r"(\d{4}-\d{2}-\d{2})", 1), "yyyy-MM-dd")
@@ -93,19 +95,21 @@ def scan_skill_learnings(spark: SparkSession, root: str) -> DataFrame:
 
 def scan_code(spark: SparkSession, roots: list[str] | str, skip_hidden: bool = True) -> DataFrame:
     """(path, content) of code files by extension, skipping vendor and build
-    directories, and hidden ones unless ``skip_hidden`` is False; content
-    decoded as UTF-8. Spark's file listing itself never returns names that
-    start with '.' or '_', so such folders are invisible either way."""
+    directories, and hidden ones unless ``skip_hidden`` is False. The extension
+    prunes the listing, the directory tests run on the file's path before its
+    bytes are read; bytes that are no UTF-8 become U+FFFD. Spark's file listing
+    itself never returns names that start with '.' or '_', so such folders are
+    invisible either way."""
     paths = [roots] if isinstance(roots, str) else list(roots)
-    df = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths)
-          .select(F.regexp_replace("path", "^file:", "").alias("path"), "content"))
+    either_case = lambda ext: "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in ext)
+    df = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
+          .option("pathGlobFilter", "*{" + ",".join(either_case(e) for e in CODE_EXTENSIONS) + "}").load(paths))
     seg_skip = "|".join(_escape(d) for d in SKIP_DIRS)
     bad_dir = F.col("path").rlike(f"/({seg_skip})/")
     if skip_hidden:
         bad_dir = bad_dir | F.col("path").rlike(r"/\.[^/]+/")
-    ext_ok = F.lower(F.regexp_extract("path", r"(\.[A-Za-z0-9]+)$", 1)).isin(CODE_EXTENSIONS)
-    return (df.filter(ext_ok & ~bad_dir)
-            .select("path", F.decode(F.col("content"), "UTF-8").alias("content")))
+    text = F.coalesce(F.try_validate_utf8(F.col("content").cast("string")), F.make_valid_utf8(F.col("content").cast("string")))
+    return df.filter(~bad_dir).select(F.regexp_replace("path", "^file:", "").alias("path"), text.alias("content"))
 
 
 APP_CONFIG_SCHEMA = T.StructType([

@@ -78,20 +78,26 @@ class Fixtures:
     # -- learning items ----------------------------------------------------
     @cached_property
     def learning_items(self) -> DataFrame:
+        """A row per document; some error items name a pattern key and some
+        session items a session file, as the items of earlier runs do."""
         d = self.table("documents").select("doc_id", "text", "source")
-        e = self.table("events").select("event_id", "ts")
-        j = d.join(e, e.event_id == d.doc_id * 10)
-        open_flag = j.doc_id % 4 == 0
-        return j.select(
-            j.doc_id.alias("id"),
-            F.when(j.doc_id % 3 == 0, "error").when(j.doc_id % 3 == 1, "session")
+        open_flag = d.doc_id % 4 == 0
+        created = F.expr("TIMESTAMP_NTZ'2023-12-02 00:00:00' + make_dt_interval(0, 0, cast(doc_id * 7919 % 86400 as int))")
+        lesson = (F.when(d.doc_id % 9 == 0, F.concat(
+            F.lit("Recurring problem: err-"), F.expr("(doc_id div 9) % 150").cast("string"), F.lit("-b"),
+            F.expr("(doc_id div 27) % 2").cast("string"), F.lit(" - "), d.text))
+            .when(d.doc_id % 15 == 1, F.concat(F.lit("Session session-"), F.expr("doc_id div 15").cast("string"),
+                                               F.lit(".md: "), d.text)).otherwise(d.text))
+        return d.select(
+            d.doc_id.alias("id"),
+            F.when(d.doc_id % 3 == 0, "error").when(d.doc_id % 3 == 1, "session")
              .otherwise("rag_miss").alias("source"),
-            j.text.alias("lesson"),
-            j.source.alias("applicable_to"),
-            (1 + j.doc_id % 7).cast("int").alias("occurrence_count"),
+            lesson.alias("lesson"),
+            d.source.alias("applicable_to"),
+            (1 + d.doc_id % 7).cast("int").alias("occurrence_count"),
             open_flag.alias("applied"),
-            F.when(open_flag, j.ts).alias("applied_at"),
-            j.ts.alias("created_at"),
+            F.when(open_flag, created).alias("applied_at"),
+            created.alias("created_at"),
         )
 
     @cached_property
@@ -167,19 +173,19 @@ class Fixtures:
     # -- text line tables ----------------------------------------------------
     @cached_property
     def session_lines(self) -> DataFrame:
+        """A file per conversation: a title, then the whole text of every turn,
+        split into its lines; user turns start as a fix or as a result section."""
         c = self.table("conversations")
-        e = self.table("events").select("event_id", "ts")
-        j = c.join(e, e.event_id == c.conv_id * 100)
-        flat = F.regexp_replace(j.text, "\n", " ")
-        return j.select(
-            j.conv_id.alias("session_id"),
-            F.concat(F.lit("session-"), j.conv_id.cast("string"), F.lit(".md")).alias("file_name"),
-            j.ts.alias("modified_at"),
-            j.turn.alias("line_no"),
-            F.when(j.turn == 0, F.concat(F.lit("# Session "), j.conv_id.cast("string")))
-             .when((j.role == "user") & (j.conv_id % 3 != 0), F.concat(F.lit("- Fix: "), F.left(flat, F.lit(80))))
-             .when(j.role == "user", F.lit("## Result"))
-             .otherwise(F.left(flat, F.lit(200))).alias("line"))
+        head = F.when(c.turn == 0, F.concat(F.lit("# Session "), c.conv_id.cast("string"), F.lit("\n"))).otherwise("")
+        mark = F.when((c.role == "user") & (c.conv_id % 3 != 0), "- Fix: ").when(c.role == "user", "## Result\n").otherwise("")
+        body = F.concat(head, mark, F.coalesce(c.text, F.lit("")))
+        lines = c.select("conv_id", "turn", F.posexplode(F.split(body, "\n")).alias("pos", "line"))
+        return lines.select(
+            lines.conv_id.alias("session_id"),
+            F.concat(F.lit("session-"), lines.conv_id.cast("string"), F.lit(".md")).alias("file_name"),
+            F.expr("TIMESTAMP_NTZ'2024-01-01 00:00:00' + make_dt_interval(0, 0, cast(conv_id * 7919 % 43200 as int))")
+             .alias("modified_at"),
+            (lines.turn.cast("long") * 100000 + lines.pos).alias("line_no"), "line")
 
     @cached_property
     def findings(self) -> DataFrame:
@@ -197,13 +203,39 @@ class Fixtures:
     # -- documents with embeddings ---------------------------------------------
     @cached_property
     def kb_docs(self) -> DataFrame:
+        """The vectors, and for each recent document a twin (same vector, id +
+        10^9), which is its nearest neighbour."""
         v = self.table("embeddings")
-        return v.select(v.vec_id.alias("doc_id"), "embedding", "label", (v.vec_id % 25 == 0).alias("is_recent"))
+        docs = v.select(v.vec_id.alias("doc_id"), "embedding", "label", (v.vec_id % 25 == 0).alias("is_recent"))
+        twins = docs.where("is_recent").select((F.col("doc_id") + 1000000000).alias("doc_id"), "embedding", "label",
+                                               F.lit(False).alias("is_recent"))
+        return docs.unionByName(twins)
 
     @cached_property
     def kb_links(self) -> DataFrame:
+        """Links, among them those of half the recent documents to their twins."""
         v = self.table("embeddings")
-        return v.filter(v.vec_id % 2 == 0).select(v.vec_id.alias("src"), (v.vec_id + 1).alias("dst"))
+        even = v.filter(v.vec_id % 2 == 0).select(v.vec_id.alias("src"), (v.vec_id + 1).alias("dst"))
+        return even.unionByName(v.filter(v.vec_id % 50 == 0).select(
+            v.vec_id.alias("src"), (v.vec_id + 1000000000).alias("dst")))
+
+    @cached_property
+    def kb_texts(self) -> DataFrame:
+        """The documents with ``[[links]]`` at the end of every fifth; a quarter of
+        the recent ones mention their twin."""
+        d = self.table("documents").select("doc_id", "text")
+        own = F.when(d.doc_id % 100 == 25, F.concat(F.lit("\n[["), (d.doc_id + 1000000000).cast("string"), F.lit("]]")))
+        some = F.when(d.doc_id % 5 == 0, F.concat(F.lit("\nSee [[note-"), (d.doc_id % 7).cast("string"), F.lit("]] and [["),
+                                                  (d.doc_id + 1).cast("string"), F.lit("]].")))
+        return d.select("doc_id", F.concat("text", F.coalesce(some, F.lit("")), F.coalesce(own, F.lit(""))).alias("text"))
+
+    @cached_property
+    def miss_vectors(self) -> DataFrame:
+        """Vectors of failed searches: those of the table, turned round for odd ids."""
+        m = self.rag_misses.select("id", (F.col("id") % 500).alias("vec_id"))
+        v = self.table("embeddings").select("vec_id", "embedding")
+        sign = F.when(F.col("id") % 2 == 0, F.lit(1.0)).otherwise(F.lit(-1.0))
+        return m.join(v, "vec_id").select("id", F.transform("embedding", lambda x: x.cast("double") * sign).alias("embedding"))
 
     # -- phases of multi-phase runs ---------------------------------------------
     @cached_property
@@ -220,11 +252,90 @@ class Fixtures:
     # -- terms to look up per document language -----------------------------------
     @cached_property
     def doc_terms(self) -> DataFrame:
-        # fixed values: (app, term) pairs to look up in documents of language `app`
-        rows = [("en", "the"), ("en", "audit_log"), ("de", "der"), ("de", "the"),
-                ("fr", "des"), ("fr", "webhooks"), ("es", "los"), ("es", "und")]
-        return self.spark.createDataFrame(rows, "app string, term string").distinct()
+        """The words of the benchmark items, as terms of one language each."""
+        b = self.table("benchmark")
+        app = F.get(F.array(F.lit("en"), F.lit("de"), F.lit("fr"), F.lit("es")), (b.item_id % 4).cast("int"))
+        return b.select(app.alias("app"), F.explode(F.regexp_extract_all(
+            F.lower("text"), F.lit("[a-z0-9_]+"), 0)).alias("term")).distinct()
 
     @cached_property
     def documents(self) -> DataFrame:
         return self.table("documents")
+
+    # -- code trees and their documents (a part is a file, a brand an app) -----------
+    @cached_property
+    def code_apps(self) -> DataFrame:
+        app = F.lower(F.regexp_replace("p_brand", "#", "-"))
+        return self.table("part").select(app.alias("app")).distinct().select(
+            "app", F.concat(F.lit("/r/"), F.col("app")).alias("repo"),
+            F.concat(F.lit("docs/"), F.col("app"), F.lit(".md")).alias("doc"))
+
+    @cached_property
+    def code_files(self) -> DataFrame:
+        p = self.table("part")
+        name = lambda sep: F.regexp_replace(p.p_name, " ", sep)
+        path = (F.when(p.p_partkey % 4 == 0, F.concat(F.lit("src/app/api/"), name("-"), F.lit("/route.ts")))
+                .when(p.p_partkey % 4 == 1, F.concat(F.lit("src/lib/q"), p.p_partkey.cast("string"), F.lit(".ts")))
+                .when(p.p_partkey % 4 == 2, F.concat(F.lit("vendor/q"), p.p_partkey.cast("string"), F.lit(".ts")))
+                .otherwise(F.lit("app/api/health/route.js")))
+        content = F.concat(F.lit("SELECT a FROM "), name("_"), F.lit(" JOIN created_at; UPDATE \""),
+                           F.lower(p.p_type), F.lit("_stock\" SET x"))
+        return p.select(F.lower(F.regexp_replace("p_brand", "#", "-")).alias("app"), path.alias("rel_path"),
+                        content.alias("content"))
+
+    @cached_property
+    def code_docs(self) -> DataFrame:
+        """Documents of the apps with an even number, naming a part of the terms."""
+        p = self.table("part").where("p_partkey % 3 = 0")
+        app = F.lower(F.regexp_replace("p_brand", "#", "-"))
+        lines = F.array_sort(F.collect_set(F.concat(F.lit("Table "), F.regexp_replace("p_name", " ", "_"), F.lit(", area "),
+                                                    F.regexp_replace("p_name", " ", "-"), F.lit("."))))
+        return (p.where("cast(substring(p_brand, 7) as int) % 2 = 0").groupBy(app.alias("app"))
+                .agg(F.array_join(lines, "\n").alias("content"))
+                .select(F.concat(F.lit("docs/"), F.col("app"), F.lit(".md")).alias("path"), "content"))
+
+    # -- replies and logs, a row per line or per text --------------------------------
+    @cached_property
+    def reply_lines(self) -> DataFrame:
+        """Classification replies: id|action|description, some of them invalid."""
+        d = self.table("documents")
+        action = F.get(F.array(*[F.lit(x) for x in ("guard", " Memory ", "VAULT", "config", "skip", "other")]),
+                       (d.doc_id % 6).cast("int"))
+        return d.select(d.doc_id.alias("line_no"), F.concat(
+            F.when(d.doc_id % 11 == 0, "none").otherwise(F.concat(F.lit("#"), d.doc_id.cast("string"))), F.lit("|"),
+            action, F.lit("|about "), d.source, F.when(d.doc_id % 2 == 0, "|").otherwise("")).alias("line"))
+
+    @cached_property
+    def stub_replies(self) -> DataFrame:
+        """A reply per repeated query; some lack the folder."""
+        m = self.rag_misses.where("not resolved").groupBy("query").agg(F.min("id").alias("n")).select(
+            F.col("query").alias("query_prefix"), "n")
+        return m.select("query_prefix", F.concat(
+            F.lit("FOLDER: "), F.when(F.col("n") % 4 == 0, "").otherwise("guides"), F.lit("\nFILE: "),
+            F.regexp_replace("query_prefix", " ", "_"), F.lit(".md\nCONTENT:\nAbout "), F.col("query_prefix"),
+            F.lit(".\nMore.")).alias("reply"))
+
+    @cached_property
+    def skill_learning_lines(self) -> DataFrame:
+        """A learnings file per brand, a dated block per part."""
+        p = self.table("part")
+        block = F.array(
+            F.concat(F.lit("## 2024-01-"), F.lpad((1 + p.p_partkey % 28).cast("string"), 2, "0"), F.lit(": "), p.p_name),
+            F.concat(F.lit("Score: "), (p.p_partkey % 6).cast("string"), F.lit(" Runs: "), (p.p_partkey % 5).cast("string")),
+            F.when(p.p_partkey % 7 == 0, "CRYSTALLIZED").otherwise("open"))
+        lines = p.select(F.lower("p_brand").alias("skill"), "p_partkey", F.posexplode(block).alias("pos", "line"))
+        return lines.select("skill", (F.col("p_partkey") * 10 + F.col("pos")).alias("line_no"), "line")
+
+    @cached_property
+    def task_lines(self) -> DataFrame:
+        """A task document per order: front matter (absent in some), then phases."""
+        o = self.table("orders")
+        matter = F.array(F.lit("---"), F.concat(F.lit('title: "Task '), o.o_orderkey.cast("string"), F.lit('"')),
+                         F.concat(F.lit("max_budget_usd: "), F.when(o.o_orderkey % 3 == 0, "").otherwise(
+                             (1 + o.o_orderkey % 20).cast("string"))), F.lit("---"))
+        phases = F.flatten(F.transform(F.sequence(F.lit(1), (1 + o.o_orderkey % 3).cast("int")), lambda i: F.array(
+            F.concat(F.lit("## Phase "), (i * 2).cast("string"), F.lit(": do")), F.concat(F.lit("step "), i.cast("string")),
+            F.when(i % 2 == 0, "## Notes").otherwise("more"))))
+        lines = F.concat(F.when(o.o_orderkey % 5 == 0, F.array().cast("array<string>")).otherwise(matter), phases)
+        return o.select(F.concat(F.lit("tasks/"), o.o_orderkey.cast("string"), F.lit(".md")).alias("path"),
+                        F.posexplode(lines).alias("line_no", "line"))

@@ -34,32 +34,47 @@ def write_documents(docs: DataFrame, existing: DataFrame | None, path: str) -> D
 
 
 def write_report(metrics: DataFrame, path: str, fmt: str = "json") -> None:
-    """Write a (section, name, value) report table; one small file."""
-    metrics.coalesce(1).write.mode("overwrite").format(fmt).save(path)
+    """Write a (section, name, value) report table; one small file, the rows of
+    which are brought together by a shuffle of their own."""
+    metrics.repartition(1).write.mode("overwrite").format(fmt).save(path)
+
+
+def report_lines(metrics: DataFrame) -> DataFrame:
+    """A (section, name, value) table as Markdown table lines, a row each."""
+    return metrics.select("section", "name", F.concat(
+        F.lit("| "), F.col("section"), F.lit(" | "), F.col("name"), F.lit(" | "), F.col("value").cast("string"),
+        F.lit(" |")).alias("line"))
 
 
 def report_markdown(metrics: DataFrame, title: str) -> DataFrame:
-    """The report as one Markdown text: a table of (section, name, value) rows
-    in section/name order (ordered by sorting structs, not by arrival)."""
-    rows = F.array_sort(F.collect_list(F.struct("section", "name", F.col("value").cast("string").alias("value"))))
-    lines = F.transform(rows, lambda r: F.concat(F.lit("| "), r["section"], F.lit(" | "), r["name"],
-                                                  F.lit(" | "), r["value"], F.lit(" |")))
-    return metrics.agg(F.concat(F.lit(f"# {title}\n\n| Section | Metric | Value |\n|---|---|---|\n"),
-                                F.array_join(lines, "\n"), F.lit("\n")).alias("markdown"))
+    """A report of a few rows (counters, top-k lists) as one Markdown text, in
+    section/name order. Large tables: ``report_lines``, which stay rows."""
+    rows = F.array_sort(F.collect_list(F.struct("section", "name", "line")))
+    return report_lines(metrics).agg(F.concat(
+        F.lit(f"# {title}\n\n| Section | Metric | Value |\n|---|---|---|\n"),
+        F.array_join(F.transform(rows, lambda r: r["line"]), "\n"), F.lit("\n")).alias("markdown"))
+
+
+def json_rows(df: DataFrame, order: list[str]) -> DataFrame:
+    """``df`` as one row with a JSON array (json) of its rows, in ascending order
+    of the columns ``order`` (their values are part of the objects)."""
+    rows = F.array_sort(F.collect_list(F.struct(*order, F.struct(*df.columns).alias("_row"))))
+    return df.agg(F.to_json(F.transform(rows, lambda r: r["_row"])).alias("json"))
 
 
 def staging_document(day: str, pattern_count: DataFrame, auto_today: DataFrame, max_per_day: int,
                      sections: dict[str, DataFrame]) -> DataFrame:
     """One nested JSON document (patterns, decisions, metrics, misses ...).
 
-    Each section is a small top-k DataFrame folded into an array of structs;
+    Each section is a small top-k DataFrame folded into an array of structs,
+    sorted by the values of its columns from the left;
     ``pattern_count`` / ``auto_today`` are one-row, one-column DataFrames.
     """
     # every part is one row; they are joined on a constant key
     doc = pattern_count.select(F.lit(1).alias("_k"), F.col(pattern_count.columns[0]).alias("pattern_count"))
     doc = doc.join(auto_today.select(F.lit(1).alias("_k"), F.col(auto_today.columns[0]).alias("auto_today")), "_k")
     for name, df in sections.items():
-        arr = df.agg(F.lit(1).alias("_k"), F.collect_list(F.struct(*df.columns)).alias(name))
+        arr = df.agg(F.lit(1).alias("_k"), F.array_sort(F.collect_list(F.struct(*df.columns))).alias(name))
         doc = doc.join(arr, "_k")
     return doc.select(F.to_json(F.struct(F.lit(day).alias("date"), "pattern_count", "auto_today",
                                          F.lit(max_per_day).alias("max_auto_per_day"),
@@ -67,4 +82,4 @@ def staging_document(day: str, pattern_count: DataFrame, auto_today: DataFrame,
 
 
 def write_staging_json(doc: DataFrame, path: str) -> None:
-    doc.coalesce(1).write.mode("overwrite").text(path)
+    doc.repartition(1).write.mode("overwrite").text(path)

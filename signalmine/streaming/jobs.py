@@ -34,9 +34,9 @@ def read_stream(spark: SparkSession, path: str, name: str, max_files: int | None
     return r.parquet(path)
 
 
-def stream_miss_clusters(misses: DataFrame, width: int = 200, min_count: int = 2,
+def stream_miss_clusters(misses: DataFrame, width: int | None = None, min_count: int = 2,
                          watermark: str = "1 day", window: str = "1 day") -> DataFrame:
-    """Daily tumbling roll-up of unresolved misses by query prefix (append mode:
+    """Daily tumbling roll-up of unresolved misses by query (append mode:
     a window is emitted once the watermark passes its end)."""
     m = event_time(misses).filter(F.col("resolved") == F.lit(False)).withWatermark("event_time", watermark)
     g = (m.groupBy(F.window("event_time", window).alias("w"), left("query", width).alias("query_prefix"))
@@ -45,7 +45,7 @@ def stream_miss_clusters(misses: DataFrame, width: int = 200, min_count: int = 2
         F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "query_prefix", "miss_count")
 
 
-def stream_miss_clusters_sliding(misses: DataFrame, width: int = 100, days: int = 7,
+def stream_miss_clusters_sliding(misses: DataFrame, width: int | None = None, days: int = 7,
                                  watermark: str = "1 day") -> DataFrame:
     """'Last 7 days' counts recomputed each day: sliding 7-day windows every day."""
     m = event_time(misses).withWatermark("event_time", watermark)
@@ -64,33 +64,65 @@ def stream_error_patterns(errors: DataFrame, watermark: str = "1 day") -> DataFr
             .select("pattern_key", F.col("w.start").alias("day"), "occurrence_count", "first_seen", "last_seen"))
 
 
-def upsert_pattern_counts(table_path: str):
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Is there anything at ``path``? Asked of its own file system, so that a
+    failing read is never taken for a missing table."""
+    jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(jvm_path)
+
+
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    """Complete versions ``v=<batch id>`` of a versioned table, ascending."""
+    if not _exists(spark, path):
+        return []
+    jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    found = jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(jvm_path)
+    names = [f.getPath().getName() for f in found if f.isDirectory()]
+    return sorted(int(n[2:]) for n in names if n.startswith("v=") and _exists(spark, f"{path}/{n}/_SUCCESS"))
+
+
+def _drop(spark: SparkSession, path: str) -> None:
+    jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(jvm_path, True)
+
+
+PATTERN_COUNTS = "pattern_key string, day timestamp, occurrence_count long, first_seen timestamp_ntz, last_seen timestamp_ntz"
+
+
+def upsert_pattern_counts(table_path: str, keep_versions: int = 3):
     """``foreachBatch`` function: merge a batch of per-day counts into the
     pattern table at ``table_path``: rows of the batch replace the same
-    (key, day) rows of the latest version (anti join + union), written as a
-    new version ``v=<batch id>``; a replayed batch rewrites the same version,
-    so the result is exactly once."""
+    (key, day) rows of the version before it (anti join + union), written as a
+    new version ``v=<batch id>``. A replayed batch starts from the same earlier
+    version and rewrites its own, so the result is exactly once; versions older
+    than the last ``keep_versions`` are dropped after the write."""
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        out = f"{table_path}/v={batch_id:012d}"
-        try:
-            versions = spark.read.parquet(table_path)
-            latest = versions.agg(F.max("v")).first()[0]
-            prev = versions.filter(F.col("v") == latest).drop("v")
-        except Exception:  # noqa: BLE001 - first batch: no table yet
-            prev = None
-        rows = batch.select("pattern_key", "day", "occurrence_count", "first_seen", "last_seen")
-        if prev is not None:
-            prev = prev.select("pattern_key", "day", "occurrence_count", "first_seen", "last_seen")
+        cols = ["pattern_key", "day", "occurrence_count", "first_seen", "last_seen"]
+        rows = batch.select(*cols)
+        before = [v for v in _versions(spark, table_path) if v < batch_id]
+        if before:
+            prev = spark.read.schema(PATTERN_COUNTS).parquet(f"{table_path}/v={before[-1]:012d}")
             rows = prev.join(rows.select("pattern_key", "day"), ["pattern_key", "day"], "left_anti").unionByName(rows)
-        rows.write.mode("overwrite").parquet(out)
+        rows.write.mode("overwrite").parquet(f"{table_path}/v={batch_id:012d}")
+        for v in before[:-keep_versions]:
+            _drop(spark, f"{table_path}/v={v:012d}")
     return run
 
 
-def stream_dedup_items(items: DataFrame, watermark: str = "14 days", prefix_len: int = 80) -> DataFrame:
-    """Drop later copies (same source and first 80 characters) within the watermark."""
-    i = event_time(items).withColumn("lesson_prefix", left("lesson", prefix_len))
-    return i.withWatermark("event_time", watermark).dropDuplicatesWithinWatermark(["source", "lesson_prefix"])
+def read_pattern_counts(spark: SparkSession, table_path: str) -> DataFrame:
+    """The newest version of the pattern table (empty before the first)."""
+    versions = _versions(spark, table_path)
+    if not versions:
+        return spark.createDataFrame([], PATTERN_COUNTS)
+    return spark.read.schema(PATTERN_COUNTS).parquet(f"{table_path}/v={versions[-1]:012d}")
+
+
+def stream_dedup_items(items: DataFrame, watermark: str = "14 days", prefix_len: int | None = None) -> DataFrame:
+    """Drop later copies (same source and lesson) within the watermark; the state
+    keeps a digest per lesson, not its text."""
+    i = event_time(items).withColumn("lesson_key", F.sha2(left("lesson", prefix_len), 256))
+    return i.withWatermark("event_time", watermark).dropDuplicatesWithinWatermark(["source", "lesson_key"])
 
 
 def session_file_stream(spark: SparkSession, sessions_dir: str) -> DataFrame:
@@ -105,7 +137,8 @@ def session_items_batch(batch: DataFrame, items: DataFrame) -> DataFrame:
     from signalmine.operators.text import session_items
     from signalmine.sources.files import to_lines
 
-    lines = to_lines(batch.withColumn("file_name", F.element_at(F.split("path", "/"), -1)).drop("path"))
+    name = F.url_decode(F.regexp_replace(F.element_at(F.split("path", "/"), -1), r"\+", "%2B"))
+    lines = to_lines(batch.withColumn("file_name", name).drop("path"))
     return session_items(lines, items)
 
 
@@ -115,9 +148,9 @@ def session_items_writer(items_path: str):
     earlier batch is never itemised twice)."""
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        try:
+        if _exists(spark, items_path):
             items = spark.read.parquet(items_path)
-        except Exception:  # noqa: BLE001 - first batch: empty table
+        else:  # first batch: empty table
             items = spark.createDataFrame([], "source string, lesson string")
         session_items_batch(batch, items).write.mode("append").parquet(items_path)
     return run

@@ -40,9 +40,10 @@ def test_nightly_review_job(spark, sf_small):
     pb = res.playbooks.first()
     assert pb is None or "Created by Dreaming Run #7" in pb.content
     s = res.summary.first()
-    assert s.total == s.playbooks + s.applied + s.patterns + s.gaps > 0
-    ledger = up.record_run(None, res.summary, AS_OF_EVENTS, duration_s=47)
-    assert ledger.first().duration_seconds == 47
+    assert s.playbooks_created == res.playbooks.count() > 0 and s.rag_gaps_filled == res.stubs.count() > 0
+    assert s.learnings_applied == res.items.where("changed").count()
+    ledger = up.start_run(spark.createDataFrame([], "id long, status string"), 7, AS_OF_EVENTS)
+    assert up.record_run(ledger, res.summary, 7, duration_s=47).first().duration_seconds == 47
 
 
 def test_consolidate_and_other_jobs(spark, sf_small):
@@ -56,8 +57,9 @@ def test_consolidate_and_other_jobs(spark, sf_small):
     review = jobs.skill_review_job(fx.skill_decisions, fx.error_patterns, fx.skill_metrics, fx.rag_misses,
                                    AS_OF_EVENTS)
     assert review["gate"].count() == 1
-    pairs, texts = jobs.link_job(fx.kb_docs, fx.kb_links, fx.documents.select("doc_id", "text"), "2024-01-31")
-    assert pairs.count() <= 10
+    pairs, texts, report = jobs.link_job(fx.kb_docs, fx.kb_links, fx.kb_texts, "2024-01-31")
+    assert pairs.count() == report.agg(F.sum("links")).first()[0] > 10
+    assert jobs.link_job(fx.kb_docs, fx.kb_links, fx.kb_texts, "2024-01-31", cap=10)[0].count() == 10
 
 
 def test_small_operators(spark):
@@ -86,24 +88,25 @@ def test_remaining_jobs(spark, sf_small):
     first, second = clusters[0].query_prefix, clusters[1].query_prefix
     replies = spark.createDataFrame([(first, "FOLDER: guides\nFILE: a.md\nCONTENT:\nbody"), (second, "no fields")],
                                     "query_prefix string, reply string")
-    res = jobs.gap_stubs_job(misses, replies)
+    res = jobs.gap_stubs_job(misses, replies, AS_OF_EVENTS)
     assert rows(res.stubs, "path") == [("guides/a.md",)]
     stubbed = res.misses.filter("resolved_by = 'rag-filler-stub'").select("query").distinct().collect()
     assert all(r.query.startswith(first) for r in stubbed) and stubbed
     found = spark.createDataFrame([(second,)], "query_prefix string")
-    res2 = jobs.gap_stubs_job(misses, replies, found_prefixes=found)
+    res2 = jobs.gap_stubs_job(misses, replies, AS_OF_EVENTS, found_prefixes=found)
     assert res2.misses.filter("resolved_by = 'rag-filler-found'").count() > 0
     memo = jobs.memo_job(fx.learning_items, fx.rag_misses, fx.session_lines)
     assert memo["counts"].count() == 2 and memo["top_items"].count() <= 15
     applied = jobs.apply_job(fx.learning_items, AS_OF_EVENTS)
-    assert applied.classified.count() <= 50
+    assert applied.classified.count() == fx.learning_items.where("not applied").count() - applied.archived.agg(F.sum("items")).first()[0]
+    assert jobs.apply_job(fx.learning_items, AS_OF_EVENTS, k=5).classified.count() == 5
     assert {r.action for r in applied.action_counts.collect()} <= {"guard", "memory", "vault", "config", "skip"}
     lines = spark.createDataFrame([("2024-01-30-a.md", 1, "# A"), ("2023-01-01-b.md", 1, "# B")],
                                   "file_name string, line_no int, line string")
     digest, kept = jobs.weekly_review_job(lines, AS_OF_EVENTS, spark.createDataFrame(
         [(1, "1. do x"), (2, "prose"), (3, "- y")], "line_no long, line string"))
-    assert digest.first().files == 1 and kept.count() == 2
+    assert rows(digest) == [("2024-01-30-a.md", "\n\n--- SESSION: 2024-01-30-a.md ---\n# A")] and kept.count() == 2
     ll = spark.createDataFrame([("s", 1, "## 2026-07-01: T"), ("s", 2, "Score: 4"), ("s", 3, "Runs: 3")],
                                "skill string, line_no int, line string")
-    cands, alert = jobs.crystallize_job(ll)
-    assert alert.first().text == "- s: T (Score 4, Runs 3)"
+    cands, alert, lines = jobs.crystallize_job(ll)
+    assert alert.first().candidates == 1 and lines.first().line == "- s: T (Score 4, Runs 3)"
