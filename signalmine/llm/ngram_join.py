@@ -16,10 +16,14 @@ segments probes with one-deletion neighbourhoods (e = 2) instead, against sets
 that are in the same position; a pair with one set that isn't is found from
 that set. So no link is lost, whatever the sample says.
 
-Lists of sets that share a segment become candidate pairs: each set with the
-list's first. The best pair of each set is verified on its whole texts and gives
-first components; then all pairs of a list that lie in different components are
-verified. Copies (equal sets) are one entry throughout.
+Sets that share a segment form a list. Of each list the set that most others of
+the bucket's lists share is the centre; each set is first verified, on whole
+texts, with the centre that it shares most lists with, which gives components.
+Then every pair of a list that lies in different components is tested: each set
+has a parity sketch, whose bits that differ between two sets are at most the
+shingles that differ, so a pair with more than H such bits is no link for sure;
+all others are verified. Copies (equal sets) are one entry throughout, and pairs
+leave a task only after that test.
 
 Sets are sets of 64-bit shingle hashes.
 """
@@ -40,6 +44,7 @@ SHINGLE = 5
 SAMPLE_SETS = 1024      # sets that the frequent shingles are taken from
 FREQUENT_IN = 6         # of them: a shingle in so many sets is frequent
 MOST_FREQUENT = 200_000  # frequent shingles kept (for costs only)
+FLUSH = 500_000         # signatures that a task holds before it sends them
 
 
 def shingle_sets(column: pa.Array, k: int = SHINGLE):
@@ -166,10 +171,20 @@ def _index(docs: DataFrame, frequent: np.ndarray, n_buckets: int) -> DataFrame:
     """Packed (bucket; high, low, set): 38 bits of each signature with its flags."""
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
 
+    def sent(parts):
+        if parts:
+            sig, flag, sets = (np.concatenate(x) for x in zip(*parts, strict=True))
+            yield packed((sig & U64((1 << 26) - 1)).astype(np.int64) % n_buckets, n_buckets, {
+                "high": (sig >> U64(32)).astype(np.uint32),
+                "low": ((((sig >> U64(26)) & U64(63)) << U64(2)).astype(np.uint8) | flag), "sets": sets})
+
     def run(batches):
         for batch in batches:
-            hot, seen, parts = shared.value, set(), []
+            hot, seen, parts, held = shared.value, set(), [], 0
             for _, s in shingle_sets(batch.column(0)):
+                if held > FLUSH:
+                    yield from sent(parts)
+                    parts, held = [], 0
                 if not len(s) or (name := set_id(s)) in seen:
                     continue
                 seen.add(name)
@@ -179,13 +194,8 @@ def _index(docs: DataFrame, frequent: np.ndarray, n_buckets: int) -> DataFrame:
                     rare = np.ones(len(s), bool)
                 sig, flag = _signatures(s, mix(s + U64(1)), rare.astype(np.int32))
                 parts.append((sig, flag, np.full(len(sig), name, np.int64)))
-            if parts:
-                sig, flag, sets = (np.concatenate(x) for x in zip(*parts, strict=True))
-                rows = packed((sig & U64((1 << 26) - 1)).astype(np.int64) % n_buckets, n_buckets, {
-                    "high": (sig >> U64(32)).astype(np.uint32),
-                    "low": ((((sig >> U64(26)) & U64(63)) << U64(2)).astype(np.uint8) | flag), "sets": sets})
-                if rows is not None:
-                    yield rows
+                held += len(sig)
+            yield from sent(parts)
 
     return docs.select("text").mapInArrow(run, "bucket int, high binary, low binary, sets binary")
 
@@ -193,9 +203,19 @@ def _index(docs: DataFrame, frequent: np.ndarray, n_buckets: int) -> DataFrame:
 PACKED = "kind int, bucket int, x binary, y binary"
 
 
+def _frame(batch: pa.RecordBatch | None, names: list[str], **more) -> pd.DataFrame:
+    return batch.to_pandas().assign(**more)[names] if batch is not None else pd.DataFrame({c: [] for c in names})
+
+
+def _starts(x: np.ndarray) -> np.ndarray:
+    """Where a run of equal values of a sorted array begins."""
+    return np.flatnonzero(np.concatenate([[True], x[1:] != x[:-1]])) if len(x) else np.zeros(0, np.int64)
+
+
 def _lists(index: DataFrame, n_buckets: int) -> DataFrame:
-    """From the index: packed star pairs (kind 0: first set of a list, other) and
-    lists of three and more sets (kind 1: list, member), equal lists once."""
+    """From the index: packed (kind 0: the centre of its list, or for a centre the
+    next best, and each set; by the set) and (kind 1: list, member; by the
+    member). Equal lists of a bucket are one."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         here = int(rows["bucket"].iloc[0])
@@ -207,50 +227,85 @@ def _lists(index: DataFrame, n_buckets: int) -> DataFrame:
         order = order[np.concatenate([[False], again]) | np.concatenate([again, [False]])]  # signatures seen twice
         order = order[np.lexsort((sets[order], key[order]))]
         key, sets, flag = key[order], sets[order], low[order] & 3
-        empty = pd.DataFrame({"kind": [], "bucket": [], "x": [], "y": []})
+        names = ["kind", "bucket", "x", "y"]
         if not len(key):
-            return empty
-        new = np.concatenate([[True], (key[1:] != key[:-1]) | (sets[1:] != sets[:-1])])
-        at = np.flatnonzero(new)
-        flag = np.bitwise_or.reduceat(flag, at)
-        key, sets = key[at], sets[at]
-        start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+            return _frame(None, names)
+        at = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (sets[1:] != sets[:-1])]))
+        flag, key, sets = np.bitwise_or.reduceat(flag, at), key[at], sets[at]
+        start = _starts(key)
         size = np.diff(np.append(start, len(key)))
-        good = (size > 1) & (np.bitwise_or.reduceat(flag, start) == 3)
+        good = np.flatnonzero((size > 1) & (np.bitwise_or.reduceat(flag, start) == 3))
         members = np.add.reduceat(mix(sets.view(U64)), start)
-        first = np.zeros(len(start), bool)
-        some = np.flatnonzero(good)
-        first[some[np.unique(members[some], return_index=True)[1]]] = True
-        keep = np.repeat(first, size)
-        centre = np.repeat(sets[start], size)
-        pair = keep & (sets != centre)
-        pairs = np.unique(np.stack([centre[pair], sets[pair]], 1), axis=0)
-        long = keep & np.repeat(size > 2, size)
-        out = []
-        for kind, bucket, x, y in (
-                (0, mix(pairs[:, 0].view(U64) ^ mix(pairs[:, 1].view(U64))) % U64(n_buckets), pairs[:, 0], pairs[:, 1]),
-                (1, sets[long] % n_buckets, (here << 38) | key[long], sets[long])):
-            got = packed(bucket.astype(np.int64), n_buckets, {"x": x, "y": y})
-            if got is not None:
-                out.append(got.to_pandas().assign(kind=kind))
-        return pd.concat(out)[["kind", "bucket", "x", "y"]] if out else empty
+        keep = np.zeros(len(start), bool)
+        keep[good[np.unique(members[good], return_index=True)[1]]] = True
+        keep = np.repeat(keep, size)
+        key, sets, size = key[keep], sets[keep], np.repeat(size, size)[keep]
+        if not len(key):
+            return _frame(None, names)
+        found, which = np.unique(sets, return_inverse=True)
+        weight = np.bincount(which, size)[which]  # sets met in this bucket's lists
+        start = _starts(key)
+        list_of = np.repeat(np.arange(len(start)), np.diff(np.append(start, len(key))))
+        ranked = sets[np.lexsort((sets, -weight, list_of))]
+        centre = ranked[start][list_of]
+        partner = np.where(sets != centre, centre, ranked[start + 1][list_of])
+        pairs = packed(sets % n_buckets, n_buckets, {"x": partner, "y": sets})
+        lists = packed(sets % n_buckets, n_buckets, {"x": (here << 38) | key, "y": sets})
+        return pd.concat([_frame(pairs, names, kind=0), _frame(lists, names, kind=1)])
 
     return index.groupBy("bucket").applyInPandas(run, PACKED)
 
 
-def _distinct_pairs(rows: pd.DataFrame) -> pd.DataFrame:
-    pairs = np.stack([unpacked(rows, "x", np.int64), unpacked(rows, "y", np.int64)], 1)
-    pairs, n = np.unique(pairs, axis=0, return_counts=True)
-    return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1], "shared": n})
+def _best_centre(rows: pd.DataFrame) -> pd.DataFrame:
+    """(a, b): of each set b the centre a that it shares most lists with."""
+    a, b = unpacked(rows, "x", np.int64), unpacked(rows, "y", np.int64)
+    order = np.lexsort((a, b))
+    a, b = a[order], b[order]
+    at = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])]))
+    shared = np.diff(np.append(at, len(a)))
+    a, b = a[at], b[at]
+    order = np.lexsort((a, -shared, b))
+    return pd.DataFrame({"a": a[order][_starts(b[order])], "b": b[order][_starts(b[order])]})
 
 
-def _open_pairs(lists: DataFrame, reached: DataFrame, n_buckets: int) -> DataFrame:
-    """Pairs (a < b) of a list whose sets lie in different components."""
+def _sketches(texts: DataFrame) -> DataFrame:
+    """(node, n, sketch): of each set its size and the parities of its shingles'
+    low hash bits, as many as the next power of two of n (64 at least)."""
 
-    def look_up(rows: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({"kind": [], "bucket": [], "x": [], "y": [], "z": []})
+    def run(batches):
+        for batch in batches:
+            out = []
+            for row, s in shingle_sets(batch.column(1)):
+                bits = max(64, 1 << (len(s) - 1).bit_length())
+                odd = np.bincount((mix(s + U64(2)) & U64(bits - 1)).astype(np.int64), minlength=bits) & 1
+                out.append((len(s), np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([n for n, _ in out], pa.int64()),
+                                              pa.array([x for _, x in out], pa.binary())], ["node", "n", "sketch"])
+
+    return texts.select("set_id", "text").mapInArrow(run, "node long, n long, sketch binary")
+
+
+def _near(row: np.ndarray, n: int, sketches: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Of sets with sketches of one length (64-bit words) those that one set's
+    sketch and size don't rule out. The longer sketch is folded to the shorter."""
+    while len(row) > sketches.shape[1]:
+        row = row[:len(row) // 2] ^ row[len(row) // 2:]
+    while sketches.shape[1] > len(row):
+        half = sketches.shape[1] // 2
+        sketches = sketches[:, :half] ^ sketches[:, half:]
+    differ = np.bitwise_count(sketches ^ row).sum(1, dtype=np.int64)
+    return (differ <= (n + sizes) // 9) & (5 * np.minimum(n, sizes) >= 4 * np.maximum(n, sizes))
+
+
+def _open_pairs(lists: DataFrame, reached: DataFrame, sketches: DataFrame, n_buckets: int) -> DataFrame:
+    """Pairs (a < b) of a list that lie in different components and that the
+    sketches can't tell apart."""
+    placed = lambda df: df.withColumn("bucket", F.pmod("node", F.lit(n_buckets)).cast("int"))
+
+    def with_component(rows: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+        names = ["bucket", "x", "y", "z"]
         if not len(rows):
-            return empty
+            return _frame(None, names)
         lists, member = unpacked(rows, "x", np.int64), unpacked(rows, "y", np.int64)
         known = known.sort_values("node")
         node, comp = known["node"].to_numpy(np.int64), known["component"].to_numpy(np.int64)
@@ -259,34 +314,75 @@ def _open_pairs(lists: DataFrame, reached: DataFrame, n_buckets: int) -> DataFra
             comp = np.where(node[at] == member, comp[at], member)
         else:
             comp = member
-        got = packed(lists % n_buckets, n_buckets, {"x": lists, "y": member, "z": comp})
-        return got.to_pandas().assign(kind=0)[["kind", "bucket", "x", "y", "z"]]
+        return _frame(packed(lists % n_buckets, n_buckets, {"x": lists, "y": member, "z": comp}), names)
 
-    def cross(rows: pd.DataFrame) -> pd.DataFrame:
+    def mixed(rows: pd.DataFrame) -> pd.DataFrame:
+        names = ["bucket", "x", "y", "z"]
         lists, member, comp = (unpacked(rows, c, np.int64) for c in "xyz")
-        order = np.lexsort((member, comp, lists))
+        order = np.lexsort((comp, lists))
         lists, member, comp = lists[order], member[order], comp[order]
-        start = np.flatnonzero(np.concatenate([[True], lists[1:] != lists[:-1]]))
-        stop = np.append(start[1:], len(lists))
-        found = np.zeros((0, 2), np.int64)
-        waiting, held = [], 0
-        for lo, hi in zip(start[comp[start] != comp[stop - 1]], stop[comp[start] != comp[stop - 1]], strict=True):
-            c, m = comp[lo:hi], member[lo:hi]
-            after = np.searchsorted(c, c, side="right")
-            for i in range(len(c)):
-                if after[i] < len(c):
-                    other = m[after[i]:]
-                    waiting.append(np.stack([np.minimum(other, m[i]), np.maximum(other, m[i])], 1))
-                    held += len(other)
-                    if held > 1_000_000:
-                        found, waiting, held = np.unique(np.concatenate([found, *waiting]), axis=0), [], 0
-        found = np.unique(np.concatenate([found, *waiting]), axis=0)
-        return pd.DataFrame({"a": found[:, 0], "b": found[:, 1]})
-
-    known = reached.withColumn("bucket", F.pmod("node", F.lit(n_buckets)).cast("int"))
-    looked = (lists.groupBy("bucket").cogroup(known.groupBy("bucket"))
-              .applyInPandas(look_up, PACKED + ", z binary"))
-    return looked.groupBy("bucket").applyInPandas(cross, "a long, b long").distinct()
+        start = _starts(lists)
+        size = np.diff(np.append(start, len(lists)))
+        open_ = np.repeat(comp[start] != comp[start + size - 1], size)
+        lists, member, comp = lists[open_], member[open_], comp[open_]
+        return _frame(packed(member % n_buckets, n_buckets, {"x": lists, "y": member, "z": comp}), names)
+
+    def with_sketch(rows: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+        names = ["bucket", "x", "y", "z", "member", "n", "sketch"]
+        out = []
+        if len(rows):
+            lists, member, comp = (unpacked(rows, c, np.int64) for c in "xyz")
+            known = known.drop_duplicates("node").set_index("node")
+            order = np.argsort(lists % n_buckets, kind="stable")
+            to = (lists % n_buckets)[order]
+            start = _starts(to)
+            for lo, hi in zip(start, np.append(start[1:], len(to)), strict=True):
+                some = order[lo:hi]
+                ids, which = np.unique(member[some], return_inverse=True)
+                info = known.loc[ids]
+                width = np.array([len(x) for x in info["sketch"]], np.int64)
+                out.append((int(to[lo]), lists[some].tobytes(), which.astype(np.int64).tobytes(), comp[some].tobytes(),
+                            ids.tobytes(), np.stack([info["n"].to_numpy(np.int64), width]).tobytes(),
+                            b"".join(info["sketch"])))
+        return pd.DataFrame(out, columns=names)
+
+    def cross(rows: pd.DataFrame) -> pd.DataFrame:
+        parts, ids, sizes, words, base = [], [], [], [], 0
+        for r in rows.itertuples():
+            member = np.frombuffer(r.member, np.int64)
+            n, width = np.frombuffer(r.n, np.int64).reshape(2, -1)
+            raw, ends = np.frombuffer(r.sketch, U64), np.cumsum(width // 8)
+            words += [raw[e - w:e] for w, e in zip(width // 8, ends, strict=True)]
+            ids.append(member)
+            sizes.append(n)
+            parts.append((np.frombuffer(r.x, np.int64), np.frombuffer(r.y, np.int64) + base, np.frombuffer(r.z, np.int64)))
+            base += len(member)
+        ids, sizes = np.concatenate(ids), np.concatenate(sizes)
+        lists, at, comp = (np.concatenate(x) for x in zip(*parts, strict=True))
+        widths = np.array([len(x) for x in words])
+        order = np.lexsort((comp, widths[at], lists))
+        lists, at, comp = lists[order], at[order], comp[order]
+        start, found = _starts(lists), set()
+        for lo, hi in zip(start, np.append(start[1:], len(lists)), strict=True):
+            m, c = at[lo:hi], comp[lo:hi]
+            names, which, many = np.unique(c, return_inverse=True, return_counts=True)
+            few = np.flatnonzero(which != many.argmax())  # every open pair has one that isn't in the largest
+            cut = _starts(widths[m])
+            for g0, g1 in zip(cut, np.append(cut[1:], len(m)), strict=True):
+                group = m[g0:g1]
+                theirs = np.stack([words[j] for j in group])
+                for i in few:
+                    fit = _near(words[m[i]], int(sizes[m[i]]), theirs, sizes[group]) & (c[g0:g1] != c[i])
+                    me = int(ids[m[i]])
+                    found.update((min(me, o), max(me, o)) for o in ids[group[fit]].tolist())
+        return pd.DataFrame(sorted(found), columns=["a", "b"])
+
+    one = lists.groupBy("bucket").cogroup(placed(reached).groupBy("bucket")).applyInPandas(
+        with_component, "bucket int, x binary, y binary, z binary")
+    two = stored(one.groupBy("bucket").applyInPandas(mixed, "bucket int, x binary, y binary, z binary"), "open-lists")
+    three = two.groupBy("bucket").cogroup(placed(sketches).groupBy("bucket")).applyInPandas(
+        with_sketch, "bucket int, x binary, y binary, z binary, member binary, n binary, sketch binary")
+    return three.groupBy("bucket").applyInPandas(cross, "a long, b long").distinct()
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
@@ -294,11 +390,10 @@ def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            left = dict(shingle_sets(batch.column(2)))
             good = np.zeros(batch.num_rows, bool)
-            for row, s in shingle_sets(batch.column(3)):
-                common = len(np.intersect1d(left[row], s, assume_unique=True))
-                good[row] = common * 100 >= percent * (len(left[row]) + len(s) - common)
+            for (row, s), (_, t) in zip(shingle_sets(batch.column(2)), shingle_sets(batch.column(3)), strict=True):
+                common = len(np.intersect1d(s, t, assume_unique=True))
+                good[row] = common * 100 >= percent * (len(s) + len(t) - common)
             yield batch.select(["a", "b"]).filter(pa.array(good))
 
     a = texts.select(F.col("set_id").alias("a"), F.col("text").alias("text_a"))
@@ -324,24 +419,13 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     classes = sets.where("set_id is not null").groupBy("set_id").agg(F.min("doc_id").alias("doc_id"))
     frequent = _frequent(docs, classes)
     lists = stored(_lists(_index(docs, frequent, n_buckets), n_buckets), "lists")
-    pairs = stored(lists.where("kind = 0").groupBy("bucket").applyInPandas(
-        _distinct_pairs, "a long, b long, shared long"), "pairs")
-
-    wanted = (pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).distinct()
-              .join(classes, "set_id"))
+    best = stored(lists.where("kind = 0").groupBy("bucket").applyInPandas(_best_centre, "a long, b long"), "best")
+    wanted = best.select(F.col("a").alias("set_id")).union(best.select("b")).distinct().join(classes, "set_id")
     texts = stored(_texts(docs, wanted), "texts")
-
-    best = stored(pairs.groupBy("b").agg(F.max_by("a", F.struct("shared", -F.col("a"))).alias("a"))
-                  .select("a", "b"), "best")
     links = stored(_verified(best, texts, percent), "verified")
     reached = stored(components(links, "a", "b"), "reached")
 
-    name_a = reached.select(F.col("node").alias("a"), F.col("component").alias("ca"))
-    name_b = reached.select(F.col("node").alias("b"), F.col("component").alias("cb"))
-    rest = (pairs.select("a", "b").join(name_a, "a", "left").join(name_b, "b", "left")
-            .where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b"))
-    rest = stored(rest.union(_open_pairs(lists.where("kind = 1").drop("kind"), reached, n_buckets))
-                  .distinct().join(best, ["a", "b"], "left_anti"), "rest")
+    rest = stored(_open_pairs(lists.where("kind = 1").drop("kind"), reached, _sketches(texts), n_buckets), "rest")
     more = stored(_verified(rest, texts, percent), "verified")
     final = components(links.union(more), "a", "b") if not more.isEmpty() else reached
 
