@@ -22,6 +22,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -30,11 +31,11 @@ from signalmine.llm.common import buckets
 from signalmine.session import ensure_checkpoint_dir
 
 SCALE = 20
-LANES = 1024
-BLOCK = 1 << 18
-CHECKPOINT = 128
+LANES = 4096
+BLOCK = 1 << 20
+CHECKPOINT = 64
 END = 0
-CACHED = 300_000   # pieces of text whose ids a worker remembers
+CACHED = 500_000   # pieces of text whose ids a worker remembers
 
 _LOW = 1 << 31     # states are kept in [2**31, 2**63)
 
@@ -146,10 +147,13 @@ def decode_from_checkpoints(n: int, lanes: int, states, words, checkpoints, mode
 # --------------------------------------------------------------- tokenizing
 
 class PieceEncoder:
-    """Encodes texts with a tokenizer, each blank-separated piece once. A single
-    space between two other characters always starts a new pre-token of a
-    byte-level BPE, so pieces can be encoded apart; longer runs of white space
-    are never cut."""
+    """Encodes texts with a byte-level BPE tokenizer, each piece once.
+
+    A space, full stop, comma or line feed after a letter or digit starts a new
+    pre-token, so a text is cut before each of them and the pieces are encoded
+    apart. That holds unless a piece ends otherwise (in white space or another
+    sign, which the tokenizer may join with what follows); such a text is cut
+    only at single spaces between other characters, where it always holds."""
 
     _RUN = re.compile(r"\s\s")
     _CUT = re.compile(r"(?<=\S) (?=\S)")
@@ -160,24 +164,58 @@ class PieceEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[str, bytes] = {}
+        size = self.tokenizer.get_vocab_size()
+        # ids that begin with a space (U+0120 in a byte-level vocabulary)
+        self.spaced = np.array([(self.tokenizer.id_to_token(i) or "").startswith("\u0120") for i in range(size)])
+        self._reset()
+
+    def _reset(self) -> None:
+        self.known: dict[str, bytes] = {"": b""}
+        self.odd: set[str] = set()  # pieces that may join with what follows
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, np.uint32).tobytes()
                 for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _words(self, pieces: list[str]) -> list[bytes]:
+        """As ``_ids``, for pieces of a space and letters or digits: many are encoded
+        as one text, whose ids are cut where one begins with a space."""
+        out = []
+        for lo in range(0, len(pieces), 1000):
+            some = pieces[lo:lo + 1000]
+            ids = np.array(self.tokenizer.encode("".join(some), add_special_tokens=False).ids, np.uint32)
+            cut = np.flatnonzero(self.spaced[ids])
+            if len(cut) != len(some):
+                out += self._ids(some)
+                continue
+            raw, ends = ids.tobytes(), [*(cut[1:] * 4).tolist(), len(ids) * 4]
+            out += [raw[a:b] for a, b in zip((cut * 4).tolist(), ends, strict=True)]
+        return out
+
+    def _learn(self, pieces: list[str]) -> None:
+        words = [p for p in pieces if p[0] == " " and p[1:].isalnum()]
+        rest = list(set(pieces).difference(words))
+        self.known.update(zip(words, self._words(words), strict=True))
+        self.known.update(zip(rest, self._ids(rest), strict=True))
+        self.odd.update(p for p in rest if not (p[-1].isalnum() or p in (".", ",")))
+
+    def _plain(self, text: str) -> list[str]:
+        parts = text.split(" ") if not self._RUN.search(text) else self._CUT.split(text)
+        return [parts[0], *[" " + p for p in parts[1:]]]
+
     def __call__(self, texts: list[str]) -> list[bytes]:
-        cut = [t.split(" ") if not self._RUN.search(t) else self._CUT.split(t) for t in texts]
         if len(self.known) > CACHED:
-            self.known.clear()
-        new = set()
-        for parts in cut:
-            new.update(parts[1:])
-        new = list(new - self.known.keys())
-        self.known.update(zip(new, self._ids([" " + p for p in new]), strict=True))
-        heads = self._ids([parts[0] for parts in cut])
+            self._reset()
+        cut = [t.replace(" ", "\0 ").replace(".", "\0.").replace(",", "\0,").replace("\n", "\0\n").split("\0")
+               for t in texts]
+        self._learn(list(set().union(*cut) - self.known.keys()))
+        again = [i for i, (t, parts) in enumerate(zip(texts, cut, strict=True)) if not self.odd.isdisjoint(parts)
+                 or "\0" in t or ".." in t or ".," in t or ",." in t or ",," in t]
+        for i in again:
+            cut[i] = self._plain(texts[i])
+        self._learn(list(set().union(*[cut[i] for i in again]) - self.known.keys()))
         get = self.known.__getitem__
-        return [head + b"".join(map(get, parts[1:])) for head, parts in zip(heads, cut, strict=True)]
+        return [b"".join(map(get, parts)) for parts in cut]
 
 
 _ENCODERS: dict[str, PieceEncoder] = {}
@@ -240,8 +278,10 @@ def write_corpus(docs: DataFrame, path: str, tokenizer: str, end: int = END) ->
     def count(batches):
         total = np.zeros(0, np.int64)
         for batch in batches:
-            for raw, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                got = np.bincount(_wide(raw, n))
+            n, raw = batch.column(1).to_numpy(), batch.column(0)
+            narrow = pc.binary_length(raw).to_numpy() == 2 * n
+            for some, kind in ((narrow, np.uint16), (~narrow, np.uint32)):
+                got = np.bincount(np.frombuffer(b"".join(raw.filter(pa.array(some)).to_pylist()), kind))
                 if len(got) > len(total):
                     total = np.concatenate([total, np.zeros(len(got) - len(total), np.int64)])
                 total[:len(got)] += got
