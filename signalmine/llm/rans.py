@@ -165,8 +165,10 @@ class PieceEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         size = self.tokenizer.get_vocab_size()
-        # ids that begin with a space (U+0120 in a byte-level vocabulary)
-        self.spaced = np.array([(self.tokenizer.id_to_token(i) or "").startswith("\u0120") for i in range(size)])
+        tokens = [self.tokenizer.id_to_token(i) or "" for i in range(size)]
+        # ids that begin with each sign a piece may begin with, as a byte-level vocabulary writes it
+        self.first = {sign: np.array([t.startswith(written) for t in tokens])
+                      for sign, written in ((" ", "\u0120"), ("\n", "\u010a"), (".", "."), (",", ","))}
         self._reset()
 
     def _reset(self) -> None:
@@ -177,14 +179,14 @@ class PieceEncoder:
         return [np.array(e.ids, np.uint32).tobytes()
                 for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _words(self, pieces: list[str]) -> list[bytes]:
-        """As ``_ids``, for pieces of a space and letters or digits: many are encoded
-        as one text, whose ids are cut where one begins with a space."""
-        out = []
+    def _words(self, sign: str, pieces: list[str]) -> list[bytes]:
+        """As ``_ids``, for pieces of the sign and letters or digits: many are encoded
+        as one text, whose ids are cut where one begins with the sign."""
+        out, first = [], self.first[sign]
         for lo in range(0, len(pieces), 1000):
             some = pieces[lo:lo + 1000]
             ids = np.array(self.tokenizer.encode("".join(some), add_special_tokens=False).ids, np.uint32)
-            cut = np.flatnonzero(self.spaced[ids])
+            cut = np.flatnonzero(first[ids])
             if len(cut) != len(some):
                 out += self._ids(some)
                 continue
@@ -193,9 +195,12 @@ class PieceEncoder:
         return out
 
     def _learn(self, pieces: list[str]) -> None:
-        words = [p for p in pieces if p[0] == " " and p[1:].isalnum()]
-        rest = list(set(pieces).difference(words))
-        self.known.update(zip(words, self._words(words), strict=True))
+        alike: dict[str, list[str]] = {sign: [] for sign in self.first}
+        rest = []
+        for p in pieces:
+            (alike[p[0]] if p[1:].isalnum() and p[0] in alike else rest).append(p)
+        for sign, some in alike.items():
+            self.known.update(zip(some, self._words(sign, some), strict=True))
         self.known.update(zip(rest, self._ids(rest), strict=True))
         self.odd.update(p for p in rest if not (p[-1].isalnum() or p in (".", ",")))
 
@@ -208,12 +213,12 @@ class PieceEncoder:
             self._reset()
         cut = [t.replace(" ", "\0 ").replace(".", "\0.").replace(",", "\0,").replace("\n", "\0\n").split("\0")
                for t in texts]
-        self._learn(list(set().union(*cut) - self.known.keys()))
+        self._learn(list(set().union(*cut).difference(self.known)))
         again = [i for i, (t, parts) in enumerate(zip(texts, cut, strict=True)) if not self.odd.isdisjoint(parts)
                  or "\0" in t or ".." in t or ".," in t or ",." in t or ",," in t]
         for i in again:
             cut[i] = self._plain(texts[i])
-        self._learn(list(set().union(*[cut[i] for i in again]) - self.known.keys()))
+        self._learn(list(set().union(*[cut[i] for i in again]).difference(self.known)))
         get = self.known.__getitem__
         return [b"".join(map(get, parts)) for parts in cut]
 
@@ -242,7 +247,7 @@ def _tokenized(docs: DataFrame, tokenizer: str, end: int) -> DataFrame:
             lo = 0
             while lo < batch.num_rows:
                 texts, size, hi = [], 0, lo
-                while hi < batch.num_rows and size < 1 << 20:
+                while hi < batch.num_rows and size < 1 << 18:
                     texts.append(batch.column(1)[hi].as_py())
                     size += len(texts[-1])
                     hi += 1
