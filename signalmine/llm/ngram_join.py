@@ -270,13 +270,14 @@ def _best_centre(rows: pd.DataFrame) -> pd.DataFrame:
 
 def _sketches(texts: DataFrame) -> DataFrame:
     """(node, n, sketch): of each set its size and the parities of its shingles'
-    low hash bits, as many as the next power of two of n (64 at least)."""
+    low hash bits, as many as the next power of two of 4 n (64 at least): with so
+    many the bits that differ are nearly as many as the shingles that do."""
 
     def run(batches):
         for batch in batches:
             out = []
             for row, s in shingle_sets(batch.column(1)):
-                bits = max(64, 1 << (len(s) - 1).bit_length())
+                bits = max(64, 1 << (4 * len(s) - 1).bit_length())
                 odd = np.bincount((mix(s + U64(2)) & U64(bits - 1)).astype(np.int64), minlength=bits) & 1
                 out.append((len(s), np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([n for n, _ in out], pa.int64()),
