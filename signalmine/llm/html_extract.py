@@ -1,11 +1,11 @@
 """Main text of web pages by consensus host paths.
 
-Each page's elements are read in one pass and its containers scored by the text
-they hold outside of navigation, adverts, forms, notices and reader comments.
-The best container's path of tags and classes (numbers generalised) is the
-page's vote; Spark counts votes per host. Every page is then read again, and its
-text taken from the container at its host's winning path, or from its own best
-one where the page has no such path or almost nothing in it.
+Each page's elements are read in one pass, and the text outside of navigation,
+adverts, forms, notices and reader comments is found. The innermost container
+that holds all of it is the page's own; its path of tags and classes (numbers
+generalised) is the page's vote; Spark counts votes per host. Every page is then
+read again, and its text taken from all containers at its host's winning path if
+nothing but links would be lost, else from its own.
 """
 
 from __future__ import annotations
@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 
 from signalmine.llm.common import stored
 
-LEAST_SHARE = 0.25      # of its own best container's text a page must have at the host's path
+LOOSE = 25              # characters from which text outside of paragraphs, headings and items is no mere label
+MAIN_SHARE = 0.5        # of the page's text from which the main element bounds it
 
 # Elements of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -30,6 +31,8 @@ BLOCKS = CONTAINERS | frozenset(
     "li menu nav ol p pre summary table tbody tfoot th thead tr ul br hr option".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 NOT_MAIN = frozenset("nav footer aside form menu dialog button label fieldset".split())
+PROSE = HEADINGS | frozenset("p pre blockquote figcaption".split())
+ITEMS = frozenset("li dd dt td th caption".split())
 SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
             "th": {"td", "th"}, "option": {"option"}}
 SCOPES = frozenset("body div section article main td th table ul ol dl nav aside header footer form blockquote".split())
@@ -52,12 +55,13 @@ _CAMEL = re.compile(r"([a-z])([A-Z])")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "path", "begin", "end", "out", "soft", "heading", "strong", "length")
+    __slots__ = ("tag", "parent", "path", "begin", "end", "out", "soft", "heading", "strong", "length", "kind")
 
     def __init__(self, tag, parent, path, begin):
         self.tag, self.parent, self.path, self.begin, self.end = tag, parent, path, begin, -1
         self.out = self.soft = self.heading = self.strong = False
         self.length = 0
+        self.kind = 0  # of its text: 2 in prose, 1 in an item, 0 loose, -1 a link outside of prose
 
 
 def _attributes(text: str) -> dict[str, str]:
@@ -87,6 +91,7 @@ class Page:
     def __init__(self, source: str):
         self.nodes = [Node("", None, "", 0)]
         self.events: list[tuple[Node, str | None]] = []
+        self.runs: list[tuple[int, int]] | None = None
         stack, at = [self.nodes[0]], 0
         while at < len(source):
             m = _TAG.search(source, at)
@@ -141,6 +146,12 @@ class Page:
         path = f"{parent.path}/{_label(tag, found)}" if tag in CONTAINERS else parent.path
         node = Node(tag, parent, path, len(self.events))
         node.heading = parent.heading or tag in HEADINGS
+        if tag in PROSE:
+            node.kind = 2
+        elif tag == "a" and parent.kind < 2:
+            node.kind = -1
+        else:
+            node.kind = parent.kind or int(tag in ITEMS)
         if tag in ("header", "hgroup"):
             node.soft = True
         elif tag not in ("html", "body", "main"):
@@ -188,27 +199,64 @@ class Page:
     def _in(self, node: Node) -> bool:
         return not node.out and (not node.soft or node.heading)
 
-    def best(self) -> Node:
-        """The article that holds most text, if it is much of the page's; else the
-        main element; else the innermost container with nearly all text."""
-        root = self.nodes[0]
-        for tag, least in (("article", 0.4), ("main", 0.2)):
-            some = [n for n in self.nodes if n.tag == tag and not n.out and n.parent.tag != tag]
-            if some and (top := max(some, key=lambda n: n.length)).length >= least * root.length and top.length:
-                return top
-        found = root
-        for node in self.nodes[1:]:
-            if node.tag in CONTAINERS and not node.out and node.length >= 0.8 * root.length:
-                found = node
-        return found
+    def _runs(self) -> list[tuple[int, int]]:
+        """(event, weight) of each text between two breaks that isn't left out and
+        isn't a mere link; weight 2: in a paragraph, heading or item, or long."""
+        if self.runs is None:
+            self.runs, at, weight, loose = [], -1, 0, 0
+            for i, (node, text) in enumerate(self.events):
+                if text is None:
+                    if weight:
+                        self.runs.append((at, 2 if loose >= LOOSE else weight))
+                    at, weight, loose = -1, 0, 0
+                elif node.kind >= 0 and self._in(node) and not text.isspace():
+                    if at < 0 or node.kind and weight < 2:
+                        at = i
+                    weight = 2 if node.kind else max(weight, 1)
+                    loose += 0 if node.kind else len(text) - text.count(" ")
+            if weight:
+                self.runs.append((at, 2 if loose >= LOOSE else weight))
+        return self.runs
+
+    def _holder(self, first: int, last: int, among: list[Node]) -> Node | None:
+        """The innermost container that holds both events."""
+        return next((n for n in reversed(among) if n.begin <= first and last < n.end and n.tag in CONTAINERS), None)
 
-    def at(self, path: str) -> Node | None:
-        some = [n for n in self.nodes[1:] if n.path == path and n.tag in CONTAINERS and not n.out]
-        return max(some, key=lambda n: n.length) if some else None
-
-    def text(self, node: Node) -> str:
-        parts = [" " if text is None else text for owner, text in self.events[node.begin:node.end]
-                 if text is None or self._in(owner)]
+    def best(self) -> Node:
+        """The innermost container with all text that isn't left out; of the labels
+        beside it only those under the same child of the body, and nothing outside of
+        a main element that holds much of the page's text."""
+        root, runs = self.nodes[0], self._runs()
+        mains = [n for n in self.nodes if n.tag == "main" and not n.out]
+        top = max(mains, key=lambda n: n.length, default=root)
+        if top is not root and top.length >= MAIN_SHARE * root.length:
+            runs = [r for r in runs if any(n.begin <= r[0] < n.end for n in mains)]
+        sure = [i for i, weight in runs if weight == 2] or [i for i, _ in runs]
+        if not sure:
+            return root
+        first, last = sure[0], sure[-1]
+        top = next((n for n in self.nodes[1:] if n.begin <= first and last < n.end and n.tag in CONTAINERS
+                    and n.tag != "body"), None)
+        if top is not None:
+            inner = [i for i, _ in runs if top.begin <= i < top.end]
+            first, last = inner[0], inner[-1]
+        return self._holder(first, last, self.nodes[1:]) or root
+
+    def at(self, path: str) -> list[Node]:
+        return [n for n in self.nodes[1:] if n.path == path and n.tag in CONTAINERS and not n.out]
+
+    def chosen(self, path: str | None) -> list[Node]:
+        """The containers at the host's path if they hold all of the page's own text
+        but mere links, else its own container."""
+        own, nodes = self.best(), self.at(path) if path else []
+        if nodes and all(any(n.begin <= i < n.end for n in nodes)
+                         for i, _ in self._runs() if own.begin <= i < own.end):
+            return nodes if any(n.length for n in nodes) else [own]
+        return [own]
+
+    def text(self, *nodes: Node) -> str:
+        parts = [" " if text is None else text for node in nodes
+                 for owner, text in [(node, None), *self.events[node.begin:node.end]] if text is None or self._in(owner)]
         return " ".join("".join(parts).split())
 
 
@@ -250,11 +298,7 @@ def extracted(pages: DataFrame) -> DataFrame:
             texts = []
             for path, source in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
                 page = Page(source or "")
-                own = page.best()
-                node = page.at(path) if path else None
-                if node is None or node.length < LEAST_SHARE * own.length:
-                    node = own
-                texts.append(page.text(node))
+                texts.append(page.text(*page.chosen(path)))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:2], pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
                 ["page_id", "url", "text", "n_chars"])

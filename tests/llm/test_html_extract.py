@@ -64,3 +64,31 @@ def test_consensus_and_edges(spark):
         want = [(i, t if i > 20 else ("link " * 30 + t)) for i, t in want]
     assert sorted(got) == sorted(want)
     assert extracted(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_whole_container():
+    lead, body = "<h1>Heading</h1><p class=lead>The lead.</p>", "<p>" + "body " * 60 + "</p>"
+    said = "Heading The lead. " + ("body " * 60).strip()
+    side = "<nav><a href=/>home</a></nav><footer>© site</footer>"
+    for page in (f"<div class=post>{lead}<div class=body>{body}</div></div>", f"{lead}<div class=body>{body}</div>",
+                 f"<div class=page><main>{lead}<article>{body}</article></main></div>",
+                 f"<div class=post>{lead}<article>{body}</article></div>",
+                 f"<div class=post><span>Heading</span><p>The lead.</p><div class=body>{body}</div></div>",
+                 f"<div class=post><span>Heading</span> <div>The lead.</div><div class=body>{body}</div></div>"):
+        assert text(f"<body>{page}{side}</body>") == said, page
+    halves = "{0}one one one{1}{0}two two{1}<div class=ad>buy</div>{0}three{1}"
+    for begin, end in (("<article><p>", "</p></article>"), ("<div class=body><p>", "</p></div>"), ("<div class=body><h2>", "</h2></div>")):
+        assert text("<body>" + halves.format(begin, end) + side + "</body>") == "one one one two two three"
+
+
+def test_odd_pages_of_a_host(spark):
+    usual = "<body><div class=post><div class=body><p>" + "usual " * 20 + "</p></div></div></body>"
+    odd = "<body><div class=post><h1>Head</h1><div class=body><p>" + "part " * 20 + "</p></div><p>" + "rest " * 30 + "</p></div></body>"
+    split = "<body><div class=post><div class=body><p>first</p></div><div class=body><p>second half</p></div></div></body>"
+    rows = [(i, "http://h.example/", usual, "", "") for i in range(5)] + [
+        (5, "http://h.example/", odd, "", ""), (6, "http://h.example/", split, "", "")]
+    got = {r.page_id: r.text for r in extracted(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == {**{i: ("usual " * 20).strip() for i in range(5)}, 6: "first second half",
+                   5: "Head " + "part " * 20 + ("rest " * 30).strip()}
+    page = Page(split)
+    assert len(page.at(page.nodes[-2].path)) == 2 and page.text(*page.chosen(page.nodes[-2].path)) == "first second half"
