@@ -10,6 +10,7 @@ nothing but links would be lost, else from its own.
 
 from __future__ import annotations
 
+import functools
 import html
 import re
 
@@ -21,16 +22,20 @@ from signalmine.llm.common import stored
 
 LOOSE = 25              # characters from which text outside of paragraphs, headings and items is no mere label
 MAIN_SHARE = 0.5        # of the page's text from which the main element bounds it
+MOST = 0.5              # of the paragraph text around it that a marked element must have to be kept all the same
+NEARLY_ALL = 0.9        # the same, for words that say what a text is and not where it stands
+LONG = 80               # characters from which text outside of paragraphs counts as paragraph text
 
 # Elements of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript iframe template svg math object select canvas".split())
+RAW = frozenset("script style textarea title iframe template svg select canvas annotation annotation-xml".split())
 CONTAINERS = frozenset("body div section article main td center blockquote".split())
 BLOCKS = CONTAINERS | frozenset(
     "address aside dd details dialog dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup html "
     "li menu nav ol p pre summary table tbody tfoot th thead tr ul br hr option".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
-NOT_MAIN = frozenset("nav footer aside form menu dialog button label fieldset".split())
+NOT_MAIN = frozenset("form fieldset".split())
+HARD = frozenset("head nav footer aside menu dialog button label".split())
 PROSE = HEADINGS | frozenset("p pre blockquote figcaption".split())
 ITEMS = frozenset("li dd dt td th caption".split())
 SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
@@ -43,6 +48,16 @@ NOT_MAIN_WORDS = frozenset(
     "navigation newsletter notice notices outbrain pager pagination paywall popup promo promotion recommended related "
     "replies reply respond search share sharing sidebar signup social sponsor sponsored subscribe taboola tags toolbar "
     "tooltip widget widgets".split())
+# Those of them that say what the text is, so that a long one is still no article.
+READERS = frozenset("comment comments discussion disqus replies reply respond".split())
+SURE_WORDS = READERS | frozenset(
+    "advert adverts advertisement advertising consent cookie cookies copyright disclaimer gdpr noscript outbrain "
+    "taboola".split())
+# First words of a class that is a label's value; words that say what a page has; page builders.
+LABELS = frozenset("tag category".split())
+MODIFIERS = frozenset("has have with without no not hide hides show shows enable disable".split())
+STATES = frozenset("open closed enabled disabled on off".split())
+BUILDERS = frozenset("elementor".split())
 NOT_MAIN_ROLES = frozenset("navigation banner contentinfo complementary search alert dialog menu menubar form".split())
 
 _TAG = re.compile(
@@ -55,12 +70,16 @@ _CAMEL = re.compile(r"([a-z])([A-Z])")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "path", "begin", "end", "out", "soft", "heading", "strong", "length", "kind")
+    __slots__ = ("tag", "parent", "path", "begin", "end", "out", "soft", "heading", "strong", "length", "kind",
+                 "hard", "marks", "prose", "para")
 
     def __init__(self, tag, parent, path, begin):
         self.tag, self.parent, self.path, self.begin, self.end = tag, parent, path, begin, -1
         self.out = self.soft = self.heading = self.strong = False
         self.length = 0
+        self.hard = self.para = False  # left out whatever it holds; in a paragraph
+        self.marks: frozenset[str] = frozenset()
+        self.prose = 0  # characters of paragraph text
         self.kind = 0  # of its text: 2 in prose, 1 in an item, 0 loose, -1 a link outside of prose
 
 
@@ -71,13 +90,25 @@ def _attributes(text: str) -> dict[str, str]:
     return found
 
 
-def _marked(attrs: dict[str, str]) -> bool:
+def _hidden(attrs: dict[str, str]) -> bool:
     if "hidden" in attrs or attrs.get("aria-hidden", "").lower() == "true":
         return True
-    if re.search(r"display\s*:\s*none", attrs.get("style", ""), re.I) or attrs.get("role", "").lower() in NOT_MAIN_ROLES:
-        return True
-    return any(w in NOT_MAIN_WORDS for key in ("class", "id")
-               for w in _WORD.findall(_CAMEL.sub(r"\1 \2", attrs.get(key, "")).lower()))
+    return bool(re.search(r"display\s*:\s*none", attrs.get("style", ""), re.I)) or attrs.get("role", "").lower() in NOT_MAIN_ROLES
+
+
+@functools.lru_cache(maxsize=10_000)
+def _marks(value: str) -> frozenset[str]:
+    """The marking words of a class or id value. What follows has-, with- or no-, a
+    tag- or category- value, a state (comments-open) and a page builder's widget
+    aren't marks."""
+    found = set()
+    for name in value.split():
+        words = _WORD.findall(_CAMEL.sub(r"\1 \2", name).lower())
+        if not words or words[0] in LABELS and len(words) > 1 or words[-1] in STATES:
+            continue
+        words = words[:next((i for i, w in enumerate(words) if w in MODIFIERS), len(words))]
+        found.update(w for w in words if w in NOT_MAIN_WORDS and not (w == "widget" and words[0] in BUILDERS))
+    return frozenset(found)
 
 
 def _label(tag: str, attrs: dict[str, str]) -> str:
@@ -155,7 +186,13 @@ class Page:
         if tag in ("header", "hgroup"):
             node.soft = True
         elif tag not in ("html", "body", "main"):
-            node.out = tag in NOT_MAIN or tag == "head" or bool(found) and _marked(found)
+            node.hard = tag in HARD or bool(found) and _hidden(found)
+            node.marks = _marks(f"{found.get('class', '')} {found.get('id', '')}") if found else node.marks
+            if tag in NOT_MAIN or tag == "noscript" and parent.tag in ("", "html", "body"):
+                node.marks |= {tag}
+            node.out = node.hard or bool(node.marks & READERS if tag == "article" else node.marks)
+        node.hard = node.hard or parent.hard
+        node.para = parent.para or tag in ("p", "pre", "blockquote")
         if attrs.rstrip().endswith("/") and not block:
             node.end = len(self.events)
             return
@@ -176,14 +213,16 @@ class Page:
         """Mark what is left out; sum up the text in each container."""
         inside = {id(self.nodes[0]): False}
         for node in self.nodes[1:]:
-            node.strong = node.tag in ("article", "main") and not node.out
+            node.strong = node.tag in ("article", "main") and not node.out and (node.tag == "main" or not node.marks)
             up = node.parent
             while up is not None and node.strong and up.tag not in ("body", ""):
                 if up.tag in ("article", "main"):
                     break
-                if up.out and up.tag in CONTAINERS:
+                if up.out and (up.tag in CONTAINERS or up.tag in NOT_MAIN):
                     up.out = False  # a wrapper of the article, whatever its class says
                 up = up.parent
+        if any(node.out and node.marks and not node.hard for node in self.nodes):
+            self._keep_most()
         for node in self.nodes[1:]:
             node.out = node.out or node.parent.out
             inside[id(node)] = inside[id(node.parent)] or node.tag in ("article", "main")
@@ -196,6 +235,42 @@ class Page:
         for node in reversed(self.nodes[1:]):
             node.parent.length += node.length
 
+    def _keep_most(self) -> None:
+        """Marked elements that hold most of the paragraph text of the article, kept
+        element or page around them, alone or with the others of a word, are kept."""
+        for node, text in self.events:
+            if text is not None and not node.hard:
+                n = len(text) - text.count(" ")
+                node.prose += n if node.para or n >= LONG and node.kind >= 0 else 0
+        inner: dict[int, list[Node]] = {}
+        for node in reversed(self.nodes[1:]):
+            node.parent.prose += node.prose
+            inner.setdefault(id(node.parent), []).append(node)
+        scopes = [self.nodes[0]]
+        for scope in scopes:
+            marked, strong, below = [], [], list(inner.get(id(scope), []))
+            while below:
+                node = below.pop()
+                if node.strong:
+                    strong.append(node)
+                elif node.out:
+                    marked += [] if node.hard else [node]
+                else:
+                    below += inner.get(id(node), [])
+            scopes += strong
+            if scope is self.nodes[0] and sum(n.prose for n in strong) > (1 - NEARLY_ALL) * scope.prose:
+                continue  # the page says itself what its article is
+            groups: dict[str, list[int]] = {}
+            for node in marked:
+                for word in node.marks:
+                    groups.setdefault(word, []).append(node.prose)
+            least = {w: (NEARLY_ALL if w in SURE_WORDS else MOST) * scope.prose for w in groups}
+            together = {w for w, some in groups.items() if max(some) <= least[w] < sum(some)}
+            for node in marked:
+                if node.prose and all(w in together or node.prose > least[w] for w in node.marks):
+                    node.out = False
+                    scopes.append(node)
+
     def _in(self, node: Node) -> bool:
         return not node.out and (not node.soft or node.heading)
 

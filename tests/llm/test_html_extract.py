@@ -92,3 +92,40 @@ def test_odd_pages_of_a_host(spark):
                    5: "Head " + "part " * 20 + ("rest " * 30).strip()}
     page = Page(split)
     assert len(page.at(page.nodes[-2].path)) == 2 and page.text(*page.chosen(page.nodes[-2].path)) == "first second half"
+
+
+def test_marks_by_what_they_hold():
+    paragraphs = "<p>" + "one " * 40 + "</p><p>" + "two " * 40 + "</p>"
+    said = " ".join((("one " * 40) + ("two " * 40)).split())
+    side = "<nav><a href=/>home</a></nav><div class=sidebar><p>side text</p></div><footer>© site</footer>"
+    for name in ("content with-sidebar", "has-comments", "layout--no-sidebar", "post category-notice tag-social", "comments-open",
+                 "elementor-widget elementor-widget-text-editor", "sidebar-left content", "content-widget", "socialPage"):
+        for page in (f"<div class='{name}'><h1>Title</h1>{paragraphs}</div>", f"<div id='{name.split()[0]}'><h1>Title</h1>{paragraphs}</div>"):
+            assert text(f"<body>{page}{side}</body>") == "Title " + said, page
+    for name in ("post tag-social", "post promo", "has-sidebar related"):
+        assert text(f"<body><article class='{name}'><h1>Title</h1>{paragraphs}</article>{side}</body>") == "Title " + said
+    parts = "".join(f"<div class='{{0}} n-{i}'><p>{w * 20}</p></div>" for i, w in enumerate(("one ", "one ", "two ", "two ")))
+    for name in ("elementor-widget", "block-widget", "promo"):
+        for page in ("<article>{}</article>", "<div class=post>{}</div>"):
+            assert text("<body>" + page.format(parts.format(name)) + side.replace("sidebar", "banner") + "</body>") == said, (name, page)
+    assert text("<body><div class=widget>" + parts.format("widget-row") + f"</div>{side}</body>") == said
+    assert text(f"<body><noscript><div>{paragraphs}</div></noscript>{side}</body>") == said
+    assert text(f"<body><form action=x><div class=post>{paragraphs}</div></form>{side}</body>") == said
+
+
+def test_still_left_out():
+    article = "<p>" + "one " * 40 + "</p>"
+    said = ("one " * 40).strip()
+    for out in ("<div class=comments><p>{}</p></div>", "<div id=cookie-notice><p>{}</p></div>", "<aside><p>{}</p></aside>",
+                "<div class=sidebar style='display:none'><p>{}</p></div>", "<div class='comment tag-x'><p>{}</p></div>"):
+        assert text(f"<body><div class=post>{article}</div>{out.format('other ' * 60)}</body>") == said, out
+    for out in ("<div class=sidebar><p>{}</p></div>", "<form><p>{}</p></form>"):
+        assert text(f"<body><div class=post>{article}</div>{out.format('other ' * 20)}</body>") == said, out
+        assert text(f"<body><article>{article}</article>{out.format('other ' * 90)}</body>") == said, out
+
+
+def test_math_object_noscript():
+    page = "<body><noscript>switch on scripts</noscript>{}<p>so <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>x=1</annotation></math></p>" \
+        "<object data=a><param name=b><p>what the film shows</p></object><noscript><p>the plain form</p></noscript>{}</body>"
+    for begin, end in (("<article>", "</article>"), ("<div class=post>", "</div>")):
+        assert text(page.format(begin, end)) == "so x=1 what the film shows the plain form"
