@@ -5,7 +5,8 @@ A table's hash of a vector: scale it to length 1, turn it by a pseudo-rotation
 nearest signed axis. When there are more vectors than a table has axes times
 ``BUCKET_ROWS``, a second rotation's first axes split the buckets further. Every
 distinct vector goes into one bucket of each of ``TABLES`` tables; a query probes
-the ``PROBES`` best buckets of each (times the square root of the second split).
+the ``PROBES`` best buckets of each (times the second split to the power of
+``GROWTH``, so that the recall holds at every split).
 Candidates are ranked by their exact Euclidean distance to the query.
 
 Vectors travel packed by bucket. Crowded buckets are dealt into blocks of about
@@ -28,8 +29,10 @@ from signalmine.llm.common import stored
 
 TABLES = 8
 PROBES = 16
+GROWTH = 0.9
 BUCKET_ROWS = 4096
 BLOCK = 8192
+ASKED = 1 << 17         # vectors of queries, probes counted, that are packed at once
 SEED = 3
 
 
@@ -82,6 +85,10 @@ def splits(n: int, dim: int, bucket_rows: int = BUCKET_ROWS) -> int:
     return 1 if want <= 1 else min(axes, 1 << math.ceil(math.log2(want)))
 
 
+def probe_count(n_probes: int, split: int) -> int:
+    return math.ceil(n_probes * split ** GROWTH)
+
+
 def _vectors(batch: pa.RecordBatch):
     """(rows, matrix) of an Arrow batch (rep, embedding) for each length."""
     column = batch.column(1)
@@ -99,16 +106,22 @@ _BLOBS = "key long, n long, first long, dim int, reps binary, vectors binary"
 def _hashed(vectors: DataFrame, split_of: dict[int, int], tables: int, n_probes: int) -> DataFrame:
     """Packed by (length, table, bucket): the vectors (n_probes 0) or the queries."""
 
+    def _parts(batch):
+        for rows, x in _vectors(batch):
+            n = max(1, ASKED // probe_count(n_probes, split_of.get(x.shape[1], 1))) if n_probes else len(rows)
+            for lo in range(0, len(rows), n):
+                yield rows[lo:lo + n], x[lo:lo + n]
+
     def run(batches):
         for batch in batches:
             reps = batch.column(0).to_numpy()
-            out = []
-            for rows, x in _vectors(batch):
+            out, held = [], 0
+            for rows, x in _parts(batch):
                 d = x.shape[1]
                 split = split_of.get(d, 1)
                 unit = x / np.linalg.norm(x, axis=1, keepdims=True)
                 for t in range(tables):
-                    got = (probes(unit, t, split, n_probes * math.isqrt(split)) if n_probes
+                    got = (probes(unit, t, split, probe_count(n_probes, split)) if n_probes
                            else codes(unit, t, split)[:, None])
                     code, at = got.ravel(), np.repeat(np.arange(len(rows)), got.shape[1])
                     order = np.argsort(code, kind="stable")
@@ -118,9 +131,10 @@ def _hashed(vectors: DataFrame, split_of: dict[int, int], tables: int, n_probes:
                         ids = reps[rows[at[lo:hi]]]
                         out.append(((d * tables + t) << 40 | int(code[lo]), hi - lo, int(ids[0]), d, ids.tobytes(),
                                     x[at[lo:hi]].tobytes()))
-                    if len(out) > 4096:
+                    held += len(code)
+                    if len(out) > 4096 or held >= ASKED:
                         yield pa.RecordBatch.from_pandas(pd.DataFrame(out, columns=_names), preserve_index=False)
-                        out = []
+                        out, held = [], 0
             if out:
                 yield pa.RecordBatch.from_pandas(pd.DataFrame(out, columns=_names), preserve_index=False)
 

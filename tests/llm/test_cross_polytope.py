@@ -59,3 +59,16 @@ def test_copies_ties_and_rows_that_take_no_part(spark):
     want = {q: [(n, round(s, 6), i) for n, (s, i) in enumerate(near, 1)] for q, near in brute(single).items() if near}
     assert {q: sorted(v) for q, v in got.items()} == want
     assert C.nearest(df.limit(0), ASKS).count() == 0
+
+
+@pytest.mark.parametrize("split, bucket_rows", [(2, 8), (8, 2), (128, 0.125)])
+def test_recall_at_each_split(spark, split, bucket_rows):
+    table = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    rows = [(r.vec_id, r.embedding) for r in table.collect()]
+    assert C.splits(len(rows), 64, bucket_rows) == split
+    got = {}
+    for r in C.nearest(table, ASKS, bucket_rows=bucket_rows).collect():
+        got.setdefault(r.query_id, []).append((r.score, r.vec_id))
+    found = recall(got, brute(rows))
+    print(f"split {split}: recall {found:.3f}")
+    assert found >= 0.9
