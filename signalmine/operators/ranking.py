@@ -33,7 +33,7 @@ def top_per_group(df: DataFrame, keys: list[str], order: list[Column], k: int |
 
 # ---- §2.6 top-k reports ------------------------------------------------------
 
-def top_open_items(items: DataFrame, k: int = 15, text_len: int = 150) -> DataFrame:
+def top_open_items(items: DataFrame, k: int | None = 15, text_len: int | None = 150) -> DataFrame:
     return top_k(open_items(items).select("id", "source", left("lesson", text_len).alias("lesson"),
                                           "occurrence_count", "created_at"),
                  k, F.col("occurrence_count").desc(), F.col("created_at").desc(), F.col("id"))
@@ -63,7 +63,7 @@ def latest_session_lessons(items: DataFrame, k: int = 10) -> DataFrame:
     return top_k(rows, k, F.col("created_at").desc(), F.col("id").desc())
 
 
-def newest_sessions(files: DataFrame, k: int = 10, name_col: str = "file_name",
+def newest_sessions(files: DataFrame, k: int | None = 10, name_col: str = "file_name",
                     count_col: str = "summary_lines") -> DataFrame:
     """Files with a summary, newest name first. Pass counts per file
     (``summary_counts``); texts are best built for the ``k`` files only."""

@@ -977,7 +977,7 @@ UNION ALL SELECT 'topic', t.k, CAST(sum(CAST(t.v AS INTEGER)) AS BIGINT) FROM to
 UNION ALL SELECT 'word', word, n FROM wc""", ("learning_items",))
 def q_consolidate_report(fx: Fixtures) -> DataFrame:
     """The flagship report rows (summary counters, topics after de-duplication, word clusters before)."""
-    return jobs.consolidate_report(fx.learning_items, AS_OF_EVENTS)
+    return jobs.consolidate_report(fx.learning_items, AS_OF_EVENTS, k=20)
 
 
 @query("mark_regressions", f"""

@@ -41,7 +41,7 @@ def _unpivot(section: str, one_row: DataFrame, cols: list[str]) -> DataFrame:
                               F.array(*[F.col(c).cast("bigint") for c in cols]))).alias("name", "value"))
 
 
-def _report_of(closed: DataFrame, k: int) -> DataFrame:
+def _report_of(closed: DataFrame, k: int | None) -> DataFrame:
     """The consolidator report from the marked table: all counters in one
     aggregate, and the words of the items that were open before."""
     was_open = flt.is_open() | F.col("changed")
@@ -57,9 +57,10 @@ def _report_of(closed: DataFrame, k: int) -> DataFrame:
             .unionByName(_metric_rows("word", words, "word", "occurrences")))
 
 
-def consolidate_report(items: DataFrame, as_of: AsOf, k: int = 20) -> DataFrame:
+def consolidate_report(items: DataFrame, as_of: AsOf, k: int | None = None) -> DataFrame:
     """The consolidator report as (section, name, value) rows: summary counters,
-    topic counts after de-duplication, the top ``k`` word clusters before it.
+    topic counts after de-duplication, the word clusters before it (the top ``k``
+    if given).
     Duplicates are marked once; the marked table is checkpointed and read by the
     counters and by the words."""
     return _report_of(materialize(up.close_duplicates(items, as_of)), k)
@@ -73,7 +74,7 @@ class ConsolidateResult:
     latest_session_lessons: DataFrame
 
 
-def consolidate_job(items: DataFrame, as_of: AsOf, k: int = 20) -> ConsolidateResult:
+def consolidate_job(items: DataFrame, as_of: AsOf, k: int | None = None) -> ConsolidateResult:
     """word clusters (before dedup), close duplicates, topic counts, top
     lessons, report, purge of items closed more than 30 days ago.
 
@@ -250,15 +251,18 @@ def weekly_review_job(lines: DataFrame, as_of: AsOf, reply_lines: DataFrame | No
 
 
 def memo_job(items: DataFrame, misses: DataFrame, session_lines: DataFrame, file_col: str = "file_name",
-             drift_totals: DataFrame | None = None) -> dict[str, DataFrame]:
-    """The nightly memo's sections: top open items, miss clusters, session
-    summaries (newest files with a summary), the open counters, the drift
-    section if given, and the report as (section, name, value) rows."""
-    newest = rk.newest_sessions(tx.summary_counts(session_lines, file_col), 10, file_col)
+             drift_totals: DataFrame | None = None, n_items: int | None = 15, n_misses: int | None = None,
+             n_sessions: int | None = None, text_len: int | None = None) -> dict[str, DataFrame]:
+    """The nightly memo's sections: top open items, miss clusters, session summaries,
+    the open counters, the drift section if given, and the report as (section,
+    name, value) rows. The top ``n_items`` items (None: all); the top ``n_misses``
+    clusters, ``n_sessions`` newest files and ``text_len`` characters of a lesson,
+    if given."""
+    newest = rk.newest_sessions(tx.summary_counts(session_lines, file_col), n_sessions, file_col)
     picked = session_lines.join(newest.select(file_col), file_col, "left_semi")
     out = {
-        "top_items": rk.top_open_items(items, 15, 150),
-        "miss_clusters": agg.miss_clusters(misses, k=10),
+        "top_items": rk.top_open_items(items, n_items, text_len),
+        "miss_clusters": agg.miss_clusters(misses, k=n_misses),
         "sessions": tx.session_summary(picked, file_col),
         "counts": agg.open_counts(items, misses),
     }
@@ -314,18 +318,20 @@ def regression_job(tasks: DataFrame, as_of: AsOf, new_days: float = 1, lookback_
 
 def skill_review_job(decisions: DataFrame, patterns: DataFrame, metrics: DataFrame, misses: DataFrame,
                      as_of: AsOf, triage: DataFrame | None = None,
-                     staging_files: DataFrame | None = None) -> dict[str, DataFrame]:
+                     staging_files: DataFrame | None = None, k: int | None = None,
+                     n_skills: int | None = None) -> dict[str, DataFrame]:
     """The skill review: the day's gate, the staging sections and the staging
     JSON document; given the triage text (one row: triage_text) the alert and
-    its priority; given the staging files (modified_at) those that stay."""
+    its priority; given the staging files (modified_at) those that stay. The top
+    ``k`` patterns, decisions and misses and ``n_skills`` skills, if given."""
     actionable = flt.actionable_patterns(patterns, 3)
     gate = flt.daily_quota_gate(decisions, as_of)
     out = {
         "gate": gate,
-        "patterns": rk.top_k(actionable, 10, F.col("occurrence_count").desc(), F.col("pattern_key")),
-        "decisions": flt.recent_decisions(decisions, as_of, k=10),
-        "scorecard": agg.skill_scorecard(metrics, 15),
-        "misses": agg.miss_last_seen(misses, k=10),
+        "patterns": rk.top_k(actionable, k, F.col("occurrence_count").desc(), F.col("pattern_key")),
+        "decisions": flt.recent_decisions(decisions, as_of, k=k),
+        "scorecard": agg.skill_scorecard(metrics, n_skills),
+        "misses": agg.miss_last_seen(misses, k=k),
     }
     count = actionable.agg(F.count(F.lit(1)).alias("pattern_count"))
     out["staging"] = sinks.staging_document(str(as_of)[:10], count, gate.select("auto_today"), MAX_AUTO_FIXES_PER_DAY, {
