@@ -68,19 +68,19 @@ def set_id(shingles: np.ndarray) -> int:
 
 
 def _sets(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, set_id): set_id is null for an empty set."""
+    """(doc_id, text_hash, n_shingles, set_id): set_id is null for an empty set."""
 
     def run(batches):
         for batch in batches:
             n, ids = np.zeros(batch.num_rows, np.int64), [None] * batch.num_rows
-            for row, s in shingle_sets(batch.column(1)):
+            for row, s in shingle_sets(batch.column(2)):
                 n[row] = len(s)
                 ids[row] = set_id(s) if len(s) else None
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(n), pa.array(ids, pa.int64())],
-                                             ["doc_id", "n_shingles", "set_id"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(n), pa.array(ids, pa.int64())],
+                                             ["doc_id", "text_hash", "n_shingles", "set_id"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        run, "doc_id long, n_shingles long, set_id long")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text").mapInArrow(
+        run, "doc_id long, text_hash long, n_shingles long, set_id long")
 
 
 def _frequent(docs: DataFrame, classes: DataFrame) -> np.ndarray:
@@ -411,6 +411,16 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     rows and repeated ids give a row each. A null doc_id never names a component
     that has another id. Other columns are ignored. ``percent`` of 80 or more.
     """
+    named = _components(docs, percent)
+    smallest = (named.where("component is not null").groupBy("component")
+                .agg(F.min("doc_id").alias("component_id")))
+    return named.join(smallest, "component", "left").select(
+        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def _components(docs: DataFrame, percent: int) -> DataFrame:
+    """(doc_id, text_hash, n_shingles, set_id, component) of every row: component
+    is null for an empty set."""
     if not 80 <= percent <= 100:
         raise ValueError("percent: 80 to 100")
     spark = docs.sparkSession
@@ -430,12 +440,8 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     more = stored(_verified(rest, texts, percent), "verified")
     final = components(links.union(more), "a", "b") if not more.isEmpty() else reached
 
-    named = (sets.join(final.select(F.col("node").alias("set_id"), "component"), "set_id", "left")
-             .withColumn("component", F.coalesce("component", "set_id")))
-    smallest = (named.where("component is not null").groupBy("component")
-                .agg(F.min("doc_id").alias("component_id")))
-    return named.join(smallest, "component", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    return (sets.join(final.select(F.col("node").alias("set_id"), "component"), "set_id", "left")
+            .withColumn("component", F.coalesce("component", "set_id")))
 
 
 def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -456,9 +462,14 @@ def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def deduplicated(docs: DataFrame, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` without near copies: of each component the document
-    with the smallest id stays, once. Rows without an id stay."""
-    groups = near_duplicates(docs, percent)
-    keep = groups.where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where("doc_id is null")).select(*docs.columns)
+    """The rows of ``docs`` without near copies: of each component the row with the
+    smallest id, then text hash, stays, once; rows of other components with its id
+    aren't touched. Rows without words stay once per id and text, rows without an
+    id all."""
+    rows = _components(docs, percent).where("doc_id is not null").select("component", F.struct("doc_id", "text_hash").alias("row"))
+    first = rows.where("component is not null").groupBy("component").agg(F.min("row").alias("row")).select("row")
+    keep = first.union(rows.where("component is null").select("row").distinct()).select(
+        F.col("row.doc_id").alias("_id"), F.col("row.text_hash").alias("_hash"))
+    marked = docs.withColumns({"_id": F.col("doc_id").cast("long"), "_hash": F.xxhash64("text")})
+    kept = marked.join(keep, ["_id", "_hash"], "left_semi").dropDuplicates(["_id", "_hash"])
+    return kept.drop("_id", "_hash").unionByName(docs.where("doc_id is null")).select(*docs.columns)

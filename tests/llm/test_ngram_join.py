@@ -76,3 +76,12 @@ def test_edges(spark):
     assert kept.columns == df.columns
     assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == [1, 2, 3, 4, 6, 7, 9, 10]
     assert near_duplicates(df.limit(0)).count() == 0 and deduplicated(df.limit(0)).count() == 0
+
+
+def test_repeated_ids_of_other_components(spark):
+    one, two = " ".join(f"a{i}" for i in range(60)), " ".join(f"b{i}" for i in range(60))
+    rows = [(1, two + " end"), (5, one), (5, two), (5, one), (6, one + " end"), (7, ""), (7, "c d e f g h"), (7, ""), (None, one)]
+    for order in (rows, rows[::-1]):
+        kept = deduplicated(spark.createDataFrame([(*r, None, None) for r in order], SCHEMA)).collect()
+        want = [(1, two + " end"), (5, one), (7, ""), (7, "c d e f g h"), (None, one)]
+        assert sorted(map(str, ((r.doc_id, r.text) for r in kept))) == sorted(map(str, want))
