@@ -101,6 +101,13 @@ def op10_consensus_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extracted(table(spark, sf_dir, "pages"))
 
 
+def op11_wu_manber_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents against the windows of ten words of all benchmark items."""
+    from signalmine.llm.decontamination import contamination
+
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("spans")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents through the five stages of corpus_pipeline.py."""
     import corpus_pipeline
@@ -111,6 +118,23 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_best_fit_packing, op2_ngram_quality_rules, op3_cross_polytope_neighbours, op4_rans_token_files,
     op5_pareto_mixing, op6_ngram_jaccard_join, op7_suffix_array_dedup, op8_external_shuffle_shards, op9_chat_format,
-    op10_consensus_html, pipeline,
+    op10_consensus_html, op11_wu_manber_decontamination, pipeline,
 )}
-ORACLES: dict[str, str] = {}
+_CUT = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+ORACLES: dict[str, str] = {
+    "op11_wu_manber_decontamination": f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_CUT} AS ws FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item, {_CUT} AS ws FROM benchmark WHERE item_id IS NOT NULL),
+p AS (SELECT DISTINCT item, least(len(ws), 10) AS m,
+        unnest([array_to_string(ws[i:i + least(len(ws), 10) - 1], ' ') FOR i IN range(1, len(ws) - least(len(ws), 10) + 2)]) AS win
+      FROM b WHERE len(ws) > 0),
+w AS (SELECT r, m, unnest([{{'i': i, 'win': array_to_string(ws[i:i + m - 1], ' ')}} FOR i IN range(1, len(ws) - m + 2)]) AS x
+      FROM d, (SELECT DISTINCT m FROM p) WHERE len(ws) >= m),
+o AS (SELECT w.r, w.m, w.x.i AS i, w.x.win AS win FROM w SEMI JOIN p ON p.win = w.x.win AND p.m = w.m),
+h AS (SELECT r, count(DISTINCT k) AS n_hit FROM (SELECT r, unnest(range(i, i + m)) AS k FROM o) GROUP BY r),
+t AS (SELECT r, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS items
+      FROM (SELECT DISTINCT r, win FROM o) JOIN p USING (win) GROUP BY r)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN h USING (r) LEFT JOIN t USING (r)""",
+}
