@@ -108,6 +108,13 @@ def op11_wu_manber_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("spans")
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prefix trie of all rebuilt conversations."""
+    from signalmine.llm.prefix_trie import rebuilt_trie
+
+    return rebuilt_trie(table(spark, sf_dir, "conversations"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents through the five stages of corpus_pipeline.py."""
     import corpus_pipeline
@@ -118,7 +125,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_best_fit_packing, op2_ngram_quality_rules, op3_cross_polytope_neighbours, op4_rans_token_files,
     op5_pareto_mixing, op6_ngram_jaccard_join, op7_suffix_array_dedup, op8_external_shuffle_shards, op9_chat_format,
-    op10_consensus_html, op11_wu_manber_decontamination, pipeline,
+    op10_consensus_html, op11_wu_manber_decontamination, op12_prefix_trie, pipeline,
 )}
 _CUT = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 ORACLES: dict[str, str] = {
@@ -137,4 +144,26 @@ t AS (SELECT r, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' O
 SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
   sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
 FROM d LEFT JOIN h USING (r) LEFT JOIN t USING (r)""",
+    # crc32 a bit at a time: a digit's code, then seven zeros, so that each step shifts once
+    "op12_prefix_trie": """
+WITH t AS (SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS p,
+        {'role': coalesce(role, ''), 'text': coalesce(text, '')} AS x FROM conversations WHERE conv_id IS NOT NULL),
+o AS (SELECT c, list(x ORDER BY p) AS xs FROM t GROUP BY c),
+k AS (SELECT c, xs, c - c % 20 AS base, xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(
+          [[ord(s)::BIGINT, 0, 0, 0, 0, 0, 0, 0] FOR s IN string_split(CAST(c AS VARCHAR), '')])),
+        lambda a, b: xor(xor(a, b) // 2, 3988292384 * (xor(a, b) % 2))), 4294967295) % 4 AS h FROM o),
+r AS (SELECT k.c AS c, list_concat(coalesce(list_slice(b.xs, 1, k.h), []), coalesce(list_slice(k.xs, k.h + 1, len(k.xs)), [])) AS xs
+      FROM k LEFT JOIN o AS b ON b.c = k.base),
+m AS (SELECT c, d, list_slice(xs, 1, d) AS node, d = len(xs) AS ends FROM r, LATERAL (SELECT unnest(range(0, len(xs) + 1)) AS d)),
+n AS (SELECT d, node, min(c) AS conv_id, count(*) AS n_convs,
+        sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE ends), '')) AS ends_sha256 FROM m GROUP BY d, node),
+v AS (SELECT n.*, u.conv_id AS parent_conv_id, coalesce(w.n_children, 0) AS n_children,
+        CASE WHEN n.d = 0 THEN 0 ELSE (n.n_convs - 1) * len(regexp_extract_all(n.node[n.d].text, '[^\\x20\\x09-\\x0D]+')) END AS worth
+      FROM n LEFT JOIN n AS u ON n.d > 0 AND u.d = n.d - 1 AND u.node = list_slice(n.node, 1, n.d - 1)
+      LEFT JOIN (SELECT d - 1 AS d, list_slice(node, 1, d - 1) AS node, count(*) AS n_children FROM n WHERE d > 0 GROUP BY ALL) w
+        ON w.d = n.d AND w.node = n.node),
+s AS (SELECT e AS d, list_slice(node, 1, e) AS node, sum(worth) AS saved, sum(CAST(n_children = 0 AS INT)) AS leaves
+      FROM v, LATERAL (SELECT unnest(range(0, v.d + 1)) AS e) GROUP BY ALL)
+SELECT conv_id, v.d AS depth, parent_conv_id, n_convs, n_children, CAST(leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, ends_sha256
+FROM v JOIN s ON s.d = v.d AND s.node = v.node""",
 }
