@@ -115,6 +115,15 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rebuilt_trie(table(spark, sf_dir, "conversations"))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives for the five positives of every hundredth vector, among all vectors."""
+    from signalmine.llm.hard_negatives import mined, quantised
+
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", moved.alias("label"), quantised(F.col("embedding")).alias("x"))
+    return mined(rows, F.col("vec_id") % 100 == 0)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents through the five stages of corpus_pipeline.py."""
     import corpus_pipeline
@@ -125,7 +134,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_best_fit_packing, op2_ngram_quality_rules, op3_cross_polytope_neighbours, op4_rans_token_files,
     op5_pareto_mixing, op6_ngram_jaccard_join, op7_suffix_array_dedup, op8_external_shuffle_shards, op9_chat_format,
-    op10_consensus_html, op11_wu_manber_decontamination, op12_prefix_trie, pipeline,
+    op10_consensus_html, op11_wu_manber_decontamination, op12_prefix_trie, op13_hard_negatives, pipeline,
 )}
 _CUT = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 ORACLES: dict[str, str] = {
@@ -166,4 +175,16 @@ s AS (SELECT e AS d, list_slice(node, 1, e) AS node, sum(worth) AS saved, sum(CA
       FROM v, LATERAL (SELECT unnest(range(0, v.d + 1)) AS e) GROUP BY ALL)
 SELECT conv_id, v.d AS depth, parent_conv_id, n_convs, n_children, CAST(leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, ends_sha256
 FROM v JOIN s ON s.d = v.d AND s.node = v.node""",
+    "op13_hard_negatives": """
+WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS x
+      FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (SELECT a.vec_id AS a, o.vec_id AS o, a.label = o.label AS same, CAST(list_inner_product(a.x, o.x) AS BIGINT) AS score
+      FROM e AS a JOIN e AS o ON a.vec_id <> o.vec_id AND len(a.x) = len(o.x) WHERE a.vec_id % 100 = 0),
+p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, o) <= 5)
+SELECT p.a AS anchor_id, p.o AS positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, n.o AS negative_id,
+  p.score AS positive_score, n.score AS negative_score
+FROM p JOIN s AS n ON n.a = p.a AND NOT n.same AND 30 * p.score <= 100 * n.score AND 100 * n.score <= 90 * p.score
+WINDOW w AS (PARTITION BY p.a, p.o ORDER BY n.score DESC, n.o) QUALIFY row_number() OVER w <= 10""",
 }
