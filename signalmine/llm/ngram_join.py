@@ -268,22 +268,25 @@ def _best_centre(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"a": a[order][_starts(b[order])], "b": b[order][_starts(b[order])]})
 
 
-def _sketches(texts: DataFrame) -> DataFrame:
-    """(node, n, sketch): of each set its size and the parities of its shingles'
+def _sketches(texts: DataFrame, exact: bool) -> DataFrame:
+    """(node, n, sketch, shingles): of each set its size and the parities of its shingles'
     low hash bits, as many as the next power of two of 4 n (64 at least): with so
-    many the bits that differ are nearly as many as the shingles that do."""
+    many the bits that differ are nearly as many as the shingles that do. shingles:
+    the set itself, if ``exact``."""
 
     def run(batches):
         for batch in batches:
             out = []
-            for row, s in shingle_sets(batch.column(1)):
+            for _, s in shingle_sets(batch.column(1)):
                 bits = max(64, 1 << (4 * len(s) - 1).bit_length())
                 odd = np.bincount((mix(s + U64(2)) & U64(bits - 1)).astype(np.int64), minlength=bits) & 1
-                out.append((len(s), np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([n for n, _ in out], pa.int64()),
-                                              pa.array([x for _, x in out], pa.binary())], ["node", "n", "sketch"])
+                out.append((len(s), np.packbits(odd.astype(np.uint8), bitorder="little").tobytes(),
+                            s.tobytes() if exact else None))
+            n, sketch, shingles = zip(*out, strict=True) if out else ((), (), ())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(sketch, pa.binary()),
+                                              pa.array(shingles, pa.binary())], ["node", "n", "sketch", "shingles"])
 
-    return texts.select("set_id", "text").mapInArrow(run, "node long, n long, sketch binary")
+    return texts.select("set_id", "text").mapInArrow(run, "node long, n long, sketch binary, shingles binary")
 
 
 def _near(row: np.ndarray, n: int, sketches: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -298,9 +301,68 @@ def _near(row: np.ndarray, n: int, sketches: np.ndarray, sizes: np.ndarray) -> n
     return (differ <= (n + sizes) // 9) & (5 * np.minimum(n, sizes) >= 4 * np.maximum(n, sizes))
 
 
-def _open_pairs(lists: DataFrame, reached: DataFrame, sketches: DataFrame, n_buckets: int) -> DataFrame:
-    """Pairs (a < b) of a list that lie in different components and that the
-    sketches can't tell apart."""
+class _Joined:
+    """Union-find over the components of a bucket."""
+
+    def __init__(self, n: int):
+        self.parent = np.arange(n)
+
+    def roots(self, c: np.ndarray) -> np.ndarray:
+        r = self.parent[c]
+        while (self.parent[r] != r).any():
+            r = self.parent[r]
+        self.parent[c] = r
+        return r
+
+
+def _spanning(lists, at, comp, ids, sizes, words, exact, percent: int) -> set[tuple[int, int]]:
+    """Of the pairs of a list that lie in different components and that sketches (with
+    shingles at hand: these) don't rule out, so many that all others
+    lie within what these unite: less than there are components."""
+    _, comp = np.unique(comp, return_inverse=True)
+    joined, found = _Joined(int(comp.max()) + 1), set()
+    widths = np.array([len(x) for x in words])
+    order = np.lexsort((comp, widths[at], lists))
+    lists, at, comp = lists[order], at[order], comp[order]
+    start = _starts(lists)
+    for lo, hi in zip(start, np.append(start[1:], len(lists)), strict=True):
+        m, c = at[lo:hi], comp[lo:hi]
+        root = joined.roots(c)
+        _, which, many = np.unique(root, return_inverse=True, return_counts=True)
+        if len(many) == 1:
+            continue
+        cut = _starts(widths[m])
+        groups = [(g0, g1, np.stack([words[j] for j in m[g0:g1]])) for g0, g1 in zip(cut, np.append(cut[1:], len(m)), strict=True)]
+        for i in np.flatnonzero(which != many.argmax()):  # every open pair has one that isn't in the largest
+            root = joined.roots(c)
+            apart = root != root[i]
+            if not apart.any():
+                break
+            me = m[i]
+            for g0, g1, theirs in groups:
+                some = np.flatnonzero(apart[g0:g1])
+                if not len(some):
+                    continue
+                some = some[_near(words[me], int(sizes[me]), theirs[some], sizes[m[g0:g1][some]])] + g0
+                for r in np.unique(root[some]):
+                    for j in some[root[some] == r]:
+                        you = m[j]
+                        if exact[me] is None or _linked(exact[me], exact[you], percent):
+                            mine, other = joined.roots(c[[i, j]])
+                            joined.parent[other] = mine
+                            found.add((int(min(ids[me], ids[you])), int(max(ids[me], ids[you]))))
+                            break
+    return found
+
+
+def _linked(s: np.ndarray, t: np.ndarray, percent: int) -> bool:
+    common = len(np.intersect1d(s, t, assume_unique=True))
+    return common * 100 >= percent * (len(s) + len(t) - common)
+
+
+def _open_pairs(lists: DataFrame, known: DataFrame, sketches: DataFrame, n_buckets: int, percent: int, others: bool) -> DataFrame:
+    """Pairs (a < b) of a list that lie in different components, as ``_spanning`` picks
+    them. Members without a component in ``known`` are one each, if ``others``, or left out."""
     placed = lambda df: df.withColumn("bucket", F.pmod("node", F.lit(n_buckets)).cast("int"))
 
     def with_component(rows: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
@@ -312,9 +374,12 @@ def _open_pairs(lists: DataFrame, reached: DataFrame, sketches: DataFrame, n_buc
         node, comp = known["node"].to_numpy(np.int64), known["component"].to_numpy(np.int64)
         if len(node):
             at = np.minimum(np.searchsorted(node, member), len(node) - 1)
-            comp = np.where(node[at] == member, comp[at], member)
+            there = node[at] == member
+            comp = np.where(there, comp[at], member)
         else:
-            comp = member
+            there, comp = np.zeros(len(member), bool), member
+        if not others:
+            lists, member, comp = lists[there], member[there], comp[there]
         return _frame(packed(lists % n_buckets, n_buckets, {"x": lists, "y": member, "z": comp}), names)
 
     def mixed(rows: pd.DataFrame) -> pd.DataFrame:
@@ -329,7 +394,7 @@ def _open_pairs(lists: DataFrame, reached: DataFrame, sketches: DataFrame, n_buc
         return _frame(packed(member % n_buckets, n_buckets, {"x": lists, "y": member, "z": comp}), names)
 
     def with_sketch(rows: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
-        names = ["bucket", "x", "y", "z", "member", "n", "sketch"]
+        names = ["bucket", "x", "y", "z", "member", "n", "sketch", "exact"]
         out = []
         if len(rows):
             lists, member, comp = (unpacked(rows, c, np.int64) for c in "xyz")
@@ -342,47 +407,34 @@ def _open_pairs(lists: DataFrame, reached: DataFrame, sketches: DataFrame, n_buc
                 ids, which = np.unique(member[some], return_inverse=True)
                 info = known.loc[ids]
                 width = np.array([len(x) for x in info["sketch"]], np.int64)
+                whole = [b"" if x is None else x for x in info["shingles"]]
+                length = np.array([len(x) for x in whole], np.int64)
                 out.append((int(to[lo]), lists[some].tobytes(), which.astype(np.int64).tobytes(), comp[some].tobytes(),
-                            ids.tobytes(), np.stack([info["n"].to_numpy(np.int64), width]).tobytes(),
-                            b"".join(info["sketch"])))
+                            ids.tobytes(), np.stack([info["n"].to_numpy(np.int64), width, length]).tobytes(),
+                            b"".join(info["sketch"]), b"".join(whole)))
         return pd.DataFrame(out, columns=names)
 
     def cross(rows: pd.DataFrame) -> pd.DataFrame:
-        parts, ids, sizes, words, base = [], [], [], [], 0
+        parts, ids, sizes, words, exact, base = [], [], [], [], [], 0
         for r in rows.itertuples():
             member = np.frombuffer(r.member, np.int64)
-            n, width = np.frombuffer(r.n, np.int64).reshape(2, -1)
-            raw, ends = np.frombuffer(r.sketch, U64), np.cumsum(width // 8)
-            words += [raw[e - w:e] for w, e in zip(width // 8, ends, strict=True)]
+            n, width, length = np.frombuffer(r.n, np.int64).reshape(3, -1)
+            for raw, size, to in ((r.sketch, width, words), (r.exact, length, exact)):
+                raw, ends = np.frombuffer(raw, U64), np.cumsum(size // 8)
+                to += [raw[e - w:e] if w else None for w, e in zip(size // 8, ends, strict=True)]
             ids.append(member)
             sizes.append(n)
             parts.append((np.frombuffer(r.x, np.int64), np.frombuffer(r.y, np.int64) + base, np.frombuffer(r.z, np.int64)))
             base += len(member)
-        ids, sizes = np.concatenate(ids), np.concatenate(sizes)
         lists, at, comp = (np.concatenate(x) for x in zip(*parts, strict=True))
-        widths = np.array([len(x) for x in words])
-        order = np.lexsort((comp, widths[at], lists))
-        lists, at, comp = lists[order], at[order], comp[order]
-        start, found = _starts(lists), set()
-        for lo, hi in zip(start, np.append(start[1:], len(lists)), strict=True):
-            m, c = at[lo:hi], comp[lo:hi]
-            names, which, many = np.unique(c, return_inverse=True, return_counts=True)
-            few = np.flatnonzero(which != many.argmax())  # every open pair has one that isn't in the largest
-            cut = _starts(widths[m])
-            for g0, g1 in zip(cut, np.append(cut[1:], len(m)), strict=True):
-                group = m[g0:g1]
-                theirs = np.stack([words[j] for j in group])
-                for i in few:
-                    fit = _near(words[m[i]], int(sizes[m[i]]), theirs, sizes[group]) & (c[g0:g1] != c[i])
-                    me = int(ids[m[i]])
-                    found.update((min(me, o), max(me, o)) for o in ids[group[fit]].tolist())
+        found = _spanning(lists, at, comp, np.concatenate(ids), np.concatenate(sizes), words, exact, percent)
         return pd.DataFrame(sorted(found), columns=["a", "b"])
 
-    one = lists.groupBy("bucket").cogroup(placed(reached).groupBy("bucket")).applyInPandas(
+    one = lists.groupBy("bucket").cogroup(placed(known).groupBy("bucket")).applyInPandas(
         with_component, "bucket int, x binary, y binary, z binary")
     two = stored(one.groupBy("bucket").applyInPandas(mixed, "bucket int, x binary, y binary, z binary"), "open-lists")
     three = two.groupBy("bucket").cogroup(placed(sketches).groupBy("bucket")).applyInPandas(
-        with_sketch, "bucket int, x binary, y binary, z binary, member binary, n binary, sketch binary")
+        with_sketch, "bucket int, x binary, y binary, z binary, member binary, n binary, sketch binary, exact binary")
     return three.groupBy("bucket").applyInPandas(cross, "a long, b long").distinct()
 
 
@@ -393,8 +445,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
         for batch in batches:
             good = np.zeros(batch.num_rows, bool)
             for (row, s), (_, t) in zip(shingle_sets(batch.column(2)), shingle_sets(batch.column(3)), strict=True):
-                common = len(np.intersect1d(s, t, assume_unique=True))
-                good[row] = common * 100 >= percent * (len(s) + len(t) - common)
+                good[row] = _linked(s, t, percent)
             yield batch.select(["a", "b"]).filter(pa.array(good))
 
     a = texts.select(F.col("set_id").alias("a"), F.col("text").alias("text_a"))
@@ -436,11 +487,25 @@ def _components(docs: DataFrame, percent: int) -> DataFrame:
     links = stored(_verified(best, texts, percent), "verified")
     reached = stored(components(links, "a", "b"), "reached")
 
-    rest = stored(_open_pairs(lists.where("kind = 1").drop("kind"), reached, _sketches(texts), n_buckets), "rest")
-    more = stored(_verified(rest, texts, percent), "verified")
-    final = components(links.union(more), "a", "b") if not more.isEmpty() else reached
-
-    return (sets.join(final.select(F.col("node").alias("set_id"), "component"), "set_id", "left")
+    lists = lists.where("kind = 1").drop("kind")
+    known, exact = reached, False
+    while True:
+        tried = stored(_open_pairs(lists, known, _sketches(texts, exact), n_buckets, percent, not exact), "tried")
+        good = stored(_verified(tried, texts, percent), "verified")
+        if not good.isEmpty():
+            links = links.unionByName(good)
+            reached = stored(components(links, "a", "b"), "reached")
+        if exact or tried.join(good, ["a", "b"], "left_anti").isEmpty():
+            break
+        # what a wrong pair united may lie apart: once more for the components that pairs were tried of, by their shingles
+        name = F.coalesce("component", "node").alias("component")
+        was = texts.select(F.col("set_id").alias("node")).join(known, "node", "left").select("node", name)
+        ends = tried.select(F.col("a").alias("node")).union(tried.select("b")).distinct()
+        touched = was.join(ends.join(was, "node").select("component").distinct(), "component", "left_semi").select("node")
+        known = stored(touched.join(reached, "node", "left").select("node", name), "known")
+        texts, exact = texts.join(known.select(F.col("node").alias("set_id")), "set_id", "left_semi"), True
+
+    return (sets.join(reached.select(F.col("node").alias("set_id"), "component"), "set_id", "left")
             .withColumn("component", F.coalesce("component", "set_id")))
 
 
