@@ -16,7 +16,6 @@ before it). Parts and blocks are read and decoded in any order, in parallel.
 from __future__ import annotations
 
 import os
-import re
 import uuid
 import zlib
 
@@ -27,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from signalmine.llm.common import buckets
+from signalmine.llm.common import U64, _powers, buckets, mix, text_steps
 from signalmine.session import ensure_checkpoint_dir
 
 SCALE = 20
@@ -136,12 +135,29 @@ def decode(n: int, lanes: int, states: np.ndarray, words: np.ndarray, model: Mod
     return out
 
 
-def decode_from_checkpoints(n: int, lanes: int, states, words, checkpoints, model: Model) -> list[np.ndarray]:
-    """A block's stretches between checkpoints, each decoded by itself."""
+def decode_from_checkpoints(n: int, lanes: int, states: np.ndarray, words: np.ndarray, checkpoints: np.ndarray,
+                            model: Model) -> np.ndarray:
+    """The n ids of a block: the stretches between checkpoints are decoded side by
+    side, a step of each at once; the last, which may be shorter, by itself."""
     marks = checkpoints.reshape(-1, lanes + 2)
-    begins = [(0, 0, states), *((int(m[0]), int(m[1]), m[2:]) for m in marks)]
-    ends = [b[0] for b in begins[1:]] + [None]
-    return [decode(n, lanes, x, words, model, s, e, p) for (s, p, x), e in zip(begins, ends, strict=True)]
+    if not len(marks):
+        return decode(n, lanes, states, words, model)
+    steps, last = int(marks[0, 0]), marks[-1]
+    x = np.concatenate([states[None], marks[:-1, 2:]])
+    place = np.concatenate([[0], marks[:-1, 1].astype(np.int64)])
+    out = np.zeros((len(x), steps, lanes), np.uint32)
+    mask, scale, by = np.uint64((1 << SCALE) - 1), np.uint64(SCALE), np.uint64(32)
+    for s in range(steps):
+        slot = x & mask
+        t = out[:, s] = model.slots[slot]
+        x = model.freq[t] * (x >> scale) + slot - model.cum[t]
+        need = x < np.uint64(_LOW)
+        row, lane = np.nonzero(need)
+        many = need.sum(1)
+        at = place[row] + np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many)
+        x[row, lane] = (x[row, lane] << by) | words[at]
+        place += many
+    return np.concatenate([out.ravel(), decode(n, lanes, last[2:], words, model, int(last[0]), None, int(last[1]))])
 
 
 # --------------------------------------------------------------- tokenizing
@@ -149,21 +165,29 @@ def decode_from_checkpoints(n: int, lanes: int, states, words, checkpoints, mode
 class PieceEncoder:
     """Encodes texts with a byte-level BPE tokenizer, each piece once.
 
-    A space, full stop, comma or line feed after a letter or digit starts a new
-    pre-token, so a text is cut before each of them and the pieces are encoded
-    apart. That holds unless a piece ends otherwise (in white space or another
-    sign, which the tokenizer may join with what follows); such a text is cut
-    only at single spaces between other characters, where it always holds."""
+    No pre-token reaches over a space or line feed from a character before that isn't
+    white space, nor over a full stop or comma from a letter or digit, and what stands
+    on one side of such a place doesn't change how the other is cut. Texts are cut
+    at all of these places and the pieces encoded apart.
+
+    The pieces of a step of texts are found, named by two 64-bit hashes, made
+    distinct, and replaced by their ids with numpy; only new ones meet the tokenizer.
+    """
 
-    _RUN = re.compile(r"\s\s")
-    _CUT = re.compile(r"(?<=\S) (?=\S)")
+    # what a piece begins with, and the characters before it that allow the cut (fixed values)
+    _SIGNS, _STOPS, _SOLID, _ALNUM = (np.zeros(256, bool) for _ in range(4))
+    _SIGNS[[10, 32, 44, 46]] = True
+    _STOPS[[44, 46]] = True
+    _SOLID[:128] = True
+    _SOLID[[*range(9, 14), *range(28, 33)]] = False
+    _ALNUM[[*range(48, 58), *range(65, 91), *range(97, 123)]] = True
+    _HASHES = [(mix(np.arange(1, 257, dtype=U64) * U64(k)), k | 1) for k in (0xD1342543DE82EF95, 0xA0761D6478BD642F)]
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         size = self.tokenizer.get_vocab_size()
         tokens = [self.tokenizer.id_to_token(i) or "" for i in range(size)]
         # ids that begin with each sign a piece may begin with, as a byte-level vocabulary writes it
@@ -172,8 +196,12 @@ class PieceEncoder:
         self._reset()
 
     def _reset(self) -> None:
-        self.known: dict[str, bytes] = {"": b""}
-        self.odd: set[str] = set()  # pieces that may join with what follows
+        """Forget all pieces. place: of a piece's first hash; pool: ids of all pieces, end to
+        end; a row of table per piece: where its ids begin and how many; check: its second
+        hash."""
+        self.place: dict[int, int] = {}
+        self.pool, self.used = np.zeros(1 << 16, np.uint32), 0
+        self.table, self.check = np.zeros((1 << 14, 2), np.int64), np.zeros(1 << 14, U64)
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, np.uint32).tobytes()
@@ -183,44 +211,95 @@ class PieceEncoder:
         """As ``_ids``, for pieces of the sign and letters or digits: many are encoded
         as one text, whose ids are cut where one begins with the sign."""
         out, first = [], self.first[sign]
-        for lo in range(0, len(pieces), 1000):
-            some = pieces[lo:lo + 1000]
-            ids = np.array(self.tokenizer.encode("".join(some), add_special_tokens=False).ids, np.uint32)
+        parts = [pieces[lo:lo + 1000] for lo in range(0, len(pieces), 1000)]
+        for some, raw in zip(parts, self._ids(["".join(p) for p in parts]), strict=True):
+            ids = np.frombuffer(raw, np.uint32)
             cut = np.flatnonzero(first[ids])
             if len(cut) != len(some):
                 out += self._ids(some)
                 continue
-            raw, ends = ids.tobytes(), [*(cut[1:] * 4).tolist(), len(ids) * 4]
+            ends = [*(cut[1:] * 4).tolist(), len(ids) * 4]
             out += [raw[a:b] for a, b in zip((cut * 4).tolist(), ends, strict=True)]
         return out
 
-    def _learn(self, pieces: list[str]) -> None:
-        alike: dict[str, list[str]] = {sign: [] for sign in self.first}
-        rest = []
-        for p in pieces:
-            (alike[p[0]] if p[1:].isalnum() and p[0] in alike else rest).append(p)
-        for sign, some in alike.items():
-            self.known.update(zip(some, self._words(sign, some), strict=True))
-        self.known.update(zip(rest, self._ids(rest), strict=True))
-        self.odd.update(p for p in rest if not (p[-1].isalnum() or p in (".", ",")))
-
-    def _plain(self, text: str) -> list[str]:
-        parts = text.split(" ") if not self._RUN.search(text) else self._CUT.split(text)
-        return [parts[0], *[" " + p for p in parts[1:]]]
+    def _learn(self, pieces: list[str], h1: list[int], h2: np.ndarray) -> None:
+        alike: dict[str, list[int]] = {sign: [] for sign in self.first}
+        rest, got = [], [b""] * len(pieces)
+        for i, p in enumerate(pieces):
+            (alike[p[0]] if p[1:].isalnum() and p[0] in alike else rest).append(i)
+        for some, ids in ((rest, self._ids([pieces[i] for i in rest])),
+                          *((some, self._words(sign, [pieces[i] for i in some])) for sign, some in alike.items())):
+            for i, x in zip(some, ids, strict=True):
+                got[i] = x
+        n = len(self.place)
+        if n + len(pieces) > len(self.table):
+            grown = max(len(self.table) * 2, n + len(pieces))
+            self.table = np.concatenate([self.table, np.zeros((grown - len(self.table), 2), np.int64)])
+            self.check = np.concatenate([self.check, np.zeros(grown - len(self.check), U64)])
+        new = np.frombuffer(b"".join(got), np.uint32)
+        if self.used + len(new) > len(self.pool):
+            self.pool = np.concatenate([self.pool[:self.used], np.zeros(max(self.used, len(new)) + len(new), np.uint32)])
+        self.pool[self.used:self.used + len(new)] = new
+        size = np.array([len(x) // 4 for x in got], np.int64)
+        self.table[n:n + len(pieces)] = np.stack([self.used + np.cumsum(size) - size, size], 1)
+        self.check[n:n + len(pieces)] = h2
+        self.place.update(zip(h1, range(n, n + len(pieces)), strict=True))
+        self.used += len(new)
+
+    def _cuts(self, data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """Where the pieces begin."""
+        at = np.flatnonzero(self._SIGNS[data])
+        at = at[at > 0]
+        before = data[at - 1]
+        good = np.where(self._STOPS[data[at]], self._ALNUM[before], self._SOLID[before])
+        wide = np.flatnonzero(before >= 0x80)
+        if len(wide):  # the last character before, if it isn't ASCII
+            end = at[wide]
+            n = np.select([data[end - 2] >= 0xC0, data[end - 3] >= 0xE0], [2, 3], 4)
+            code = sum(np.where(n > k, data[end - 1 - k].astype(np.int64) << 8 * k, 0) for k in range(4))
+            kinds, which = np.unique(code, return_inverse=True)
+            letters = [int(k).to_bytes(4, "big").lstrip(b"\0").decode(errors="ignore")[-1:].isalnum() for k in kinds]
+            good[wide] = np.array(letters)[which]
+        cut = np.zeros(len(data), bool)
+        cut[at[good]] = True
+        cut[starts[:-1][starts[:-1] < len(data)]] = True
+        return np.flatnonzero(cut)
+
+    def step(self, data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts end to end, how many each has) of texts laid end to end in
+        ``data`` (bytes); ``starts`` has each text's first byte plus the end."""
+        n_texts = len(starts) - 1
+        if not len(data):
+            return np.zeros(0, np.uint32), np.zeros(n_texts, np.int64)
+        if len(self.place) > CACHED:
+            self._reset()
+        begin = self._cuts(data, starts)
+        length = np.diff(np.append(begin, len(data)))
+        within = np.arange(len(data)) - np.repeat(begin, length)
+        h1, h2 = (mix(np.add.reduceat(table[data] * _powers(base, int(length.max()))[within], begin) + length.astype(U64))
+                  for table, base in self._HASHES)
+        keys, at, which = np.unique(h1, return_index=True, return_inverse=True)
+        keys = keys.tolist()
+        new = [i for i, k in enumerate(keys) if k not in self.place]
+        if new:
+            lo, hi = begin[at[new]].tolist(), (begin + length)[at[new]].tolist()
+            raw = data.tobytes()
+            self._learn([raw[a:b].decode() for a, b in zip(lo, hi, strict=True)], [keys[i] for i in new], h2[at[new]])
+        piece = np.fromiter(map(self.place.__getitem__, keys), np.int64, len(keys))[which]
+        if (self.check[piece] != h2).any():
+            raise ValueError("two pieces of one hash")  # one in 2**64 pairs
+        of, size = self.table[piece].T
+        total = np.cumsum(size)
+        ids = self.pool[np.repeat(of - (total - size), size) + np.arange(int(total[-1]))]
+        text = np.searchsorted(starts, begin, "right") - 1
+        return ids, np.bincount(text, size, n_texts).astype(np.int64)
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        if len(self.known) > CACHED:
-            self._reset()
-        cut = [t.replace(" ", "\0 ").replace(".", "\0.").replace(",", "\0,").replace("\n", "\0\n").split("\0")
-               for t in texts]
-        self._learn(list(set().union(*cut).difference(self.known)))
-        again = [i for i, (t, parts) in enumerate(zip(texts, cut, strict=True)) if not self.odd.isdisjoint(parts)
-                 or "\0" in t or ".." in t or ".," in t or ",." in t or ",," in t]
-        for i in again:
-            cut[i] = self._plain(texts[i])
-        self._learn(list(set().union(*[cut[i] for i in again]).difference(self.known)))
-        get = self.known.__getitem__
-        return [b"".join(map(get, parts)) for parts in cut]
+        out = []
+        for _, _, data, starts in text_steps(pa.array(texts, pa.string())):
+            ids, counts = self.step(data, starts)
+            out += [x.tobytes() for x in np.split(ids, np.cumsum(counts)[:-1])]
+        return out
 
 
 _ENCODERS: dict[str, PieceEncoder] = {}
@@ -241,26 +320,23 @@ def _tokenized(docs: DataFrame, tokenizer: str, end: int) -> DataFrame:
                .sortWithinPartitions("doc_id", "tie").select("doc_id", "text"))
 
     def run(batches):
-        code, tail = _encoder(tokenizer), np.array([end], np.uint32).tobytes()
+        code = _encoder(tokenizer)
         part, seq, start = TaskContext.get().partitionId(), 0, 0
         for batch in batches:
-            lo = 0
-            while lo < batch.num_rows:
-                texts, size, hi = [], 0, lo
-                while hi < batch.num_rows and size < 1 << 18:
-                    texts.append(batch.column(1)[hi].as_py())
-                    size += len(texts[-1])
-                    hi += 1
-                ids = [x + tail for x in code(texts)]
-                n = np.array([len(x) // 4 for x in ids], np.int64)
-                begin = start + np.concatenate([[0], np.cumsum(n)[:-1]])
-                small = [np.frombuffer(x, np.uint32) for x in ids]
-                packed = [(x.astype(np.uint16) if x.max() < 1 << 16 else x).tobytes() for x in small]
+            for lo, hi, data, starts in text_steps(batch.column(1)):
+                ids, n = code.step(data, starts)
+                ids = np.insert(ids, np.cumsum(n), end)
+                n += 1
+                ends = np.cumsum(n)
+                narrow = np.maximum.reduceat(ids, ends - n) < 1 << 16
+                small, ids = ids.astype(np.uint16).tobytes(), ids.tobytes()
+                packed = [small[2 * a:2 * b] if few else ids[4 * a:4 * b]
+                          for few, a, b in zip(narrow.tolist(), (ends - n).tolist(), ends.tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(hi - lo, part, np.int32)), pa.array(np.arange(seq, seq + hi - lo)), pa.array(begin),
+                    [pa.array(np.full(hi - lo, part, np.int32)), pa.array(np.arange(seq, seq + hi - lo)), pa.array(start + ends - n),
                      batch.column(0).slice(lo, hi - lo), pa.array(n), pa.array(packed, pa.binary())],
                     ["part", "seq", "start", "doc_id", "n", "ids"])
-                seq, start, lo = seq + hi - lo, start + int(n.sum()), hi
+                seq, start = seq + hi - lo, start + int(ends[-1])
 
     return ordered.mapInArrow(run, "part int, seq long, start long, doc_id long, n long, ids binary")
 
@@ -351,8 +427,9 @@ def read_corpus(spark: SparkSession, path: str) -> DataFrame:
         model = Model(*shared.value)
         for batch in batches:
             for row in batch.to_pylist():
-                ids = decode(row["n_ids"], row["lanes"], np.frombuffer(row["states"], np.uint64),
-                             np.frombuffer(row["words"], np.uint32), model)
+                ids = decode_from_checkpoints(row["n_ids"], row["lanes"], np.frombuffer(row["states"], np.uint64),
+                                              np.frombuffer(row["words"], np.uint32),
+                                              np.frombuffer(row["checkpoints"], np.uint64), model)
                 if zlib.crc32(ids.tobytes()) != row["crc32"]:
                     raise ValueError(f"block {row['part']}/{row['seq']}: checksum differs")
                 n = np.frombuffer(row["lengths"], np.uint32).astype(np.int64)
@@ -366,7 +443,7 @@ def read_corpus(spark: SparkSession, path: str) -> DataFrame:
                         ["part", "doc_id", "start", "n_tokens", "ids"])
 
     blocks = spark.read.schema(BLOCKS).parquet(f"{path}/blocks")
-    docs = blocks.select("seq", "n_ids", "start", "doc_ids", "lengths", "lanes", "states", "words", "crc32", "part")
+    docs = blocks.select("seq", "n_ids", "start", "doc_ids", "lengths", "lanes", "states", "words", "checkpoints", "crc32", "part")
     docs = docs.mapInArrow(run, "part int, doc_id long, start long, n_tokens long, ids binary")
     return docs.join(parts, "part").select("doc_id", (F.col("start") + F.col("before")).alias("start"), "n_tokens", "ids")
 
