@@ -32,7 +32,8 @@ from pyspark.sql import functions as F
 
 from signalmine.llm.common import U64, buckets, mix, stored, word_count
 
-LIGHT_ROWS = 1 << 16    # prefixes of a subtree that one task may hold
+LIGHT_ROWS = 1 << 16    # prefixes of a subtree that one task may hold at most; a quarter of a task's share,
+LEAST_ROWS = 1 << 10    # if that is less, but always so many
 SHARD_ROWS = 1 << 18    # prefixes that are dealt to one task, about
 HEAD = 64               # characters of a text that range bounds look at
 
@@ -279,7 +280,10 @@ def trie(turns: DataFrame, conversations: DataFrame, light_rows: int = LIGHT_ROW
     root = conversations.select("conv_id", "n", *(zero.alias(c) for c in ("pos", "words", "d1", "d2", "p1", "p2")))
     rows = stored(pre.join(conversations, "conv_id").unionByName(root), "trie-rows")
 
-    # the cut: nodes whose subtrees hold too many prefixes for a task, and the root
+    # the cut: nodes whose subtrees hold too many prefixes for a task, or too large a part of what one gets, and the root
+    total = rows.count()
+    n_shards = max(buckets(spark), -(-total // shard_rows))
+    light_rows = min(light_rows, max(LEAST_ROWS, total // (4 * n_shards)))
     heavy = rows.groupBy(*NODE).agg(
         F.count("*").alias("n_convs"), F.min("conv_id").alias("owner"), F.max("words").alias("words"), F.max("p1").alias("p1"),
         F.max("p2").alias("p2"), F.sum(F.col("n") - F.col("pos") + 1).alias("prefixes"))
@@ -290,7 +294,6 @@ def trie(turns: DataFrame, conversations: DataFrame, light_rows: int = LIGHT_ROW
 
     # subtrees below the cut, each whole in one task
     tops = light.groupBy("conv_id").agg(F.min(F.struct(*NODE)).alias("top"))
-    n_shards = max(buckets(spark), -(-light.count() // shard_rows))
     dealt = light.join(tops, "conv_id").withColumn("shard", F.pmod(F.xxhash64("top.d1", "top.d2"), F.lit(n_shards)))
     dealt = dealt.select("shard", "conv_id", "pos", "n", "words", "d1", "d2", "p1", "p2")
     below = stored(dealt.groupBy("shard").applyInPandas(_shard, _SHARD), "shards")
