@@ -3,10 +3,13 @@
 A source's target is its weight's share of the budget, at most ``cap`` times its
 size; what a cap cuts off goes to the others by weight. Each document of a
 source first gets the certain whole copies, floor(target / size of the source).
-The rest has the inclusion odds p / (1 - p), p the fraction left: documents are
-ranked by their random odds u / (1 - u) divided by their inclusion odds, and
-taken from the lowest rank on while the words fit. Last, the documents whose
-sizes come nearest to the gap left are added, if they make it smaller.
+For the fraction p of the source that is left to take, documents have unequal
+inclusion odds: p / (1 - p), times the root of the document's bytes over the root
+of the source's mean (``LONGER``; 0 makes the odds equal). Documents are ranked by
+their random odds u / (1 - u) divided by their inclusion odds, and taken from the
+lowest rank on while the words fit, so the sample's size in words is fixed. Last,
+the documents whose sizes come nearest to the gap left are added, if they make it
+smaller.
 
 The random numbers are hashes of id and text, so reruns agree and identical
 rows share a fate. A rank's prefix sums are taken in two steps, over SLICES
@@ -27,6 +30,7 @@ SHARE = 1.5
 CAP = 2
 SEED = 20
 SLICES = 4096
+LONGER = 0.5    # power of a document's bytes in its inclusion odds
 TOP_UPS = 2
 
 
@@ -34,17 +38,23 @@ def _key(seed: int):
     return F.xxhash64(F.lit(seed), "doc_id", "text")
 
 
-def _place(p, key):
-    """q / (1 + q) of the rank q: from 0 to 1 in the order of the ranks."""
-    u = (F.shiftrightunsigned(key, 11) + 0.5) / float(1 << 53)
-    return u * (1 - p) / (u * (1 - p) + p * (1 - u))
+def _bytes():
+    return F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
+
+
+def _place():
+    """q / (1 + q) of the rank q: from 0 to 1 in the order of the ranks (needs key and
+    bytes, and p and mean of the source)."""
+    u = (F.shiftrightunsigned("key", 11) + 0.5) / float(1 << 53)
+    odds = F.col("p") * F.pow(F.col("bytes") / F.greatest("mean", F.lit(1.0)), F.lit(LONGER))
+    return u * (1 - F.col("p")) / (u * (1 - F.col("p")) + odds * (1 - u))
 
 
 def targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = CAP) -> DataFrame:
-    """(source, source_size, target) from (source, size): one row per source.
+    """(source, source_size, mean, target) from (source, size, bytes): one row per source.
     Sources rank by code point, null last, and take the weights in turn; this
     list of sources (not their rows) is numbered in one window."""
-    per = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
+    per = sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.avg("bytes").alias("mean"))
     rank = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last()))
     weight = F.array(*[F.lit(float(w)) for w in weights])
     per = stored(per.withColumn("weight", F.get(weight, (rank - 1) % len(weights))), "sources")
@@ -61,21 +71,21 @@ def targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float
         seen, level = got[2], (budget - got[0]) / got[1]
     if got[1] == 0:
         level = float("inf")
-    return per.select("source", "source_size", F.least(
+    return per.select("source", "source_size", "mean", F.least(
         F.col("source_size") * float(cap), F.col("weight") * level).alias("target"))
 
 
 def decisions(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = CAP,
               seed: int = SEED) -> tuple[DataFrame, DataFrame]:
-    """(documents, sources), both stored: documents are (doc_id, source, size,
-    key), sources (source, source_size, target, whole, p, slice, cut, picks)."""
+    """(documents, sources), both stored: documents are (doc_id, source, size, bytes,
+    key), sources (source, source_size, mean, target, whole, p, slice, cut, picks)."""
     rows = stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source",
-                              word_count(F.col("text")).alias("size"), _key(seed).alias("key")), "sizes")
-    goal = targets(rows.select("source", "size"), weights, share, cap)
+                              word_count(F.col("text")).alias("size"), _bytes().alias("bytes"), _key(seed).alias("key")), "sizes")
+    goal = targets(rows.select("source", "size", "bytes"), weights, share, cap)
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     goal = goal.withColumn("whole", F.floor(ratio).cast("long")).withColumn("p", ratio - F.col("whole"))
     goal = stored(goal.withColumn("rest", F.col("target") - F.col("whole") * F.col("source_size")), "targets")
-    placed = _with(rows, goal, ["p", "rest"]).where("p > 0").withColumn("place", _place(F.col("p"), F.col("key")))
+    placed = _with(rows, goal, ["p", "mean", "rest"]).where("p > 0").withColumn("place", _place())
     placed = placed.withColumn("slice", F.floor(F.col("place") * SLICES).cast("int"))
 
     sums = placed.groupBy("source", "slice").agg(F.sum("size").alias("words"), F.first("rest").alias("rest"))
@@ -91,8 +101,8 @@ def decisions(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float
     state = state.withColumn("gap", F.col("rest") - F.coalesce("had", "base", F.lit(0)))
     state = stored(state.withColumn("picks", F.array().cast("array<bigint>")), "cuts")
     for _ in range(TOP_UPS):
-        free = _with(rows, state, ["p", "cut_slice", "cut", "gap", "picks"]).where("p > 0 and gap > 0 and size > 0")
-        free = free.withColumn("place", _place(F.col("p"), F.col("key"))).where(~_taken())
+        free = _with(rows, state, ["p", "mean", "cut_slice", "cut", "gap", "picks"]).where("p > 0 and gap > 0 and size > 0")
+        free = free.withColumn("place", _place()).where(~_taken())
         off = F.abs(F.col("gap") - F.col("size"))
         pick = free.where(off < F.col("gap")).groupBy("source").agg(
             F.min(F.struct(off.alias("off"), "place", "key", "size")).alias("pick"))
@@ -100,7 +110,7 @@ def decisions(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float
         state = state.withColumn("gap", F.col("gap") - F.coalesce("pick.size", F.lit(0))).withColumn(
             "picks", F.when(F.col("pick").isNotNull(), F.array_append("picks", F.col("pick.key"))).otherwise(F.col("picks")))
         state = stored(state.drop("pick"), "cuts")
-    return rows, state.select("source", "source_size", "target", "whole", "p", "cut_slice", "cut", "picks")
+    return rows, state.select("source", "source_size", "target", "mean", "whole", "p", "cut_slice", "cut", "picks")
 
 
 def _with(left: DataFrame, right: DataFrame, columns: list[str]) -> DataFrame:
@@ -117,23 +127,28 @@ def _taken():
 
 
 def _copies(rows: DataFrame, sources: DataFrame) -> DataFrame:
-    joined = _with(rows, sources, ["source_size", "target", "whole", "p", "cut_slice", "cut", "picks"])
-    joined = joined.withColumn("place", _place(F.col("p"), F.col("key")))
+    joined = _with(rows, sources, ["source_size", "target", "mean", "whole", "p", "cut_slice", "cut", "picks"])
+    joined = joined.withColumn("place", _place())
     return joined.withColumn("copies", F.col("whole") + F.when(F.col("p") > 0, _taken().cast("long")).otherwise(0))
 
 
 def mixture(docs: DataFrame, **how) -> DataFrame:
     """(doc_id, size, source_size, target, taken) of every row of ``docs``
     (doc_id, source, text). A null text has size 0 and takes 0; a null source is
-    a source; an empty table gives none."""
+    a source; an empty table gives none. Rows with the same id and text share a fate, and
+    ranks that tie are taken together. A document of any length is one row of numbers
+    here; one that doesn't fit in what is left of its target isn't taken. Other columns
+    are ignored."""
     rows, sources = decisions(docs, **how)
     return _copies(rows, sources).select("doc_id", "size", "source_size", "target",
                                          (F.col("copies") * F.col("size")).alias("taken"))
 
 
 def mixed_documents(docs: DataFrame, seed: int = SEED, **how) -> DataFrame:
-    """``docs`` as mixed: each row as often as it has copies (0 or more)."""
+    """``docs`` as mixed: each row as often as it has copies (0 or more). Nulls, empty texts,
+    repeated rows and empty tables: as in ``mixture``; a row without words comes as often as
+    its source's whole copies say."""
     _, sources = decisions(docs, seed=seed, **how)
-    rows = docs.select(F.struct(*docs.columns).alias("doc"), "source", _key(seed).alias("key"))
+    rows = docs.select(F.struct(*docs.columns).alias("doc"), "source", _bytes().alias("bytes"), _key(seed).alias("key"))
     return (_copies(rows, sources).select("doc", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int"))))
             .select("doc.*"))

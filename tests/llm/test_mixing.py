@@ -3,7 +3,7 @@ import re
 
 import pytest
 
-from signalmine.llm.mixing import mixed_documents, mixture
+from signalmine.llm.mixing import LONGER, SEED, TOP_UPS, _key, mixed_documents, mixture
 
 SCHEMA = "doc_id long, source string, text string, target string, copies string"
 
@@ -63,11 +63,48 @@ def test_targets_and_copies(spark):
     assert sum(size(r.text) for r in mixed.collect()) == sum(taken.values())
 
 
-def test_long_documents_have_the_same_chance(spark):
+def test_ranks_equal_brute_force(spark):
+    """Random odds over unequal inclusion odds, from the lowest on while the words fit."""
+    rows = [r for r in made(1500, 8) if r[0] is not None]
+    rows = list({r[0]: r for r in rows}.values())
+    df = spark.createDataFrame(rows, SCHEMA)
+    key = {r.doc_id: r.key for r in df.select("doc_id", _key(SEED).alias("key")).collect()}
+    got = {r.doc_id: r for r in mixture(df).collect()}
+    words = {i: len((t or "").split()) for i, _, t, *_ in rows}
+    for source in {r[1] for r in rows}:
+        mine = [r for r in rows if r[1] == source]
+        total, target = sum(words[r[0]] for r in mine), got[mine[0][0]].target
+        ratio = target / total if total else 0.0
+        whole = int(ratio)
+        p, rest = ratio - whole, target - whole * total
+        mean = max(1.0, sum(len((r[2] or "").encode()) for r in mine) / len(mine))
+
+        def rank(r, p=p, mean=mean):
+            u = ((key[r[0]] % 2**64 >> 11) + 0.5) / 2**53
+            odds = p / (1 - p) * (len((r[2] or "").encode()) / mean) ** LONGER
+            return u / (1 - u) / odds if odds else float("inf")
+
+        sample, left = set(), rest
+        ranked = sorted(mine, key=rank) if p else []
+        for r in ranked:
+            if words[r[0]] > left:
+                break
+            sample.add(r[0])
+            left -= words[r[0]]
+        for _ in range(TOP_UPS):
+            free = [r for r in ranked if r[0] not in sample and words[r[0]] and abs(left - words[r[0]]) < left]
+            if free:
+                pick = min(free, key=lambda r: (abs(left - words[r[0]]), rank(r)))
+                sample.add(pick[0])
+                left -= words[pick[0]]
+        assert {r[0] for r in mine if got[r[0]].taken > whole * words[r[0]]} == {i for i in sample if words[i]}, source
+
+
+def test_longer_documents_have_better_odds(spark):
     df = spark.createDataFrame([(i, "ab"[i % 2], "w " * (5 if i % 4 < 2 else 500), "", "") for i in range(4000)], SCHEMA)
-    got = [r for r in mixture(df).collect() if 0 < r.target < 2 * r.source_size]
+    got = [r for r in mixture(df, share=1.0).collect() if r.target < r.source_size]
     share = [sum(r.taken for r in got if r.size == n) / sum(r.size for r in got if r.size == n) for n in (5, 500)]
-    assert share[0] == pytest.approx(share[1], abs=0.08)
+    assert 0 < share[0] < 0.7 * share[1]
 
 
 def test_empty(spark):
