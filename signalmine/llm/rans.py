@@ -18,6 +18,7 @@ from __future__ import annotations
 import os
 import uuid
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -143,19 +144,19 @@ def decode_from_checkpoints(n: int, lanes: int, states: np.ndarray, words: np.nd
     if not len(marks):
         return decode(n, lanes, states, words, model)
     steps, last = int(marks[0, 0]), marks[-1]
-    x = np.concatenate([states[None], marks[:-1, 2:]])
+    x = np.concatenate([states, marks[:-1, 2:].ravel()])
     place = np.concatenate([[0], marks[:-1, 1].astype(np.int64)])
-    out = np.zeros((len(x), steps, lanes), np.uint32)
+    out = np.zeros((len(place), steps, lanes), np.uint32)
     mask, scale, by = np.uint64((1 << SCALE) - 1), np.uint64(SCALE), np.uint64(32)
     for s in range(steps):
         slot = x & mask
-        t = out[:, s] = model.slots[slot]
+        t = model.slots[slot]
+        out[:, s] = t.reshape(-1, lanes)
         x = model.freq[t] * (x >> scale) + slot - model.cum[t]
-        need = x < np.uint64(_LOW)
-        row, lane = np.nonzero(need)
-        many = need.sum(1)
-        at = place[row] + np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many)
-        x[row, lane] = (x[row, lane] << by) | words[at]
+        need = np.flatnonzero(x < np.uint64(_LOW))
+        many = np.diff(np.searchsorted(need, np.arange(len(place) + 1) * lanes))
+        shed = np.concatenate([words[p:p + n] for p, n in zip(place.tolist(), many.tolist(), strict=True)])
+        x[need] = (x[need] << by) | shed
         place += many
     return np.concatenate([out.ravel(), decode(n, lanes, last[2:], words, model, int(last[0]), None, int(last[1]))])
 
@@ -203,47 +204,46 @@ class PieceEncoder:
         self.pool, self.used = np.zeros(1 << 16, np.uint32), 0
         self.table, self.check = np.zeros((1 << 14, 2), np.int64), np.zeros(1 << 14, U64)
 
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, np.uint32).tobytes()
-                for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _words(self, sign: str, pieces: list[str]) -> list[bytes]:
-        """As ``_ids``, for pieces of the sign and letters or digits: many are encoded
+    def _apart(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of the pieces end to end, how many each has)."""
+        ids = self._ids(pieces)
+        return np.fromiter(chain.from_iterable(ids), np.uint32), np.fromiter(map(len, ids), np.int64, len(ids))
+
+    def _words(self, sign: str, pieces: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """As ``_apart``, for pieces of the sign and letters or digits: many are encoded
         as one text, whose ids are cut where one begins with the sign."""
         out, first = [], self.first[sign]
         parts = [pieces[lo:lo + 1000] for lo in range(0, len(pieces), 1000)]
-        for some, raw in zip(parts, self._ids(["".join(p) for p in parts]), strict=True):
-            ids = np.frombuffer(raw, np.uint32)
+        for some, ids in zip(parts, self._ids(["".join(p) for p in parts]), strict=True):
+            ids = np.array(ids, np.uint32)
             cut = np.flatnonzero(first[ids])
-            if len(cut) != len(some):
-                out += self._ids(some)
-                continue
-            ends = [*(cut[1:] * 4).tolist(), len(ids) * 4]
-            out += [raw[a:b] for a, b in zip((cut * 4).tolist(), ends, strict=True)]
+            out.append((ids, np.diff(np.append(cut, len(ids)))) if len(cut) == len(some) else self._apart(some))
         return out
 
     def _learn(self, pieces: list[str], h1: list[int], h2: np.ndarray) -> None:
         alike: dict[str, list[int]] = {sign: [] for sign in self.first}
-        rest, got = [], [b""] * len(pieces)
+        rest = []
         for i, p in enumerate(pieces):
             (alike[p[0]] if p[1:].isalnum() and p[0] in alike else rest).append(i)
-        for some, ids in ((rest, self._ids([pieces[i] for i in rest])),
-                          *((some, self._words(sign, [pieces[i] for i in some])) for sign, some in alike.items())):
-            for i, x in zip(some, ids, strict=True):
-                got[i] = x
-        n = len(self.place)
-        if n + len(pieces) > len(self.table):
-            grown = max(len(self.table) * 2, n + len(pieces))
-            self.table = np.concatenate([self.table, np.zeros((grown - len(self.table), 2), np.int64)])
-            self.check = np.concatenate([self.check, np.zeros(grown - len(self.check), U64)])
-        new = np.frombuffer(b"".join(got), np.uint32)
+        got = [self._apart([pieces[i] for i in rest])]
+        for sign, some in alike.items():
+            got += self._words(sign, [pieces[i] for i in some])
+        order = [*rest, *chain.from_iterable(alike.values())]
+        new, size = (np.concatenate(x) for x in zip(*got, strict=True))
+        n, more = len(self.place), len(pieces)
+        if n + more > len(self.table):
+            grown = max(len(self.table) * 2, n + more) - len(self.table)
+            self.table = np.concatenate([self.table, np.zeros((grown, 2), np.int64)])
+            self.check = np.concatenate([self.check, np.zeros(grown, U64)])
         if self.used + len(new) > len(self.pool):
             self.pool = np.concatenate([self.pool[:self.used], np.zeros(max(self.used, len(new)) + len(new), np.uint32)])
         self.pool[self.used:self.used + len(new)] = new
-        size = np.array([len(x) // 4 for x in got], np.int64)
-        self.table[n:n + len(pieces)] = np.stack([self.used + np.cumsum(size) - size, size], 1)
-        self.check[n:n + len(pieces)] = h2
-        self.place.update(zip(h1, range(n, n + len(pieces)), strict=True))
+        self.table[n:n + more] = np.stack([self.used + np.cumsum(size) - size, size], 1)
+        self.check[n:n + more] = h2[order]
+        self.place.update(zip(map(h1.__getitem__, order), range(n, n + more), strict=True))
         self.used += len(new)
 
     def _cuts(self, data: np.ndarray, starts: np.ndarray) -> np.ndarray:
