@@ -1,22 +1,25 @@
 """Exact substring, prefix and whole-word matching of many keys against texts,
-as equi-joins.
+through an inverted index of ids.
 
 Spark has no index for ``text LIKE '%' || key || '%'``; as a join condition it
-plans as a nested loop. Here each key gets an anchor, a short piece of itself
-that a text must hold at a place that can be listed cheaply, the places of the
-texts are exploded to the same kind of pieces, and an equi-join on the piece
-brings the few candidates together, which are then tested in full:
-
-* ``contains``: keys with a word start inside (a letter or digit after another
-  character) are anchored at the first one by ``GRAM`` characters, so a text only
-  lists its word starts. Other keys are anchored by their first characters, and
-  texts list all their places, only if there is such a key.
-* ``prefix``: texts list their beginnings of the lengths that keys have.
-* ``word``: keys made of ``[a-z0-9_]`` are looked up among the texts' tokens;
-  other keys as ``contains``, with a test of what stands on either side.
-
-Nothing is collected, no job runs while the plan is built, and the plan is the
-same at every size.
+plans as a nested loop. Here texts list pieces of themselves, a text that holds a
+key holds the key's pieces, and only (piece, text id) rows are joined:
+
+* a key's inner words (runs of letters and digits with other characters on both
+  sides) are whole words of the text; where a key has none, the first ``GRAM``
+  characters of its last run begin a word of the text and the last ``GRAM`` of its
+  first run end one; other keys have the runs of ``GRAM`` characters (shorter keys:
+  single characters) that start at every place;
+* of its pieces a key's anchor is the one that the fewest texts hold; a key with a
+  piece that no text holds is found nowhere;
+* a text is fetched once per candidate, by its hash, and tested in full.
+
+The keys and the index (pieces that some key has, with text hashes) are written
+to the checkpoint folder, as several steps read them; of them only the kinds of
+keys there are reach the driver. Modes: ``contains``; ``prefix`` (texts list their
+beginnings of the lengths that keys have); ``word`` (keys made of ``[a-z0-9_]`` are
+looked up among the texts' tokens, others as ``contains`` with a test of what
+stands on either side).
 """
 
 from __future__ import annotations
@@ -24,8 +27,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from signalmine.session import materialize
+
 GRAM = 4
-_START = r"(?<=[^A-Za-z0-9])(?=([A-Za-z0-9][\s\S]{%d}))" % (GRAM - 1)
+_RUN = "[A-Za-z0-9]+"
+_INNER = "(?<=[^A-Za-z0-9])[A-Za-z0-9]+(?=[^A-Za-z0-9])"
+_LAST = "[^A-Za-z0-9]([A-Za-z0-9]{%d})[A-Za-z0-9]*$" % GRAM
+_FIRST = "^[A-Za-z0-9]*([A-Za-z0-9]{%d})[^A-Za-z0-9]" % GRAM
 _EVERY = r"(?=([\s\S]{%d}))"
 
 
@@ -34,29 +42,54 @@ def _keys(keys: DataFrame, key_col: str, group: Column) -> DataFrame:
             .where(F.col("key").isNotNull() & (F.length("key") > 0)).distinct())
 
 
-def _only_if_any(texts: DataFrame, keys: DataFrame) -> DataFrame:
-    """``texts`` if there are keys, else no row: a semi join on a constant with
-    a table of at most one row."""
-    some = keys.agg(F.count(F.lit(1)).alias("n")).where("n > 0").select(F.lit(1).alias("_one"))
-    return texts.withColumn("_one", F.lit(1)).join(F.broadcast(some), "_one", "left_semi").drop("_one")
-
-
-def _pairs_by_gram(texts: DataFrame, keys: DataFrame, pattern: str, anchor: Column) -> DataFrame:
-    grams = texts.select("tid", "grp", "text", F.explode(F.array_distinct(
-        F.regexp_extract_all("text", F.lit(pattern), 1))).alias("gram"))
-    return grams.join(keys.select("grp", "key", anchor.alias("gram")), ["grp", "gram"]).select("tid", "grp", "key", "text")
-
-
-def _containing(texts: DataFrame, keys: DataFrame) -> DataFrame:
-    """(tid, grp, key, text) of each text that contains the key."""
-    inner = F.regexp_extract("key", _START, 1)
-    starts = _pairs_by_gram(texts, keys.where(inner != ""), _START, inner)
-    plain = keys.where(inner == "")
-    out = starts
-    # other keys by their first GRAM characters, shorter ones by their first
-    for n, some in ((GRAM, plain.where(F.length("key") >= GRAM)), (1, plain.where(F.length("key") < GRAM))):
-        out = out.unionByName(_pairs_by_gram(_only_if_any(texts, some), some, _EVERY % n, F.left("key", F.lit(n))))
-    return out.where(F.contains("text", F.col("key")))
+def _all(text: str | Column, pattern: str, group: int = 0) -> Column:
+    return F.regexp_extract_all(text, F.lit(pattern), group)
+
+
+def _marked(mark: str, pieces: Column) -> Column:
+    return F.transform(pieces, lambda p: F.concat(F.lit(mark), p))
+
+
+def _key_pieces(keys: DataFrame) -> DataFrame:
+    """Keys with their pieces and the kind of these: word, edge, gram or sign."""
+    inner = _marked("=", _all("key", _INNER))
+    edges = F.concat(_marked("^", _all("key", _LAST, 1)), _marked("$", _all("key", _FIRST, 1)))
+    rest = F.when(F.length("key") >= GRAM, _marked("*", _all("key", _EVERY % GRAM, 1))).otherwise(
+        _marked(".", _all("key", _EVERY % 1, 1)))
+    kind = (F.when(F.size(inner) > 0, "word").when(F.size(edges) > 0, "edge")
+            .when(F.length("key") >= GRAM, "gram").otherwise("sign"))
+    pieces = F.when(F.size(inner) > 0, inner).when(F.size(edges) > 0, edges).otherwise(rest)
+    return keys.select("grp", "key", kind.alias("kind"), F.array_distinct(pieces).alias("pieces"))
+
+
+def _text_pieces(kinds: set[str]) -> Column:
+    """A text's pieces of the kinds that keys have."""
+    words = F.array_distinct(_all("text", _RUN))
+    long = F.filter(words, lambda w: F.length(w) >= GRAM)
+    parts = {"word": [_marked("=", words)],
+             "edge": [F.transform(long, lambda w: F.concat(F.lit("^"), F.left(w, F.lit(GRAM)))),
+                      F.transform(long, lambda w: F.concat(F.lit("$"), F.right(w, F.lit(GRAM))))],
+             "gram": [_marked("*", _all("text", _EVERY % GRAM, 1))],
+             "sign": [_marked(".", _all("text", _EVERY % 1, 1))]}
+    return F.array_distinct(F.concat(*[p for k in sorted(kinds) for p in parts[k]]))
+
+
+def _containing(texts: DataFrame, keys: DataFrame) -> DataFrame | None:
+    """(tid, grp, key, text) of each text that contains the key; None without keys."""
+    keyed = materialize(_key_pieces(keys))
+    kinds = {r.kind for r in keyed.select("kind").distinct().collect()}  # four at most
+    if not kinds:
+        return None
+    wanted = keyed.select("grp", "key", F.size("pieces").alias("n_pieces"), F.explode("pieces").alias("piece"))
+    named = texts.withColumn("hash", F.xxhash64("text"))
+    index = materialize(named.select("grp", "hash", F.explode(_text_pieces(kinds)).alias("piece"))
+                        .join(wanted.select("grp", "piece").distinct(), ["grp", "piece"], "left_semi").distinct())
+    held = index.groupBy("grp", "piece").agg(F.count("*").alias("texts"))
+    anchors = (wanted.join(held, ["grp", "piece"]).groupBy("grp", "key", "n_pieces")
+               .agg(F.count("*").alias("found"), F.min(F.struct("texts", "piece")).alias("best"))
+               .where("found = n_pieces").select("grp", "key", F.col("best.piece").alias("piece")))
+    candidates = index.join(anchors, ["grp", "piece"]).select("grp", "hash", "key")
+    return named.join(candidates, ["grp", "hash"]).where(F.contains("text", F.col("key"))).select("tid", "grp", "key", "text")
 
 
 def keys_found_in(texts: DataFrame, text_col: str, keys: DataFrame, key_col: str,
@@ -76,15 +109,22 @@ def keys_found_in(texts: DataFrame, text_col: str, keys: DataFrame, key_col: str
     text_df = texts.select(tid.alias("tid"), group.alias("grp"), F.col(text_col).alias("text")).where("text is not null")
     if mode == "prefix":
         lengths = key_df.agg(F.collect_set(F.length("key")).alias("lens")).withColumn("_one", F.lit(1))
-        heads = text_df.withColumn("_one", F.lit(1)).join(F.broadcast(lengths), "_one").select(
-            "tid", "grp", "text", F.explode("lens").alias("n")).where(F.col("n") <= F.length("text"))
-        return (heads.select("tid", "grp", F.left("text", F.col("n")).alias("key"))
-                .join(key_df, ["grp", "key"], "left_semi").distinct())
+        some = F.filter("lens", lambda n: n <= F.length("text"))
+        heads = text_df.withColumn("_one", F.lit(1)).join(F.broadcast(lengths), "_one").select(  # one row
+            "tid", "grp", F.explode(F.transform(some, lambda n: F.left("text", n))).alias("key"))
+        return heads.join(key_df, ["grp", "key"], "left_semi").distinct()
     if mode == "contains":
-        return _containing(text_df, key_df).select("tid", "grp", "key").distinct()
-    plain = F.col("key").rlike("^[a-z0-9_]+$")
-    tokens = text_df.select("tid", "grp", F.explode(F.array_distinct(F.split("text", "[^a-z0-9_]+"))).alias("key"))
-    found = tokens.join(key_df.where(plain), ["grp", "key"], "left_semi")
-    bounded = F.concat(F.lit(r"(?<![a-z0-9_])\Q"), F.col("key"), F.lit(r"\E(?![a-z0-9_])"))
-    special = _containing(text_df, key_df.where(~plain)).where(F.regexp_like("text", bounded))
-    return found.unionByName(special.select("tid", "grp", "key")).distinct()
+        found = _containing(text_df, key_df)
+    else:
+        key_df = materialize(key_df)
+        plain = F.col("key").rlike("^[a-z0-9_]+$")
+        tokens = text_df.select("tid", "grp", F.explode(F.array_distinct(F.split("text", "[^a-z0-9_]+"))).alias("key"))
+        whole = tokens.join(key_df.where(plain), ["grp", "key"], "left_semi")
+        bounded = F.concat(F.lit(r"(?<![a-z0-9_])\Q"), F.col("key"), F.lit(r"\E(?![a-z0-9_])"))
+        special = _containing(text_df, key_df.where(~plain))
+        if special is None:
+            return whole.distinct()
+        found = whole.unionByName(special.where(F.regexp_like("text", bounded)).select("tid", "grp", "key"))
+    if found is None:
+        return key_df.select(F.lit("").alias("tid"), "grp", "key").limit(0)
+    return found.select("tid", "grp", "key").distinct()

@@ -45,7 +45,7 @@ def top_recent_items(items: DataFrame, as_of: AsOf, days: int = 14, k: int = 10)
     return top_k(rows, k, F.col("occurrence_count").desc(), F.col("id"))
 
 
-def top_errors(patterns: DataFrame, k: int = 10, min_count: int = 2) -> DataFrame:
+def top_errors(patterns: DataFrame, k: int | None = 10, min_count: int = 2) -> DataFrame:
     rows = recurring_errors(patterns, min_count).select(
         "pattern_key", "category", "occurrence_count", left("description", 80).alias("description"))
     return top_k(rows, k, F.col("occurrence_count").desc(), F.col("pattern_key"))

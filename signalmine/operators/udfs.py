@@ -17,7 +17,7 @@ from pyspark.sql import Window
 
 from signalmine.functions.constants import CLASSIFY_ACTIONS, TOPIC_RULES
 from signalmine.functions.timefn import AsOf
-from signalmine.operators.filters import topic_flags, with_lowered
+from signalmine.operators.filters import icontains_pattern
 from signalmine.operators.joins import regression_pairs
 
 CLAIM_SCHEMA = "repo string, new_id long, old_id long, claim_rank int, new_completed_at timestamp_ntz"
@@ -75,12 +75,17 @@ DEFAULT_ACTION_BY_TOPIC = {
 
 
 def rule_classifier(items: DataFrame) -> DataFrame:
-    """(id, action, description): first matching topic's action, else 'skip'."""
-    flags = topic_flags("lesson", TOPIC_RULES, lowered=True)
-    action = F.lit("skip")
-    for name in reversed(list(flags)):
-        action = F.when(flags[name], F.lit(DEFAULT_ACTION_BY_TOPIC[name])).otherwise(action)
-    return with_lowered(items).select("id", action.alias("action"), F.col("lesson").alias("description"))
+    """(id, action, description): first matching topic's action, else 'skip'. The lesson
+    is lower-cased once (a one-element ``transform``), also where a filter on the action
+    is pushed below."""
+    def action(low):
+        out = F.lit("skip")
+        for name, pattern, _ in reversed(TOPIC_RULES):
+            out = F.when(icontains_pattern(low, pattern, low), F.lit(DEFAULT_ACTION_BY_TOPIC[name])).otherwise(out)
+        return out
+
+    return items.select("id", F.transform(F.array(F.lower("lesson")), action)[0].alias("action"),
+                        F.col("lesson").alias("description"))
 
 
 def pandas_classifier(fn):
@@ -105,4 +110,6 @@ def classify_items(items: DataFrame, classifier=rule_classifier) -> DataFrame:
         out = items.select("id").join(classifier, "id")
     else:
         out = classifier(items)
+    if classifier is rule_classifier:  # knows no other actions
+        return out
     return out.filter(F.col("action").isin(CLASSIFY_ACTIONS))

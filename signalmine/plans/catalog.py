@@ -915,12 +915,12 @@ def q_daily_miss_clusters(fx: Fixtures) -> DataFrame:
 
 @query("error_digest", """
 WITH t AS (SELECT pattern_key, category, occurrence_count FROM error_patterns
-           WHERE resolved = false AND occurrence_count >= 2 ORDER BY occurrence_count DESC, pattern_key LIMIT 10)
+           WHERE resolved = false AND occurrence_count >= 2)
 SELECT string_agg('- ' || pattern_key || ' (' || category || '): ' || CAST(occurrence_count AS VARCHAR) || 'x',
                   chr(10) ORDER BY -occurrence_count, pattern_key) AS digest, count(*) AS rows FROM t""",
        ("error_patterns",))
 def q_error_digest(fx: Fixtures) -> DataFrame:
-    top = rk.top_errors(fx.error_patterns, 10, 2).withColumn("neg", -F.col("occurrence_count"))
+    top = rk.top_errors(fx.error_patterns, None, 2).withColumn("neg", -F.col("occurrence_count"))
     return tx.digest(top, "- %s (%s): %sx", ["pattern_key", "category", "occurrence_count"], ["neg", "pattern_key"])
 
 
@@ -968,7 +968,7 @@ remaining AS (SELECT li.* FROM learning_items li WHERE li.applied = false AND li
 words AS (SELECT unnest(string_to_array(regexp_replace(lower(lesson), '[^a-z0-9 ]', ' ', 'g'), ' ')) AS word
           FROM learning_items WHERE applied = false),
 wc AS (SELECT word, count(*) AS n FROM words WHERE length(word) > 5 AND word NOT IN ({_STOP})
-       GROUP BY word HAVING count(*) >= 5 ORDER BY n DESC, word LIMIT 20),
+       GROUP BY word HAVING count(*) >= 5),
 topics AS (SELECT unnest([{_TOPIC_STRUCTS}]) AS t FROM remaining)
 SELECT 'summary' AS section, 'open_before' AS name, count(*) AS value FROM learning_items WHERE applied = false
 UNION ALL SELECT 'summary', 'duplicates', count(*) FROM dupes
@@ -977,7 +977,7 @@ UNION ALL SELECT 'topic', t.k, CAST(sum(CAST(t.v AS INTEGER)) AS BIGINT) FROM to
 UNION ALL SELECT 'word', word, n FROM wc""", ("learning_items",))
 def q_consolidate_report(fx: Fixtures) -> DataFrame:
     """The flagship report rows (summary counters, topics after de-duplication, word clusters before)."""
-    return jobs.consolidate_report(fx.learning_items, AS_OF_EVENTS, k=20)
+    return jobs.consolidate_report(fx.learning_items, AS_OF_EVENTS)
 
 
 @query("mark_regressions", f"""
@@ -1115,9 +1115,9 @@ def q_record_run(fx: Fixtures) -> DataFrame:
 @query("misses_json", """
 SELECT to_json(list(struct_pack("query" := query, miss_count := n, last_miss := l) ORDER BY query))::VARCHAR AS json FROM (
   SELECT query, count(*) AS n, strftime(max(created_at), '%Y-%m-%d %H:%M:%S') AS l FROM rag_misses WHERE resolved = false GROUP BY query
-  HAVING count(*) >= 3 ORDER BY n DESC, query LIMIT 10) t""", ("rag_misses",))
+  HAVING count(*) >= 3) t""", ("rag_misses",))
 def q_misses_json(fx: Fixtures) -> DataFrame:
-    top = agg.miss_last_seen(fx.rag_misses, 3, 10)
+    top = agg.miss_last_seen(fx.rag_misses, 3)
     rows = top.select("query", "miss_count", F.date_format("last_miss", "yyyy-MM-dd HH:mm:ss").alias("last_miss"))
     return sinks.json_rows(rows, ["query"])
 
@@ -1125,10 +1125,9 @@ def q_misses_json(fx: Fixtures) -> DataFrame:
 @query("patterns_json", """
 SELECT to_json(list(struct_pack(pattern_name := pattern_key, skill_name := coalesce(related_skill, 'unknown'),
   occurrence_count := occurrence_count, category := category, description := description) ORDER BY pattern_key))::VARCHAR AS json FROM (
-  SELECT * FROM error_patterns WHERE resolved = false AND (addressed = false OR addressed IS NULL) AND occurrence_count >= 3
-  ORDER BY occurrence_count DESC, pattern_key LIMIT 10) t""", ("error_patterns",))
+  SELECT * FROM error_patterns WHERE resolved = false AND (addressed = false OR addressed IS NULL) AND occurrence_count >= 3) t""", ("error_patterns",))
 def q_patterns_json(fx: Fixtures) -> DataFrame:
-    top = rk.top_k(flt.actionable_patterns(fx.error_patterns, 3), 10, F.col("occurrence_count").desc(), F.col("pattern_key"))
+    top = flt.actionable_patterns(fx.error_patterns, 3)
     rows = top.select(F.col("pattern_key").alias("pattern_name"), F.coalesce("related_skill", F.lit("unknown")).alias("skill_name"),
                       "occurrence_count", "category", "description")
     return sinks.json_rows(rows, ["pattern_name"])
@@ -1137,7 +1136,7 @@ def q_patterns_json(fx: Fixtures) -> DataFrame:
 @query("decisions_json", f"""
 SELECT to_json(list(struct_pack(skill_name := skill_name, decision_type := decision_type, judge_decision := judge_decision,
   was_applied := was_applied, id := id) ORDER BY id))::VARCHAR AS json FROM (
-  SELECT * FROM skill_decisions WHERE created_at > {EV} - INTERVAL 7 DAY ORDER BY created_at DESC, id DESC LIMIT 10) t""", ("skill_decisions",))
+  SELECT * FROM skill_decisions WHERE created_at > {EV} - INTERVAL 7 DAY) t""", ("skill_decisions",))
 def q_decisions_json(fx: Fixtures) -> DataFrame:
-    top = flt.recent_decisions(fx.skill_decisions, AS_OF_EVENTS, 7, 10)
+    top = flt.recent_decisions(fx.skill_decisions, AS_OF_EVENTS, 7)
     return sinks.json_rows(top.select("skill_name", "decision_type", "judge_decision", "was_applied", "id"), ["id"])
