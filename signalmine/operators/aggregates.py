@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from signalmine.functions.constants import MISS_ITEM_PREFIX, STOP_WORDS, TOPIC_RULES
 from signalmine.functions.text import left
 from signalmine.functions.timefn import AsOf, recent
-from signalmine.operators.filters import is_open, open_items, recent_misses, topic_flags, with_lowered
+from signalmine.operators.filters import is_open, matched_rules, open_items, recent_misses, topic_flags, with_lowered
 from signalmine.operators.ranking import top_k
 
 
@@ -89,6 +89,14 @@ def topic_counts(items: DataFrame, rules=TOPIC_RULES, with_other: bool = False)
     return with_lowered(open_items(items).select("lesson")).agg(*aggs)
 
 
+def topic_counts_by_rules(items: DataFrame, rules: DataFrame) -> DataFrame:
+    """(name, open_items): how many open items each rule of a table matches, 0 included."""
+    tags = matched_rules(open_items(items).select("lesson"), rules).select(F.explode("topics").alias("name"))
+    counts = tags.groupBy("name").agg(F.count(F.lit(1)).alias("open_items"))
+    names = rules.where("name is not null and pattern is not null").select("name").distinct()
+    return names.join(counts, "name", "left").select("name", F.coalesce("open_items", F.lit(0)).alias("open_items"))
+
+
 def skill_scorecard(metrics: DataFrame, k: int | None = None) -> DataFrame:
     """Per invoked skill: uses, success %, average duration in ms, last use."""
     g = metrics.filter(F.col("invoked") == F.lit(True)).groupBy("skill_name").agg(

@@ -116,6 +116,29 @@ def topic_tags(items: DataFrame, rules=TOPIC_RULES) -> DataFrame:
     return with_lowered(open_items(items)).select("id", "source", tags.alias("topics"))
 
 
+MOST_RULES = 10_000  # rows of a rule table, which travels as one value
+
+
+def matched_rules(items: DataFrame, rules: DataFrame, col: str = "lesson") -> DataFrame:
+    """``items`` with ``topics``: the names, in order, of the ``rules`` (name, pattern: a
+    case-insensitive regular expression found anywhere) that match the text. The
+    rules are a user's table; as one array they meet every row through a join with
+    one row. A null text, name or pattern matches nothing."""
+    if rules.limit(MOST_RULES + 1).count() > MOST_RULES:
+        raise ValueError(f"more than {MOST_RULES} topic rules")
+    named = rules.where("name is not null and pattern is not null")
+    one = named.agg(F.array_sort(F.collect_set(F.struct("name", "pattern"))).alias("_rules")).withColumn("_one", F.lit(1))
+    found = F.filter("_rules", lambda r: F.regexp_like(F.col(col), F.concat(F.lit("(?i)"), r["pattern"])))
+    topics = F.array_distinct(F.transform(found, lambda r: r["name"]))
+    return (items.withColumn("_one", F.lit(1)).join(F.broadcast(one), "_one")
+            .withColumn("topics", F.coalesce(topics, F.array().cast("array<string>"))).drop("_one", "_rules"))
+
+
+def topic_tags_by_rules(items: DataFrame, rules: DataFrame) -> DataFrame:
+    """``topic_tags`` with the rules from a table."""
+    return matched_rules(open_items(items), rules).select("id", "source", "topics")
+
+
 def daily_quota_gate(decisions: DataFrame, as_of: AsOf, max_per_day: int = MAX_AUTO_FIXES_PER_DAY) -> DataFrame:
     """One row: applied autonomous decisions on the day of ``as_of`` and whether the limit is hit."""
     day = as_of_date(as_of)

@@ -128,6 +128,23 @@ def q_topic_tags(fx: Fixtures) -> DataFrame:
     return flt.topic_tags(fx.learning_items_tagged).select("id", "source", F.array_join("topics", ",").alias("topics"))
 
 
+@query("topic_tags_by_rules", """
+SELECT i.id, i.source, coalesce(string_agg(DISTINCT r.name, ',' ORDER BY r.name), '') AS topics FROM learning_items i
+LEFT JOIN topic_rules r ON regexp_matches(i.lesson, '(?i)' || r.pattern) WHERE i.applied = false GROUP BY i.id, i.source""",
+       ("learning_items", "topic_rules"))
+def q_topic_tags_by_rules(fx: Fixtures) -> DataFrame:
+    out = flt.topic_tags_by_rules(fx.learning_items, fx.topic_rules)
+    return out.select("id", "source", F.array_join("topics", ",").alias("topics"))
+
+
+@query("topic_counts_by_rules", """
+SELECT r.name, count(i.id) AS open_items FROM topic_rules r
+LEFT JOIN learning_items i ON i.applied = false AND regexp_matches(i.lesson, '(?i)' || r.pattern) GROUP BY r.name""",
+       ("learning_items", "topic_rules"))
+def q_topic_counts_by_rules(fx: Fixtures) -> DataFrame:
+    return agg.topic_counts_by_rules(fx.learning_items, fx.topic_rules)
+
+
 @query("daily_quota_gate", """
 SELECT DATE '2024-01-30' AS day, count(*) AS auto_today, count(*) >= 3 AS limit_reached FROM skill_decisions
 WHERE decision_type = 'autonomous' AND was_applied = true AND CAST(created_at AS DATE) = DATE '2024-01-30'""",

@@ -8,6 +8,8 @@ CTEs (in dependency order).
 from __future__ import annotations
 
 VIEWS: dict[str, str] = {
+    "topic_rules": """
+SELECT lower(n_name) AS name, concat('(', lower(left(n_name, 3)), '|', lower(right(n_name, 3)), ')') AS pattern FROM nation""",
     "rag_misses": """
 SELECT e.event_id AS id, concat('how to ', p.p_name) AS query, CAST(e.value/500 AS DECIMAL(5,4)) AS best_score,
  0 AS result_count, (e.event_id % 3 = 0) AS resolved, e.ts AS created_at

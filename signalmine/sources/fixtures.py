@@ -39,6 +39,13 @@ class Fixtures:
     def table(self, name: str) -> DataFrame:
         return load_table(self.spark, self.base, name)
 
+    # -- topic rules that a user keeps as a table -----------------------------
+    @cached_property
+    def topic_rules(self) -> DataFrame:
+        n = F.lower("n_name")
+        return self.table("nation").select(n.alias("name"), F.concat(
+            F.lit("("), F.left(n, F.lit(3)), F.lit("|"), F.right(n, F.lit(3)), F.lit(")")).alias("pattern"))
+
     # -- failed searches ---------------------------------------------------
     @cached_property
     def rag_misses(self) -> DataFrame:
