@@ -25,6 +25,7 @@ from signalmine.operators import similarity as sim
 from signalmine.operators import text as tx
 from signalmine.operators import updates as up
 from signalmine.session import materialize
+from signalmine.sources.documents import write_document_files
 from signalmine.sources import files as src
 from signalmine.sources import sinks
 
@@ -225,6 +226,40 @@ def gap_stubs_job(misses: DataFrame, replies: DataFrame, as_of: AsOf, existing_p
     return GapStubResult(stubs=stubs, misses=out)
 
 
+@dataclass
+class NightRun:
+    gaps: GapStubResult
+    review: NightlyResult
+    loop: LearningLoopResult
+    documents: DataFrame
+
+
+def night_run(items: DataFrame, patterns: DataFrame, proposals: DataFrame, misses: DataFrame, findings: DataFrame,
+              replies: DataFrame, session_lines: DataFrame, as_of: AsOf, existing_paths: DataFrame | None = None,
+              run_id: int = 0, ledger: DataFrame | None = None, duration_s: int | None = None,
+              root: str | None = None) -> NightRun:
+    """One whole night, in order: the gap filler, the review with its findings, the
+    learning loop with consolidation. Each step works on the tables as the one before
+    left them: a search that got a stub is resolved and makes no learning item, and
+    items that the review closed aren't reported. Tables that several steps read are
+    checkpointed. ``documents`` (path, content) are the playbooks and all stubs; with
+    ``root``, a folder that driver and executors share, they become files below it
+    (never overwriting)."""
+    gaps = gap_stubs_job(misses, replies, as_of, existing_paths)
+    gaps = GapStubResult(stubs=materialize(gaps.stubs), misses=materialize(gaps.misses.drop("changed")))
+    review = nightly_review_job(items, patterns, proposals, findings, as_of, existing_paths, run_id, session_lines,
+                                gaps.misses, ledger=ledger, duration_s=duration_s)
+    review.items, review.patterns = materialize(review.items), materialize(review.patterns)
+    review.playbooks, review.stubs = materialize(review.playbooks), materialize(review.stubs)
+    loop = learning_loop_job(review.items.drop("changed"), gaps.misses, review.patterns.drop("changed"), session_lines, as_of,
+                             consolidate=True)
+    cols = ["path", "content"]
+    documents = review.playbooks.select(cols).unionByName(review.stubs.select(cols)).unionByName(gaps.stubs.select(cols))
+    if root is not None:
+        write_document_files(documents, root)
+    return NightRun(gaps, review, loop, documents)
+
+
 def drift_job(apps: DataFrame, code: DataFrame, docs: DataFrame) -> dict[str, DataFrame]:
     """Drift between code and documents: ``totals`` (per app the missing routes
     and tables as lists, and the grand total as app null; ``sinks.json_rows``

@@ -110,3 +110,25 @@ def test_remaining_jobs(spark, sf_small):
                                "skill string, line_no int, line string")
     cands, alert, lines = jobs.crystallize_job(ll)
     assert alert.first().candidates == 1 and lines.first().line == "- s: T (Score 4, Runs 3)"
+
+
+def test_night_run_fills_gaps_before_it_learns(spark, sf_small, tmp_path):
+    fx = Fixtures(spark, sf_small)
+    misses = spark.createDataFrame(
+        [(i, "how to scale redis" if i < 4 else "how to fix tls", False, datetime(2024, 1, 30, 20)) for i in range(8)],
+        "id long, query string, resolved boolean, created_at timestamp_ntz")
+    replies = spark.createDataFrame([("how to scale redis", "FOLDER: architecture\nFILE: REDIS.md\nCONTENT:\n# Redis\nbody")],
+                                    "query_prefix string, reply string")
+    alone = jobs.learning_loop_job(fx.learning_items, misses, fx.error_patterns, fx.session_lines, "2024-01-31 00:00:00")
+    asked = lambda df: {r.lesson.split(": ", 1)[1] for r in df.where("source = 'rag_miss'").collect()}
+    assert asked(alone.new_items) == {"how to scale redis", "how to fix tls"}
+    run = jobs.night_run(fx.learning_items, fx.error_patterns, fx.skill_proposals, misses, fx.findings, replies, fx.session_lines,
+                         "2024-01-31 00:00:00", run_id=7, root=str(tmp_path))
+    assert asked(run.loop.new_items) == {"how to fix tls"}  # the other search has its stub by now
+    assert run.gaps.stubs.count() == 1 and run.loop.consolidated.report.count() > 0
+    closed = {r.id for r in run.review.items.where("changed").select("id").collect()}
+    still = {r.id for r in run.loop.consolidated.items.where("applied = false").select("id").collect()}
+    assert closed and not closed & still
+    written = [p for p in tmp_path.rglob("*.md")]
+    assert len(written) == run.documents.select("path").distinct().count() > 1
+    assert any(p.name == "REDIS.md" and "# Redis" in p.read_text() for p in written)
