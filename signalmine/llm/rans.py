@@ -35,7 +35,7 @@ LANES = 4096
 BLOCK = 1 << 20
 CHECKPOINT = 64
 END = 0
-CACHED = 500_000   # pieces of text whose ids a worker remembers
+CACHED = 500_000   # pieces of text in each of the two sets whose ids a worker remembers
 
 _LOW = 1 << 31     # states are kept in [2**31, 2**63)
 
@@ -194,16 +194,29 @@ class PieceEncoder:
         # ids that begin with each sign a piece may begin with, as a byte-level vocabulary writes it
         self.first = {sign: np.array([t.startswith(written) for t in tokens])
                       for sign, written in ((" ", "\u0120"), ("\n", "\u010a"), (".", "."), (",", ","))}
+        self.place, self.pool, self.table, self.check = {}, np.zeros(0, np.uint32), np.zeros((0, 2), np.int64), np.zeros(0, U64)
         self._reset()
 
     def _reset(self) -> None:
-        """Forget all pieces. place: of a piece's first hash; pool: ids of all pieces, end to
-        end; a row of table per piece: where its ids begin and how many; check: its second
-        hash."""
+        """Start an empty set of pieces and keep the last one, so that pieces which come
+        again needn't meet the tokenizer. place: of a piece's first hash; pool: ids of
+        all pieces, end to end; a row of table per piece: where its ids begin and how
+        many; check: its second hash."""
+        self.last = (self.place, self.pool, self.table, self.check)
         self.place: dict[int, int] = {}
         self.pool, self.used = np.zeros(1 << 16, np.uint32), 0
         self.table, self.check = np.zeros((1 << 14, 2), np.int64), np.zeros(1 << 14, U64)
 
+    def _recall(self, h1: list[int], h2: np.ndarray) -> None:
+        """Take pieces of the last set into this one."""
+        place, pool, table, check = self.last
+        at = np.array([place[h] for h in h1], np.int64)
+        if (check[at] != h2).any():
+            raise ValueError("two pieces of one hash")  # one in 2**64 pairs
+        of, size = table[at].T
+        total = np.cumsum(size)
+        self._add(pool[np.repeat(of - (total - size), size) + np.arange(int(total[-1]))], size, h1, h2)
+
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
@@ -233,7 +246,10 @@ class PieceEncoder:
             got += self._words(sign, [pieces[i] for i in some])
         order = [*rest, *chain.from_iterable(alike.values())]
         new, size = (np.concatenate(x) for x in zip(*got, strict=True))
-        n, more = len(self.place), len(pieces)
+        self._add(new, size, [h1[i] for i in order], h2[order])
+
+    def _add(self, new: np.ndarray, size: np.ndarray, h1: list[int], h2: np.ndarray) -> None:
+        n, more = len(self.place), len(size)
         if n + more > len(self.table):
             grown = max(len(self.table) * 2, n + more) - len(self.table)
             self.table = np.concatenate([self.table, np.zeros((grown, 2), np.int64)])
@@ -242,8 +258,8 @@ class PieceEncoder:
             self.pool = np.concatenate([self.pool[:self.used], np.zeros(max(self.used, len(new)) + len(new), np.uint32)])
         self.pool[self.used:self.used + len(new)] = new
         self.table[n:n + more] = np.stack([self.used + np.cumsum(size) - size, size], 1)
-        self.check[n:n + more] = h2[order]
-        self.place.update(zip(map(h1.__getitem__, order), range(n, n + more), strict=True))
+        self.check[n:n + more] = h2
+        self.place.update(zip(h1, range(n, n + more), strict=True))
         self.used += len(new)
 
     def _cuts(self, data: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -281,6 +297,9 @@ class PieceEncoder:
         keys, at, which = np.unique(h1, return_index=True, return_inverse=True)
         keys = keys.tolist()
         new = [i for i, k in enumerate(keys) if k not in self.place]
+        if known := [i for i in new if keys[i] in self.last[0]]:
+            self._recall([keys[i] for i in known], h2[at[known]])
+            new = [i for i in new if keys[i] not in self.place]
         if new:
             lo, hi = begin[at[new]].tolist(), (begin + length)[at[new]].tolist()
             raw = data.tobytes()

@@ -52,6 +52,8 @@ def test_pieces_equal_whole_texts(sf_small, spark):
     encoder = R.PieceEncoder(PATH)
     got = encoder(texts)
     assert got == encoder(texts)
+    encoder._reset()
+    assert got == encoder(texts)  # from the last set
     for text, ids in zip(texts, got, strict=True):
         assert np.frombuffer(ids, np.uint32).tolist() == t.encode(text, add_special_tokens=False).ids
 
