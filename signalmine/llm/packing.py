@@ -4,14 +4,18 @@ Every document is ``words + 1`` tokens long (its words and an end mark). What
 is longer than the largest permitted length is cut into pieces of that length
 and a rest. Pieces are dealt by hash into groups of about ``GROUP`` pieces; in
 each group, in falling order of length, a piece goes into the open bin that it
-fills best, or opens a bin of the permitted length with the least cost per
-token that is still there to fill it. At the end each bin shrinks to the
-smallest permitted length that holds its contents.
+fills best, or opens a bin. For each permitted length the table of sizes still
+to come tells what such a bin would hold; the length with the least cost per
+token held is opened. At the end each bin shrinks to the smallest permitted
+length that holds its contents.
+
+Ties in cost open the shorter length. Which group a piece falls into depends on
+its row's place in the files, so that repeated rows spread over all groups.
 """
 
 from __future__ import annotations
 
-from bisect import bisect_left, insort
+from bisect import bisect_left, bisect_right, insort
 
 import numpy as np
 import pandas as pd
@@ -29,25 +33,54 @@ def cost(length: int) -> float:
     return length + length * length / 65_536 + 64
 
 
+class SizesLeft:
+    """The table of the sizes still to come, taken away in falling order."""
+
+    def __init__(self, sizes):
+        self.sizes, self.counts = (x.tolist() for x in np.unique(np.asarray(sizes, np.int64), return_counts=True))
+
+    def take(self) -> None:
+        """Away with one piece of the largest size."""
+        self.counts[-1] -= 1
+        if not self.counts[-1]:
+            self.sizes.pop()
+            self.counts.pop()
+
+    def fill(self, room: int) -> int:
+        """What the pieces fill of the room, the largest that fit first."""
+        free, end = room, len(self.sizes)
+        while end := bisect_right(self.sizes, free, 0, end):
+            end -= 1
+            free -= min(self.counts[end], free // self.sizes[end]) * self.sizes[end]
+        return room - free
+
+
+def cheapest(size: int, left: SizesLeft, lengths: list[int]) -> int:
+    """The permitted length whose bin, opened by a piece and filled by those still
+    to come, has the least cost per token; it is priced as it will be shrunk."""
+
+    def price(length: int) -> float:
+        held = size + left.fill(length - size)
+        return cost(lengths[bisect_left(lengths, held)]) / held
+
+    return min((c for c in lengths if c >= size), key=lambda c: (price(c), c))
+
+
 def best_fit(sizes, lengths=LENGTHS) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[int]]:
     """Sizes in falling order -> (bin, offset, capacity) of each, used of each bin."""
-    lengths = sorted(lengths)
-    left = int(sum(sizes))
-    bins, used, opened, room = [], [], [], []
+    lengths, left = sorted(lengths), SizesLeft(sizes)
+    used, room = [], []
     where, offset = np.zeros(len(sizes), np.int64), np.zeros(len(sizes), np.int64)
     for i, size in enumerate(map(int, sizes)):
+        left.take()
         at = bisect_left(room, (size, -1))
         if at < len(room):
             free, b = room.pop(at)
         else:
-            b = len(bins)
-            free = min((c for c in lengths if c >= size), key=lambda c: (cost(c) / min(c, left), -c))
-            bins.append(free)
+            free, b = cheapest(size, left, lengths), len(used)
             used.append(0)
-            opened.append(b)
         where[i], offset[i] = b, used[b]
         used[b] += size
-        left -= size
         if free > size:
             insort(room, (free - size, b))
     final = np.array([lengths[bisect_left(lengths, u)] for u in used], np.int64)
