@@ -18,6 +18,7 @@ from signalmine.functions.timefn import AsOf, recent
 from signalmine.operators.filters import RISKY_CATEGORIES, is_open, recurring_errors
 from signalmine.operators.matching import keys_found_in
 from signalmine.operators.ranking import latest_proposal, top_k, top_per_group
+from signalmine.session import materialize
 
 
 # ---- duplicates -------------------------------------------------------------------
@@ -148,44 +149,123 @@ def task_keywords(tasks: DataFrame, n: int | None = None, prefix_len: int | None
     return tasks.withColumn("keywords", found if n is None else F.slice(found, 1, n))
 
 
-def regression_pairs(tasks: DataFrame, as_of: AsOf, new_days: float = 1, lookback_days: float = 30,
-                     max_new: int | None = None, keywords: int | None = None) -> DataFrame:
-    """Every (new fix, older fix) of the same repo sharing a keyword, with
-    both completion times; no per-task limit yet.
+#: older tasks of a repository in one time slice, and the rounds that read slices one by one
+SLICE = 256
+SLICE_ROUNDS = 4
+
+
+def slices(rows: DataFrame, key: str, time: str, per: int, at: DataFrame | None = None) -> DataFrame:
+    """(key, minute, n, newer, slice): the minutes of a key with the number of its
+    rows in them and in newer minutes; newest first, about ``per`` rows lie in a
+    slice. ``at`` (same columns) adds minutes to look up that hold no row.
+
+    Rows are counted per minute first, so the running sum of a key goes over its
+    minutes and not over its rows. A minute is never split."""
+    minute = F.date_trunc("minute", time).alias("minute")
+    counted = rows.select(key, minute, F.lit(1).alias("n"))
+    if at is not None:
+        counted = counted.unionByName(at.select(key, minute, F.lit(0).alias("n")))
+    counted = counted.groupBy(key, "minute").agg(F.sum("n").alias("n"))
+    before = Window.partitionBy(key).orderBy(F.col("minute").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    counted = counted.withColumn("newer", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    return counted.withColumn("slice", F.floor(F.col("newer") / per).cast("long"))
+
+
+def _fixes(tasks: DataFrame, as_of: AsOf, new_days: float, lookback_days: float, max_new: int | None,
+           keywords: int | None) -> tuple[DataFrame, DataFrame]:
+    """(repo, word, new_id, new_completed_at) and (repo, word, old_id,
+    old_completed_at): the words of the older prompts, and which of them each new
+    fix looks for.
 
-    A keyword has at least four letters, so a prompt that contains it contains
-    its first four: the join key is (repo, these four letters) against the
-    distinct 4-grams of the older prompts, and ``contains`` and the range are
-    residual tests. Tasks without keywords are skipped."""
+    A keyword is a run of letters, so a prompt contains it exactly if one of the
+    prompt's runs of letters does. Which runs hold which keywords is found between
+    the two vocabularies, by the keyword's first four letters and the run's
+    4-grams: no row carries a prompt."""
     risky = (F.col("category").isin(RISKY_CATEGORIES) & (F.col("status") == "completed")
              & F.col("target_repo").isNotNull())
     new = tasks.filter(risky & recent("completed_at", as_of, days=new_days))
     new = top_k(new, max_new, F.col("completed_at").desc(), F.col("id").desc())
     new = task_keywords(new, keywords).select(
-        F.col("id").alias("new_id"), F.col("target_repo").alias("repo"),
+        F.col("target_repo").alias("repo"), F.col("id").alias("new_id"),
         F.col("completed_at").alias("new_completed_at"), F.explode("keywords").alias("kw"))
-    new = new.withColumn("gram", F.left("kw", F.lit(4)))
-    old = tasks.filter(risky & recent("completed_at", as_of, days=lookback_days)
-                       & F.col("outcome").isNull()).select(
-        F.col("id").alias("old_id"), F.col("target_repo").alias("repo"),
-        F.col("completed_at").alias("old_completed_at"), F.lower("prompt").alias("old_prompt"))
-    grams = F.array_distinct(F.regexp_extract_all("old_prompt", F.lit("(?=([a-z]{4}))"), 1))
-    old = old.withColumn("gram", F.explode(grams))
-    return (new.join(old, ["repo", "gram"])
-            .filter((F.col("old_id") != F.col("new_id"))
-                    & (F.col("old_completed_at") < F.col("new_completed_at"))
-                    & F.contains("old_prompt", F.col("kw")))
-            .select("new_id", "old_id", "repo", "new_completed_at", "old_completed_at").distinct())
+    runs = F.array_distinct(F.regexp_extract_all(F.lower("prompt"), F.lit("[a-z]{4,}"), 0))
+    old = tasks.filter(risky & recent("completed_at", as_of, days=lookback_days) & F.col("outcome").isNull()).select(
+        F.col("target_repo").alias("repo"), F.col("id").alias("old_id"),
+        F.col("completed_at").alias("old_completed_at"), F.explode(runs).alias("word"))
+    grams = F.array_distinct(F.regexp_extract_all("word", F.lit("(?=([a-z]{4}))"), 1))
+    of_old = old.select("word").distinct().withColumn("gram", F.explode(grams))
+    of_new = new.select("kw").distinct().withColumn("gram", F.left("kw", F.lit(4)))
+    holds = of_new.join(of_old, "gram").filter(F.contains("word", F.col("kw"))).select("kw", "word")
+    return new.join(holds, "kw").drop("kw").distinct(), old
+
+
+def _met(new: DataFrame, old: DataFrame, on: list[str]) -> DataFrame:
+    return (new.join(old, on)
+            .filter((F.col("old_id") != F.col("new_id")) & (F.col("old_completed_at") < F.col("new_completed_at")))
+            .select("new_id", "old_id", "repo", "new_completed_at", "old_completed_at"))
+
+
+def regression_pairs(tasks: DataFrame, as_of: AsOf, new_days: float = 1, lookback_days: float = 30,
+                     max_new: int | None = None, keywords: int | None = None) -> DataFrame:
+    """Every (new fix, older fix) of the same repo sharing a keyword, with
+    both completion times; no per-task limit yet. Tasks without keywords are
+    skipped."""
+    new, old = _fixes(tasks, as_of, new_days, lookback_days, max_new, keywords)
+    return _met(new, old, ["repo", "word"]).distinct()
+
+
+def newest_pairs(tasks: DataFrame, as_of: AsOf, new_days: float = 1, lookback_days: float = 30, k: int = 3,
+                 max_new: int | None = None, per: int = SLICE) -> DataFrame:
+    """Pairs of ``regression_pairs`` that hold the ``k`` newest of every new fix.
+
+    The older fixes of a repository lie in time slices of about ``per``. A new fix
+    reads one slice, from its own time backwards, then two, four and so on until
+    it has ``k``; after ``SLICE_ROUNDS`` those that still lack some, whose words
+    are rare, read all the rest by their words. So the rows made for a new fix
+    follow ``k`` and ``per``, not the size of its repository."""
+    new, old = _fixes(tasks, as_of, new_days, lookback_days, max_new, None)
+    new, old = materialize(new), materialize(old)
+    times = materialize(slices(old.select("repo", "old_id", "old_completed_at").distinct(), "repo", "old_completed_at", per,
+                               new.select("repo", F.col("new_completed_at").alias("old_completed_at"))))
+    last = times.agg(F.max("slice")).first()[0] or 0
+    where = times.select("repo", "minute", "slice")
+    old = old.withColumn("minute", F.date_trunc("minute", "old_completed_at")).join(where, ["repo", "minute"]).drop("minute")
+    new = (new.withColumn("minute", F.date_trunc("minute", "new_completed_at")).join(where, ["repo", "minute"])
+           .drop("minute").withColumnRenamed("slice", "first"))
+    found, begin = None, 0
+    for turn in range(SLICE_ROUNDS + 1):
+        if turn < SLICE_ROUNDS:
+            end = 2 * begin + 1
+            reads = new.withColumn("slice", F.explode(F.sequence(F.col("first") + begin, F.col("first") + end - 1)))
+            pairs = _met(reads, old, ["repo", "word", "slice"])
+        else:
+            end = last + 1
+            rest = new.join(old.withColumnRenamed("repo", "_repo").withColumnRenamed("word", "_word"),
+                            (F.col("repo") == F.col("_repo")) & (F.col("word") == F.col("_word"))
+                            & (F.col("slice") >= F.col("first") + begin))
+            pairs = rest.filter((F.col("old_id") != F.col("new_id"))
+                                & (F.col("old_completed_at") < F.col("new_completed_at"))).select(
+                "new_id", "old_id", "repo", "new_completed_at", "old_completed_at")
+        pairs = pairs.distinct()
+        found = materialize(pairs if found is None else found.unionByName(pairs))
+        begin = end
+        if begin > last:
+            break
+        full = found.groupBy("new_id").agg(F.count("*").alias("n")).filter(F.col("n") >= k)
+        new = materialize(new.join(full, "new_id", "left_anti"))
+        if new.isEmpty():
+            break
+    return found
 
 
 def regression_candidates(tasks: DataFrame, as_of: AsOf, new_days: float = 1, lookback_days: float = 30,
                           k: int = 3, max_new: int | None = None, keep_new_time: bool = False) -> DataFrame:
     """For each new fix, the ``k`` newest older fixes of the same repo that share a keyword.
 
-    Per new task the top-k is a row_number filter (WindowGroupLimit before the
-    shuffle), so a repo holding most tasks sends at most k rows per partition.
+    The pairs come from ``newest_pairs``; per new task the top-k is a row_number
+    filter (WindowGroupLimit before the shuffle).
     """
-    pairs = regression_pairs(tasks, as_of, new_days, lookback_days, max_new)
+    pairs = newest_pairs(tasks, as_of, new_days, lookback_days, k, max_new)
     if not keep_new_time:
         pairs = pairs.drop("new_completed_at")
     w = Window.partitionBy("new_id").orderBy(F.col("old_completed_at").desc(), F.col("old_id").desc())

@@ -18,9 +18,12 @@ from pyspark.sql import Window
 from signalmine.functions.constants import CLASSIFY_ACTIONS, TOPIC_RULES
 from signalmine.functions.timefn import AsOf
 from signalmine.operators.filters import icontains_pattern
-from signalmine.operators.joins import regression_pairs
+from signalmine.operators.joins import regression_pairs, slices
+from signalmine.session import materialize
 
 CLAIM_SCHEMA = "repo string, new_id long, old_id long, claim_rank int, new_completed_at timestamp_ntz"
+#: new tasks of a repository that are matched among themselves in one task
+BLOCK = 64
 
 
 def _greedy_claims(k: int):
@@ -44,26 +47,56 @@ def _greedy_claims(k: int):
     return run
 
 
+def claim_rounds(pairs: DataFrame, k: int = 3, block: int = BLOCK) -> tuple[DataFrame, int]:
+    """Greedy claims of ``pairs`` in rounds: (claims, number of rounds).
+
+    The new tasks of a repository are dealt by time into blocks of ``block``. In a
+    round each block matches its tasks among themselves, on the candidates that no
+    newer task of another block holds; an older task keeps the newest of its
+    claimants, and who lost one looks further in the next round. A candidate lost
+    once is lost for good, so the rounds end at the same claims as one pass over
+    all new tasks, newest first. A group holds at most ``k * block**2`` pairs
+    whatever the size of the repository; rounds are at most the blocks of one
+    repository plus one, and few where their words differ.
+    """
+    new = pairs.select("repo", "new_id", "new_completed_at").distinct()
+    times = slices(new, "repo", "new_completed_at", block).select("repo", "minute", "newer")
+    inside = Window.partitionBy("repo", "minute").orderBy(F.col("new_completed_at").desc(), F.col("new_id").desc())
+    dealt = (new.withColumn("minute", F.date_trunc("minute", "new_completed_at"))
+             .withColumn("at", F.row_number().over(inside)).join(times, ["repo", "minute"])
+             .select("new_id", F.floor((F.col("newer") + F.col("at") - 1) / block).alias("block")))
+    pairs = materialize(pairs.join(dealt, "new_id"))
+    newest = Window.partitionBy("new_id").orderBy(F.col("old_completed_at").desc(), F.col("old_id").desc())
+    free, rounds = pairs, 0
+    while True:
+        # a task can lose at most k candidates to each other task of its block
+        near = free.withColumn("_r", F.row_number().over(newest)).filter(F.col("_r") <= k * block).drop("_r")
+        claims = materialize(near.groupBy("repo", "block").applyInPandas(_greedy_claims(k), CLAIM_SCHEMA))
+        rounds += 1
+        held = claims.groupBy("old_id").agg(F.max(F.struct("new_completed_at", "new_id")).alias("holder"))
+        n, kept = claims.agg(F.count("*"), F.count_distinct("old_id")).first()
+        if n == kept:
+            return claims, rounds
+        free = (pairs.join(held, "old_id", "left")
+                .filter(F.col("holder").isNull() | (F.struct("new_completed_at", "new_id") >= F.col("holder")))
+                .drop("holder"))
+
+
 def claim_regressions(tasks: DataFrame, as_of: AsOf, new_days: float = 1, lookback_days: float = 30,
                       k: int = 3, max_new: int | None = None) -> DataFrame:
     """Sequential form of ``regression_candidates``: new tasks newest first, an
     older task already marked by an earlier new task is not reused.
 
-    The matching itself is the distributed ``regression_pairs`` join. The
-    greedy pass only needs, per new task, its ``k x (number of new tasks in
-    the run)`` newest candidates (at most that many can be taken before it),
-    so each candidate list is cut by a WindowGroupLimit first. Repositories are
-    independent, so the loop is a ``groupBy(repo).applyInPandas`` whose group
-    holds at most ``k x n_new^2`` pairs of that repository's new tasks: bounded
-    by the new-task window, not by how many old tasks a hot repository has.
+    Of the ``regression_pairs`` a new task needs its ``k x (number of new tasks
+    of its repository)`` newest, as at most that many can be taken before it; the
+    claims are made by ``claim_rounds``.
     """
     pairs = regression_pairs(tasks, as_of, new_days, lookback_days, max_new)
     # a new task can lose at most k candidates to each other new task of its repository
     new_tasks = pairs.groupBy("repo").agg(F.countDistinct("new_id").alias("_n"))
     w = Window.partitionBy("new_id").orderBy(F.col("old_completed_at").desc(), F.col("old_id").desc())
     ranked = pairs.withColumn("_r", F.row_number().over(w)).join(new_tasks, "repo")
-    ranked = ranked.filter(F.col("_r") <= F.col("_n") * k).drop("_r", "_n")
-    return ranked.groupBy("repo").applyInPandas(_greedy_claims(k), CLAIM_SCHEMA)
+    return claim_rounds(ranked.filter(F.col("_r") <= F.col("_n") * k).drop("_r", "_n"), k)[0]
 
 
 # ---- classification -------------------------------------------------------------------
