@@ -1,117 +1,15 @@
-"""Similarity and linking.
-
-Exact cosine k-nearest-neighbours of a query set (the recent documents)
-against the whole corpus, without forming all pairs in Spark and without the
-driver:
-
-1. queries are dealt by hash into ``blocks`` blocks, each packed into one row of
-   L2-normalised vectors; corpus rows are packed per Arrow batch;
-2. every corpus batch is paired with every block (an equi-join on the block
-   number) and multiplied with it inside the task, which returns the batch's
-   top-k per query;
-3. a per-query merge of these gives the global top-k.
-
-Work is O(queries x corpus) as exact kNN must be, but the shuffle carries the
-corpus once per block and ``k`` rows per (query, batch). ``blocks`` bounds the
-memory: a task holds one block and one batch. Scores are rounded to 9 decimals
-before ordering so that exact copies tie and the tie-break (lower doc id)
-decides.
-"""
+"""Similarity and linking: links between documents that are near
+neighbours (``knn``), and searches that now find a document."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from signalmine.operators.joins import unlinked_neighbours
+from signalmine.operators.knn import nearest_documents
 from signalmine.operators.ranking import global_link_cap
 
-QUERY_BLOCKS = 16
-SCORE_DIGITS = 9
-
-
-def _normalise(m: np.ndarray) -> np.ndarray:
-    norms = np.linalg.norm(m, axis=1, keepdims=True)
-    norms[norms == 0] = 1.0
-    return m / norms
-
-
-QUERY_BLOCK = 1024  # queries scored at once: a block x batch matrix of doubles (~80 MB at 10k rows)
-
-
-def _block_topk(sims: np.ndarray, ids: np.ndarray, kk: int) -> tuple[np.ndarray, np.ndarray]:
-    """Per row of ``sims`` the ``kk`` best columns by (score desc, id asc).
-
-    Vectorised: the kk-th best score per row is a partition, every column at
-    or above it (ties included, so the global tie-break stays exact) is a
-    candidate, and one lexsort orders the candidates of all rows."""
-    kth = -np.partition(-sims, kk - 1, axis=1)[:, kk - 1]
-    rows, cols = np.nonzero((sims >= kth[:, None]) & np.isfinite(sims))
-    order = np.lexsort((ids[cols], -sims[rows, cols], rows))
-    rows, cols = rows[order], cols[order]
-    # position of each candidate within its row; keep the first kk
-    starts = np.searchsorted(rows, rows, side="left")
-    keep = (np.arange(rows.shape[0]) - starts) < kk
-    return rows[keep], cols[keep]
-
-
-def _packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows (block, doc_id, embedding) packed per block and vector length."""
-    for pdf in batches:
-        if pdf.empty:
-            continue
-        pdf = pdf.assign(dim=pdf["embedding"].map(len))
-        for (block, dim), part in pdf.groupby(["block", "dim"]):
-            mat = _normalise(np.vstack([np.asarray(v, dtype=np.float64) for v in part["embedding"]]))
-            yield pd.DataFrame({"block": [block], "dim": [dim], "ids": [part["doc_id"].to_numpy(np.int64).tobytes()],
-                                "vectors": [mat.tobytes()]})
-
-
-_PACKED = "block int, dim int, ids binary, vectors binary"
-
-
-def _local_topk(k: int, exclude_self: bool):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for row in pdf.itertuples():
-                q_ids, ids = np.frombuffer(row.q_ids, np.int64), np.frombuffer(row.ids, np.int64)
-                q_mat = np.frombuffer(row.q_vectors, np.float64).reshape(len(q_ids), -1)
-                mat = np.frombuffer(row.vectors, np.float64).reshape(len(ids), -1)
-                kk = min(k, mat.shape[0])
-                for start in range(0, q_ids.shape[0], QUERY_BLOCK):
-                    qb_ids = q_ids[start:start + QUERY_BLOCK]
-                    sims = np.round(q_mat[start:start + QUERY_BLOCK] @ mat.T, SCORE_DIGITS)
-                    if exclude_self:
-                        sims[qb_ids[:, None] == ids[None, :]] = -np.inf
-                    r, c = _block_topk(sims, ids, kk)
-                    if r.shape[0]:
-                        yield pd.DataFrame({"src": qb_ids[r], "dst": ids[c], "score": sims[r, c].astype(np.float64)})
-    return run
-
-
-def nearest_documents(docs: DataFrame, queries: DataFrame, k: int = 5, exclude_self: bool = True,
-                      blocks: int = QUERY_BLOCKS) -> DataFrame:
-    """For every query document the ``k`` most cosine-similar documents.
-
-    ``docs`` and ``queries`` have (doc_id, embedding). Result (src, dst,
-    score, rank); ties broken by the lower dst id. Without ``exclude_self`` a
-    query's id is no document id, and a document with the same number counts.
-    """
-    fine = F.col("embedding").isNotNull() & (F.size("embedding") > 0)
-    deal = F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int")
-    q = queries.filter(fine).select(deal.alias("block"), "doc_id", "embedding").repartition(blocks, "block")
-    q = q.mapInPandas(_packed, _PACKED).select("block", "dim", F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"))
-    corpus = docs.filter(fine).select(F.lit(0).alias("block"), "doc_id", "embedding").mapInPandas(_packed, _PACKED)
-    corpus = corpus.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    near = (corpus.join(q, ["block", "dim"]).select("q_ids", "q_vectors", "ids", "vectors")
-            .mapInPandas(_local_topk(k, exclude_self), "src long, dst long, score double"))
-    w = Window.partitionBy("src").orderBy(F.col("score").desc(), F.col("dst"))
-    return near.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
-
 
 def propose_links(docs: DataFrame, links: DataFrame, k: int = 5, cap: int | None = None,
                   texts: DataFrame | None = None) -> DataFrame:

@@ -111,8 +111,7 @@ def test_mark_regressions_first_claim_wins(spark):
     assert r[2].outcome == "good" and r[2].outcome_reason is None
 
 
-def test_nearest_documents_blocks_and_passes(spark, monkeypatch):
-    monkeypatch.setattr(sim, "QUERY_BLOCK", 2)
+def test_nearest_documents_blocks(spark):
     rng = np.random.default_rng(11)
     vecs = rng.normal(size=(40, 6)).astype(np.float32)
     docs = spark.createDataFrame([(i, vecs[i].tolist()) for i in range(40)], "doc_id long, embedding array<float>")
