@@ -1,7 +1,7 @@
 """File sources: session logs, Markdown knowledge bases, code trees, config.
 
-Files are read by Spark's own readers (``text`` with ``wholetext``,
-``binaryFile``, ``json``) so a directory of millions of files is split across
+Files are read by Spark's own readers (``text`` with ``wholetext``, ``json``; code
+trees by ``sources.code``) so a directory of millions of files is split across
 tasks; the path comes from the ``_metadata`` column. Line tables
 ``(path, modified_at, line_no, line)`` are built from whole texts with
 ``posexplode(split(content, '\\n'))`` inside the task that read the file, so a
@@ -11,15 +11,17 @@ file's lines never cross a shuffle unless an operator groups them.
 from __future__ import annotations
 
 import fnmatch
+import json
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from signalmine.functions.constants import CODE_EXTENSIONS, SKIP_DIRS
 from signalmine.functions.text import basename, parent_name
 from signalmine.functions.timefn import AsOf, before, recent, to_datetime
 from signalmine.operators.ranking import top_per_group
+from signalmine.sources.code import FORMAT, CodeFiles
 
 
 def read_texts(spark: SparkSession, root: str, glob: str = "*.md", recursive: bool = True) -> DataFrame:
@@ -50,8 +52,6 @@ def _depth_ok(path_col: F.Column, root: str, max_depth: int) -> F.Column:
 
 
 def _escape(s: str) -> str:
-    import re
-
     return re.escape(s)
 
 
@@ -94,22 +94,14 @@ def scan_skill_learnings(spark: SparkSession, root: str) -> DataFrame:
 
 
 def scan_code(spark: SparkSession, roots: list[str] | str, skip_hidden: bool = True) -> DataFrame:
-    """(path, content) of code files by extension, skipping vendor and build
-    directories, and hidden ones unless ``skip_hidden`` is False. The extension
-    prunes the listing, the directory tests run on the file's path before its
-    bytes are read; bytes that are no UTF-8 become U+FFFD. Spark's file listing
-    itself never returns names that start with '.' or '_', so such folders are
-    invisible either way."""
-    paths = [roots] if isinstance(roots, str) else list(roots)
-    either_case = lambda ext: "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in ext)
-    df = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
-          .option("pathGlobFilter", "*{" + ",".join(either_case(e) for e in CODE_EXTENSIONS) + "}").load(paths))
-    seg_skip = "|".join(_escape(d) for d in SKIP_DIRS)
-    bad_dir = F.col("path").rlike(f"/({seg_skip})/")
-    if skip_hidden:
-        bad_dir = bad_dir | F.col("path").rlike(r"/\.[^/]+/")
-    text = F.coalesce(F.try_validate_utf8(F.col("content").cast("string")), F.make_valid_utf8(F.col("content").cast("string")))
-    return df.filter(~bad_dir).select(F.regexp_replace("path", "^file:", "").alias("path"), text.alias("content"))
+    """(path, content) of code files by extension below the folders ``roots``, which
+    driver and executors share. Vendor and build directories aren't entered, nor are
+    hidden ones (a leading '.') unless ``skip_hidden`` is False. Bytes that are no
+    UTF-8 become U+FFFD."""
+    spark.dataSource.register(CodeFiles)
+    paths = [re.sub("^file:(//)?", "", root) for root in ([roots] if isinstance(roots, str) else roots)]
+    return (spark.read.format(FORMAT).option("roots", json.dumps(paths))
+            .option("skip_hidden", "true" if skip_hidden else "false").load())
 
 
 APP_CONFIG_SCHEMA = T.StructType([

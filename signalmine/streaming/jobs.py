@@ -118,6 +118,77 @@ def read_pattern_counts(spark: SparkSession, table_path: str) -> DataFrame:
     return spark.read.schema(PATTERN_COUNTS).parquet(f"{table_path}/v={versions[-1]:012d}")
 
 
+def stream_pattern_lifetimes(errors: DataFrame) -> DataFrame:
+    """Per pattern_key over its whole life: occurrence_count, first_seen, last_seen.
+    The state is one row per key and never expires, so late rows count. Run in
+    update mode with ``pattern_lifetimes_writer``: a batch emits the keys that it
+    changed and no others. Rows without a key are one key, rows without a time
+    count but are no first or last."""
+    return errors.groupBy("pattern_key").agg(
+        F.count(F.lit(1)).alias("occurrence_count"), F.min("ts").alias("first_seen"), F.max("ts").alias("last_seen"))
+
+
+LIFETIMES = "pattern_key string, occurrence_count long, first_seen timestamp_ntz, last_seen timestamp_ntz"
+MERGE_EVERY = 32
+
+
+def _folders(spark: SparkSession, path: str) -> dict[str, dict[int, str]]:
+    """Complete folders ``<kind>=<number>`` below ``path``: kind -> number -> folder."""
+    found: dict[str, dict[int, str]] = {}
+    if _exists(spark, path):
+        jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        for f in jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(jvm_path):
+            kind, _, number = f.getPath().getName().partition("=")
+            if number.isdigit() and _exists(spark, f"{path}/{kind}={number}/_SUCCESS"):
+                found.setdefault(kind, {})[int(number)] = f"{path}/{kind}={number}"
+    return found
+
+
+def _lifetimes(spark: SparkSession, path: str, before: int | None = None) -> DataFrame:
+    """The newest row of each key in the last merged folder and the batches after it."""
+    found = _folders(spark, path)
+    merged = {n: f for n, f in found.get("merged", {}).items() if before is None or n < before}
+    since = max(merged, default=-1)
+    parts = [(since, merged[since])] if merged else []
+    parts += [(n, f) for n, f in sorted(found.get("batch", {}).items()) if n > since and (before is None or n < before)]
+    if not parts:
+        return spark.createDataFrame([], LIFETIMES)
+    names = [name for name, *_ in (field.split() for field in LIFETIMES.split(", "))]
+    rows = None
+    for n, folder in parts:
+        part = spark.read.schema(LIFETIMES).parquet(folder).withColumn("_batch", F.lit(n))
+        rows = part if rows is None else rows.unionByName(part)
+    newest = rows.groupBy("pattern_key").agg(F.max_by(F.struct(*names[1:]), "_batch").alias("_row"))
+    return newest.select("pattern_key", "_row.*")
+
+
+def pattern_lifetimes_writer(path: str, merge_every: int = MERGE_EVERY):
+    """``foreachBatch`` function: the changed keys of a batch become the folder
+    ``batch=<id>``; no other row is read or written. A replayed batch rewrites its own
+    folder. Every ``merge_every`` batches the newest rows so far become one folder
+    ``merged=<id>``, and what the merged folder before it made superfluous goes."""
+    def run(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id:012d}")
+        if batch_id % merge_every == merge_every - 1:
+            _lifetimes(spark, path, batch_id + 1).write.mode("overwrite").parquet(f"{path}/merged={batch_id:012d}")
+            found = _folders(spark, path)
+            older = [n for n in found["merged"] if n < batch_id]
+            if older:
+                # readers may still use the last merged folder but one and what came after it
+                last = max(older)
+                for kind, folders in found.items():
+                    for n, folder in folders.items():
+                        if n < last or n == last and kind == "batch":
+                            _drop(spark, folder)
+    return run
+
+
+def read_pattern_lifetimes(spark: SparkSession, path: str) -> DataFrame:
+    """(pattern_key, occurrence_count, first_seen, last_seen) of every key seen so far."""
+    return _lifetimes(spark, path)
+
+
 def stream_dedup_items(items: DataFrame, watermark: str = "14 days", prefix_len: int | None = None) -> DataFrame:
     """Drop later copies (same source and lesson) within the watermark; the state
     keeps a digest per lesson, not its text."""
@@ -131,28 +202,48 @@ def session_file_stream(spark: SparkSession, sessions_dir: str) -> DataFrame:
             .load(sessions_dir).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("content")))
 
 
+def session_lines_of(batch: DataFrame) -> DataFrame:
+    """(file_name, line_no, line) of a micro-batch of session files."""
+    from signalmine.sources.files import to_lines
+
+    name = F.url_decode(F.regexp_replace(F.element_at(F.split("path", "/"), -1), r"\+", "%2B"))
+    return to_lines(batch.withColumn("file_name", name).drop("path"))
+
+
 def session_items_batch(batch: DataFrame, items: DataFrame) -> DataFrame:
     """Items from one micro-batch of session files: first lesson per file,
     minus files already named by a session item."""
     from signalmine.operators.text import session_items
-    from signalmine.sources.files import to_lines
 
-    name = F.url_decode(F.regexp_replace(F.element_at(F.split("path", "/"), -1), r"\+", "%2B"))
-    lines = to_lines(batch.withColumn("file_name", name).drop("path"))
-    return session_items(lines, items)
+    return session_items(session_lines_of(batch), items)
+
 
+SEEN = "_seen"
+
+
+def session_items_writer(items_path: str, known_items: str | None = None):
+    """``foreachBatch`` function: a batch's new session items become the partition
+    ``batch=<id>`` of the item table at ``items_path``, and the names of all its files
+    the same partition of a ledger beside it. A file whose name another batch has in the
+    ledger is no new one, so no batch reads an earlier item. Both writes replace the
+    batch's own partition: a batch that died at any point is done again with the same
+    result. The numbers are those of one checkpoint: a table belongs to one stream.
+
+    ``known_items``: an item table that this stream doesn't write; files that its
+    session items name are left out too."""
+    from signalmine.operators.text import session_items
 
-def session_items_writer(items_path: str):
-    """``foreachBatch`` function: append the batch's new session items to the
-    item table at ``items_path`` (read fresh each batch, so a file named by an
-    earlier batch is never itemised twice)."""
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        if _exists(spark, items_path):
-            items = spark.read.parquet(items_path)
-        else:  # first batch: empty table
-            items = spark.createDataFrame([], "source string, lesson string")
-        session_items_batch(batch, items).write.mode("append").parquet(items_path)
+        lines, ledger = session_lines_of(batch), f"{items_path}/{SEEN}"
+        others = [f for n, f in _folders(spark, ledger).get("batch", {}).items() if n != batch_id]
+        if others:
+            seen = spark.read.schema("file_name string").parquet(*others)
+            lines = lines.join(seen, "file_name", "left_anti")
+        items = spark.read.parquet(known_items) if known_items is not None else spark.createDataFrame(
+            [], "source string, lesson string")
+        session_items(lines, items).write.mode("overwrite").parquet(f"{items_path}/batch={batch_id:012d}")
+        lines.select("file_name").distinct().write.mode("overwrite").parquet(f"{ledger}/batch={batch_id:012d}")
     return run
 
 

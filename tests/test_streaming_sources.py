@@ -3,7 +3,9 @@
 import json
 import os
 import tempfile
+from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
@@ -104,14 +106,14 @@ def test_drift_on_code_tree(spark):
     assert code.filter(F.col("path").contains("node_modules")).count() == 0
     from signalmine.operators.drift import relative_paths
     rel = relative_paths(code, apps.filter("app = 'my-app'"))
-    # Spark's file listing skips names starting with '.' or '_', so hidden route folders are never seen
-    assert rows(route_groups(rel), "route_group") == [("members",), ("webhooks",)]
+    # routes are looked for in hidden folders too, tables are not
+    assert rows(route_groups(rel), "route_group") == [(".beta",), ("members",), ("webhooks",)]
     assert rows(table_refs(rel), "name") == [("audit_log",), ("notification_preferences",), ("user_profiles",)]
     docs = fsrc.read_texts(spark, f"{d}/docs").select(F.regexp_replace("path", "^file:", "").alias("path"), "content")
     missing, totals, no_doc = drift_report(apps, relative_paths(code, apps), docs)
     assert rows(missing.filter("app = 'my-app'"), "kind", "term") == [
-        ("route", "webhooks"), ("table", "audit_log"), ("table", "notification_preferences")]
-    assert rows(totals.filter("app = 'my-app'"), "missing_total") == [(3,)]
+        ("route", ".beta"), ("route", "webhooks"), ("table", "audit_log"), ("table", "notification_preferences")]
+    assert rows(totals.filter("app = 'my-app'"), "missing_total") == [(4,)]
     assert rows(no_doc, "app") == [("admin-panel",)]
 
 
@@ -227,6 +229,102 @@ def test_stream_session_items_writer(spark):
     assert len(spark.read.parquet(items_path).collect()) == 2
 
 
+def test_session_items_batches_are_replayed(spark, monkeypatch):
+    d = _scratch()
+    batch = lambda *files: spark.createDataFrame(
+        [(f"file:/x/{n}", f"# S\n- Fix: {n} needs another look\n") for n in files], "path string, content string")
+    lessons = lambda: sorted(r.lesson.split(": ")[0] for r in spark.read.parquet(f"{d}/items").collect())
+    write = sj.session_items_writer(f"{d}/items")
+    write(batch("a.md", "b.md"), 0)
+    write(batch("b.md", "c.md"), 1)
+    assert lessons() == ["Session a.md", "Session b.md", "Session c.md"]
+    write(batch("b.md", "c.md"), 1)  # a replay of the whole batch
+    assert lessons() == ["Session a.md", "Session b.md", "Session c.md"]
+
+    # dies after the items, before the ledger
+    from pyspark.sql import DataFrameWriter
+    plain = DataFrameWriter.parquet
+
+    def parquet(self, path, *args, **kw):
+        if "/_seen/" in path:
+            raise OSError("killed")
+        return plain(self, path, *args, **kw)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", parquet)
+    with pytest.raises(OSError, match="killed"):
+        write(batch("d.md"), 2)
+    monkeypatch.undo()
+    write(batch("d.md"), 2)
+    write(batch("d.md", "e.md"), 3)
+    assert lessons() == [f"Session {n}.md" for n in "abcde"]
+    known = spark.createDataFrame([("session", "Session f.md: seen before")], "source string, lesson string")
+    known.write.parquet(f"{d}/known")
+    sj.session_items_writer(f"{d}/other", f"{d}/known")(batch("f.md", "g.md"), 0)
+    assert [r.lesson.split(": ")[0] for r in spark.read.parquet(f"{d}/other").collect()] == ["Session g.md"]
+
+
+def test_pattern_lifetimes(spark):
+    d = _scratch()
+    schema = "pattern_key string, ts timestamp_ntz"
+    at = lambda day: datetime(2024, 1, day)
+    batches = [[("a", at(5)), ("b", at(6)), ("a", at(7))], [("a", at(1)), (None, at(2))], [("c", None), ("c", at(9))],
+               [("b", at(20))]]
+
+    def put(n):
+        spark.createDataFrame(batches[n], schema).coalesce(1).write.parquet(f"{d}/in/b={n}")
+        for f in os.listdir(f"{d}/in/b={n}"):
+            os.utime(f"{d}/in/b={n}/{f}", (1_700_000_000 + 100 * n, 1_700_000_000 + 100 * n))
+
+    def run():
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option(
+            "recursiveFileLookup", True).parquet(f"{d}/in")
+        sj.run_available(sj.stream_pattern_lifetimes(stream), "life_t", mode="update", checkpoint=f"{d}/ckpt",
+                         foreach_batch=sj.pattern_lifetimes_writer(f"{d}/out", merge_every=2))
+
+    def expected(n):
+        whole = spark.createDataFrame([r for b in batches[:n] for r in b], schema)
+        return {tuple(r) for r in whole.groupBy("pattern_key").agg(F.count("*"), F.min("ts"), F.max("ts")).collect()}
+
+    assert sj.read_pattern_lifetimes(spark, f"{d}/out").isEmpty()
+    put(0)
+    put(1)
+    run()
+    assert {tuple(r) for r in sj.read_pattern_lifetimes(spark, f"{d}/out").collect()} == expected(2)
+    changed = {r.pattern_key for f in os.listdir(f"{d}/out") if f == "batch=000000000001"
+               for r in spark.read.parquet(f"{d}/out/{f}").collect()}
+    assert changed == {"a", None}
+    put(2)
+    put(3)
+    run()  # a restart from the checkpoint: the counts go on
+    got = sj.read_pattern_lifetimes(spark, f"{d}/out")
+    assert {tuple(r) for r in got.collect()} == expected(4) and got.count() == 4
+    # a replay of the last batch, and one that is older than the last merge, change nothing
+    last = spark.read.schema(sj.LIFETIMES).parquet(f"{d}/out/batch=000000000003").collect()
+    sj.pattern_lifetimes_writer(f"{d}/out", merge_every=2)(spark.createDataFrame(last, sj.LIFETIMES), 3)
+    assert {tuple(r) for r in sj.read_pattern_lifetimes(spark, f"{d}/out").collect()} == expected(4)
+    assert sorted(os.listdir(f"{d}/out")) == ["batch=000000000002", "batch=000000000003", "merged=000000000001",
+                                              "merged=000000000003"]
+
+
+def test_code_below_hidden_and_underscored_folders(spark):
+    d = _scratch()
+    names = ["src/app/api/_private/route.ts", "src/app/api/.beta/x/route.ts", "src/a b+c/%41.js", "src/node_modules/x.ts",
+             "src/.git/x.ts", "lib/notes.md"] + [f"deep/{i}/{j}/f.sql" for i in range(20) for j in range(20)]
+    for name in names:
+        os.makedirs(os.path.dirname(f"{d}/{name}"), exist_ok=True)
+        with open(f"{d}/{name}", "w") as fh:
+            fh.write(name)
+    os.symlink(f"{d}/nowhere", f"{d}/lib/gone.ts")
+    got = rows(fsrc.scan_code(spark, [d, d + "/"], skip_hidden=False))
+    want = sorted((f"{d}/{n}", n) for n in names if "node_modules" not in n and ".git" not in n and not n.endswith(".md"))
+    assert got == want
+    assert rows(fsrc.scan_code(spark, d)) == [w for w in want if "/." not in w[0]]
+    with pytest.raises(Exception):
+        fsrc.scan_code(spark, f"{d}/nowhere").collect()
+    os.makedirs(f"{d}/empty")
+    assert fsrc.scan_code(spark, f"{d}/empty").isEmpty()
+
+
 def test_append_items_and_write_report(spark):
     d = _scratch()
     items = spark.createDataFrame([("error", "Recurring problem: k - x", "2024-01-31")],
