@@ -1,16 +1,23 @@
 """Main text of web pages by consensus host paths.
 
 Each page's elements are read in one pass, and the text outside of navigation,
-adverts, forms, notices and reader comments is found. The innermost container
-that holds all of it is the page's own; its path of tags and classes (numbers
-generalised) is the page's vote; Spark counts votes per host. Every page is then
-read again, and its text taken from all containers at its host's winning path if
-nothing but links would be lost, else from its own.
+adverts, forms, notices and reader comments is found. A page votes twice, with
+paths of tags and classes (numbers generalised): for the innermost container that
+holds all of that text, and for its core, the container of the highest score, which
+is the paragraph text in it and half of that one level below, less by its share of
+links. Spark counts the votes per host.
+
+Every page is then read again. Its text is taken from all containers at its host's
+first path if nothing but links would be lost, else from its own; of that goes what
+lies outside of the host's core path and repeats, at the same place and word for
+word, on at least ``REPEATS`` pages and half of the pages with different cores: the
+frame of the host, whatever its classes say.
 """
 
 from __future__ import annotations
 
 import functools
+import hashlib
 import html
 import re
 
@@ -25,6 +32,8 @@ MAIN_SHARE = 0.5        # of the page's text from which the main element bounds
 MOST = 0.5              # of the paragraph text around it that a marked element must have to be kept all the same
 NEARLY_ALL = 0.9        # the same, for words that say what a text is and not where it stands
 LONG = 80               # characters from which text outside of paragraphs counts as paragraph text
+REPEATS = 3             # pages with different cores from which text around them may be the host's frame
+FRAME_SHARE = 0.5       # of the host's pages with different cores
 
 # Elements of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -229,12 +238,25 @@ class Page:
             if node.soft and not inside[id(node.parent)]:
                 node.out = True  # the page's header, not the article's
             node.soft = node.soft or node.parent.soft
+        self._leads()
         for node, text in self.events:
             if text is not None and self._in(node):
                 node.length += len(text) - text.count(" ")
         for node in reversed(self.nodes[1:]):
             node.parent.length += node.length
 
+    def _leads(self) -> None:
+        """Long paragraphs in an article's header are text, as its headings are."""
+        lengths: dict[int, int] = {}
+        for node, text in self.events:
+            if text is not None and node.soft and not node.out:
+                while node.tag != "p" and node.parent is not None:
+                    node = node.parent
+                lengths[id(node)] = lengths.get(id(node), 0) + len(text.strip())
+        for node in self.nodes[1:]:
+            if node.soft:
+                node.heading = node.heading or node.parent.heading or node.tag == "p" and lengths.get(id(node), 0) >= LONG
+
     def _keep_most(self) -> None:
         """Marked elements that hold most of the paragraph text of the article, kept
         element or page around them, alone or with the others of a word, are kept."""
@@ -329,9 +351,55 @@ class Page:
             return nodes if any(n.length for n in nodes) else [own]
         return [own]
 
-    def text(self, *nodes: Node) -> str:
+    def core(self) -> Node:
+        """The container of the highest score in the page's own; of equals the innermost."""
+        own, scores, links = self.best(), {}, {}
+        for node, text in self.events[own.begin:own.end]:
+            if text is None or not self._in(node):
+                continue
+            n, up = len(text) - text.count(" "), node
+            while up.tag not in CONTAINERS and up.parent is not None:
+                up = up.parent
+            if node.kind < 0:
+                links[id(up)] = links.get(id(up), 0) + n
+            elif node.kind == 2 or n >= LOOSE:
+                scores[id(up)] = scores.get(id(up), 0) + n
+                above = up.parent
+                while above is not None and above.tag not in CONTAINERS:
+                    above = above.parent
+                if above is not None:
+                    scores[id(above)] = scores.get(id(above), 0) + n / 2
+        inner = [n for n in self.nodes if own.begin <= n.begin and n.end <= own.end and id(n) in scores] or [own]
+        return max(reversed(inner), key=lambda n: scores.get(id(n), 0) ** 2 / (
+            scores.get(id(n), 0) + links.get(id(n), 0) or 1))
+
+    def pieces(self, nodes: list[Node], cores: list[Node]) -> list[tuple[int, int, int]]:
+        """(first event, event after the last, hash of place and text) of each text
+        between two breaks in ``nodes`` and in none of ``cores``."""
+        out = []
+        for node in nodes:
+            begin, parts, place = node.begin, [], ""
+            for i, (owner, text) in enumerate([*self.events[node.begin:node.end], (node, None)], node.begin):
+                if text is None:
+                    if said := " ".join("".join(parts).split()):
+                        mark = hashlib.blake2b(f"{place}\0{said}".encode("utf-8", "replace"), digest_size=8).digest()
+                        out.append((begin, i, int.from_bytes(mark, "little", signed=True)))
+                    begin, parts = i + 1, []
+                elif self._in(owner) and not any(n.begin <= i < n.end for n in cores):
+                    place = owner.path if not parts else place
+                    parts.append(text)
+        return out
+
+    def text(self, *nodes: Node, core: str | None = None, frame: frozenset[int] = frozenset()) -> str:
+        """The text of ``nodes`` without the pieces of ``frame`` outside of ``core``."""
+        left_out: set[int] = set()
+        if frame and (cores := self.at(core)):
+            for begin, end, mark in self.pieces(list(nodes), cores):
+                if mark in frame:
+                    left_out.update(range(begin, end))
         parts = [" " if text is None else text for node in nodes
-                 for owner, text in [(node, None), *self.events[node.begin:node.end]] if text is None or self._in(owner)]
+                 for i, (owner, text) in enumerate([(node, None), *self.events[node.begin:node.end]], node.begin - 1)
+                 if text is None or self._in(owner) and i not in left_out]
         return " ".join("".join(parts).split())
 
 
@@ -339,24 +407,54 @@ def _host():
     return F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1))
 
 
-def host_paths(pages: DataFrame) -> DataFrame:
-    """(host, path): of the paths that a host's pages voted for the one with most
-    votes, then most text, then the last by name."""
+def votes(pages: DataFrame) -> DataFrame:
+    """Of each page: host, path and length of its own container, path (core) and
+    length of its core, a hash of the core's text (content), and the hashes of the
+    pieces around the core (pieces)."""
 
     def run(batches):
         for batch in batches:
-            votes = []
-            for source in batch.column(1).to_pylist():
-                node = (page := Page(source or "")).best()
-                votes.append((node.path, node.length if node is not page.nodes[0] else 0))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([p for p, _ in votes]), pa.array([n for _, n in votes], pa.int64())],
-                ["host", "path", "length"])
+            rows = []
+            for host, source in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                page = Page(source or "")
+                own, core = page.best(), page.core()
+                cores = page.at(core.path) if core.path else []
+                said = page.text(*cores).encode("utf-8", "replace")
+                rows.append({
+                    "host": host, "path": own.path, "length": own.length if own is not page.nodes[0] else 0,
+                    "core": core.path, "core_length": sum(n.length for n in cores),
+                    "content": int.from_bytes(hashlib.blake2b(said, digest_size=8).digest(), "little", signed=True),
+                    "pieces": sorted({mark for *_, mark in page.pieces([own], cores)}) if cores else []})
+            yield pa.RecordBatch.from_pylist(rows, schema=_VOTE)
+
+    return pages.select(_host().alias("host"), "html").mapInArrow(
+        run, "host string, path string, length long, core string, core_length long, content long, pieces array<bigint>")
+
+
+_VOTE = pa.schema([("host", pa.string()), ("path", pa.string()), ("length", pa.int64()), ("core", pa.string()),
+                   ("core_length", pa.int64()), ("content", pa.int64()), ("pieces", pa.list_(pa.int64()))])
 
-    votes = pages.select(_host().alias("host"), "html").mapInArrow(run, "host string, path string, length long")
-    counted = votes.where("path <> '' and length > 0").groupBy("host", "path").agg(
-        F.count("*").alias("n"), F.sum("length").alias("length"))
-    return counted.groupBy("host").agg(F.max_by("path", F.struct("n", "length", "path")).alias("path"))
+
+def _winner(votes: DataFrame, path: str, length: str) -> DataFrame:
+    """(host, path): the path with most votes, then most text, then the last by name."""
+    counted = votes.where((F.col(path) != "") & (F.col(length) > 0)).groupBy("host", path).agg(
+        F.count("*").alias("n"), F.sum(length).alias("length"))
+    return counted.groupBy("host").agg(F.max_by(path, F.struct("n", "length", path)).alias(path))
+
+
+def host_paths(pages: DataFrame) -> DataFrame:
+    """(host, path, core, frame) of each host: the winning paths, and the hashes of
+    the pieces around the core that its pages repeat. Each of these is on a given
+    share of the host's pages, so they are no more than a few pages' pieces."""
+    cast = stored(votes(pages), "host-votes")
+    paths, cores = _winner(cast, "path", "length"), _winner(cast, "core", "core_length")
+    usual = cast.join(cores, ["host", "core"], "left_semi")
+    whole = usual.groupBy("host").agg(F.count_distinct("content").alias("contents"))
+    found = usual.select("host", "content", F.explode("pieces").alias("piece")).groupBy("host", "piece").agg(
+        F.count_distinct("content").alias("n")).where(F.col("n") >= REPEATS)
+    frames = found.join(whole, "host").where(F.col("n") >= FRAME_SHARE * F.col("contents")).groupBy("host").agg(
+        F.collect_list("piece").alias("frame"))
+    return paths.join(cores, "host", "left").join(frames, "host", "left")
 
 
 def extracted(pages: DataFrame) -> DataFrame:
@@ -366,14 +464,15 @@ def extracted(pages: DataFrame) -> DataFrame:
     Repeated rows are read each. An empty table gives none."""
     paths = stored(host_paths(pages), "host-paths").withColumnRenamed("host", "_host")
     rows = pages.select("page_id", "url", "html", _host().alias("_of"))
-    rows = rows.join(paths, F.col("_of") == F.col("_host"), "left").select("page_id", "url", "path", "html")
+    rows = rows.join(paths, F.col("_of") == F.col("_host"), "left").select(
+        "page_id", "url", "path", "core", "frame", "html")
 
     def run(batches):
         for batch in batches:
             texts = []
-            for path, source in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+            for path, core, frame, source in zip(*(batch.column(i).to_pylist() for i in range(2, 6)), strict=True):
                 page = Page(source or "")
-                texts.append(page.text(*page.chosen(path)))
+                texts.append(page.text(*page.chosen(path), core=core, frame=frozenset(frame or ())))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:2], pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
                 ["page_id", "url", "text", "n_chars"])

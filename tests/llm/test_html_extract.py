@@ -94,6 +94,50 @@ def test_odd_pages_of_a_host(spark):
     assert len(page.at(page.nodes[-2].path)) == 2 and page.text(*page.chosen(page.nodes[-2].path)) == "first second half"
 
 
+def test_votes_drop_the_frame_of_a_host(spark):
+    notice = "Our office is open on Monday to Friday from nine to five, and closed on all public holidays of the year."
+    words = ["ant", "bee", "cat", "dog", "elk"]
+
+    def page(i, head="", tail=f"<div class=box><p>{notice}</p></div>"):
+        body = "".join(f"<p>{(w + ' ') * 30}{i}</p>" for w in words[:1 + i % 3])
+        return f"<body><div class=wrap>{head}<div class=content>{body}</div>{tail}</div></body>"
+
+    def body(i):
+        return " ".join(f"{(w + ' ') * 30}{i}" for w in words[:1 + i % 3])
+
+    rows = [(i, "http://h.example/", page(i), "", "") for i in range(6)] + [
+        (6, "http://h.example/", page(6, f"<h1>Head six</h1><p>{'lead ' * 20}</p>"), "", ""),
+        (7, "http://h.example/", f"<body><div class=wrap><p>other page</p><p>{notice}</p></div></body>", "", ""),
+        # a host of one article in many copies: what repeats is the article's
+        *((10 + i, "http://copies.example/", page(1, "<h1>Head</h1>"), "", "") for i in range(5)),
+        # two pages are no host's habit
+        *((20 + i, "http://two.example/", page(i), "", "") for i in range(2))]
+    pages = spark.createDataFrame(rows, SCHEMA)
+    got = {r.page_id: r.text for r in extracted(pages).collect()}
+    assert got == {**{i: body(i) for i in range(6)}, 6: f"Head six {('lead ' * 20).strip()} {body(6)}", 7: f"other page {notice}",
+                   **{10 + i: f"Head {body(1)} {notice}" for i in range(5)},
+                   **{20 + i: f"{body(i)} {notice}" for i in range(2)}}
+    # without the votes the notice stays
+    assert all(text(h).endswith(notice) for _, _, h, _, _ in rows)
+
+
+def test_core_is_the_container_of_most_text():
+    long = "<p>" + "word " * 60 + "</p>"
+    for inner, path in ((f"<div class=a><h1>T</h1><div class=b>{long}{long}</div></div>", "div.b"),
+                        (f"<div class=a>{long}{long}<div class=b>{long}</div></div>", "div.a"),
+                        (f"<div class=a><section>{long}</section><section>{long}</section></div>", "section"),
+                        (f"<div class=a><div class=links><a href=x>{'link ' * 200}</a></div>{long}</div>", "div.a")):
+        assert Page(f"<body>{inner}</body>").core().path.split("/")[-1] == path, inner
+    assert Page("").core() is not None and Page("<p>").core() is not None
+
+
+def test_a_lead_in_the_header_of_an_article():
+    lead = "What the article is about is said at some length, " * 4
+    page = f"<body><article><header><h1>Title</h1><p class=by>by me</p><p class=lead>{lead}<b>boldly</b></p></header><p>body</p></article></body>"
+    assert text(page) == f"Title {lead}boldly body"
+    assert text(page.replace("<article>", "<div>").replace("</article>", "</div>")) == "body"  # the page's header
+
+
 def test_marks_by_what_they_hold():
     paragraphs = "<p>" + "one " * 40 + "</p><p>" + "two " * 40 + "</p>"
     said = " ".join((("one " * 40) + ("two " * 40)).split())
