@@ -4,7 +4,8 @@ Documents are line tables ``(file, line_no, line)``; "first n matching lines
 per file" is a filter plus a per-file ``row_number`` (WindowGroupLimit), and
 ordered text assembly is ``array_sort`` of ``(line_no, text)`` structs, never a
 bare ``collect_list`` whose order a shuffle could change. Sections are a
-running sum of heading flags over one file's lines (a per-file window).
+running sum of heading flags over one file's lines, in two levels (within chunks
+of lines, and over the chunks' totals), so a very long file is many tasks' work.
 """
 
 from __future__ import annotations
@@ -60,11 +61,23 @@ def session_lessons(lines: DataFrame, file_col: str = "file_name", n: int | None
     return top_per_group(hits, [file_col], [F.col("line_no")], n, "lesson_rank")
 
 
-def section_ids(lines: DataFrame, file_col: str, heading: Column) -> DataFrame:
-    w = (Window.partitionBy(file_col).orderBy("line_no")
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return (lines.withColumn("_is_head", heading)
-            .withColumn("section", F.sum(F.col("_is_head").cast("int")).over(w)))
+CHUNK_LINES = 10_000  # lines of a file that one window holds
+
+
+def section_ids(lines: DataFrame, file_col: str, heading: Column, chunk_lines: int = CHUNK_LINES) -> DataFrame:
+    """``lines`` with _is_head and section: the headings of the file up to the line
+    (0 before the first). A line without text is no heading."""
+    chunk = F.floor(F.col("line_no") / chunk_lines)
+    flagged = lines.withColumn("_is_head", F.coalesce(heading, F.lit(False))).withColumn("_chunk", chunk)
+    order = Window.orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    before = (flagged.groupBy(F.col(file_col).alias("_file"), F.col("_chunk").alias("_at"))
+              .agg(F.count_if("_is_head").alias("_n"))
+              .withColumn("_before", F.coalesce(F.sum("_n").over(order.partitionBy("_file")), F.lit(0))).drop("_n"))
+    within = (Window.partitionBy(file_col, "_chunk").orderBy("line_no")
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    counted = flagged.withColumn("_within", F.sum(F.col("_is_head").cast("int")).over(within))
+    joined = counted.join(before, F.col(file_col).eqNullSafe(F.col("_file")) & F.col("_chunk").eqNullSafe(F.col("_at")))
+    return joined.withColumn("section", F.col("_before") + F.col("_within")).drop("_file", "_at", "_chunk", "_before", "_within")
 
 
 def session_lessons_fallback(lines: DataFrame, file_col: str = "file_name", n: int | None = None) -> DataFrame:
@@ -251,10 +264,14 @@ FRONT_MATTER_KEYS = ["title", "app", "repo", "branch", "max_budget_usd", "max_ho
 def task_front_matter(lines: DataFrame, file_col: str = "path", default_budget: float = 10.0,
                       default_hours: float = 8) -> DataFrame:
     """Front-matter keys of task documents (lines between the first two '---')."""
-    w = (Window.partitionBy(file_col).orderBy("line_no")
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    fm = lines.withColumn("_dash", F.sum((F.col("line") == "---").cast("int")).over(w))
-    inside = fm.filter((F.col("_dash") == 1) & (F.col("line") != "---"))
+    dashes = top_per_group(lines.filter(F.col("line") == "---").select(file_col, "line_no"), [file_col],
+                           [F.col("line_no")], 2, "_r")
+    bounds = dashes.groupBy(F.col(file_col).alias("_file")).agg(
+        F.min(F.when(F.col("_r") == 1, F.col("line_no"))).alias("_from"),
+        F.min(F.when(F.col("_r") == 2, F.col("line_no"))).alias("_to"))
+    keyed = lines.filter(F.col("line").rlike("^(" + "|".join(FRONT_MATTER_KEYS) + "):"))
+    inside = keyed.join(bounds, F.col(file_col) == F.col("_file")).filter(
+        (F.col("line_no") > F.col("_from")) & (F.col("_to").isNull() | (F.col("line_no") < F.col("_to"))))
     kv = inside.select(file_col, "line_no", F.regexp_extract("line", r"^([A-Za-z_]+):", 1).alias("k"),
                        F.regexp_replace(F.regexp_replace("line", r"^[A-Za-z_]+: *", ""), '"', "").alias("v"))
     kv = kv.filter(F.col("k").isin(FRONT_MATTER_KEYS))

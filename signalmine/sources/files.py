@@ -14,13 +14,14 @@ import fnmatch
 import json
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from signalmine.functions.text import basename, parent_name
 from signalmine.functions.timefn import AsOf, before, recent, to_datetime
 from signalmine.operators.ranking import top_per_group
+from signalmine.session import materialize
 from signalmine.sources.code import FORMAT, CodeFiles
 
 
@@ -40,12 +41,32 @@ def read_texts(spark: SparkSession, root: str, glob: str = "*.md", recursive: bo
 def to_lines(docs: DataFrame, content_col: str = "content") -> DataFrame:
     """Whole texts to a line table; line numbers start at 1 like ``grep -n``.
     A final newline does not make an extra empty line."""
-    body = F.regexp_replace(F.col(content_col), r"\n$", "")
+    body = F.regexp_replace(F.col(content_col), r"\n\z", "")
     keep = [c for c in docs.columns if c != content_col]
     return (docs.select(*keep, F.posexplode(F.split(body, "\n")).alias("pos", "line"))
             .withColumn("line_no", (F.col("pos") + 1).cast("int")).drop("pos"))
 
 
+def numbered_lines(spark: SparkSession, root: str, glob: str = "*.md", recursive: bool = True) -> DataFrame:
+    """(path, modified_at, line_no, line) of every matching file, as ``to_lines`` of
+    ``read_texts`` gives them but without a task that holds a whole file: a large file
+    is read in splits, and a line's number is its place in its split plus the lines of
+    the file's splits before. Empty files have no line."""
+    df = spark.read.text(root, lineSep="\n", recursiveFileLookup=recursive, pathGlobFilter=glob)
+    path = F.url_decode(F.regexp_replace(F.col("_metadata.file_path"), r"\+", "%2B"))
+    # the rows of a split are numbered in their order; written, so that both uses see the same numbers
+    lines = materialize(df.select(
+        path.alias("path"), F.col("_metadata.file_modification_time").cast("timestamp_ntz").alias("modified_at"),
+        F.col("_metadata.file_block_start").alias("_split"), F.monotonically_increasing_id().alias("_at"),
+        F.col("value").alias("line")))
+    earlier = Window.partitionBy("path").orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
+    splits = (lines.groupBy("path", "_split").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
+              .withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0))).drop("_n"))
+    out = lines.join(splits, ["path", "_split"]).select(
+        "path", "modified_at", "line", (F.col("_at") - F.col("_first") + F.col("_before") + 1).cast("int").alias("line_no"))
+    return out.filter(basename(F.col("path")).rlike(fnmatch.translate(glob)))
+
+
 def _depth_ok(path_col: F.Column, root: str, max_depth: int) -> F.Column:
     rel = F.regexp_replace(path_col, "^(file:)?" + _escape(root.rstrip("/")) + "/", "")
     return F.size(F.split(rel, "/")) <= max_depth
