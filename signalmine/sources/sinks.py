@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from signalmine.operators.joins import new_documents
+from signalmine.session import materialize
 
 
 def append_items(df: DataFrame, path: str, partition_by: str | None = None) -> None:
@@ -22,6 +23,38 @@ def append_items(df: DataFrame, path: str, partition_by: str | None = None) -> N
     w.parquet(path)
 
 
+def write_changes(updated: DataFrame, path: str, partition_by: str, changed: str = "changed") -> None:
+    """Write the result of an update (``operators.updates``: the whole table with a
+    flag ``changed``) back to the table at ``path``, which is partitioned by
+    ``partition_by``: partitions without a changed row keep their files, the others are
+    replaced by dynamic partition overwrite. The new rows are checkpointed first, since
+    they are read from what is overwritten. An update must leave ``partition_by`` as it
+    is and remove no row; a null flag is no change."""
+    touched = updated.filter(F.col(changed)).select(F.col(partition_by).alias("_touched")).distinct()
+    rows = updated.join(touched, F.col(partition_by).eqNullSafe(F.col("_touched")), "left_semi").drop(changed)
+    (materialize(rows).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(partition_by).parquet(path))
+
+
+def write_ordered(rows: DataFrame, order: list[str], path: str, fmt: str = "json") -> None:
+    """Write ``rows`` as files whose names in ascending order hold them in ascending
+    order of the columns ``order``: a range of the order per task, so a section, digest
+    or report of any size is never one value. ``fmt``: json (a line per row, nulls
+    kept), or text (the column ``line``)."""
+    ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    if fmt == "text":
+        ranged.select("line").write.mode("overwrite").text(path)
+    else:
+        ranged.write.mode("overwrite").option("ignoreNullFields", False).format(fmt).save(path)
+
+
+def write_staging_sections(sections: dict[str, tuple[DataFrame, list[str]]], path: str) -> None:
+    """The sections of ``staging_document`` at any size: (rows, order) of each as JSON
+    lines in the folder ``section=<name>`` below ``path``."""
+    for name, (rows, order) in sections.items():
+        write_ordered(rows, order, f"{path}/section={name}")
+
+
 def write_documents(docs: DataFrame, existing: DataFrame | None, path: str) -> DataFrame:
     """Write (path, content) rows whose path is new; returns what was written.
 
