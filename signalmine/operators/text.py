@@ -69,15 +69,16 @@ def section_ids(lines: DataFrame, file_col: str, heading: Column, chunk_lines: i
     (0 before the first). A line without text is no heading."""
     chunk = F.floor(F.col("line_no") / chunk_lines)
     flagged = lines.withColumn("_is_head", F.coalesce(heading, F.lit(False))).withColumn("_chunk", chunk)
-    order = Window.orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
-    before = (flagged.groupBy(F.col(file_col).alias("_file"), F.col("_chunk").alias("_at"))
-              .agg(F.count_if("_is_head").alias("_n"))
-              .withColumn("_before", F.coalesce(F.sum("_n").over(order.partitionBy("_file")), F.lit(0))).drop("_n"))
-    within = (Window.partitionBy(file_col, "_chunk").orderBy("line_no")
+    earlier = Window.partitionBy(file_col).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    before = (flagged.groupBy(file_col, "_chunk").agg(F.count_if("_is_head").alias("_n"))
+              .select(file_col, "_chunk", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+              .filter(F.col("_before") > 0))
+    # the earlier headings as a first row of the chunk: a join could broadcast all lines, whose size no plan knows
+    marked = flagged.withColumn("_before", F.lit(None).cast("long")).unionByName(before, allowMissingColumns=True)
+    within = (Window.partitionBy(file_col, "_chunk").orderBy(F.col("_before").desc_nulls_last(), "line_no")
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    counted = flagged.withColumn("_within", F.sum(F.col("_is_head").cast("int")).over(within))
-    joined = counted.join(before, F.col(file_col).eqNullSafe(F.col("_file")) & F.col("_chunk").eqNullSafe(F.col("_at")))
-    return joined.withColumn("section", F.col("_before") + F.col("_within")).drop("_file", "_at", "_chunk", "_before", "_within")
+    counted = marked.withColumn("section", F.sum(F.coalesce("_before", F.col("_is_head").cast("long"))).over(within))
+    return counted.filter(F.col("_before").isNull()).drop("_chunk", "_before")
 
 
 def session_lessons_fallback(lines: DataFrame, file_col: str = "file_name", n: int | None = None) -> DataFrame:
