@@ -4,7 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
+from signalmine.operators import knn
 from signalmine.operators import text as tx
+from signalmine.plans import jobs
 
 
 def plan(df):
@@ -30,3 +32,27 @@ def test_sections_over_chunks(spark, chunk_lines):
     for f in ("p", None):
         assert rows(got.where(F.col("path").eqNullSafe(F.lit(f))), "line_no", "section") == list(enumerate(want))
     assert rows(got.where("path = 'q'"), "line", "section") == [("# w", 1), ("e", 1)]
+
+
+def test_neighbours_broadcast_no_vectors_and_shuffle_none_per_block(spark):
+    vectors = [(i, [float(i % 7), float(i % 11), 1.0]) for i in range(300)]
+    docs = spark.createDataFrame(vectors, "doc_id long, embedding array<double>").repartition(4)
+    blocks, idx = knn.index(docs, cells=5, block_rows=16)
+    packs = knn._packs(docs.where("doc_id % 3 = 0"), idx).withColumn("q_least", F.lit(None).cast("binary"))
+    text = plan(knn._compared(knn._routed(packs, idx, 4), blocks, idx, 4, True))
+    assert "CartesianProduct" in text and "Exchange" not in text
+    found = knn.nearest_documents(docs, docs, 4)
+    assert "Broadcast" not in plan(found)
+    assert found.count() == 1200
+
+
+def test_misses_searched_once(spark):
+    docs = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 1.0])], "doc_id long, embedding array<double>")
+    misses = spark.createDataFrame([(1, "how to a", False), (2, "how to b", False), (3, "how to b", False), (4, "c", True)],
+                                   "id long, query string, resolved boolean").withColumn("created_at", F.current_timestamp())
+    vectors = spark.createDataFrame([(1, [1.0, 0.1]), (2, [-1.0, -0.1]), (3, [-1.0, 0.0])], "id long, embedding array<double>")
+    clusters, out = jobs.gap_filler_job(misses, vectors, docs)
+    assert "CartesianProduct" not in plan(out) + plan(clusters)  # the search is done, whoever reads the misses
+    assert rows(out, "id", "resolved") == [(1, True), (2, True), (3, True), (4, True)]
+    assert {r.id: r.resolved_by for r in out.collect()} == {
+        1: "rag-filler-found", 2: "rag-filler-stub", 3: "rag-filler-stub", 4: None}
