@@ -4,8 +4,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
+from test_regressions import AS_OF, SCHEMA, claims_by_loop, pairs_by_loop, table
+from signalmine.operators import joins as jn
 from signalmine.operators import knn
 from signalmine.operators import text as tx
+from signalmine.operators import udfs
 from signalmine.plans import jobs
 
 
@@ -56,3 +59,30 @@ def test_misses_searched_once(spark):
     assert rows(out, "id", "resolved") == [(1, True), (2, True), (3, True), (4, True)]
     assert {r.id: r.resolved_by for r in out.collect()} == {
         1: "rag-filler-found", 2: "rag-filler-stub", 3: "rag-filler-stub", 4: None}
+
+
+@pytest.mark.parametrize("cell, every, words", [(40, 2, ["login", "mobile", "deploy", "cart"]),
+                                                (4096, 60, ["logi", "login", "cart", "mail"])])
+def test_claims_in_cells(spark, cell, every, words):
+    data = table(spark, 60, 200, words, ("hot", "hot", "cold"), every=every)
+    new, old = jn.fixes(spark.createDataFrame(data, SCHEMA), AS_OF, 1, 30, None, None)
+    want = claims_by_loop(pairs_by_loop(data), 3)
+    assert rows(udfs.claim_cells(new, old, 3, cell), "new_id", "old_id", "claim_rank") == want
+
+
+def test_claims_make_no_pairs(spark, monkeypatch):
+    data = table(spark, 60, 250, ["login"])
+    monkeypatch.setattr(udfs, "met", None)  # pairs every new task with every older one
+    got = udfs.claim_regressions(spark.createDataFrame(data, SCHEMA), AS_OF)
+    assert rows(got, "new_id", "old_id", "claim_rank") == claims_by_loop(pairs_by_loop(data), 3)
+
+
+def test_claims_where_an_id_names_several_tasks(spark):
+    data = table(spark, 20, 60, ["login", "cart"], ("hot",))
+    other = [(*r[:1], "cold", *r[2:]) for r in data if r[1]]  # the same ids in another repository, and one apart
+    apart = [(r[0] + 10**7, "own", *r[2:]) for r in data if r[1]]
+    claims = lambda d: rows(udfs.claim_regressions(spark.createDataFrame(d, SCHEMA), AS_OF), "repo", "new_id", "old_id",
+                            "claim_rank")
+    pairs = jn.regression_pairs(spark.createDataFrame(data + other, SCHEMA), AS_OF)
+    want = rows(udfs.claim_rounds(pairs)[0], "repo", "new_id", "old_id", "claim_rank")
+    assert claims(data + other + apart) == sorted(want + claims(apart))
