@@ -35,8 +35,7 @@ _STATE = ("kind string, repo string, block long, last long, id long, at timestam
 def _greedy_claims(k: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         # new tasks newest first; each takes its k newest still unclaimed candidates
-        pdf = pdf.sort_values(["new_completed_at", "new_id", "old_completed_at", "old_id"],
-                              ascending=[False, False, False, False])
+        pdf = pdf.sort_values(["new_completed_at", "new_id", "by_at", "old_completed_at", "old_id"], ascending=False)
         claimed: set[int] = set()
         out = []
         for (new_id,), grp in pdf.groupby(["new_id"], sort=False):
@@ -64,26 +63,36 @@ def claim_rounds(pairs: DataFrame, k: int = 3, block: int = BLOCK) -> tuple[Data
     all new tasks, newest first. A group holds at most ``k * block**2`` pairs
     whatever the size of the repository; rounds are at most the blocks of one
     repository plus one, and few where their words differ.
+
+    Ids count per repository. Where one names several new tasks there, these are one
+    task of the newest time that has candidates, which takes those of the newer first.
     """
-    new = pairs.select("repo", "new_id", "new_completed_at").distinct()
+    of_new = ["repo", "new_id"]
+    pairs = (pairs.groupBy(*of_new, "old_id").agg(F.max(F.struct("new_completed_at", "old_completed_at")).alias("by"))
+             .select(*of_new, "old_id", F.col("by.new_completed_at").alias("by_at"), "by.old_completed_at")
+             .withColumn("new_completed_at", F.max("by_at").over(Window.partitionBy(*of_new))))
+    newest = Window.partitionBy(*of_new).orderBy(F.col("by_at").desc(), F.col("old_completed_at").desc(), F.col("old_id").desc())
+    new = pairs.select(*of_new, "new_completed_at").distinct()
+    # a new task can lose at most k candidates to each other new task of its repository
+    pairs = pairs.withColumn("_r", F.row_number().over(newest)).join(new.groupBy("repo").agg(F.count(F.lit(1)).alias("_n")), "repo")
+    pairs = pairs.filter(F.col("_r") <= F.col("_n") * k).drop("_r", "_n")
     times = slices(new, "repo", "new_completed_at", block).select("repo", "minute", "newer")
     inside = Window.partitionBy("repo", "minute").orderBy(F.col("new_completed_at").desc(), F.col("new_id").desc())
     dealt = (new.withColumn("minute", F.date_trunc("minute", "new_completed_at"))
              .withColumn("at", F.row_number().over(inside)).join(times, ["repo", "minute"])
-             .select("new_id", F.floor((F.col("newer") + F.col("at") - 1) / block).alias("block")))
-    pairs = materialize(pairs.join(dealt, "new_id"))
-    newest = Window.partitionBy("new_id").orderBy(F.col("old_completed_at").desc(), F.col("old_id").desc())
+             .select(*of_new, F.floor((F.col("newer") + F.col("at") - 1) / block).alias("block")))
+    pairs = materialize(pairs.join(dealt, of_new))
     free, rounds = pairs, 0
     while True:
         # a task can lose at most k candidates to each other task of its block
         near = free.withColumn("_r", F.row_number().over(newest)).filter(F.col("_r") <= k * block).drop("_r")
         claims = materialize(near.groupBy("repo", "block").applyInPandas(_greedy_claims(k), CLAIM_SCHEMA))
         rounds += 1
-        held = claims.groupBy("old_id").agg(F.max(F.struct("new_completed_at", "new_id")).alias("holder"))
-        n, kept = claims.agg(F.count("*"), F.count_distinct("old_id")).first()
+        held = claims.groupBy("repo", "old_id").agg(F.max(F.struct("new_completed_at", "new_id")).alias("holder"))
+        n, kept = claims.agg(F.count("*"), F.count_distinct("repo", "old_id")).first()
         if n == kept:
             return claims, rounds
-        free = (pairs.join(held, "old_id", "left")
+        free = (pairs.join(held, ["repo", "old_id"], "left")
                 .filter(F.col("holder").isNull() | (F.struct("new_completed_at", "new_id") >= F.col("holder")))
                 .drop("holder"))
 
@@ -142,7 +151,7 @@ def _cell_claims(k: int):
 
 def claim_cells(new: DataFrame, old: DataFrame, k: int = 3, cell: int = CELL) -> DataFrame:
     """Greedy claims of (repo, word, new_id, new_completed_at) on (repo, word, old_id,
-    old_completed_at), a row per word; an id names one task.
+    old_completed_at), a row per word; an id names one task of its repository.
 
     A repository's new and older tasks are dealt by time into blocks of ``cell``. New
     block i meets old block j once new block i has met the old blocks before j, and old
@@ -180,28 +189,20 @@ def claim_regressions(tasks: DataFrame, as_of: AsOf, new_days: float = 1, lookba
     """Sequential form of ``regression_candidates``: new tasks newest first, an
     older task already marked by an earlier new task is not reused.
 
-    The claims are made by ``claim_cells``. Ids name one task; repositories where one
-    names several are matched by their pairs, in ``claim_rounds``: of these a new task
-    needs its ``k x (number of new tasks of its repository)`` newest, as at most that
-    many can be taken before it.
+    The claims are made by ``claim_cells``; repositories where an id names several of
+    their tasks are matched by their pairs, in ``claim_rounds``. Ids of other
+    repositories don't matter.
     """
     new, old = fixes(tasks, as_of, new_days, lookback_days, max_new, None)
     new, old = materialize(new.filter(F.col("new_id").isNotNull())), materialize(old.filter(F.col("old_id").isNotNull()))
-    several = None
-    for rows, id_ in ((new, "new_id"), (old, "old_id")):
-        one = rows.select("repo", id_, id_.replace("id", "completed_at")).distinct()
-        repos = (one.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy(id_))).filter(F.col("n") > 1)
-                 .select("repo"))
-        several = repos if several is None else several.unionByName(repos)
-    several = materialize(several.distinct())
+    ids = [rows.select("repo", F.col(f"{kind}_id").alias("id"), F.col(f"{kind}_completed_at").alias("at"))
+           for kind, rows in (("new", new), ("old", old))]
+    several = materialize(ids[0].unionByName(ids[1]).distinct().groupBy("repo", "id").agg(F.count(F.lit(1)).alias("n"))
+                          .filter(F.col("n") > 1).select("repo").distinct())
     if several.isEmpty():
         return claim_cells(new, old, k)
     pairs = met(new.join(several, "repo", "left_semi"), old.join(several, "repo", "left_semi"), ["repo", "word"]).distinct()
-    # a new task can lose at most k candidates to each other new task of its repository
-    new_tasks = pairs.groupBy("repo").agg(F.countDistinct("new_id").alias("_n"))
-    w = Window.partitionBy("new_id").orderBy(F.col("old_completed_at").desc(), F.col("old_id").desc())
-    ranked = pairs.withColumn("_r", F.row_number().over(w)).join(new_tasks, "repo")
-    claims = claim_rounds(ranked.filter(F.col("_r") <= F.col("_n") * k).drop("_r", "_n"), k)[0]
+    claims = claim_rounds(pairs, k)[0]
     return claim_cells(new.join(several, "repo", "left_anti"), old.join(several, "repo", "left_anti"), k).unionByName(claims)
 
 

@@ -1,10 +1,13 @@
 """Plans and rows of the queries that failed at size in round 3."""
 
+import re
+from datetime import timedelta
+
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
-from test_regressions import AS_OF, SCHEMA, claims_by_loop, pairs_by_loop, table
+from test_regressions import AS_OF, NOW, SCHEMA, claims_by_loop, pairs_by_loop, table
 from signalmine.operators import joins as jn
 from signalmine.operators import knn
 from signalmine.operators import text as tx
@@ -75,3 +78,44 @@ def test_claims_make_no_pairs(spark, monkeypatch):
     monkeypatch.setattr(udfs, "met", None)  # pairs every new task with every older one
     got = udfs.claim_regressions(spark.createDataFrame(data, SCHEMA), AS_OF)
     assert rows(got, "new_id", "old_id", "claim_rank") == claims_by_loop(pairs_by_loop(data), 3)
+
+
+def claims_by_id(data, k=3):
+    """(repo, new_id, old_id, claim_rank) by a loop over each repository; an id is one
+    new task of the newest time that has candidates."""
+    out = []
+    for repo in {r[1] for r in data if r[1]}:
+        here = [r for r in data if r[1] == repo]
+        ids = {}
+        for t in sorted((r for r in here if r[6] > NOW - timedelta(days=1)), key=lambda r: (r[6], r[0]), reverse=True):
+            words = set(re.findall(r"\b[a-z]{4,}\b", (t[2] or "").lower()))
+            olds = [o for o in here if o[0] != t[0] and o[5] is None and o[6] < t[6] and any(w in (o[2] or "").lower() for w in words)]
+            if olds:
+                ids.setdefault(t[0], []).extend(o[0] for o in sorted(olds, key=lambda o: (o[6], o[0]), reverse=True))
+        out += [(repo, *c) for c in claims_by_loop({i: list(dict.fromkeys(olds)) for i, olds in ids.items()}, k)]
+    return sorted(out)
+
+
+def test_ids_of_two_repositories_make_no_pairs(spark, monkeypatch):
+    data = table(spark, 20, 80, ["login", "mobile"])
+    data += [(r[0], "other", *r[2:]) for r in data if r[1]]
+    monkeypatch.setattr(udfs, "met", None)
+    got = udfs.claim_regressions(spark.createDataFrame(data, SCHEMA), AS_OF)
+    assert rows(got, "repo", "new_id", "old_id", "claim_rank") == claims_by_id(data)
+
+
+@pytest.mark.parametrize("block", [4, 64])
+def test_ids_that_name_several_tasks_of_a_repository(spark, block, monkeypatch):
+    monkeypatch.setattr(udfs.claim_rounds, "__defaults__", (3, block))
+    data = table(spark, 24, 60, ["login", "mobile", "deploy", "cart"], ("hot", "cold"))
+    data += [(r[0], "hot", "cart mobile", *r[3:6], r[6] - timedelta(hours=i % 5)) for i, r in enumerate(data[::3])]
+    got = udfs.claim_regressions(spark.createDataFrame(data, SCHEMA), AS_OF)
+    assert rows(got, "repo", "new_id", "old_id", "claim_rank") == claims_by_id(data)
+
+
+def test_a_task_does_not_claim_its_own_id(spark):
+    at = lambda days: NOW - timedelta(days=days, hours=1)
+    data = [(5, "hot", "login", "bug", "completed", "failed", at(0)), (5, "hot", "login", "bug", "completed", None, at(3)),
+            (6, "hot", "login", "bug", "completed", None, at(4))]
+    got = udfs.claim_regressions(spark.createDataFrame(data, SCHEMA), AS_OF)
+    assert rows(got, "repo", "new_id", "old_id", "claim_rank") == [("hot", 5, 6, 1)] == claims_by_id(data)
