@@ -1,5 +1,7 @@
 """The search for found misses at size: shelves, slices, single precision."""
 
+from collections import Counter
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -8,6 +10,7 @@ from pyspark.sql import functions as F
 from conftest import rows
 from test_knn import all_pairs, frame
 from signalmine.operators import knn
+from signalmine.plans import jobs
 
 
 def test_queries_meet_shelves_not_blocks(spark):
@@ -64,3 +67,25 @@ def test_slices_and_tiles(monkeypatch, k):
     both["rank"] = both.groupby("src").cumcount() + 1
     got = both[both["rank"] <= k]
     assert sorted(zip(got["src"], got["dst"], got["rank"], strict=True)) == all_pairs(v, range(90), k)
+
+
+def test_gap_filler_derives_its_vectors_once(spark):
+    rng = np.random.default_rng(6)
+    v, d = rng.normal(size=(300, 6)), rng.normal(size=(6, 6))
+    query = [f"how to {i % 120:03d}." for i in range(300)]
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for pdf in batches:
+            read.add(len(pdf))
+            yield pdf
+
+    vectors = frame(spark, v).withColumnRenamed("doc_id", "id").mapInPandas(counted, "id long, embedding array<double>")
+    misses = spark.createDataFrame([(i, q, False) for i, q in enumerate(query)], "id long, query string, resolved boolean")
+    _, out = jobs.gap_filler_job(misses.withColumn("created_at", F.current_timestamp()), vectors, frame(spark, d))
+    best = ((v / np.linalg.norm(v, axis=1, keepdims=True)) @ (d / np.linalg.norm(d, axis=1, keepdims=True)).T).max(axis=1)
+    assert 50 < (best > 0.6).sum() < 250
+    left = Counter(q for q, score in zip(query, best, strict=True) if score <= 0.6)
+    want = ["rag-filler-found" if s > 0.6 else "rag-filler-stub" if left[q] > 1 else None for q, s in zip(query, best, strict=True)]
+    assert {r.id: r.resolved_by for r in out.collect()} == dict(enumerate(want))
+    assert read.value == 300
